@@ -327,10 +327,10 @@ def landed_timesheets(t: Tables) -> DataFrame:
     99 -> entriesPortfolio; entriesAccount is empty, or NULL for even ids.
     """
     b = import_batch(t)
-    entry = F.struct(
-        "companyid", "entrydate", "entryhours", "entryid", "entrytypeid", "externalid",
-        "internalrate", "billablerate", "isbillable", "isproductive", "level1id", "level2id",
-        "level3id", "locationid", "notes", "state")
+    names = ["companyId", "entryDate", "entryHours", "entryId", "entryTypeId", "externalId",
+             "internalRate", "billableRate", "isBillable", "isProductive", "level1Id", "level2Id",
+             "level3Id", "locationId", "notes", "state"]
+    entry = F.struct(*[F.col(n.lower()).alias(n) for n in names])
     g = b.groupBy(F.col("timesheetid").alias("timesheetId"), F.col("userid").alias("userId")).agg(
         F.min("entrydate").alias("startDate"), F.max("entrydate").alias("endDate"),
         F.collect_list(F.when(F.col("entrytypeid") == 1, entry)).alias("entriesProject"),

@@ -37,4 +37,4 @@ def as_doubles(df: DataFrame) -> DataFrame:
 
 
 # Import the modules that register queries.
-from burnup.plans import queries_mapping, queries_sprints  # noqa: E402,F401
+from burnup.plans import queries_entries, queries_mapping, queries_sprints  # noqa: E402,F401
