@@ -161,6 +161,12 @@ SELECT h.timesheetId, h.userId, h.startDate, h.endDate, e.entryId, e.entryDate,
        e.project_ppm_id, e.task_ppm_id
 FROM generator_headers h LEFT JOIN generator_existing_entries e
   ON h.userId = e.userId AND e.entryDate BETWEEN h.startDate AND h.endDate""",
+    "dead_letter_seed": """
+SELECT 0 AS companyId, 1 AS entryTypeId, timesheetId, userId, userId % 200 + 7000 AS level1Id,
+       CAST(1 AS BIGINT) AS level2Id, startDate AS entryDate, CAST(0 AS BIGINT) AS entryId,
+       CAST(1 AS BIGINT) AS level3Id, CAST(1 AS DOUBLE) AS entryHours,
+       TIMESTAMP '2024-01-17 00:00:00' AS created_date
+FROM generator_headers WHERE timesheetId % 7 = 0""",
     "refresh_log": """
 SELECT CAST(n_nationkey AS BIGINT) AS team_dim_id, DATE '2024-01-05' AS from_date, DATE '2024-01-20' AS to_date,
        n_nationkey = 12 AS is_timesheet_refreshed
@@ -178,6 +184,7 @@ DEPENDS = {
     "import_batch": ["entry_cols"],
     "date_dimension": ["li"],
     "timesheet_data": ["generator_headers", "generator_existing_entries"],
+    "dead_letter_seed": ["generator_headers"],
 }
 
 
@@ -201,4 +208,7 @@ def with_views(sql: str, *extra: tuple[str, str]) -> str:
     ctes = [f"{n} AS ({VIEWS[n]})" for n in names] + [f"{n} AS ({b})" for n, b in extra]
     if not ctes:
         return sql
+    body = sql.lstrip()
+    if body[:5].upper() == "WITH ":
+        return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + sql

@@ -36,5 +36,8 @@ def as_doubles(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-# Import the modules that register queries.
-from burnup.plans import queries_entries, queries_mapping, queries_sprints  # noqa: E402,F401
+def load_all() -> tuple[dict, dict]:
+    """Import every module that registers queries; returns (queries, oracle SQL)."""
+    from burnup.plans import (queries_effort, queries_entries, queries_landing,  # noqa: F401
+                              queries_mapping, queries_quality, queries_sprints)
+    return QUERIES, ORACLE
