@@ -12,6 +12,7 @@ from burnup.functions.expr import flag_set, flag_unset, json_decimal, lit_date,
 from burnup.operators.apply import delete_matching, flag_matching, one_row_per_key
 from burnup.operators.nesting import bounded_listagg, explode_project_entries, timesheet_payload
 from burnup.operators.sprints import members_covering
+from burnup.session import cut_lineage
 
 # The hours of a developer day the warehouse tests assert, and the
 # earliest sprint end the generator looks at.
@@ -224,8 +225,12 @@ def apply_push_result(dead_letter: DataFrame, rows: DataFrame, acks_for, as_of)
     ``acks_for(payload)`` returns the acknowledgement table (timesheetId, userId, chunk,
     ok, error) for a payload table; it stands in for the push service.
     """
+    # The pushed rows and the dead letter are tables of their own in the warehouse; they
+    # are written to the shared checkpoint folder here, so the retry does not replay
+    # the whole generation lineage (and a lost executor does not either).
+    rows = cut_lineage(rows)
     first = acks_for(timesheet_payload(rows))
-    dl = dead_letter_append(dead_letter, rows, first, as_of)
+    dl = cut_lineage(dead_letter_append(dead_letter, rows, first, as_of))
     retry_rows = dead_letter_rows(dl)
     second = acks_for(timesheet_payload(retry_rows))
     dl = dead_letter_append(dl, retry_rows, second, as_of)
@@ -243,7 +248,7 @@ def generate_timesheets(sprints, issues, members, resources, teams, projects, ge
     data = explode_project_entries(requested_timesheets(generator_timesheets, users))
     numbers = timesheet_sprint_numbers(s2, as_of)
     plan = timesheet_plan(s2, numbers, fact, members, resources, teams, projects, holidays, as_of)
-    rows = timesheet_population(plan, data)
+    rows = cut_lineage(timesheet_population(plan, data))
     payload = timesheet_payload(rows)
     return {
         "sprints": mark_populated(s2, numbers),
