@@ -321,3 +321,22 @@ def test_schema_backfill(spark):
                                 "entity_ppm_id int, field string, label string")
     out = {r.entity_ppm_id: r.entity_schema for r in ld.schema_backfill(reg, cat).collect()}
     assert out[5] == "kept" and "'" not in out[4] and '"field":"title"' in out[4]
+
+
+def test_incremental_import_stream(spark, tables, tmp_path):
+    from burnup.plans import domain as d
+    from burnup.streaming.incremental_import import start_import_stream
+    landed = d.landed_timesheets(tables)
+    landed.write.parquet(str(tmp_path / "landed"))
+    dims = {"resources": d.resource_dim(tables), "members": d.user_team_map(tables),
+            "projects": d.projects_dim(tables), "tasks": d.project_tasks(tables),
+            "portfolios": d.portfolio_dim(tables), "dates": d.date_dimension(tables)}
+    store = d.stored_entries_before_import(tables)
+    q = start_import_stream(spark, str(tmp_path / "landed"), landed.schema, str(tmp_path / "store"), dims,
+                            d.AS_OF, store, checkpoint_location=str(tmp_path / "ckpt"))
+    q.awaitTermination(300)
+    out = spark.read.parquet(str(tmp_path / "store"))
+    expected = en.resolve_entry_dims(en.versioned_replace(store, ns.flatten_all_entries(landed), d.AS_OF),
+                                     *dims.values(), d.AS_OF)
+    assert out.select("version").distinct().count() == 1
+    assert rows(out.drop("version")) == rows(expected)
