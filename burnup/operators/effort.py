@@ -103,19 +103,20 @@ def timesheet_plan(sprints: DataFrame, sprint_numbers: DataFrame, fact: DataFram
         "team_dim_id", "sprint_number", "sprint_name", "sprint_start_date", "sprint_complete_date",
         "actual_sprint_start_date", "actual_sprint_days")
     m = members_covering(s, members, as_of, strict=True)
-    s_days = m.withColumn("__hol", holidays).select(
-        "team_dim_id", "sprint_number", "sprint_name", "actual_sprint_days", "user_dim_id",
-        F.explode(working_days(F.col("actual_sprint_start_date"), F.col("sprint_complete_date"),
-                               F.col("__hol"))).alias("date_of_sprint"))
     r = resources.select("resource_dim_id", "resource_ppm_id", F.col("primary_role_id").alias("resource_role_id"))
+    t = teams.select("team_dim_id", "team_name")
+    # Lookups go on the narrow sides before the one join that multiplies rows
+    # (member-days x features), so the wide result is produced once and not reshuffled.
+    m = m.join(r, F.col("user_dim_id") == F.col("resource_dim_id")).join(t, "team_dim_id")
+    s_days = m.withColumn("__hol", holidays).select(
+        "team_dim_id", "sprint_number", "sprint_name", "team_name", "actual_sprint_days", "resource_ppm_id",
+        "resource_role_id", F.explode(working_days(F.col("actual_sprint_start_date"), F.col("sprint_complete_date"),
+                                                   F.col("__hol"))).alias("date_of_sprint"))
     p = projects.select(F.col("pv_project_dim_id").alias("__pv"),
                         F.col("project_ppm_id").try_cast("bigint").alias("project_ppm_id"))
     p = one_row_per_key(p, "__pv", ["project_ppm_id"])
-    t = teams.select("team_dim_id", "team_name")
-    j = (s_days.join(fact, ["team_dim_id", "sprint_number"])
-         .join(r, F.col("user_dim_id") == F.col("resource_dim_id"))
-         .join(t, "team_dim_id")
-         .join(p, F.col("pv_project_dim_id") == F.col("__pv"), "left"))
+    f = fact.join(p, F.col("pv_project_dim_id") == F.col("__pv"), "left")
+    j = s_days.join(f, ["team_dim_id", "sprint_number"])
     per_day = F.try_divide(F.col("time_spent"), F.col("actual_sprint_days").cast("double"))
     return j.select("resource_ppm_id", "date_of_sprint", per_day.alias("per_day_time_spent"),
                     "project_ppm_id", "task_ppm_id", "resource_role_id", "team_name", "sprint_name",
@@ -223,12 +224,12 @@ def apply_push_result(dead_letter: DataFrame, rows: DataFrame, acks_for, as_of)
     dead letter - which already holds this run's failures - and drop accepted pairs (U24).
 
     ``acks_for(payload)`` returns the acknowledgement table (timesheetId, userId, chunk,
-    ok, error) for a payload table; it stands in for the push service.
+    ok, error) for a payload table; it stands in for the push service. ``rows`` should
+    be materialised (a checkpoint or a written table): it is read three times.
     """
     # The pushed rows and the dead letter are tables of their own in the warehouse; they
     # are written to the shared checkpoint folder here, so the retry does not replay
     # the whole generation lineage (and a lost executor does not either).
-    rows = cut_lineage(rows)
     first = acks_for(timesheet_payload(rows))
     dl = cut_lineage(dead_letter_append(dead_letter, rows, first, as_of))
     retry_rows = dead_letter_rows(dl)
@@ -249,7 +250,7 @@ def generate_timesheets(sprints, issues, members, resources, teams, projects, ge
     numbers = timesheet_sprint_numbers(s2, as_of)
     plan = timesheet_plan(s2, numbers, fact, members, resources, teams, projects, holidays, as_of)
     rows = cut_lineage(timesheet_population(plan, data))
-    payload = timesheet_payload(rows)
+    payload = cut_lineage(timesheet_payload(rows))
     return {
         "sprints": mark_populated(s2, numbers),
         "fact": fact,

@@ -10,7 +10,9 @@ Derivation rules (fixed values of the scenario):
 - now (``AS_OF``) is 2024-01-24 12:00; the sprint-end floor is 2020-05-14.
 - team = nation; member / resource = customer (resource ppm id = custkey + 100000).
 - sprints: six five-day windows per team from 2024-01-01 09:00.
-- issues = events of customers; sprint from the day of month; points from props.k.
+- issues = events of customers; sprint from the day of month; points from props.k;
+  an issue's feature is one of 5 projects x 3 tasks, so a sprint has a bounded
+  number of features (as real sprints do) and planned rows grow with members.
 - portfolios = regions, projects / epics = parts, Jira projects and tasks = suppliers.
 - stored timesheet entries = lineitem x orders, dates folded into Dec 2023 - Jan 2024.
 """
@@ -171,7 +173,7 @@ def sprint_issues(t: Tables) -> DataFrame:
         (eid % 150).alias("epic_dim_id"),
         (eid % 10).alias("project_dim_id"),
         F.when(eid % 3 == 0, F.lit(None).cast("bigint")).otherwise(eid % 5 + 1).alias("portfolio_dim_id"),
-        F.when(eid % 3 == 0, F.lit(None).cast("bigint")).otherwise(eid % 200).alias("pv_project_dim_id"),
+        F.when(eid % 3 == 0, F.lit(None).cast("bigint")).otherwise(eid % 5).alias("pv_project_dim_id"),
         F.lit(None).cast("boolean").alias("is_maintenance"),
         (eid % 3 + 1).alias("task_ppm_id"),
     ).select(
@@ -370,7 +372,7 @@ def generator_existing_entries(t: Tables) -> DataFrame:
     g = e.groupBy(
         (F.col("user_id") + RESOURCE_PPM_OFFSET).alias("userId"),
         F.to_date("ts").alias("entryDate"),
-        (F.col("event_id") % 200 + PROJECT_PPM_OFFSET).alias("project_ppm_id"),
+        (F.col("event_id") % 5 + PROJECT_PPM_OFFSET).alias("project_ppm_id"),
         (F.col("event_id") % 3 + 1).alias("task_ppm_id"),
     ).agg(F.min("event_id").alias("entryId"), F.count(F.lit(1)).cast(HOURS_TYPE).alias("entryHours"))
     return g

@@ -69,7 +69,7 @@ SELECT event_id AS issue_id, CAST((day(ts) - 1) // 5 + 1 AS BIGINT) AS sprint_nu
          AS status_on_sprint_closure,
        event_id % 150 AS epic_dim_id, event_id % 10 AS project_dim_id,
        CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 5 + 1 END AS portfolio_dim_id,
-       CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 200 END AS pv_project_dim_id,
+       CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 5 END AS pv_project_dim_id,
        CAST(NULL AS BOOLEAN) AS is_maintenance, event_id % 3 + 1 AS task_ppm_id
 FROM events JOIN customer ON user_id = c_custkey""",
     "portfolio_dim": """
@@ -152,7 +152,7 @@ SELECT c_custkey * 10 + w AS timesheetId, c_custkey + 100000 AS userId,
 FROM (SELECT c_custkey, unnest(generate_series(0, 3)) AS w FROM customer)""",
     "generator_existing_entries": """
 SELECT user_id + 100000 AS userId, CAST(ts AS DATE) AS entryDate,
-       event_id % 200 + 7000 AS project_ppm_id, event_id % 3 + 1 AS task_ppm_id,
+       event_id % 5 + 7000 AS project_ppm_id, event_id % 3 + 1 AS task_ppm_id,
        min(event_id) AS entryId, CAST(count(*) AS DECIMAL(18,2)) AS entryHours
 FROM events WHERE event_type = 'purchase'
 GROUP BY 1, 2, 3, 4""",

@@ -11,6 +11,7 @@ from burnup.operators import sprints as sp
 from burnup.plans import domain as d
 from burnup.plans.queries_sprints import POINTS, _metrics_ctes, metrics_frame
 from burnup.plans.registry import query
+from burnup.session import cut_lineage
 
 AS_OF = "TIMESTAMP '2024-01-24 12:00:00'"
 PENDING_M = "(m.is_metrics_updated IS NULL OR m.is_metrics_updated = FALSE)"
@@ -231,7 +232,7 @@ def dead_letter_append(spark, sf_dir):
 @query("apply_push_result", f"SELECT {DL_COLS} FROM dl1 WHERE timesheetId % 11 = 0", ctes=DL_CTES)
 def apply_push_result(spark, sf_dir):
     t, rows, seed = _dead_letter_inputs(spark, sf_dir)
-    return ef.apply_push_result(seed, rows, d.push_acknowledgements, d.AS_OF)
+    return ef.apply_push_result(seed, cut_lineage(rows), d.push_acknowledgements, d.AS_OF)
 
 
 @query("generate_timesheets", """
