@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burnup.functions.expr import flag_set, flag_unset, json_decimal, lit_date, lit_ts, pg_to_char
@@ -37,9 +37,11 @@ def feature_time_spent(sprints: DataFrame, issues: DataFrame, hours_per_day: int
     feats = (issues.where((F.col("is_active") == F.lit(True)) & F.col("portfolio_dim_id").isNotNull())
              .join(pend.select("team_dim_id", "sprint_number"), ["team_dim_id", "sprint_number"], "left_semi")
              .groupBy(*FEATURE_KEYS).agg(F.coalesce(F.sum(pts), F.lit(0)).alias("fpts")))
-    totals = feats.groupBy("team_dim_id", "sprint_number").agg(
-        F.sum("fpts").alias("__total"), F.count(F.lit(1)).alias("__nfeat"))
-    j = feats.join(totals, ["team_dim_id", "sprint_number"]).join(pend, ["team_dim_id", "sprint_number"])
+    # Totals per sprint over the (few) features of that sprint: a window on the already
+    # aggregated features, so the issue aggregation runs once.
+    w = Window.partitionBy("team_dim_id", "sprint_number")
+    feats = feats.withColumn("__total", F.sum("fpts").over(w)).withColumn("__nfeat", F.count(F.lit(1)).over(w))
+    j = feats.join(pend, ["team_dim_id", "sprint_number"])
     weight = F.when(F.col("__total") > 0, F.col("fpts").cast("double") / F.col("__total").cast("double")) \
         .otherwise(F.lit(1.0) / F.col("__nfeat").cast("double"))
     spent = (F.lit(float(hours_per_day)) * F.col("actual_sprint_days").cast("double")) * weight
@@ -260,3 +262,26 @@ def generate_timesheets(sprints, issues, members, resources, teams, projects, ge
         "acks": acks_for(payload),
         "dead_letter": apply_push_result(dead_letter, rows, acks_for, as_of),
     }
+
+
+def draft_timesheet_population(plan: DataFrame, timesheets: DataFrame) -> DataFrame:
+    """J12 (draft variant of C4): plan rows joined to headers LEFT JOIN their entries with a
+    conditional condition: a header row without entry matches on the header's date range,
+    an entry row only on its own date. Split exactly into two equi joins - (user) plus
+    range, and (user, date) - so no row is compared with all of a user's entries."""
+    from burnup.operators.nesting import draft_entry_rows
+    hdr = timesheets.select("timesheetId", "userId", "startDate", "endDate")
+    ent = draft_entry_rows(timesheets).select("timesheetId", "entryId", "entryDate")
+    td = hdr.join(ent, "timesheetId", "left")
+    p = plan.select("resource_ppm_id", "date_of_sprint", "per_day_time_spent", "project_ppm_id", "task_ppm_id",
+                    "resource_role_id")
+    no_entry = td.where(F.col("entryDate").isNull())
+    with_entry = td.where(F.col("entryDate").isNotNull())
+    a = p.join(no_entry, (p["resource_ppm_id"] == no_entry["userId"])
+               & p["date_of_sprint"].between(no_entry["startDate"], no_entry["endDate"]))
+    b = p.join(with_entry, (p["resource_ppm_id"] == with_entry["userId"])
+               & (p["date_of_sprint"] == with_entry["entryDate"]))
+    cols = [pg_to_char("date_of_sprint", "YYYY/MM/DD").alias("date_of_sprint"), "resource_ppm_id",
+            "per_day_time_spent", "project_ppm_id", "task_ppm_id", "resource_role_id", "timesheetId",
+            F.col("entryId").alias("entryid"), pg_to_char("entryDate", "YYYY/MM/DD").alias("entrydate")]
+    return a.select(*cols).unionByName(b.select(*cols))

@@ -248,3 +248,21 @@ def generate_timesheets(spark, sf_dir):
     ok = out["acks"].groupBy("timesheetId", "userId").agg(F.min(F.col("ok").cast("int")).alias("__ok"))
     return payload_summary(out["payload"]).join(ok, ["timesheetId", "userId"]) \
         .select("timesheetId", "userId", "n_entries", "entry_hours", (F.col("__ok") == 1).alias("ok"))
+
+
+@query("draft_population", """
+WITH td AS (
+  SELECT x1.timesheetId, x1.userId, x1.startDate, x1.endDate, x2.entryId, x2.entryDate
+  FROM (SELECT DISTINCT timesheetId, userId, startDate, endDate FROM tsd) x1
+  LEFT JOIN (SELECT timesheetId, entryId, entryDate FROM tsd WHERE entryId IS NOT NULL) x2
+    ON x1.timesheetId = x2.timesheetId)
+SELECT strftime(pd.date_of_sprint, '%Y/%m/%d') AS date_of_sprint, pd.resource_ppm_id, pd.per_day_time_spent,
+       pd.project_ppm_id, pd.task_ppm_id, pd.resource_role_id, td.timesheetId, td.entryId AS entryid,
+       strftime(td.entryDate, '%Y/%m/%d') AS entrydate
+FROM plan pd JOIN td ON pd.resource_ppm_id = td.userId
+ AND CASE WHEN td.entryDate IS NULL THEN pd.date_of_sprint BETWEEN td.startDate AND td.endDate
+          ELSE pd.date_of_sprint = td.entryDate END""", ctes=POP_CTES)
+def draft_population(spark, sf_dir):
+    t, s1, fact, s2, numbers, plan = _frames(spark, sf_dir)
+    users = ef.timesheet_users(s2, d.user_team_map(t), d.resource_dim(t), d.AS_OF)
+    return ef.draft_timesheet_population(plan, ef.requested_timesheets(d.generator_timesheets(t), users))

@@ -152,3 +152,20 @@ def dimension_upsert(target: DataFrame, staged: DataFrame, natural_key: str, sur
     max_key = target.select(F.coalesce(F.max(surrogate_key), F.lit(0))).scalar()
     new = assign_keys(new.drop(surrogate_key), natural_key, max_key, surrogate_key)
     return old.unionByName(new.select(*[F.col(c).cast(target.schema[c].dataType).alias(c) for c in cols]))
+
+
+def load_dimensions(registry: DataFrame, raw: dict[str, DataFrame],
+                    upserts: dict[str, "callable"]) -> dict[str, DataFrame]:
+    """Every registry entity in load order that has landed rows is unpacked with the
+    registry's aliases (S3, S4, S6) and handed, as a text staging table (S5), to that
+    entity's upsert (S14). The loop runs over registry rows (a handful), never data."""
+    out: dict[str, DataFrame] = {}
+    entities = entity_registry(registry).select("entity_ppm_id", "entity_name").collect()
+    for e in entities:
+        name = e["entity_name"]
+        if name not in raw:
+            continue
+        aliases = [a for _, a, _ in entity_fields(registry, e["entity_ppm_id"])]
+        staged = null_tokens(land_entity(raw[name], aliases))
+        out[name] = upserts[name](staged) if name in upserts else staged
+    return out

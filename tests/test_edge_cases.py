@@ -340,3 +340,43 @@ def test_incremental_import_stream(spark, tables, tmp_path):
                                      *dims.values(), d.AS_OF)
     assert out.select("version").distinct().count() == 1
     assert rows(out.drop("version")) == rows(expected)
+
+
+def test_load_dimensions_project(spark, tables):
+    from burnup.plans.queries_landing import raw_project_responses
+    from burnup.sources import seeds
+    registry = spark.createDataFrame(seeds.ENTITY_SEED, seeds.ENTITY_SCHEMA)
+    aliases = [a for _, a, _ in ld.entity_fields(registry, 4)]
+    assert aliases[0] == "id" and len(aliases) == 10
+    out = ld.load_dimensions(registry, {"Project": raw_project_responses(tables, aliases)},
+                             {"Project": lambda s: s.select(F.col("id").cast("bigint").alias("id"), "title")})
+    assert set(out) == {"Project"} and out["Project"].count() == tables.part.count()
+
+
+def test_sql_working_day_functions(spark):
+    spark.createDataFrame([(T(2024, 1, 1), True), (T(2024, 1, 13), True), (T(2024, 1, 16), False)],
+                          "holiday_date timestamp_ntz, is_mandatory_holiday boolean").createOrReplaceTempView("hol_v")
+    E.register_sql_functions(spark, "hol_v")
+    r = spark.sql("SELECT weekdays_sql(DATE'2024-01-01', DATE'2024-01-14') AS a, "
+                  "weekdays_holiday_sql(DATE'2024-01-01', DATE'2024-01-14') AS b, "
+                  "weekdays_sql(DATE'2024-01-09', DATE'2024-01-02') AS c").first()
+    assert (r.a, r.b, r.c) == (10, 9, 0)
+
+
+def test_payload_json_and_chunks(spark):
+    rws = spark.createDataFrame([(0, 1, 5, 100 + (i % 2), 7001, 1, "2024/01/02", 0, 1, 1.5) for i in range(7)],
+                                "companyId int, entryTypeId int, timesheetId bigint, userId bigint, level1Id bigint, "
+                                "level2Id bigint, entryDate string, entryId bigint, level3Id bigint, entryHours double")
+    p = ns.timesheet_payload(rws, max_entries=2)
+    sizes = {(r.userId, r.chunk): r.n for r in p.select("userId", "chunk", F.size("entriesProject").alias("n")).collect()}
+    assert sum(v for (u, _), v in sizes.items() if u == 100) == 4 and sum(v for (u, _), v in sizes.items() if u == 101) == 3
+    js = ns.payload_json(p).collect()
+    assert all('"entriesProject":[' in r.payload and '"userId"' in r.payload for r in js)
+    assert "userId" not in ns.PAYLOAD_FIELDS
+
+
+def test_list_path_and_date_text(spark):
+    df = spark.createDataFrame([("2448, 2506,77", "https://a/b/A6 ", dt.date(2024, 1, 5))], "l string, r string, d date")
+    r = df.select(E.id_list_to_array("l").alias("ids"), E.last_path_segment("r").alias("seg"),
+                  E.pg_to_char("d", "YYYY/MM/DD").alias("a"), E.pg_to_char("d", "YYYYMMDD").alias("b")).first()
+    assert r.ids == [2448, 2506, 77] and r.seg == "A6" and r.a == "2024/01/05" and r.b == "20240105"
