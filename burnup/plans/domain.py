@@ -66,6 +66,21 @@ class Tables:
         return _READS[key]
 
 
+def view(fn):
+    """Memoise a derived table per session and folder: a DataFrame is an immutable plan,
+    so every operator of a session can share it instead of rebuilding it."""
+    cache: dict[tuple, DataFrame] = {}
+
+    def wrapped(t: Tables) -> DataFrame:
+        key = (id(t.spark), t.sf_dir)
+        if key not in cache:
+            cache[key] = fn(t)
+        return cache[key]
+    wrapped.__name__ = fn.__name__
+    wrapped.__doc__ = fn.__doc__
+    return wrapped
+
+
 def _days(ts: Column, n) -> Column:
     n = n if isinstance(n, Column) else F.lit(n)
     return F.timestamp_add("DAY", n, ts)
@@ -76,6 +91,7 @@ def _hours(ts: Column, n) -> Column:
     return F.timestamp_add("HOUR", n, ts)
 
 
+@view
 def team_dim(t: Tables) -> DataFrame:
     n = t.nation
     k = F.col("n_nationkey")
@@ -89,6 +105,7 @@ def team_dim(t: Tables) -> DataFrame:
         (k % 3 != 0).alias("is_reportable"))
 
 
+@view
 def resource_dim(t: Tables) -> DataFrame:
     c = t.customer
     k = F.col("c_custkey")
@@ -105,6 +122,7 @@ def resource_dim(t: Tables) -> DataFrame:
         (F.col("c_nationkey") % 4 + 1).cast("bigint").alias("primary_role_id"))
 
 
+@view
 def user_team_map(t: Tables) -> DataFrame:
     c = t.customer
     k = F.col("c_custkey")
@@ -118,6 +136,7 @@ def user_team_map(t: Tables) -> DataFrame:
         (k % 7 != 0).alias("is_active"))
 
 
+@view
 def sprint_summary(t: Tables) -> DataFrame:
     n = t.nation.select(F.col("n_nationkey").cast("bigint").alias("team_dim_id"),
                         F.explode(F.sequence(F.lit(1), F.lit(6))).alias("w"))
@@ -147,6 +166,7 @@ def sprint_summary(t: Tables) -> DataFrame:
          .alias("is_timesheet_populated"))
 
 
+@view
 def sprint_issues(t: Tables) -> DataFrame:
     e = t.events.join(t.customer.select("c_custkey", "c_nationkey"),
                       F.col("user_id") == F.col("c_custkey"))
@@ -182,6 +202,7 @@ def sprint_issues(t: Tables) -> DataFrame:
         "portfolio_dim_id", "pv_project_dim_id", "is_maintenance", "task_ppm_id")
 
 
+@view
 def portfolio_dim(t: Tables) -> DataFrame:
     r = F.col("r_regionkey")
     return t.region.select(
@@ -190,6 +211,7 @@ def portfolio_dim(t: Tables) -> DataFrame:
         F.col("r_name").alias("portfolio_name"))
 
 
+@view
 def jira_project_dim(t: Tables) -> DataFrame:
     s = t.supplier.join(t.nation.select("n_nationkey", "n_regionkey"),
                         F.col("s_nationkey") == F.col("n_nationkey")) \
@@ -201,6 +223,7 @@ def jira_project_dim(t: Tables) -> DataFrame:
          .otherwise(F.col("s_name")).alias("project_name"))
 
 
+@view
 def projects_dim(t: Tables) -> DataFrame:
     p = t.part
     k, size = F.col("p_partkey"), F.col("p_size")
@@ -217,6 +240,7 @@ def projects_dim(t: Tables) -> DataFrame:
          .otherwise(F.lit(None).cast("boolean")).alias("is_maintenance_project"))
 
 
+@view
 def epic_dim(t: Tables) -> DataFrame:
     k = F.col("p_partkey")
     return t.part.select(
@@ -225,6 +249,7 @@ def epic_dim(t: Tables) -> DataFrame:
          .otherwise(F.concat(F.lit("A"), k.cast("string"))).alias("aha_reference"))
 
 
+@view
 def project_tasks(t: Tables) -> DataFrame:
     k = F.col("s_suppkey")
     return t.supplier.select(
@@ -238,15 +263,19 @@ def holiday_dim(t: Tables | None = None, spark: SparkSession | None = None) -> D
     """Calendar of the scenario (fixed values: two Monday holidays, one on a Saturday,
     one optional day)."""
     spark = spark or t.spark
+    key = (id(spark), "holidays")
+    if key in _READS:
+        return _READS[key]
     rows = [
         (dt.datetime(2024, 1, 1), "New Years Day", "US", "US", True),
         (dt.datetime(2024, 1, 13), "Company Day", "US", "US", True),
         (dt.datetime(2024, 1, 15), "Martin Luther King Day", "US", "US", True),
         (dt.datetime(2024, 1, 16), "Optional Day", "US", "US", False),
     ]
-    return spark.createDataFrame(
+    _READS[key] = spark.createDataFrame(
         rows, "holiday_date timestamp_ntz, holiday_name string, holiday_country string, "
               "holiday_state string, is_mandatory_holiday boolean")
+    return _READS[key]
 
 
 def _entry_type() -> Column:
@@ -295,6 +324,11 @@ def _lineitem_orders(t: Tables) -> DataFrame:
 
 def timesheet_entries(t: Tables, where: Column | None = None) -> DataFrame:
     """Stored entries (the warehouse fact). Some rows still lack dimension keys."""
+    if where is None:
+        key = (id(t.spark), t.sf_dir, "timesheet_entries")
+        if key not in _READS:
+            _READS[key] = timesheet_entries(t, F.lit(True))
+        return _READS[key]
     lo = _lineitem_orders(t)
     if where is not None:
         lo = lo.where(where)
@@ -312,10 +346,12 @@ def timesheet_entries(t: Tables, where: Column | None = None) -> DataFrame:
         F.lit(None).cast("bigint").alias("date_dim_id"))
 
 
+@view
 def stored_entries_before_import(t: Tables) -> DataFrame:
     return timesheet_entries(t, F.col("l_shipdate") < lit_ts(dt.datetime.combine(STORE_CUTOFF, dt.time())))
 
 
+@view
 def import_batch(t: Tables) -> DataFrame:
     """The staged pull (import staging, 18 columns); lines numbered 7 carry no entry id."""
     lo = _lineitem_orders(t).where(
@@ -327,11 +363,13 @@ def import_batch(t: Tables) -> DataFrame:
                           .otherwise(F.col("entryid")))
 
 
+@view
 def date_dimension(t: Tables) -> DataFrame:
     d = t.lineitem.select(_entry_date().alias("dt")).distinct()
     return d.select(F.date_format("dt", "yyyyMMdd").cast("bigint").alias("sk_date"), "dt")
 
 
+@view
 def landed_timesheets(t: Tables) -> DataFrame:
     """Timesheets as the service returns them: header + four entry arrays.
 
@@ -355,6 +393,7 @@ def landed_timesheets(t: Tables) -> DataFrame:
         "entriesPortfolio")
 
 
+@view
 def generator_headers(t: Tables) -> DataFrame:
     """Weekly timesheet headers that exist in the service for every resource."""
     c = t.customer.select(F.col("c_custkey"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("w"))
@@ -366,6 +405,7 @@ def generator_headers(t: Tables) -> DataFrame:
         F.date_add(start, 6).alias("endDate"))
 
 
+@view
 def generator_existing_entries(t: Tables) -> DataFrame:
     """Entries already booked in the service: one per purchase event key."""
     e = t.events.where(F.col("event_type") == "purchase")
@@ -378,6 +418,7 @@ def generator_existing_entries(t: Tables) -> DataFrame:
     return g
 
 
+@view
 def generator_timesheets(t: Tables) -> DataFrame:
     """Nested generator-side timesheets: header + entriesProject inside the header range."""
     h = generator_headers(t)
@@ -390,6 +431,7 @@ def generator_timesheets(t: Tables) -> DataFrame:
         F.collect_list(F.when(e["entryId"].isNotNull(), entry)).alias("entriesProject"))
 
 
+@view
 def refresh_log(t: Tables) -> DataFrame:
     n = t.nation.where(F.col("n_nationkey") % 6 == 0)
     k = F.col("n_nationkey")
@@ -410,6 +452,7 @@ def push_acknowledgements(payload: DataFrame) -> DataFrame:
         F.when(ok, F.lit(None).cast("string")).otherwise(F.lit("rejected by service")).alias("error"))
 
 
+@view
 def dead_letter_seed(t: Tables) -> DataFrame:
     """Dead letter left by an earlier run: one row for every seventh generator timesheet."""
     h = generator_headers(t).where(F.col("timesheetId") % 7 == 0)

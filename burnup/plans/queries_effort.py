@@ -191,7 +191,7 @@ def payload_summary(payload):
 SELECT timesheetId, userId, count(*) AS n_entries, round(sum(entryHours), 6) AS entry_hours
 FROM pop GROUP BY timesheetId, userId""", ctes=POP_CTES)
 def timesheet_payload(spark, sf_dir):
-    return payload_summary(ns.timesheet_payload(_population(spark, sf_dir)[1]))
+    return payload_summary(ns.timesheet_payload(cut_lineage(_population(spark, sf_dir)[1])))
 
 
 @query("mark_populated", """
@@ -218,8 +218,10 @@ DL_COLS = ", ".join(ef.DEAD_LETTER_COLS)
 
 
 def _dead_letter_inputs(spark, sf_dir):
+    """The pushed rows are a materialised table (as in the generation chain C5): the
+    payload, the acknowledgements and the dead letter all read them."""
     t, rows = _population(spark, sf_dir)
-    return t, rows, d.dead_letter_seed(t)
+    return t, cut_lineage(rows), d.dead_letter_seed(t)
 
 
 @query("dead_letter_append", f"SELECT {DL_COLS} FROM dl1", ctes=DL_CTES)
@@ -232,7 +234,7 @@ def dead_letter_append(spark, sf_dir):
 @query("apply_push_result", f"SELECT {DL_COLS} FROM dl1 WHERE timesheetId % 11 = 0", ctes=DL_CTES)
 def apply_push_result(spark, sf_dir):
     t, rows, seed = _dead_letter_inputs(spark, sf_dir)
-    return ef.apply_push_result(seed, cut_lineage(rows), d.push_acknowledgements, d.AS_OF)
+    return ef.apply_push_result(seed, rows, d.push_acknowledgements, d.AS_OF)
 
 
 @query("generate_timesheets", """
