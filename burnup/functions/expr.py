@@ -25,15 +25,18 @@ def _c(c) -> Column:
 
 
 def lit_ts(value) -> Column:
-    """A timestamp literal without zone (the warehouse times carry none)."""
-    if isinstance(value, str):
-        value = _dt.datetime.fromisoformat(value)
+    """A timestamp literal without zone (the warehouse times carry none). Built from text,
+    so neither the Python process zone nor the session zone can shift it."""
+    if isinstance(value, (_dt.datetime, _dt.date)):
+        value = value.isoformat(sep=" ") if isinstance(value, _dt.datetime) else value.isoformat()
     return F.lit(value).cast("timestamp_ntz")
 
 
 def lit_date(value) -> Column:
-    if isinstance(value, str):
-        value = _dt.date.fromisoformat(value)
+    if isinstance(value, _dt.datetime):
+        value = value.date()
+    if isinstance(value, _dt.date):
+        value = value.isoformat()
     return F.lit(value).cast("date")
 
 

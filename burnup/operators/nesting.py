@@ -100,3 +100,14 @@ def payload_json(payload: DataFrame) -> DataFrame:
     p = payload.where(F.size("entriesProject") > 0)
     return p.select("timesheetId", "userId", "chunk",
                     F.to_json(F.struct("timesheetId", "userId", "entriesProject")).alias("payload"))
+
+
+# Result columns in lower case -> the names the timesheet service expects (fixed values).
+SERVICE_NAMES = {"companyid": "companyId", "entrytypeid": "entryTypeId", "timesheetid": "timesheetId",
+                 "userid": "userId", "level1id": "level1Id", "level2id": "level2Id", "entrydate": "entryDate",
+                 "entryid": "entryId", "level3id": "level3Id", "entryhours": "entryHours"}
+
+
+def to_service_names(df: DataFrame) -> DataFrame:
+    """Rename the lower-case columns present in ``df`` to the service's names."""
+    return df.withColumnsRenamed({c: SERVICE_NAMES[c] for c in df.columns if c in SERVICE_NAMES})

@@ -380,3 +380,8 @@ def test_list_path_and_date_text(spark):
     r = df.select(E.id_list_to_array("l").alias("ids"), E.last_path_segment("r").alias("seg"),
                   E.pg_to_char("d", "YYYY/MM/DD").alias("a"), E.pg_to_char("d", "YYYYMMDD").alias("b")).first()
     assert r.ids == [2448, 2506, 77] and r.seg == "A6" and r.a == "2024/01/05" and r.b == "20240105"
+
+
+def test_service_names(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "timesheetid bigint, userid bigint, other int")
+    assert ns.to_service_names(df).columns == ["timesheetId", "userId", "other"]
