@@ -157,19 +157,37 @@ def requested_timesheets(timesheets: DataFrame, users: DataFrame) -> DataFrame:
     return timesheets.join(u, "userId", "left_semi").where(F.col("endDate") >= first)
 
 
+def header_days(headers: DataFrame, start: str = "startDate", end: str = "endDate",
+                day: str = "__day") -> DataFrame:
+    """One row per header and day of its [start, end] range. A timesheet header spans a
+    bounded period (a week), so this turns a range join into an equi join on the day."""
+    return headers.where(F.col(start) <= F.col(end)).withColumn(day, F.explode(F.sequence(start, end)))
+
+
+def _residual_eq(a: Column, b: Column) -> Column:
+    """``a = b`` kept as a residual join test: Spark turns every top-level equality into a
+    join key, and a join keyed on more columns than (user, day) would reshuffle the
+    already (user, day)-partitioned plan rows. NULL never matches, as with ``=``."""
+    return F.coalesce(a == b, F.lit(False))
+
+
 def timesheet_population(plan: DataFrame, timesheet_data: DataFrame) -> DataFrame:
     """C4: planned rows inside an existing header (J10), with the id of an entry already
-    booked for the same user, project, task, date and timesheet (J11), else 0."""
+    booked for the same user, project, task, date and timesheet (J11), else 0.
+
+    Both joins are keyed on (user, day): the header range becomes day rows, and the
+    existing-entry match tests project, task and timesheet as residuals (a user books a
+    handful of entries per day), so the plan rows are shuffled once."""
     dist_ts = timesheet_data.select("timesheetId", "userId", "startDate", "endDate").distinct()
-    j = plan.join(dist_ts, (plan["resource_ppm_id"] == dist_ts["userId"])
-                  & plan["date_of_sprint"].between(dist_ts["startDate"], dist_ts["endDate"]))
+    slots = header_days(dist_ts)
+    j = plan.join(slots, (plan["resource_ppm_id"] == slots["userId"]) & (plan["date_of_sprint"] == slots["__day"]))
     pv = timesheet_data.where(F.col("entryId").isNotNull()).select(
         F.col("timesheetId").alias("__ts"), F.col("userId").alias("__u"), F.col("startDate").alias("__s"),
         F.col("endDate").alias("__e"), F.col("entryId").alias("__entry"), F.col("entryDate").alias("__d"),
         F.col("project_ppm_id").alias("__p"), F.col("task_ppm_id").alias("__t"))
-    cond = ((j["resource_ppm_id"] == pv["__u"]) & (j["project_ppm_id"] == pv["__p"])
-            & (j["task_ppm_id"] == pv["__t"]) & (j["date_of_sprint"] == pv["__d"])
-            & (j["timesheetId"] == pv["__ts"]) & j["date_of_sprint"].between(pv["__s"], pv["__e"]))
+    cond = ((j["resource_ppm_id"] == pv["__u"]) & (j["date_of_sprint"] == pv["__d"])
+            & _residual_eq(j["project_ppm_id"], pv["__p"]) & _residual_eq(j["task_ppm_id"], pv["__t"])
+            & _residual_eq(j["timesheetId"], pv["__ts"]) & j["date_of_sprint"].between(pv["__s"], pv["__e"]))
     k = j.join(pv, cond, "left")
     return k.select(
         F.lit(0).alias("companyId"), F.lit(1).alias("entryTypeId"), "timesheetId",
@@ -267,21 +285,18 @@ def generate_timesheets(sprints, issues, members, resources, teams, projects, ge
 def draft_timesheet_population(plan: DataFrame, timesheets: DataFrame) -> DataFrame:
     """J12 (draft variant of C4): plan rows joined to headers LEFT JOIN their entries with a
     conditional condition: a header row without entry matches on the header's date range,
-    an entry row only on its own date. Split exactly into two equi joins - (user) plus
-    range, and (user, date) - so no row is compared with all of a user's entries."""
+    an entry row only on its own date. Both cases become (user, day) rows - the range
+    as day rows, the entry on its date - so it is one equi join on (user, day)."""
     from burnup.operators.nesting import draft_entry_rows
     hdr = timesheets.select("timesheetId", "userId", "startDate", "endDate")
     ent = draft_entry_rows(timesheets).select("timesheetId", "entryId", "entryDate")
     td = hdr.join(ent, "timesheetId", "left")
+    by_range = header_days(td.where(F.col("entryDate").isNull()))
+    by_entry = td.where(F.col("entryDate").isNotNull()).withColumn("__day", F.col("entryDate"))
+    days = by_range.unionByName(by_entry)
     p = plan.select("resource_ppm_id", "date_of_sprint", "per_day_time_spent", "project_ppm_id", "task_ppm_id",
                     "resource_role_id")
-    no_entry = td.where(F.col("entryDate").isNull())
-    with_entry = td.where(F.col("entryDate").isNotNull())
-    a = p.join(no_entry, (p["resource_ppm_id"] == no_entry["userId"])
-               & p["date_of_sprint"].between(no_entry["startDate"], no_entry["endDate"]))
-    b = p.join(with_entry, (p["resource_ppm_id"] == with_entry["userId"])
-               & (p["date_of_sprint"] == with_entry["entryDate"]))
-    cols = [pg_to_char("date_of_sprint", "YYYY/MM/DD").alias("date_of_sprint"), "resource_ppm_id",
-            "per_day_time_spent", "project_ppm_id", "task_ppm_id", "resource_role_id", "timesheetId",
-            F.col("entryId").alias("entryid"), pg_to_char("entryDate", "YYYY/MM/DD").alias("entrydate")]
-    return a.select(*cols).unionByName(b.select(*cols))
+    j = p.join(days, (p["resource_ppm_id"] == days["userId"]) & (p["date_of_sprint"] == days["__day"]))
+    return j.select(pg_to_char("date_of_sprint", "YYYY/MM/DD").alias("date_of_sprint"), "resource_ppm_id",
+                    "per_day_time_spent", "project_ppm_id", "task_ppm_id", "resource_role_id", "timesheetId",
+                    F.col("entryId").alias("entryid"), pg_to_char("entryDate", "YYYY/MM/DD").alias("entrydate"))
