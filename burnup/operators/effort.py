@@ -149,6 +149,11 @@ def team_hours_vs_capacity_check(plan: DataFrame, fact: DataFrame, sprints: Data
                     .alias("capacity_hr"))
 
 
+def as_timesheet_rows(timesheets: DataFrame) -> DataFrame:
+    """Timesheets as header + entry rows: nested input is exploded (N1), flat rows pass."""
+    return explode_project_entries(timesheets) if "entriesProject" in timesheets.columns else timesheets
+
+
 def requested_timesheets(timesheets: DataFrame, users: DataFrame) -> DataFrame:
     """S13 for the generator: timesheets of the A5 users whose header ends on or after the
     overall earliest sprint start (the single start date of the service call)."""
@@ -266,7 +271,7 @@ def generate_timesheets(sprints, issues, members, resources, teams, projects, ge
     fact = feature_time_spent(s1, issues)
     s2 = close_sprints(s1)
     users = timesheet_users(s2, members, resources, as_of)
-    data = explode_project_entries(requested_timesheets(generator_timesheets, users))
+    data = requested_timesheets(as_timesheet_rows(generator_timesheets), users)
     numbers = timesheet_sprint_numbers(s2, as_of)
     plan = timesheet_plan(s2, numbers, fact, members, resources, teams, projects, holidays, as_of)
     rows = cut_lineage(timesheet_population(plan, data))

@@ -193,7 +193,7 @@ def delete_command_rows(log, members, resources, timesheets) -> DataFrame:
     req = refresh_request_rows(log, members, resources)
     ts = timesheets.join(req.select(F.col("resource_ppm_id").alias("__u"), F.col("from_date").alias("__f")),
                          (F.col("userId") == F.col("__u")) & (F.col("endDate") >= F.col("__f")), "left_semi")
-    flat = explode_project_entries(ts)
+    flat = explode_project_entries(ts) if "entriesProject" in ts.columns else ts
     j = flat.join(req, flat["userId"] == req["resource_ppm_id"])
     return j.where((F.col("endDate") >= F.col("from_date"))
                    & F.col("entryDate").between(F.col("from_date"), F.col("to_date"))).select(

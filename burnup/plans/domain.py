@@ -418,6 +418,18 @@ def generator_existing_entries(t: Tables) -> DataFrame:
     return g
 
 
+@view
+def generator_timesheet_rows(t: Tables) -> DataFrame:
+    """The generator timesheets already flat (N1's output): header LEFT JOIN the entries
+    inside its range. Used where the pipeline needs rows, so no (user, week) group is
+    gathered into one array just to be exploded again."""
+    h = generator_headers(t)
+    e = generator_existing_entries(t)
+    j = h.join(e, (h["userId"] == e["userId"]) & e["entryDate"].between(h["startDate"], h["endDate"]), "left")
+    return j.select(h["timesheetId"], h["userId"], h["startDate"], h["endDate"], e["entryId"], e["entryDate"],
+                    e["entryHours"], e["project_ppm_id"], e["task_ppm_id"])
+
+
 @view
 def generator_timesheets(t: Tables) -> DataFrame:
     """Nested generator-side timesheets: header + entriesProject inside the header range."""

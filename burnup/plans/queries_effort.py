@@ -115,7 +115,7 @@ def _frames(spark, sf_dir):
 def _population(spark, sf_dir):
     t, s1, fact, s2, numbers, plan = _frames(spark, sf_dir)
     users = ef.timesheet_users(s2, d.user_team_map(t), d.resource_dim(t), d.AS_OF)
-    data = ns.explode_project_entries(ef.requested_timesheets(d.generator_timesheets(t), users))
+    data = ef.requested_timesheets(d.generator_timesheet_rows(t), users)
     return t, ef.timesheet_population(plan, data)
 
 
@@ -245,7 +245,7 @@ def generate_timesheets(spark, sf_dir):
     t = _t(spark, sf_dir)
     out = ef.generate_timesheets(
         d.sprint_summary(t), d.sprint_issues(t), d.user_team_map(t), d.resource_dim(t), d.team_dim(t),
-        d.projects_dim(t), d.generator_timesheets(t), d.dead_letter_seed(t), holiday_array(d.holiday_dim(t)),
+        d.projects_dim(t), d.generator_timesheet_rows(t), d.dead_letter_seed(t), holiday_array(d.holiday_dim(t)),
         d.push_acknowledgements, d.AS_OF)
     ok = out["acks"].groupBy("timesheetId", "userId").agg(F.min(F.col("ok").cast("int")).alias("__ok"))
     return payload_summary(out["payload"]).join(ok, ["timesheetId", "userId"]) \
