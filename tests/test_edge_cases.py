@@ -385,3 +385,39 @@ def test_list_path_and_date_text(spark):
 def test_service_names(spark):
     df = spark.createDataFrame([(1, 2, 3)], "timesheetid bigint, userid bigint, other int")
     assert ns.to_service_names(df).columns == ["timesheetId", "userId", "other"]
+
+
+def test_entity_extract_prunes_fields(spark, tmp_path):
+    from pyspark.sql import types as TT
+    path = str(tmp_path / "entity")
+    spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id long, title string, extra string").write.json(path)
+    out = ld.entity_extract(spark, path, [("id", TT.LongType()), ("title", TT.StringType())])
+    assert out.columns == ["id", "title"] and rows(out) == [(1, "a"), (2, "b")]
+
+
+def test_refresh_delete_composite(spark, tables):
+    from burnup.plans import domain as d
+    cmds, log = en.refresh_delete(d.refresh_log(tables), d.user_team_map(tables), d.resource_dim(tables),
+                                  d.generator_timesheet_rows(tables))
+    assert cmds.count() >= 0
+    handled = {r.team_dim_id for r in en.refresh_request_rows(d.refresh_log(tables), d.user_team_map(tables),
+                                                              d.resource_dim(tables)).collect()}
+    assert all(r.is_timesheet_refreshed for r in log.collect() if r.team_dim_id in handled)
+
+
+def test_dim_cleanup_composite(spark, tables):
+    from burnup.plans import domain as d
+    from burnup.sources import seeds
+    tabs = {"team_dim": d.team_dim(tables), "projects_dim": d.projects_dim(tables),
+            "project_tasks": d.project_tasks(tables), "portfolio_dim": d.portfolio_dim(tables),
+            "epic_dim": d.epic_dim(tables), "jira_project_dim": d.jira_project_dim(tables),
+            "sprint_issues": d.sprint_issues(tables), "resource_dim": d.resource_dim(tables),
+            "user_team_map": d.user_team_map(tables), "holiday_dim": d.holiday_dim(tables)}
+    out = mp.dim_cleanup(tabs, seeds.seed_frame(spark, seeds.HOLIDAY_SEED, seeds.HOLIDAY_SCHEMA))
+    assert out["holiday_dim"].count() == d.holiday_dim(tables).count() + 4
+    expect = mp.issue_portfolio_by_name(
+        mp.issue_portfolio_by_epic(d.sprint_issues(tables), d.epic_dim(tables),
+                                   mp.maintenance_projects(d.projects_dim(tables)), d.portfolio_dim(tables)),
+        d.jira_project_dim(tables), mp.maintenance_projects(d.projects_dim(tables)), d.portfolio_dim(tables))
+    assert rows(out["sprint_issues"]) == rows(expect)
+    assert out["user_team_map"].count() < d.user_team_map(tables).count()
