@@ -100,13 +100,23 @@ def _t(spark, sf_dir):
     return d.Tables(spark, sf_dir)
 
 
-def _frames(spark, sf_dir):
-    """Shared pipeline pieces: C1 result, C2 fact, closed sprints, A6 numbers, C3 plan."""
+def _metrics(spark, sf_dir):
+    """C1 result and C2 fact (the sprint table is still open)."""
     t = _t(spark, sf_dir)
     s1 = metrics_frame(spark, sf_dir)
-    fact = ef.feature_time_spent(s1, d.sprint_issues(t))
+    return t, s1, ef.feature_time_spent(s1, d.sprint_issues(t))
+
+
+def _closed(spark, sf_dir):
+    """... plus the closed sprint table (U7) and the A6 sprint numbers."""
+    t, s1, fact = _metrics(spark, sf_dir)
     s2 = sp.close_sprints(s1)
-    numbers = ef.timesheet_sprint_numbers(s2, d.AS_OF)
+    return t, s1, fact, s2, ef.timesheet_sprint_numbers(s2, d.AS_OF)
+
+
+def _frames(spark, sf_dir):
+    """... plus the C3 plan."""
+    t, s1, fact, s2, numbers = _closed(spark, sf_dir)
     plan = ef.timesheet_plan(s2, numbers, fact, d.user_team_map(t), d.resource_dim(t), d.team_dim(t),
                              d.projects_dim(t), holiday_array(d.holiday_dim(t)), d.AS_OF)
     return t, s1, fact, s2, numbers, plan
@@ -125,7 +135,7 @@ FACT_COLS = ["team_dim_id", "sprint_number", "portfolio_dim_id", "pv_project_dim
 
 @query("feature_time_spent", f"SELECT {', '.join(FACT_COLS)} FROM fact", ctes=FACT_CTES)
 def feature_time_spent(spark, sf_dir):
-    return _frames(spark, sf_dir)[2].select(*FACT_COLS)
+    return _metrics(spark, sf_dir)[2].select(*FACT_COLS)
 
 
 @query("timesheet_plan", "SELECT * FROM plan", ctes=PLAN_CTES)
@@ -140,7 +150,7 @@ FROM fact f JOIN metrics ss ON f.sprint_number = ss.sprint_number AND f.team_dim
 WHERE portfolio_dim_id IS NOT NULL
 GROUP BY f.team_dim_id, f.sprint_number, ss.actual_sprint_days""", ctes=FACT_CTES)
 def team_daily_hours_check(spark, sf_dir):
-    t, s1, fact, *_ = _frames(spark, sf_dir)
+    t, s1, fact = _metrics(spark, sf_dir)
     return ef.team_daily_hours_check(fact, s1)
 
 
@@ -164,7 +174,7 @@ SELECT CAST(floor(resource_ppm_id / 1000) AS BIGINT) AS user_batch,
        (SELECT strftime(min(sprint_start_date), '%Y/%m/%d') FROM a5u) AS min
 FROM a5u GROUP BY floor(resource_ppm_id / 1000)""", ctes=POP_CTES)
 def timesheet_user_list(spark, sf_dir):
-    t, s1, fact, s2, numbers, plan = _frames(spark, sf_dir)
+    t, s1, fact, s2, numbers = _closed(spark, sf_dir)
     return ef.timesheet_user_list(s2, d.user_team_map(t), d.resource_dim(t), d.AS_OF)
 
 
@@ -173,7 +183,7 @@ SELECT CAST(floor(sprint_number / 1000) AS BIGINT) AS sprint_batch,
        string_agg(CAST(sprint_number AS VARCHAR), ', ' ORDER BY sprint_number) AS sprint_number
 FROM alist GROUP BY floor(sprint_number / 1000)""", ctes=PLAN_CTES)
 def timesheet_sprint_list(spark, sf_dir):
-    return ef.timesheet_sprint_list(_frames(spark, sf_dir)[3], d.AS_OF)
+    return ef.timesheet_sprint_list(_closed(spark, sf_dir)[3], d.AS_OF)
 
 
 @query("timesheet_population", "SELECT * FROM pop", ctes=POP_CTES)
@@ -200,7 +210,7 @@ SELECT sprint_number, team_dim_id,
          AS is_timesheet_populated
 FROM closed""", ctes=PLAN_CTES)
 def mark_populated(spark, sf_dir):
-    t, s1, fact, s2, numbers, plan = _frames(spark, sf_dir)
+    t, s1, fact, s2, numbers = _closed(spark, sf_dir)
     return ef.mark_populated(s2, numbers).select("sprint_number", "team_dim_id", "is_timesheet_populated")
 
 
