@@ -68,13 +68,31 @@ def rows_of(pdf) -> tuple[list[str], Counter]:
     return cols, out
 
 
+SPARK_TYPES = {"LongType": "i64", "IntegerType": "i32", "ShortType": "i16", "ByteType": "i8", "DoubleType": "f64",
+               "FloatType": "f32", "StringType": "str", "BooleanType": "bool", "DateType": "date",
+               "TimestampNTZType": "ts", "TimestampType": "tstz"}
+DUCK_TYPES = {"BIGINT": "i64", "INTEGER": "i32", "SMALLINT": "i16", "TINYINT": "i8", "DOUBLE": "f64", "FLOAT": "f32",
+              "VARCHAR": "str", "BOOLEAN": "bool", "DATE": "date", "TIMESTAMP": "ts"}
+
+
+def type_differences(spark_df, sql: str, con) -> dict:
+    """Columns whose type category differs between the Spark result and the SQL twin."""
+    sp = {f.name: SPARK_TYPES.get(type(f.dataType).__name__, str(f.dataType)) for f in spark_df.schema.fields}
+    rel = con.sql(sql)
+    du = {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    return {c: (sp.get(c), du.get(c)) for c in set(sp) | set(du) if sp.get(c) != du.get(c)}
+
+
 def compare(spark_df, sql: str, con) -> dict:
+    types = type_differences(spark_df, sql, con)
     sp = spark_df.toPandas()
     ora = con.execute(sql).df()
     c1, r1 = rows_of(sp)
     c2, r2 = rows_of(ora)
     res = {"rows_spark": len(sp), "rows_oracle": len(ora), "cols_match": c1 == c2,
-           "values_match": c1 == c2 and r1 == r2}
+           "values_match": c1 == c2 and r1 == r2, "types_match": not types}
+    if types:
+        res["type_differences"] = types
     if not res["values_match"]:
         res["cols_spark"], res["cols_oracle"] = c1, c2
         res["only_spark"] = list((r1 - r2).items())[:5]

@@ -18,7 +18,7 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck_small, name):
     res = compare(QUERIES[name](spark, SMALL), ORACLE[name], duck_small)
-    assert res["values_match"], res
+    assert res["values_match"] and res["types_match"], res
 
 
 def test_entry_smoke(spark):
