@@ -42,10 +42,11 @@ def update_from(target: DataFrame, source: DataFrame, keys, assignments: Mapping
                 guard: Column | None = None, source_keys=None) -> DataFrame:
     """``UPDATE target SET col = expr FROM source WHERE keys match AND guard``.
 
-    ``source`` must hold at most one row per key (see :func:`one_row_per_key`).
-    ``assignments`` maps target columns to source columns or to expressions over
-    ``F.col('src.<name>')`` style references; plain strings name a source column.
-    ``guard`` is evaluated on the *old* target row. Unmatched rows keep their values.
+    ``source`` must hold at most one row per key (see :func:`one_row_per_key`);
+    ``source_keys`` name its key columns when they differ from ``keys``.
+    ``assignments`` maps target columns to a source column name or to a Column
+    (for example a literal). ``guard`` is evaluated on the *old* target row.
+    Unmatched rows keep their values.
     """
     keys = _cols(keys)
     source_keys = _cols(source_keys) if source_keys is not None else keys
@@ -63,8 +64,7 @@ def update_from(target: DataFrame, source: DataFrame, keys, assignments: Mapping
     for col, expr in assignments.items():
         value = F.col(f"src__{expr}") if isinstance(expr, str) else expr
         new_values[col] = F.when(hit, value).otherwise(F.col(col)).cast(target.schema[col].dataType)
-    return joined.select(*[new_values.get(c, F.col(c)).alias(c) if c in new_values else target[c]
-                           for c in target.columns])
+    return joined.select(*[new_values[c].alias(c) if c in new_values else target[c] for c in target.columns])
 
 
 def set_where(target: DataFrame, cond: Column, assignments: Mapping[str, Column]) -> DataFrame:

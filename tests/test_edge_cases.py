@@ -421,3 +421,16 @@ def test_dim_cleanup_composite(spark, tables):
         d.jira_project_dim(tables), mp.maintenance_projects(d.projects_dim(tables)), d.portfolio_dim(tables))
     assert rows(out["sprint_issues"]) == rows(expect)
     assert out["user_team_map"].count() < d.user_team_map(tables).count()
+
+
+def test_entry_store_partition_pruning(spark, tables, tmp_path):
+    from burnup.plans import domain as d
+    from burnup.sources import sinks
+    path = str(tmp_path / "store")
+    sinks.write_entry_store(d.timesheet_entries(tables).drop("date_created"), path)
+    df = sinks.read_entry_store(spark, path, "2024-01-05", "2024-01-20")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(entry_month" in plan
+    full = d.timesheet_entries(tables).where("entrydate between date'2024-01-05' and date'2024-01-20'")
+    assert df.count() == full.count()
+    assert sinks.write_version(df.limit(1), str(tmp_path / "v"), 3).endswith("version=3")
