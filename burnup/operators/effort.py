@@ -264,12 +264,20 @@ def apply_push_result(dead_letter: DataFrame, rows: DataFrame, acks_for, as_of)
 
 
 def generate_timesheets(sprints, issues, members, resources, teams, projects, generator_timesheets,
-                        dead_letter, holidays: Column, acks_for, as_of) -> dict[str, DataFrame]:
-    """C1 -> C2 -> U7 -> A5 -> S13 -> N1 -> A6 -> C3 -> C4 -> N4 -> push -> U22 -> retries."""
+                        dead_letter, holidays: Column, acks_for, as_of,
+                        populate: bool = True) -> dict[str, DataFrame]:
+    """C1 -> C2 -> U7 -> A5 -> S13 -> N1 -> A6 -> C3 -> C4 -> N4 -> push -> U22 -> retries.
+
+    ``populate=False`` stops after closing the sprints (metrics and time spent only):
+    the source runs the generation step unconditionally on one side of an unresolved
+    merge and only in a staging environment on the other; here it is this flag.
+    """
     from burnup.operators.sprints import close_sprints, sprint_metrics
     s1 = sprint_metrics(sprints, issues, members, holidays, as_of)
     fact = feature_time_spent(s1, issues)
     s2 = close_sprints(s1)
+    if not populate:
+        return {"sprints": s2, "fact": fact}
     users = timesheet_users(s2, members, resources, as_of)
     data = requested_timesheets(as_timesheet_rows(generator_timesheets), users)
     numbers = timesheet_sprint_numbers(s2, as_of)

@@ -434,3 +434,14 @@ def test_entry_store_partition_pruning(spark, tables, tmp_path):
     full = d.timesheet_entries(tables).where("entrydate between date'2024-01-05' and date'2024-01-20'")
     assert df.count() == full.count()
     assert sinks.write_version(df.limit(1), str(tmp_path / "v"), 3).endswith("version=3")
+
+
+def test_generate_without_population(spark, tables):
+    from burnup.plans import domain as d
+    out = ef.generate_timesheets(d.sprint_summary(tables), d.sprint_issues(tables), d.user_team_map(tables),
+                                 d.resource_dim(tables), d.team_dim(tables), d.projects_dim(tables),
+                                 d.generator_timesheet_rows(tables), d.dead_letter_seed(tables),
+                                 E.holiday_array(d.holiday_dim(tables)), d.push_acknowledgements, d.AS_OF,
+                                 populate=False)
+    assert set(out) == {"sprints", "fact"}
+    assert all(r.is_metrics_updated for r in out["sprints"].collect())
