@@ -1,12 +1,25 @@
-"""C7 run incrementally: landed timesheet files -> versioned entry store.
+"""C7 run incrementally: landed timesheet files -> entry store, one micro-batch at a time.
 
 The reference pulls timesheets on a schedule from a per-user high-water mark and
-re-imports whole timesheets idempotently (U21). Here new landed files are picked up
-by a file stream with ``trigger(availableNow=True)``; each micro-batch is flattened
-(N2), replaces the stored versions of its timesheets (U21), gets its dimension keys
-(U10-U15), and is written as a new version of the store. The stream's progress and
-the store live in the shared folder named by ``spark.checkpoint.dir``, so a
-restarted job resumes where it stopped.
+re-imports whole timesheets (U21). Here new landed files are picked up by a file
+stream with ``trigger(availableNow=True)``, and ``foreachBatch`` applies:
+
+1. N2 flatten;
+2. U21 versioned replace;
+3. U10-U15 key resolution.
+
+Cost per batch follows the batch, not the store. The store is partitioned by entry
+month; a batch reads only the months it touches (months of its own entries and of
+the stored rows of its timesheets; the month join enables dynamic partition
+pruning). It rewrites only those partitions (dynamic partition overwrite).
+
+Exactly once: appended rows carry ``import_epoch`` and rows the batch switched off
+carry ``deactivated_epoch``, so a retried epoch first undoes its earlier attempt.
+Stream progress lives in the shared folder named by ``spark.checkpoint.dir``.
+
+Key resolution runs on the touched months only. Keys missing in other months (for
+example a dimension row that arrived late) are filled by a separate
+``resolve_entry_dims`` pass over the store.
 """
 
 from __future__ import annotations
@@ -18,46 +31,65 @@ from pyspark.sql.types import StructType
 
 from burnup.operators.entries import resolve_entry_dims, versioned_replace
 from burnup.operators.nesting import flatten_all_entries
-from burnup.session import scratch_path
+from burnup.session import cut_lineage, scratch_path
+from burnup.sources.sinks import ENTRY_MONTH, write_entry_store
 
+BOOKKEEPING = ("import_epoch", "deactivated_epoch")
 
-def current_store(spark: SparkSession, store_dir: str, initial_store: DataFrame,
-                  before: int) -> DataFrame:
-    """The newest version of the store below ``before`` (versions are ``version=<n>``
-    folders found by partition discovery, so this works on any shared file system)."""
-    try:
-        all_versions = spark.read.parquet(store_dir).where(F.col("version") < before)
-    except AnalysisException:
-        return initial_store
-    last = all_versions.select(F.max("version")).first()[0]
-    if last is None:
-        return initial_store
-    return all_versions.where(F.col("version") == last).drop("version")
 
+def init_store(entries: DataFrame, path: str) -> None:
+    """Write the first version of the store, with empty bookkeeping columns."""
+    write_entry_store(entries.select(
+        "*", *[F.lit(None).cast("bigint").alias(c) for c in BOOKKEEPING]), path)
 
-def apply_batch(store_dir: str, dims: dict[str, DataFrame], as_of, initial_store: DataFrame):
-    """foreachBatch body: micro-batch ``epoch`` of landed timesheets -> store version
-    ``epoch + 1``, built from the newest earlier version. A re-run of the same epoch
-    after a failure rebuilds the same version from the same input."""
+
+def _month(col: str = "entrydate"):
+    return F.date_format(col, "yyyy-MM")
+
+
+def apply_batch(store_path: str, dims: dict[str, DataFrame], as_of):
+    """foreachBatch body for micro-batch ``epoch`` of landed timesheets."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        version = epoch_id + 1
-        current = current_store(spark, store_dir, initial_store, version)
+        store = spark.read.parquet(store_path)
         flat = flatten_all_entries(batch)
-        new = versioned_replace(current, flat, as_of)
+        ts = flat.select("timesheetid").distinct()
+        retried = (F.col("import_epoch") == epoch_id) | (F.col("deactivated_epoch") == epoch_id)
+        months = (store.join(ts, "timesheetid", "left_semi").select(ENTRY_MONTH)
+                  .unionByName(store.where(retried).select(ENTRY_MONTH))
+                  .unionByName(flat.select(_month().alias(ENTRY_MONTH)))
+                  .distinct())
+        current = store.join(months, ENTRY_MONTH, "left_semi").drop(ENTRY_MONTH)
+        # Undo an earlier attempt of this epoch: drop its rows, re-activate what it switched off.
+        undo = F.coalesce(F.col("deactivated_epoch") == epoch_id, F.lit(False))
+        current = current.where(F.col("import_epoch").isNull() | (F.col("import_epoch") != epoch_id)) \
+            .withColumn("is_active", F.when(undo, F.lit(True)).otherwise(F.col("is_active"))) \
+            .withColumn("deactivated_epoch", F.when(undo, F.lit(None).cast("bigint"))
+                        .otherwise(F.col("deactivated_epoch")))
+        new = versioned_replace(current, flat, as_of, epoch=epoch_id)
         new = resolve_entry_dims(new, dims["resources"], dims["members"], dims["projects"], dims["tasks"],
                                  dims["portfolios"], dims["dates"], as_of)
-        new.write.mode("overwrite").parquet(f"{store_dir.rstrip('/')}/version={version}")
+        # Materialise before writing: the result replaces partitions it was read from.
+        new = cut_lineage(new.withColumn(ENTRY_MONTH, _month()))
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy(ENTRY_MONTH).parquet(store_path)
     return run
 
 
-def start_import_stream(spark: SparkSession, landed_dir: str, landed_schema: StructType, store_dir: str,
-                        dims: dict[str, DataFrame], as_of, initial_store: DataFrame,
+def start_import_stream(spark: SparkSession, landed_dir: str, landed_schema: StructType, store_path: str,
+                        dims: dict[str, DataFrame], as_of, initial_store: DataFrame | None = None,
                         checkpoint_location: str | None = None):
-    """Start the incremental import; returns the StreamingQuery (call awaitTermination)."""
+    """Start the incremental import; returns the StreamingQuery (call awaitTermination).
+    ``initial_store`` seeds the store when ``store_path`` holds none yet."""
+    try:
+        spark.read.parquet(store_path)
+    except AnalysisException:
+        if initial_store is None:
+            raise
+        init_store(initial_store, store_path)
     stream = spark.readStream.schema(landed_schema).parquet(landed_dir)
     return (stream.writeStream
             .trigger(availableNow=True)
             .option("checkpointLocation", checkpoint_location or scratch_path(spark, "import-stream"))
-            .foreachBatch(apply_batch(store_dir, dims, as_of, initial_store))
+            .foreachBatch(apply_batch(store_path, dims, as_of))
             .start())
