@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from burnup.functions.expr import lit_ts
 
-# Result states and the project the warehouse rules are filtered on.
+# The two result states. The default project name of the rule table is ours.
 STATUS_OK, STATUS_FAIL = "Success", "Fail"
-DEFAULT_PROJECT = "planview"
+DEFAULT_PROJECT = "effort"
 
 
 def rule_result(spark: SparkSession, name: str, sql: str, expected: int) -> DataFrame:

@@ -245,7 +245,7 @@ def epic_dim(t: Tables) -> DataFrame:
     k = F.col("p_partkey")
     return t.part.select(
         k.alias("epic_dim_id"),
-        F.when(k % 2 == 0, F.concat(F.lit("https://aha.example.com/features/A"), k.cast("string"), F.lit(" ")))
+        F.when(k % 2 == 0, F.concat(F.lit("https://tracker.example.com/features/A"), k.cast("string"), F.lit(" ")))
          .otherwise(F.concat(F.lit("A"), k.cast("string"))).alias("aha_reference"))
 
 

@@ -90,7 +90,7 @@ SELECT p_partkey AS pv_project_dim_id, CAST(p_partkey + 7000 AS VARCHAR) AS proj
 FROM part""",
     "epic_dim": """
 SELECT p_partkey AS epic_dim_id,
-       CASE WHEN p_partkey % 2 = 0 THEN 'https://aha.example.com/features/A' || CAST(p_partkey AS VARCHAR) || ' '
+       CASE WHEN p_partkey % 2 = 0 THEN 'https://tracker.example.com/features/A' || CAST(p_partkey AS VARCHAR) || ' '
             ELSE 'A' || CAST(p_partkey AS VARCHAR) END AS aha_reference
 FROM part""",
     "project_tasks": """

@@ -36,7 +36,7 @@ SELECT condition, expected_value, actual_value,
        CASE WHEN expected_value <> actual_value THEN
          printf('check ''%s'' failed: expected %d, found %d', condition, expected_value, actual_value) END AS message,
        TIMESTAMP '2024-01-24 12:00:00' AS created_date, CAST({TASK_ID} AS BIGINT) AS task_id,
-       'planview' AS project_name
+       'effort' AS project_name
 FROM ({' UNION ALL '.join(parts)}) r"""
 
 
@@ -48,7 +48,7 @@ def sanity_suite(spark, sf_dir):
              "timesheet_entries": d.timesheet_entries(t), "date_dimension": d.date_dimension(t)}
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    rules = spark.createDataFrame([(sql, name, exp, "planview") for name, sql, exp in RULES],
+    rules = spark.createDataFrame([(sql, name, exp, "effort") for name, sql, exp in RULES],
                                   "query string, name string, expected_value bigint, project_name string")
     return qa.sanity_suite(spark, rules, d.AS_OF, TASK_ID)
 

@@ -242,9 +242,9 @@ def test_dead_letter_pairs_and_hours(spark):
 def test_sanity_suite_statuses(spark):
     spark.createDataFrame([(1,), (2,)], "x int").createOrReplaceTempView("qa_t")
     rules = spark.createDataFrame([
-        ("SELECT count(*) FROM qa_t", "two rows", 2, "planview"),
-        ("SELECT x FROM qa_t WHERE x > 5", "empty", 0, "planview"),
-        ("SELECT count(*) FROM qa_t", "wrong", 3, "planview"),
+        ("SELECT count(*) FROM qa_t", "two rows", 2, "effort"),
+        ("SELECT x FROM qa_t WHERE x > 5", "empty", 0, "effort"),
+        ("SELECT count(*) FROM qa_t", "wrong", 3, "effort"),
         ("SELECT count(*) FROM qa_t", "other project", 9, "other")],
         "query string, name string, expected_value bigint, project_name string")
     out = {r.condition: (r.actual_value, r.status, r.message) for r in
