@@ -9,7 +9,7 @@ from burnup.operators import effort as ef
 from burnup.operators import nesting as ns
 from burnup.operators import sprints as sp
 from burnup.plans import domain as d
-from burnup.plans.queries_sprints import POINTS, _metrics_ctes, metrics_frame
+from burnup.plans.queries_sprints import POINTS, _metrics_ctes, metrics_frame, session_memo
 from burnup.plans.registry import query
 from burnup.session import cut_lineage
 
@@ -100,6 +100,7 @@ def _t(spark, sf_dir):
     return d.Tables(spark, sf_dir)
 
 
+@session_memo
 def _metrics(spark, sf_dir):
     """C1 result and C2 fact (the sprint table is still open)."""
     t = _t(spark, sf_dir)
@@ -107,6 +108,7 @@ def _metrics(spark, sf_dir):
     return t, s1, ef.feature_time_spent(s1, d.sprint_issues(t))
 
 
+@session_memo
 def _closed(spark, sf_dir):
     """... plus the closed sprint table (U7) and the A6 sprint numbers."""
     t, s1, fact = _metrics(spark, sf_dir)
@@ -114,6 +116,7 @@ def _closed(spark, sf_dir):
     return t, s1, fact, s2, ef.timesheet_sprint_numbers(s2, d.AS_OF)
 
 
+@session_memo
 def _frames(spark, sf_dir):
     """... plus the C3 plan."""
     t, s1, fact, s2, numbers = _closed(spark, sf_dir)

@@ -168,6 +168,21 @@ METRIC_COLS = ("sprint_number, team_dim_id, CAST(estimated_points AS DOUBLE) AS
                "actual_sprint_start_date, total_sprint_days, actual_sprint_days, is_metrics_updated")
 
 
+def session_memo(fn):
+    """Share a derived plan per session and folder (an immutable DataFrame; no data is
+    cached), so several registered queries do not rebuild the same pipeline prefix."""
+    cache: dict = {}
+
+    def wrapped(spark, sf_dir):
+        key = (id(spark), sf_dir)
+        if key not in cache:
+            cache[key] = fn(spark, sf_dir)
+        return cache[key]
+    wrapped.__name__, wrapped.__doc__ = fn.__name__, fn.__doc__
+    return wrapped
+
+
+@session_memo
 def metrics_frame(spark, sf_dir):
     t = _t(spark, sf_dir)
     return sp.sprint_metrics(d.sprint_summary(t), d.sprint_issues(t), d.user_team_map(t),
