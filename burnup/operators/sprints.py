@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from burnup.functions.expr import (flag_unset, json_decimal, json_text, json_timestamp, lit_ts,
+from burnup.functions.expr import (POINTS_TYPE, flag_unset, json_decimal, json_text, json_timestamp, lit_ts,
                                    weekdays_between, working_days_between)
 from burnup.operators.apply import set_where, update_from
 
@@ -14,6 +14,20 @@ POINTS_FIELD = ("fields", "customfield_10411")
 RESOLUTION_FIELD = ("fields", "resolutiondate")
 
 
+# The two fields read from the issue document, parsed once per row into a struct
+# (text values: numbers keep their text, JSON null and malformed documents give NULL).
+TICKET_SCHEMA = "struct<fields: struct<customfield_10411: string, resolutiondate: string>>"
+
+
+def parse_ticket(issues: DataFrame, doc: str = "ticket_details") -> DataFrame:
+    """Add ``__pts`` (decimal points), ``__res_txt`` and ``__res`` (zone-less timestamp)."""
+    t = F.from_json(F.col(doc), TICKET_SCHEMA)
+    return issues.withColumn("__t", t).select(
+        "*", F.col("__t.fields.customfield_10411").try_cast(POINTS_TYPE).alias("__pts"),
+        F.col("__t.fields.resolutiondate").alias("__res_txt"),
+        F.col("__t.fields.resolutiondate").try_cast("timestamp_ntz").alias("__res")).drop("__t")
+
+
 def _points(doc="ticket_details") -> Column:
     return json_decimal(doc, *POINTS_FIELD)
 
@@ -33,33 +47,33 @@ def _pending_numbers(sprints: DataFrame) -> DataFrame:
 
 def estimated_points(issues: DataFrame, sprints: DataFrame) -> DataFrame:
     """A1: points of active issues whose sprint *number* is pending for any team."""
-    return (issues.where(F.col("is_active") == F.lit(True))
-            .join(_pending_numbers(sprints), "sprint_number", "left_semi")
-            .groupBy(*KEY).agg(F.sum(_points()).alias("estimated_points")))
+    i = parse_ticket(issues.where(F.col("is_active") == F.lit(True))
+                     .join(_pending_numbers(sprints), "sprint_number", "left_semi"))
+    return i.groupBy(*KEY).agg(F.sum("__pts").alias("estimated_points"))
 
 
 def _issues_in_pending_sprints(issues: DataFrame, sprints: DataFrame) -> DataFrame:
     s = sprints.where(flag_unset("is_metrics_updated")).select(
         *KEY, "sprint_start_date", "sprint_complete_date")
-    return issues.where(F.col("is_active") == F.lit(True)).join(s, KEY)
+    return parse_ticket(issues.where(F.col("is_active") == F.lit(True)).join(s, KEY))
 
 
 def actual_completed_points(issues: DataFrame, sprints: DataFrame, as_of) -> DataFrame:
     """A2: points resolved inside [start, complete] of their own (sprint, team)."""
     j = _issues_in_pending_sprints(issues, sprints)
-    res = F.coalesce(_resolution(), lit_ts(as_of))
-    j = j.where(json_text("ticket_details", *RESOLUTION_FIELD).isNotNull()
+    res = F.coalesce(F.col("__res"), lit_ts(as_of))
+    j = j.where(F.col("__res_txt").isNotNull()
                 & res.between(F.col("sprint_start_date"), F.col("sprint_complete_date")))
-    return j.groupBy(*KEY).agg(F.sum(_points()).alias("completed_points"))
+    return j.groupBy(*KEY).agg(F.sum("__pts").alias("completed_points"))
 
 
 def completed_points(issues: DataFrame, sprints: DataFrame, as_of) -> DataFrame:
     """A3: points resolved (or still open at ``as_of``) from the start on, status not Open."""
     j = _issues_in_pending_sprints(issues, sprints)
-    res = F.coalesce(_resolution(), lit_ts(as_of))
+    res = F.coalesce(F.col("__res"), lit_ts(as_of))
     j = j.where((res >= F.col("sprint_start_date"))
                 & (F.coalesce(F.col("status_on_sprint_closure"), F.lit("Open")) != F.lit("Open")))
-    return j.groupBy(*KEY).agg(F.sum(_points()).alias("completed_points"))
+    return j.groupBy(*KEY).agg(F.sum("__pts").alias("completed_points"))
 
 
 def members_covering(sprints: DataFrame, members: DataFrame, as_of, strict: bool = True,
@@ -186,15 +200,15 @@ def sprint_metrics(sprints: DataFrame, issues: DataFrame, members: DataFrame, ho
     s_dates = sprints.select(*KEY, F.col("sprint_start_date").alias("__start"),
                              F.col("sprint_complete_date").alias("__complete"),
                              flag_unset("is_metrics_updated").alias("__pending"))
-    iss = (issues.where(F.col("is_active") == F.lit(True))
-           .select(*KEY, "ticket_details", "status_on_sprint_closure")
-           .join(pend_numbers, "sprint_number", "left")
-           .join(s_dates, KEY, "left"))
-    pts = _points()
-    res = F.coalesce(_resolution(), lit_ts(as_of))
+    iss = parse_ticket(issues.where(F.col("is_active") == F.lit(True))
+                       .select(*KEY, "ticket_details", "status_on_sprint_closure")
+                       .join(pend_numbers, "sprint_number", "left")
+                       .join(s_dates, KEY, "left"))
+    pts = F.col("__pts")
+    res = F.coalesce(F.col("__res"), lit_ts(as_of))
     in_pending = F.coalesce(F.col("__pending"), F.lit(False))
     c1 = F.coalesce(F.col("__pn"), F.lit(False))
-    c2 = in_pending & json_text("ticket_details", *RESOLUTION_FIELD).isNotNull() \
+    c2 = in_pending & F.col("__res_txt").isNotNull() \
         & res.between(F.col("__start"), F.col("__complete"))
     c3 = in_pending & (res >= F.col("__start")) \
         & (F.coalesce(F.col("status_on_sprint_closure"), F.lit("Open")) != F.lit("Open"))

@@ -449,3 +449,22 @@ def test_generate_without_population(spark, tables):
                                  populate=False)
     assert set(out) == {"sprints", "fact"}
     assert all(r.is_metrics_updated for r in out["sprints"].collect())
+
+
+def test_parse_ticket_matches_path_extraction(spark):
+    docs = [
+        (1, '{"fields": {"customfield_10411": 3.50, "resolutiondate": "2024-01-03 10:00:00"}}'),
+        (2, '{"fields": {"customfield_10411": null}}'),
+        (3, '{"fields": {}}'),
+        (4, 'not json at all'),
+        (5, '{"fields": {"customfield_10411": "abc", "resolutiondate": "2024-01-03 10:00:00-0500"}}'),
+        (6, '{"fields": {"customfield_10411": 7, "resolutiondate": null}}'),
+        (7, None),
+    ]
+    df = spark.createDataFrame(docs, "id int, ticket_details string")
+    parsed = {r["id"]: (r["__pts"], r["__res_txt"] is None, r["__res"]) for r in sp.parse_ticket(df).collect()}
+    by_path = {r.id: (r.p, r.t is None, r.r) for r in df.select(
+        "id", E.json_decimal("ticket_details", "fields", "customfield_10411").alias("p"),
+        E.json_text("ticket_details", "fields", "resolutiondate").alias("t"),
+        E.json_timestamp("ticket_details", "fields", "resolutiondate").alias("r")).collect()}
+    assert parsed == by_path
