@@ -30,7 +30,10 @@ def bounded_listagg(df: DataFrame, group_cols: Sequence[str], id_col: str, list_
     (= id div batch_size), ``list_col`` and any ``extra_aggs``.
     """
     ids = F.array_sort(F.collect_list(F.col(id_col)))
-    return df.groupBy(*group_cols, id_batch(id_col, batch_size).alias(batch_col)).agg(
+    # Shuffle on (group, batch) explicitly: input already partitioned on the group alone
+    # would otherwise satisfy the aggregation and keep a hot group in one task.
+    b = df.withColumn(batch_col, id_batch(id_col, batch_size)).repartition(*group_cols, batch_col)
+    return b.groupBy(*group_cols, batch_col).agg(
         F.array_join(F.transform(ids, lambda x: x.cast("string")), sep).alias(list_col), *extra_aggs)
 
 
@@ -92,6 +95,9 @@ def timesheet_payload(rows: DataFrame, keys: Sequence[str] = ("timesheetId", "us
     rec = F.struct(*[F.col(f) for f in fields])
     chunked = rows.join(counts, keys).withColumn(
         "chunk", F.pmod(F.xxhash64(*[F.col(f) for f in fields]), nchunks.cast("bigint")))
+    # The join leaves rows partitioned on the keys alone, which would satisfy the
+    # aggregation and keep a hot group's chunks in one task: shuffle on (keys, chunk).
+    chunked = chunked.repartition(*keys, "chunk")
     return chunked.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(rec)).alias("entriesProject"))
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -63,3 +64,25 @@ def test_bounded_listagg_matches_python(spark):
     got = {(r.g, r.batch): r.ids for r in out}
     assert got == {k: ", ".join(str(x) for x in sorted(v)) for k, v in expect.items()}
     assert max(len(v.split(", ")) for v in got.values()) <= max(len(v) for v in expect.values())
+
+
+def test_hot_groups_are_spread_by_chunk_and_batch(spark):
+    """Input already hash-partitioned on the group key must still be shuffled on
+    (key, chunk) / (key, batch) before the list aggregation, so one hot group is
+    spread over many tasks."""
+    hot = spark.range(0, 20000).select((F.col("id") % 1 + 7).alias("timesheetId"),
+                                       (F.col("id") % 1 + 1).alias("userId"), F.col("id").alias("entryId"))
+    rows = hot.select("timesheetId", "userId", F.lit(0).alias("companyId"), F.lit(1).alias("entryTypeId"),
+                      F.lit(7001).cast("bigint").alias("level1Id"), F.lit(1).cast("bigint").alias("level2Id"),
+                      F.lit("2024/01/02").alias("entryDate"), "entryId", F.lit(1).cast("bigint").alias("level3Id"),
+                      F.lit(1.0).alias("entryHours")).repartition("timesheetId", "userId")
+    p = ns.timesheet_payload(rows, max_entries=1000)
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(timesheetId#\d+L, userId#\d+L, chunk#", plan), plan
+    sizes = [r.n for r in p.select(F.size("entriesProject").alias("n")).collect()]
+    assert sum(sizes) == 20000 and len(sizes) >= 15 and max(sizes) < 2000
+    ids = hot.repartition("timesheetId")
+    lst = ns.bounded_listagg(ids, ["timesheetId"], "entryId", "ids", batch_size=1000)
+    plan2 = lst._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(timesheetId#\d+L, batch#", plan2), plan2
+    assert lst.count() == 20
