@@ -18,8 +18,8 @@ carry ``deactivated_epoch``, so a retried epoch first undoes its earlier attempt
 Stream progress lives in the shared folder named by ``spark.checkpoint.dir``.
 
 Key resolution runs on the touched months only. Keys missing in other months (for
-example a dimension row that arrived late) are filled by a separate
-``resolve_entry_dims`` pass over the store.
+example a dimension row that arrived late) are filled by ``resolve_missing_keys``,
+which rewrites only the months that still hold a row with a missing key.
 """
 
 from __future__ import annotations
@@ -93,3 +93,26 @@ def start_import_stream(spark: SparkSession, landed_dir: str, landed_schema: Str
             .option("checkpointLocation", checkpoint_location or scratch_path(spark, "import-stream"))
             .foreachBatch(apply_batch(store_path, dims, as_of))
             .start())
+
+
+def missing_key(entries_type_col: str = "entrytypeid"):
+    """True for a row whose dimension keys U10-U15 could still fill (their guards)."""
+    t = F.col(entries_type_col)
+    c = F.col
+    return (c("resource_dim_id").isNull() | c("team_dim_id").isNull() | c("date_dim_id").isNull()
+            | ((t == 1) & (c("project_dim_id").isNull() | c("portfolio_dim_id").isNull() | c("task_dim_id").isNull()))
+            | ((t == 99) & c("portfolio_dim_id").isNull()))
+
+
+def resolve_missing_keys(spark: SparkSession, store_path: str, dims: dict[str, DataFrame], as_of) -> None:
+    """U10-U15 over the whole store, rewriting only the months that still hold a row with
+    a missing key. Resolution only ever fills NULL keys, so the other months cannot
+    change: the result equals a full-table pass."""
+    store = spark.read.parquet(store_path)
+    months = store.where(missing_key()).select(ENTRY_MONTH).distinct()
+    current = store.join(months, ENTRY_MONTH, "left_semi").drop(ENTRY_MONTH)
+    new = resolve_entry_dims(current, dims["resources"], dims["members"], dims["projects"], dims["tasks"],
+                             dims["portfolios"], dims["dates"], as_of)
+    new = cut_lineage(new.withColumn(ENTRY_MONTH, _month()))
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(ENTRY_MONTH).parquet(store_path)

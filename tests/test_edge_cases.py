@@ -468,3 +468,17 @@ def test_parse_ticket_matches_path_extraction(spark):
         E.json_text("ticket_details", "fields", "resolutiondate").alias("t"),
         E.json_timestamp("ticket_details", "fields", "resolutiondate").alias("r")).collect()}
     assert parsed == by_path
+
+
+def test_resolve_missing_keys_equals_full_pass(spark, tables, tmp_path):
+    from burnup.plans import domain as d
+    from burnup.streaming.incremental_import import init_store, resolve_missing_keys
+    dims = {"resources": d.resource_dim(tables), "members": d.user_team_map(tables),
+            "projects": d.projects_dim(tables), "tasks": d.project_tasks(tables),
+            "portfolios": d.portfolio_dim(tables), "dates": d.date_dimension(tables)}
+    raw = d.stored_entries_before_import(tables)
+    path = str(tmp_path / "store")
+    init_store(raw, path)
+    resolve_missing_keys(spark, path, dims, d.AS_OF)
+    full = en.resolve_entry_dims(raw, *dims.values(), d.AS_OF)
+    assert rows(spark.read.parquet(path).select(*full.columns)) == rows(full)
