@@ -1,4 +1,6 @@
-"""CLI: python tests/check_oracle.py [sf_dir] [name ...] - run queries vs oracle."""
+"""CLI: python tests/check_oracle.py [sf_dir] [name ...] - run queries vs oracle.
+
+Set ORACLE_JSON=<path> to also write the per-query results as one JSON object."""
 
 import json
 import os
@@ -21,6 +23,7 @@ if __name__ == "__main__":
     con = duck(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
+    results = {}
     for name in names or list(qs):
         t = time.time()
         try:
@@ -34,5 +37,9 @@ if __name__ == "__main__":
         r["sec"] = round(time.time() - t, 2)
         ok = r.get("values_match", "oracle" in r)
         bad += not ok
+        results[name] = r
         print(("OK  " if ok else "BAD ") + name, json.dumps(r, default=str)[:1500], flush=True)
     print("failures:", bad)
+    if os.environ.get("ORACLE_JSON"):
+        with open(os.environ["ORACLE_JSON"], "w") as f:
+            json.dump({"sf_dir": sf_dir, "failures": bad, "queries": results}, f, default=str, indent=1)
