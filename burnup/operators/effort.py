@@ -259,7 +259,8 @@ def apply_push_result(dead_letter: DataFrame, rows: DataFrame, acks_for, as_of)
     dl = cut_lineage(dead_letter_append(dead_letter, rows, first, as_of))
     retry_rows = dead_letter_rows(dl)
     second = acks_for(timesheet_payload(retry_rows))
-    dl = dead_letter_append(dl, retry_rows, second, as_of)
+    # A retry that fails again would be appended (U23), but every retried pair is already
+    # in the dead letter, so that append adds nothing; only the accepted pairs leave.
     return dead_letter_clear(dl, second)
 
 
