@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burnup.llm import suffix_dedup
+from burnup.llm import bpe, simhash_dedup, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,3 +47,13 @@ FROM d LEFT JOIN sums s USING (doc_id) LEFT JOIN head h USING (doc_id)""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.dedup_spans(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query("op3_simhash_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op1_bpe_encode_decode")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True)
