@@ -16,6 +16,7 @@ previous round's range. Neighbours with a common prefix of ``length`` share a wi
 first occurrence are repeats. Columns of shuffled texts go through an unlinked temporary file, one
 sequential run per column, read back from the last to the first, so memory does not hold the texts.
 
+Documents whose whole text is a copy are found by a digest and need no rounds beyond the first.
 The rounds run twice. First within each block of rows, before any shuffle: of a passage that a
 third of all rows hold, each block keeps one occurrence. Then on what is left, with the anchors
 that more than one block holds. Both levels are exact, hence so is the result.
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnup.llm.base import MAX_LONG, doc_key, stored, text_key, texts
+from burnup.llm.base import discard, doc_key, stored, text_key, texts
 from burnup.llm.columns import BYTE_CODE, GOLD, buffer, byte_lengths, mix, ragged, slices
 
 LENGTH = 100
@@ -322,18 +323,30 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bl
     if not 0 < gram <= length <= gram + 127:
         raise ValueError("need gram <= length <= gram + 127")
     rows = texts(docs).select("_d", "_k", "text").where(F.octet_length("text") >= length)
+    copies = stored(_copies(rows, length), "sa_copies")
     found = stored(rows.mapInArrow(_level_one(length, gram, block), FOUND), "sa_found")
-    local = found.where("h is null").select("d", "k", "lo", "hi")
-    # anchors that more than one block holds (or one block twice, at windows that differ)
-    n = F.expr("count(1) over (partition by h)")
-    shared = (found.where("h is not null").select("h", "d", "place").withColumn("n", n).where("n > 1")
-              .groupBy("d", F.shiftright("place", POS_BITS + 2 * OFFSET_BITS).alias("k"))
-              .agg(F.collect_list(F.struct("h", "place")).alias("found")))  # a document's own anchors
+    own_key = F.shiftright("place", POS_BITS + 2 * OFFSET_BITS).alias("k")
+    left = found.where("h is not null").select("h", "d", "place", own_key).join(copies.select("d", "k"), ["d", "k"], "left_anti")
+    # anchors that more than one block holds (or one block twice, at windows that differ), by document
+    shared = stored(left.withColumn("n", F.expr("count(1) over (partition by h)")).where("n > 1")
+                    .groupBy("d", "k").agg(F.collect_list(F.struct("h", "place")).alias("found")), "sa_shared")
     low = F.col("_k").bitwiseAND(F.lit(LOW_KEY)).alias("_low")
     ctx = rows.select("_d", low, "text").join(shared, (F.col("_d") == F.col("d")) & (F.col("_low") == F.col("k")))
     ctx = (ctx.select("_d", "text", "found").mapInArrow(_contexts(length, gram), "h long, d long, place long, ctx binary")
            .repartition("h").sortWithinPartitions("h", "d", "place"))
-    return local.unionByName(ctx.mapInArrow(_level_two(length, gram, RUN_BYTES), "d long, k long, lo int, hi int"))
+    later = ctx.mapInArrow(_level_two(length, gram, RUN_BYTES), "d long, k long, lo int, hi int")
+    out = stored(later.unionByName(found.where("h is null").select("d", "k", "lo", "hi")).unionByName(copies), "sa_windows")
+    for df in (copies, found, shared):
+        discard(df)
+    return out
+
+
+def _copies(rows: DataFrame, length: int) -> DataFrame:
+    """All windows of each document whose whole text an earlier document has. The first of a text is pre-aggregated."""
+    text = rows.select(F.col("_d").alias("d"), F.col("_k").bitwiseAND(F.lit(LOW_KEY)).alias("k"), F.unhex(F.sha2("text", 256)).alias("sha"),
+                       (F.octet_length("text") - length).alias("hi"))
+    first = text.groupBy("sha").agg(F.min(F.struct("d", "k")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", "first")
+    return text.join(first, "sha").where("struct(d, k) != first").select("d", "k", F.lit(0).alias("lo"), "hi").distinct()
 
 
 def _cut(length: int, keep_text: bool):
