@@ -12,8 +12,8 @@ def brute_fp(text, words=3):
     t = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
     sh = [" ".join(w[i: i + words]) for i in range(len(w) - words + 1)] or ([" ".join(w)] if w else [])
-    hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+    hs = np.array([xxhash.xxh64_intdigest(s.encode(), 42) for s in sh], np.uint64)
+    return sum(1 << b for b in range(64) if 2 * int((hs >> np.uint64(b) & np.uint64(1)).sum()) > len(hs))
 
 
 def brute_components(fps, radius=2):
