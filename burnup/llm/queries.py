@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burnup.llm import bpe, decontaminate, language_id, simhash_dedup, suffix_dedup
+from burnup.llm import bpe, decontaminate, embedding_dedup, language_id, simhash_dedup, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -67,3 +67,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_benchmark_decontamination")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_embedding_near_dedup", """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+pair AS (SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS u, vec_id AS w FROM v UNION SELECT r.u, p.w FROM reach r JOIN pair p ON r.w = p.u),
+comp AS (SELECT u, min(w) AS c FROM reach GROUP BY u),
+deg AS (SELECT u, count(*) AS n FROM pair GROUP BY u)
+SELECT v.vec_id, coalesce(d.n, 0) AS n_links, c.c AS component_id, v.vec_id = c.c AS kept
+FROM v JOIN comp c ON c.u = v.vec_id LEFT JOIN deg d ON d.u = v.vec_id""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
