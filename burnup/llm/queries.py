@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burnup.llm import bpe, decontaminate, embedding_dedup, language_id, simhash_dedup, suffix_dedup
+from burnup.llm import bpe, decontaminate, embedding_dedup, language_id, simhash_dedup, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -79,3 +79,8 @@ SELECT v.vec_id, coalesce(d.n, 0) AS n_links, c.c AS component_id, v.vec_id = c.
 FROM v JOIN comp c ON c.u = v.vec_id LEFT JOIN deg d ON d.u = v.vec_id""")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_url_filter")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
