@@ -99,3 +99,22 @@ def ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     run = np.repeat(np.arange(len(counts)), counts)
     first = np.cumsum(counts) - counts
     return run, np.arange(len(run)) - first[run]
+
+
+def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object, pa.Table]]:
+    """(key, rows) of batches that are sorted by an integer column; one key's rows at a time are held."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = batch[key].to_numpy()
+        bounds = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(batch)]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if held and keys[a] != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = keys[a]
+    if held:
+        yield last, pa.Table.from_batches(held)

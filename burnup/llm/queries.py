@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burnup.llm import bpe, decontaminate, embedding_dedup, language_id, simhash_dedup, suffix_dedup, url_filter
+from burnup.llm import bloom_lm, bpe, decontaminate, embedding_dedup, language_id, simhash_dedup, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -84,3 +84,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_url_filter")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op2_lm_scoring")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score(table(spark, sf_dir, "documents"))
