@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burnup.llm import bloom_lm, bpe, decontaminate, embedding_dedup, language_id, simhash_dedup, suffix_dedup, url_filter
+from burnup.llm import bloom_lm, bpe, decontaminate, embedding_dedup, language_id, license_scan, quality_lm, simhash_dedup, suffix_dedup, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -89,3 +89,15 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_lm_scoring")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op6_license_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_scan.scan(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_paragraphs", F.array_sort(F.array_distinct(F.transform("licences", lambda x: x["family"]))).alias("licences"),
+                      F.array_max(F.transform("licences", lambda x: x["score"])).alias("score"))
+
+
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lm.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
