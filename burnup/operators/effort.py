@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from burnup.functions.expr import flag_set, flag_unset, json_decimal, lit_date, lit_ts, pg_to_char
-from burnup.operators.apply import delete_matching, flag_matching, one_row_per_key
-from burnup.operators.nesting import bounded_listagg, explode_project_entries, timesheet_payload
+from burnup.operators.apply import flag_matching, one_row_per_key
+from burnup.operators.nesting import CHUNK_FIELD, bounded_listagg, explode_project_entries, timesheet_payload
 from burnup.operators.sprints import members_covering
 from burnup.session import cut_lineage
 
@@ -87,8 +87,7 @@ def timesheet_user_list(sprints, members, resources, as_of) -> DataFrame:
 
 def working_days(start: Column, end: Column, holidays: Column) -> Column:
     """Array of the weekdays in [start, end] that are not mandatory holidays."""
-    days = F.sequence(F.to_date(start), F.to_date(end))
-    return F.filter(days, lambda x: (F.weekday(x) < 5) & ~F.array_contains(holidays, x))
+    return F.filter(day_range(F.to_date(start), F.to_date(end)), lambda x: (F.weekday(x) < 5) & ~F.array_contains(holidays, x))
 
 
 def timesheet_plan(sprints: DataFrame, sprint_numbers: DataFrame, fact: DataFrame, members: DataFrame,
@@ -162,27 +161,32 @@ def requested_timesheets(timesheets: DataFrame, users: DataFrame) -> DataFrame:
     return timesheets.join(u, "userId", "left_semi").where(F.col("endDate") >= first)
 
 
+#: A longer header or sprint is an input error; it would become a row for each of its days.
+MAX_DAYS = 400
+
+
+def day_range(start: Column, end: Column) -> Column:
+    """The days from start to end; a range beyond ``MAX_DAYS`` raises, it is not cut."""
+    span = F.datediff(end, start)
+    return F.when(span < MAX_DAYS, F.sequence(start, end)).when(
+        span.isNotNull(), F.raise_error(F.concat(F.lit("range of too many days: "), start.cast("string"), F.lit(" to "),
+                                                 end.cast("string"))).cast("array<date>"))
+
+
 def header_days(headers: DataFrame, start: str = "startDate", end: str = "endDate",
                 day: str = "__day") -> DataFrame:
     """One row per header and day of its [start, end] range. A timesheet header spans a
     bounded period (a week), so this turns a range join into an equi join on the day."""
-    return headers.where(F.col(start) <= F.col(end)).withColumn(day, F.explode(F.sequence(start, end)))
-
-
-def _residual_eq(a: Column, b: Column) -> Column:
-    """``a = b`` kept as a residual join test: Spark turns every top-level equality into a
-    join key, and a join keyed on more columns than (user, day) would reshuffle the
-    already (user, day)-partitioned plan rows. NULL never matches, as with ``=``."""
-    return F.coalesce(a == b, F.lit(False))
+    return headers.where(F.col(start) <= F.col(end)) \
+        .withColumn(day, F.explode(day_range(F.col(start), F.col(end))))
 
 
 def timesheet_population(plan: DataFrame, timesheet_data: DataFrame) -> DataFrame:
     """C4: planned rows inside an existing header (J10), with the id of an entry already
     booked for the same user, project, task, date and timesheet (J11), else 0.
 
-    Both joins are keyed on (user, day): the header range becomes day rows, and the
-    existing-entry match tests project, task and timesheet as residuals (a user books a
-    handful of entries per day), so the plan rows are shuffled once."""
+    The header range becomes day rows, so the first join is on (user, day). The second is
+    on all five columns: one user's day may hold any number of rows on either side."""
     dist_ts = timesheet_data.select("timesheetId", "userId", "startDate", "endDate").distinct()
     slots = header_days(dist_ts)
     j = plan.join(slots, (plan["resource_ppm_id"] == slots["userId"]) & (plan["date_of_sprint"] == slots["__day"]))
@@ -191,8 +195,8 @@ def timesheet_population(plan: DataFrame, timesheet_data: DataFrame) -> DataFram
         F.col("endDate").alias("__e"), F.col("entryId").alias("__entry"), F.col("entryDate").alias("__d"),
         F.col("project_ppm_id").alias("__p"), F.col("task_ppm_id").alias("__t"))
     cond = ((j["resource_ppm_id"] == pv["__u"]) & (j["date_of_sprint"] == pv["__d"])
-            & _residual_eq(j["project_ppm_id"], pv["__p"]) & _residual_eq(j["task_ppm_id"], pv["__t"])
-            & _residual_eq(j["timesheetId"], pv["__ts"]) & j["date_of_sprint"].between(pv["__s"], pv["__e"]))
+            & (j["project_ppm_id"] == pv["__p"]) & (j["task_ppm_id"] == pv["__t"])
+            & (j["timesheetId"] == pv["__ts"]) & j["date_of_sprint"].between(pv["__s"], pv["__e"]))
     k = j.join(pv, cond, "left")
     return k.select(
         F.lit(0).alias("companyId"), F.lit(1).alias("entryTypeId"), "timesheetId",
@@ -211,17 +215,21 @@ DEAD_LETTER_COLS = ["companyId", "entryTypeId", "timesheetId", "userId", "level1
                     "entryId", "level3Id", "entryHours", "created_date"]
 
 
-def failed_pairs(acks: DataFrame) -> DataFrame:
-    """(timesheetId, userId) with any rejected payload chunk."""
-    return acks.groupBy("timesheetId", "userId").agg(F.min(F.col("ok").cast("int")).alias("__ok")) \
-        .where(F.col("__ok") == 0).select("timesheetId", "userId")
+CHUNK_KEYS = ["timesheetId", "userId", "chunk"]
+
+
+def chunk_answers(acks: DataFrame, ok: bool) -> DataFrame:
+    """The payload chunks (timesheetId, userId, chunk) whose every answer was ``ok``, or any was not."""
+    g = acks.groupBy(*CHUNK_KEYS).agg(F.min(F.col("ok").cast("int")).alias("__ok"))
+    return g.where(F.col("__ok") == int(ok)).select(*CHUNK_KEYS)
 
 
 def dead_letter_append(dead_letter: DataFrame, rows: DataFrame, acks: DataFrame, as_of) -> DataFrame:
-    """All rows of a rejected (timesheet, user) go to the dead letter unless the pair
-    is already there (anti join on both columns, not on a concatenated text);
-    missing hours become 0 and ``created_date`` is ``as_of``."""
-    bad = rows.join(failed_pairs(acks), ["timesheetId", "userId"], "left_semi") \
+    """The rows of rejected payload chunks go to the dead letter unless their (timesheet,
+    user) is already there (anti join on both columns, not on a concatenated text); missing
+    hours become 0 and ``created_date`` is ``as_of``. Rows of accepted chunks never go there,
+    so they are not sent again."""
+    bad = rows.withColumn("chunk", F.col(CHUNK_FIELD)).join(chunk_answers(acks, False), CHUNK_KEYS, "left_semi") \
         .join(dead_letter.select("timesheetId", "userId"), ["timesheetId", "userId"], "left_anti")
     new = bad.select(
         "companyId", "entryTypeId", "timesheetId", "userId", "level1Id", "level2Id",
@@ -232,9 +240,9 @@ def dead_letter_append(dead_letter: DataFrame, rows: DataFrame, acks: DataFrame,
 
 
 def dead_letter_clear(dead_letter: DataFrame, acks: DataFrame) -> DataFrame:
-    """A retried pair whose every chunk was accepted leaves the dead letter."""
-    ok = acks.join(failed_pairs(acks), ["timesheetId", "userId"], "left_anti").select("timesheetId", "userId")
-    return delete_matching(dead_letter, ok, ["timesheetId", "userId"])
+    """The rows of a retried chunk that was accepted leave the dead letter."""
+    keyed = dead_letter.withColumn("chunk", pg_to_char("entryDate", "YYYY/MM/DD"))
+    return keyed.join(chunk_answers(acks, True), CHUNK_KEYS, "left_anti").select(*dead_letter.columns)
 
 
 def dead_letter_rows(dead_letter: DataFrame) -> DataFrame:
@@ -244,30 +252,33 @@ def dead_letter_rows(dead_letter: DataFrame) -> DataFrame:
                               "entryHours")
 
 
-def apply_push_result(dead_letter: DataFrame, rows: DataFrame, acks_for, as_of) -> DataFrame:
-    """Push the new payloads, dead-letter the rejected ones (U23), then retry the whole
-    dead letter - which already holds this run's failures - and drop accepted pairs (U24).
+def apply_push_result(dead_letter: DataFrame, rows: DataFrame, acks_for, as_of,
+                      payload: DataFrame | None = None) -> DataFrame:
+    """Push the new payloads, dead-letter the rejected chunks (U23), then retry the whole
+    dead letter - which already holds this run's failures - and drop accepted chunks (U24).
 
     ``acks_for(payload)`` returns the acknowledgement table (timesheetId, userId, chunk,
-    ok, error) for a payload table; it stands in for the push service. ``rows`` should
-    be materialised (a checkpoint or a written table): it is read three times.
+    ok, error) for a payload table; it stands in for the push service. ``rows`` and
+    ``payload`` (built from the rows unless given) should be written tables. The dead
+    letter after the push is written to the shared folder when this is called: the retry
+    reads it and does not replay the generation.
     """
-    # The pushed rows and the dead letter are tables of their own in the warehouse; they
-    # are written to the shared checkpoint folder here, so the retry does not replay
-    # the whole generation lineage (and a lost executor does not either).
-    first = acks_for(timesheet_payload(rows))
-    dl = cut_lineage(dead_letter_append(dead_letter, rows, first, as_of))
-    retry_rows = dead_letter_rows(dl)
-    second = acks_for(timesheet_payload(retry_rows))
+    first = acks_for(timesheet_payload(rows) if payload is None else payload)
+    dl = cut_lineage(dead_letter_append(dead_letter, rows, first, as_of), "dead_letter")
+    second = acks_for(timesheet_payload(dead_letter_rows(dl)))
     # A retry that fails again would be appended (U23), but every retried pair is already
-    # in the dead letter, so that append adds nothing; only the accepted pairs leave.
+    # in the dead letter, so that append adds nothing; only the accepted chunks leave.
     return dead_letter_clear(dl, second)
 
 
 def generate_timesheets(sprints, issues, members, resources, teams, projects, generator_timesheets,
-                        dead_letter, holidays: Column, acks_for, as_of,
-                        populate: bool = True) -> dict[str, DataFrame]:
-    """C1 -> C2 -> U7 -> A5 -> S13 -> N1 -> A6 -> C3 -> C4 -> N4 -> push -> U22 -> retries.
+                        holidays: Column, acks_for, as_of, populate: bool = True) -> dict[str, DataFrame]:
+    """C1 -> C2 -> U7 -> A5 -> S13 -> N1 -> A6 -> C3 -> C4 -> N4 -> push -> U22.
+
+    The generated rows and their payload are written to the shared folder when this is
+    called; the other results are plans. For the dead letter and the retries call
+    ``apply_push_result`` with ``rows`` and ``payload``. Without users nothing is sent, and
+    no sprint is marked populated (U22).
 
     ``populate=False`` stops after closing the sprints (metrics and time spent only):
     the source runs the generation step unconditionally on one side of an unresolved
@@ -283,17 +294,11 @@ def generate_timesheets(sprints, issues, members, resources, teams, projects, ge
     data = requested_timesheets(as_timesheet_rows(generator_timesheets), users)
     numbers = timesheet_sprint_numbers(s2, as_of)
     plan = timesheet_plan(s2, numbers, fact, members, resources, teams, projects, holidays, as_of)
-    rows = cut_lineage(timesheet_population(plan, data))
-    payload = cut_lineage(timesheet_payload(rows))
-    return {
-        "sprints": mark_populated(s2, numbers),
-        "fact": fact,
-        "plan": plan,
-        "rows": rows,
-        "payload": payload,
-        "acks": acks_for(payload),
-        "dead_letter": apply_push_result(dead_letter, rows, acks_for, as_of),
-    }
+    rows = cut_lineage(timesheet_population(plan, data), "rows")
+    payload = cut_lineage(timesheet_payload(rows), "payload")
+    sent = numbers.where(users.select(F.count(F.lit(1))).scalar() > 0)
+    return {"sprints": mark_populated(s2, sent), "fact": fact, "plan": plan, "rows": rows, "payload": payload,
+            "acks": acks_for(payload)}
 
 
 def draft_timesheet_population(plan: DataFrame, timesheets: DataFrame) -> DataFrame:
@@ -301,10 +306,13 @@ def draft_timesheet_population(plan: DataFrame, timesheets: DataFrame) -> DataFr
     conditional condition: a header row without entry matches on the header's date range,
     an entry row only on its own date. Both cases become (user, day) rows - the range
     as day rows, the entry on its date - so it is one equi join on (user, day)."""
-    from burnup.operators.nesting import draft_entry_rows
-    hdr = timesheets.select("timesheetId", "userId", "startDate", "endDate")
-    ent = draft_entry_rows(timesheets).select("timesheetId", "entryId", "entryDate")
-    td = hdr.join(ent, "timesheetId", "left")
+    if "entriesProject" in timesheets.columns:
+        from burnup.operators.nesting import draft_entry_rows
+        hdr = timesheets.select("timesheetId", "userId", "startDate", "endDate")
+        ent = draft_entry_rows(timesheets).select("timesheetId", "entryId", "entryDate")
+        td = hdr.join(ent, "timesheetId", "left")
+    else:  # flat already: a header without entries has one row with none
+        td = timesheets.select("timesheetId", "userId", "startDate", "endDate", "entryId", "entryDate")
     by_range = header_days(td.where(F.col("entryDate").isNull()))
     by_entry = td.where(F.col("entryDate").isNotNull()).withColumn("__day", F.col("entryDate"))
     days = by_range.unionByName(by_entry)

@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnup.functions.expr import lit_date, lit_ts, pg_to_char
+from burnup.functions.expr import lit_date, lit_ts, pg_to_char, round_to_bigint
 from burnup.operators.apply import flag_matching, one_row_per_key, update_from
 from burnup.operators.nesting import bounded_listagg, explode_project_entries, flatten_all_entries
 
@@ -63,31 +63,32 @@ def timesheet_extract(landed: DataFrame, requests: DataFrame, user_col: str = "r
     return landed.join(r, (landed["userId"] == r["__u"]) & (landed["endDate"] >= r["__s"]), "left_semi")
 
 
-def versioned_replace(stored: DataFrame, batch: DataFrame, as_of, epoch: int | None = None) -> DataFrame:
+def versioned_replace(stored: DataFrame, batch: DataFrame, as_of, mark: tuple[str, int] | None = None) -> DataFrame:
     """Every stored row of a timesheet in the batch becomes inactive; the batch rows
-    with an entry id are appended active, stamped ``as_of``, ids as bigint.
+    with an entry id are appended active, stamped ``as_of``, ids rounded to bigint (E7).
 
-    With ``epoch`` (incremental import) the store carries ``import_epoch`` and
-    ``deactivated_epoch``: appended rows get the epoch, and so do the rows this batch
+    With ``mark`` = (stream, epoch) (incremental import) the store carries both for its
+    import and its deactivation: appended rows get them, and so do the rows this batch
     switches from active to inactive, which lets a retried epoch undo its first try.
     """
-    ts = batch.select("timesheetid")
-    if epoch is None:
+    ts = batch.select(round_to_bigint("timesheetid").alias("timesheetid"))
+    if mark is None:
         out = flag_matching(stored, ts, "timesheetid", "is_active", False)
     else:
         marks = ts.distinct().select(F.col("timesheetid").alias("__ts"), F.lit(True).alias("__hit"))
         j = stored.join(marks, stored["timesheetid"] == marks["__ts"], "left")
         hit = F.coalesce(F.col("__hit"), F.lit(False))
         flipped = hit & F.coalesce(F.col("is_active"), F.lit(False))
-        out = j.select(*[
-            F.when(hit, F.lit(False)).otherwise(F.col(c)).alias(c) if c == "is_active" else
-            F.when(flipped, F.lit(epoch)).otherwise(F.col(c)).cast("bigint").alias(c) if c == "deactivated_epoch"
-            else stored[c] for c in stored.columns])
+        new_values = {"is_active": F.when(hit, F.lit(False)).otherwise(F.col("is_active")),
+                      "deactivated_stream": F.when(flipped, F.lit(mark[0])).otherwise(F.col("deactivated_stream")),
+                      "deactivated_epoch": F.when(flipped, F.lit(mark[1])).otherwise(F.col("deactivated_epoch"))}
+        out = j.select(*[new_values[c].cast(stored.schema[c].dataType).alias(c) if c in new_values else stored[c]
+                         for c in stored.columns])
     id_cols = ["timesheetid", "companyid", "entryid", "entrytypeid", "level1id", "level2id",
                "level3id", "locationid", "userid"]
-    stamps = [F.lit(epoch).cast("bigint").alias("import_epoch")] if epoch is not None else []
+    stamps = [F.lit(mark[0]).alias("import_stream"), F.lit(mark[1]).cast("bigint").alias("import_epoch")] if mark else []
     new = batch.where(F.col("entryid").isNotNull()).select(
-        *[F.col(c).cast("bigint").alias(c) if c in id_cols else F.col(c) for c in batch.columns],
+        *[round_to_bigint(c).alias(c) if c in id_cols else F.col(c) for c in batch.columns],
         lit_ts(as_of).alias("date_created"), F.lit(True).alias("is_active"), *stamps)
     new = new.select(*[F.col(c).cast(stored.schema[c].dataType).alias(c) if c in new.columns
                        else F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in stored.columns])

@@ -1,9 +1,9 @@
 """Nested data: explode / flatten / nest (N1, N2, N4, N5, A11) and bounded id lists.
 
-Lists of ids (``string_agg`` in the warehouse) are never built over a whole
-unbounded group: every list is cut into batches of ids that share ``id div
-batch_size``, so one list holds at most ``batch_size`` distinct ids. Record lists
-(payloads) are cut into chunks of about ``max_entries`` records.
+Lists of ids (``string_agg`` in the warehouse) come in two forms: cut into batches of
+ids that share ``id div batch_size``, so one list holds at most ``batch_size`` distinct
+ids, or (``batch_size=None``) whole, one row per group as the warehouse has it, for
+groups known to be small. Payloads are cut by a key of their records (the entry date).
 """
 
 from __future__ import annotations
@@ -22,19 +22,23 @@ def id_batch(c, batch_size: int = ID_BATCH) -> Column:
 
 
 def bounded_listagg(df: DataFrame, group_cols: Sequence[str], id_col: str, list_col: str,
-                    sep: str = ", ", batch_size: int = ID_BATCH, batch_col: str = "batch",
+                    sep: str = ", ", batch_size: int | None = ID_BATCH, batch_col: str = "batch",
                     extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """``string_agg(id::text, ', ')`` per group, ordered by id, in batches of ids.
 
     Duplicates are kept (string_agg keeps them). Output: group columns, ``batch_col``
-    (= id div batch_size), ``list_col`` and any ``extra_aggs``.
+    (= id div batch_size), ``list_col`` and any ``extra_aggs``. With ``batch_size=None``
+    there is one row per group and no ``batch_col``; without groups that row comes also
+    for no ids, with a NULL list.
     """
     ids = F.array_sort(F.collect_list(F.col(id_col)))
+    text = F.nullif(F.array_join(F.transform(ids, lambda x: x.cast("string")), sep), F.lit("")).alias(list_col)
+    if batch_size is None:
+        return df.groupBy(*group_cols).agg(text, *extra_aggs)
     # Shuffle on (group, batch) explicitly: input already partitioned on the group alone
     # would otherwise satisfy the aggregation and keep a hot group in one task.
     b = df.withColumn(batch_col, id_batch(id_col, batch_size)).repartition(*group_cols, batch_col)
-    return b.groupBy(*group_cols, batch_col).agg(
-        F.array_join(F.transform(ids, lambda x: x.cast("string")), sep).alias(list_col), *extra_aggs)
+    return b.groupBy(*group_cols, batch_col).agg(text, *extra_aggs)
 
 
 # One row per project entry; a timesheet without entries keeps one NULL row.
@@ -79,26 +83,25 @@ def flatten_all_entries(timesheets: DataFrame) -> DataFrame:
     return e.select(*cols)
 
 
-# Records of a (timesheet, user) as one payload list, in bounded chunks.
+# Records of a (timesheet, user) as payload lists.
 PAYLOAD_FIELDS = ("companyId", "entryTypeId", "timesheetId", "level1Id", "level2Id", "entryDate",
                   "entryId", "level3Id", "entryHours")
+#: The record field that cuts a payload into chunks: what is pushed, answered and retried as one.
+CHUNK_FIELD = "entryDate"
 
 
 def timesheet_payload(rows: DataFrame, keys: Sequence[str] = ("timesheetId", "userId"),
-                      fields: Sequence[str] = PAYLOAD_FIELDS, max_entries: int = 5000) -> DataFrame:
-    """Group rows per (timesheetId, userId) into ``entriesProject`` (userId dropped from the
-    records, sorted for a stable payload). A group larger than ``max_entries`` is split
-    into hash chunks of about that size, so no single list grows with the data."""
-    keys = list(keys)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    nchunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_entries)))
+                      fields: Sequence[str] = PAYLOAD_FIELDS, chunk: str | None = CHUNK_FIELD) -> DataFrame:
+    """Group rows per (timesheetId, userId, chunk) into ``entriesProject`` (userId dropped from
+    the records, sorted for a stable payload). ``chunk`` names the record field whose value is
+    the chunk, whatever the sizes; ``None`` gives one list per (timesheetId, userId)."""
     rec = F.struct(*[F.col(f) for f in fields])
-    chunked = rows.join(counts, keys).withColumn(
-        "chunk", F.pmod(F.xxhash64(*[F.col(f) for f in fields]), nchunks.cast("bigint")))
-    # The join leaves rows partitioned on the keys alone, which would satisfy the
-    # aggregation and keep a hot group's chunks in one task: shuffle on (keys, chunk).
-    chunked = chunked.repartition(*keys, "chunk")
-    return chunked.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(rec)).alias("entriesProject"))
+    part = F.col(chunk).cast("string") if chunk else F.lit(None).cast("string")
+    cut = rows.withColumn("chunk", part)
+    # Rows may come partitioned on the keys alone, which would satisfy the aggregation and
+    # keep a hot group's chunks in one task: shuffle on (keys, chunk).
+    cut = cut.repartition(*keys, "chunk")
+    return cut.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(rec)).alias("entriesProject"))
 
 
 def payload_json(payload: DataFrame) -> DataFrame:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +13,22 @@ STATUS_OK, STATUS_FAIL = "Success", "Fail"
 DEFAULT_PROJECT = "effort"
 
 
-def rule_result(spark: SparkSession, name: str, sql: str, expected: int) -> DataFrame:
-    """One rule: the first cell of ``sql`` (0 when it returns no rows) against ``expected``.
+def rule_result(spark: SparkSession, name: str, sql: str, expected: int) -> tuple[str | None, bool, str | None]:
+    """One rule: (found text, passed, failure) of the first cell of ``sql`` in the rule's own order.
 
-    The rule's query is evaluated by Spark over whatever views it names; only its
-    first cell leaves it, through a one-row aggregate.
+    Only that cell leaves the cluster. No rows count as 0; a NULL cell, a fraction or a
+    text is compared as it is, so none of them passes for a whole number. A rule that
+    can't run fails alone, with the reason.
     """
-    df = spark.sql(sql)
-    first = df.agg(F.first(F.col(df.columns[0])).alias("v"))
-    return first.select(F.lit(name).alias("condition"), F.lit(expected).cast("bigint").alias("expected_value"),
-                        F.coalesce(F.col("v").cast("bigint"), F.lit(0).cast("bigint")).alias("actual_value"))
+    try:
+        df = spark.sql(sql)
+        row = df.toDF(*[f"c{i}" for i in range(len(df.columns))]).select("c0").limit(1).first()
+    except PySparkException as e:
+        return None, False, f"check '{name}' could not run: {str(e).splitlines()[0]}"
+    cell = 0 if row is None else row["c0"]
+    passed = not isinstance(cell, str) and cell == expected
+    found = None if cell is None else str(cell)
+    return found, passed, None if passed else f"check '{name}' failed: expected {expected}, found {found}"
 
 
 def sanity_suite(spark: SparkSession, rules: DataFrame, as_of, task_id: int,
@@ -31,56 +36,48 @@ def sanity_suite(spark: SparkSession, rules: DataFrame, as_of, task_id: int,
     """Q1 + Q2: run every rule of ``project`` and report Success / Fail with a message.
 
     ``rules`` has columns (query, name, expected_value, project_name). The rule table
-    is small by nature (one row per hand-written check), so it is read to the driver
-    to plan one Spark query per rule; all rule results are unioned into one frame.
+    is small by nature (one row per hand-written check); each rule is one Spark job,
+    run when this is called, so one rule's failure doesn't end the others.
     """
     todo = rules.where(F.col("project_name") == F.lit(project)) \
         .select("query", "name", "expected_value").orderBy("name").collect()
-    if not todo:
-        schema = ("condition string, expected_value bigint, actual_value bigint, status string, "
-                  "message string, created_date timestamp_ntz, task_id bigint, project_name string")
-        return spark.createDataFrame([], schema)
-    parts = [rule_result(spark, r["name"], r["query"], int(r["expected_value"])) for r in todo]
-    res = reduce(DataFrame.unionByName, parts)
-    ok = F.col("expected_value") == F.col("actual_value")
-    return res.select(
-        "condition", "expected_value", "actual_value",
-        F.when(ok, F.lit(STATUS_OK)).otherwise(F.lit(STATUS_FAIL)).alias("status"),
-        sanity_message().alias("message"),
-        lit_ts(as_of).alias("created_date"), F.lit(task_id).cast("bigint").alias("task_id"),
-        F.lit(project).alias("project_name"))
-
-
-def sanity_message():
-    """Q2: text for a failed rule, NULL for a passed one."""
-    return F.when(F.col("expected_value") != F.col("actual_value"), F.format_string(
-        "check '%s' failed: expected %d, found %d", F.col("condition"), F.col("expected_value"),
-        F.col("actual_value")))
+    out = []
+    for r in todo:
+        expected = int(r["expected_value"])
+        found, passed, message = rule_result(spark, r["name"], r["query"], expected)
+        out.append((r["name"], expected, found, STATUS_OK if passed else STATUS_FAIL, message, task_id, project))
+    cols = "condition string, expected_value bigint, actual_value string, status string, message string, " \
+           "task_id bigint, project_name string"
+    return spark.createDataFrame(out, cols).select(
+        "condition", "expected_value", "actual_value", "status", "message", lit_ts(as_of).alias("created_date"),
+        "task_id", "project_name")
 
 
 def run_ledger_fold(events: DataFrame) -> DataFrame:
     """L1: append-only run events folded to one row per sub task, with its main task's state.
 
-    ``events`` has (task_id, main_task_id, kind, ts, message) with kind in
-    start / end / error. A sub task starts at its first start, ends at its first
-    terminal event (the end is written once), and takes the status of its latest
-    terminal event; any error fails it and its main task. A main task succeeds when
-    all its sub tasks did, fails when any failed, else is still in progress.
+    ``events`` has (task_id, main_task_id, kind, ts, message) with kind in start / end /
+    error for a sub task and main_start / main_end for a main task. A sub task's end may
+    be written again: its last terminal event gives its end and status (an error at the
+    same time wins). A main task's end is written once: its first terminal event - an
+    error of any of its sub tasks, or its own end - decides, and later ones change
+    nothing, so a run that failed stays failed. Both are in progress until then.
     """
-    kind = F.col("kind")
+    kind, ts = F.col("kind"), F.col("ts")
     term = kind.isin("end", "error")
-    status = F.when(kind == "error", F.lit("FAILED")).when(kind == "end", F.lit("SUCCESS"))
-    sub = events.groupBy("task_id", "main_task_id").agg(
-        F.min(F.when(kind == "start", F.col("ts"))).alias("start_date"),
-        F.min(F.when(term, F.col("ts"))).alias("end_date"),
-        F.max_by(status, F.when(term, F.struct(F.col("ts"), (kind == "error").alias("e")))).alias("__last"),
+    failed = F.when(kind == "error", F.lit("FAILED")).otherwise(F.lit("SUCCESS"))
+    sub = events.where(kind.isin("start", "end", "error")).groupBy("task_id", "main_task_id").agg(
+        F.min(F.when(kind == "start", ts)).alias("start_date"),
+        F.max(F.when(term, ts)).alias("end_date"),
+        F.coalesce(F.max_by(failed, F.when(term, F.struct(ts, (kind == "error").alias("e")))),
+                   F.lit("IN-PROGRESS")).alias("status"),
         F.count(F.when(kind == "error", F.lit(1))).alias("error_count"))
-    sub = sub.withColumn("status", F.coalesce(F.col("__last"), F.lit("IN-PROGRESS"))).drop("__last")
-    main = sub.groupBy("main_task_id").agg(
-        F.max((F.col("status") == "FAILED").cast("int")).alias("__f"),
-        F.min((F.col("status") == "SUCCESS").cast("int")).alias("__s"))
-    main = main.select("main_task_id", F.when(F.col("__f") == 1, F.lit("FAILED"))
-                       .when(F.col("__s") == 1, F.lit("SUCCESS")).otherwise(F.lit("IN-PROGRESS"))
-                       .alias("main_status"))
+    first_end = F.min(F.when(kind.isin("error", "main_end"), F.struct(ts.alias("ts"), (kind == "main_end").alias("ok"))))
+    main = events.groupBy("main_task_id").agg(
+        F.min(F.when(kind == "main_start", ts)).alias("main_start_date"), first_end.alias("__end"))
+    main = main.select("main_task_id", "main_start_date", F.col("__end.ts").alias("main_end_date"),
+                       F.when(F.col("__end").isNull(), F.lit("IN-PROGRESS")).when(F.col("__end.ok"), F.lit("SUCCESS"))
+                       .otherwise(F.lit("FAILED")).alias("main_status"))
     return sub.join(main, "main_task_id").select(
-        "task_id", "main_task_id", "start_date", "end_date", "status", "error_count", "main_status")
+        "task_id", "main_task_id", "start_date", "end_date", "status", "error_count",
+        "main_start_date", "main_end_date", "main_status")

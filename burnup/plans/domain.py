@@ -36,14 +36,16 @@ PORTFOLIO_PPM_OFFSET = 500
 ENTRY_DATE_BASE = dt.date(2023, 12, 1)
 SHIP_DATE_BASE = dt.date(1995, 1, 1)
 ENTRY_DATE_SPAN = 61
-# Import scenario: stored entries shipped before STORE_CUTOFF; the new pull holds
-# entries shipped in [BATCH_FROM, BATCH_TO).
-STORE_CUTOFF = dt.date(2000, 1, 1)
-BATCH_FROM = dt.date(1999, 10, 1)
-BATCH_TO = dt.date(2000, 3, 1)
 
 
-_READS: dict[tuple, DataFrame] = {}
+def plans_of(spark: SparkSession) -> dict:
+    """Plans shared within one session. They live on the session object, so they end with it."""
+    return spark.__dict__.setdefault("_burnup_plans", {})
+
+
+def forget_plans(spark: SparkSession) -> None:
+    """Drop the shared plans, for example after table files were rewritten."""
+    plans_of(spark).clear()
 
 
 class Tables:
@@ -60,22 +62,20 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        key = (id(self.spark), self.sf_dir, name)
-        if key not in _READS:
-            _READS[key] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
-        return _READS[key]
+        plans, key = plans_of(self.spark), (self.sf_dir, name)
+        if key not in plans:
+            plans[key] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+        return plans[key]
 
 
 def view(fn):
     """Memoise a derived table per session and folder: a DataFrame is an immutable plan,
     so every operator of a session can share it instead of rebuilding it."""
-    cache: dict[tuple, DataFrame] = {}
-
     def wrapped(t: Tables) -> DataFrame:
-        key = (id(t.spark), t.sf_dir)
-        if key not in cache:
-            cache[key] = fn(t)
-        return cache[key]
+        plans, key = plans_of(t.spark), (t.sf_dir, fn)
+        if key not in plans:
+            plans[key] = fn(t)
+        return plans[key]
     wrapped.__name__ = fn.__name__
     wrapped.__doc__ = fn.__doc__
     return wrapped
@@ -263,19 +263,19 @@ def holiday_dim(t: Tables | None = None, spark: SparkSession | None = None) -> D
     """Calendar of the scenario (fixed values: two Monday holidays, one on a Saturday,
     one optional day)."""
     spark = spark or t.spark
-    key = (id(spark), "holidays")
-    if key in _READS:
-        return _READS[key]
+    plans = plans_of(spark)
+    if "holidays" in plans:
+        return plans["holidays"]
     rows = [
         (dt.datetime(2024, 1, 1), "New Years Day", "US", "US", True),
         (dt.datetime(2024, 1, 13), "Company Day", "US", "US", True),
         (dt.datetime(2024, 1, 15), "Martin Luther King Day", "US", "US", True),
         (dt.datetime(2024, 1, 16), "Optional Day", "US", "US", False),
     ]
-    _READS[key] = spark.createDataFrame(
+    plans["holidays"] = spark.createDataFrame(
         rows, "holiday_date timestamp_ntz, holiday_name string, holiday_country string, "
               "holiday_state string, is_mandatory_holiday boolean")
-    return _READS[key]
+    return plans["holidays"]
 
 
 def _entry_type() -> Column:
@@ -322,17 +322,10 @@ def _lineitem_orders(t: Tables) -> DataFrame:
                            F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def timesheet_entries(t: Tables, where: Column | None = None) -> DataFrame:
+@view
+def timesheet_entries(t: Tables) -> DataFrame:
     """Stored entries (the warehouse fact). Some rows still lack dimension keys."""
-    if where is None:
-        key = (id(t.spark), t.sf_dir, "timesheet_entries")
-        if key not in _READS:
-            _READS[key] = timesheet_entries(t, F.lit(True))
-        return _READS[key]
-    lo = _lineitem_orders(t)
-    if where is not None:
-        lo = lo.where(where)
-    return lo.select(
+    return _lineitem_orders(t).select(
         *_entry_columns(),
         F.col("o_orderdate").alias("date_created"),
         F.lit(True).alias("is_active"),
@@ -346,21 +339,14 @@ def timesheet_entries(t: Tables, where: Column | None = None) -> DataFrame:
         F.lit(None).cast("bigint").alias("date_dim_id"))
 
 
-@view
-def stored_entries_before_import(t: Tables) -> DataFrame:
-    return timesheet_entries(t, F.col("l_shipdate") < lit_ts(dt.datetime.combine(STORE_CUTOFF, dt.time())))
-
-
 @view
 def import_batch(t: Tables) -> DataFrame:
-    """The staged pull (import staging, 18 columns); lines numbered 7 carry no entry id."""
-    lo = _lineitem_orders(t).where(
-        (F.col("l_shipdate") >= lit_ts(dt.datetime.combine(BATCH_FROM, dt.time())))
-        & (F.col("l_shipdate") < lit_ts(dt.datetime.combine(BATCH_TO, dt.time()))))
-    cols = _entry_columns()
-    out = lo.select(*cols)
-    return out.withColumn("entryid", F.when(F.col("level3id") == 7, F.lit(None).cast("bigint"))
-                          .otherwise(F.col("entryid")))
+    """The staged pull (import staging, 18 columns): every entry booked anew on a timesheet of
+    twice the number, so a part of the pulled timesheets is stored already. Lines numbered 7
+    carry no entry id."""
+    out = _lineitem_orders(t).select(*_entry_columns())
+    return out.withColumn("timesheetid", F.col("timesheetid") * 2) \
+        .withColumn("entryid", F.when(F.col("level3id") == 7, F.lit(None).cast("bigint")).otherwise(F.col("entryid")))
 
 
 @view
@@ -407,9 +393,8 @@ def generator_headers(t: Tables) -> DataFrame:
 
 @view
 def generator_existing_entries(t: Tables) -> DataFrame:
-    """Entries already booked in the service: one per purchase event key."""
-    e = t.events.where(F.col("event_type") == "purchase")
-    g = e.groupBy(
+    """Entries already booked in the service: one per user, day, project and task of all events."""
+    g = t.events.groupBy(
         (F.col("user_id") + RESOURCE_PPM_OFFSET).alias("userId"),
         F.to_date("ts").alias("entryDate"),
         (F.col("event_id") % 5 + PROJECT_PPM_OFFSET).alias("project_ppm_id"),
@@ -445,8 +430,7 @@ def generator_timesheets(t: Tables) -> DataFrame:
 
 @view
 def refresh_log(t: Tables) -> DataFrame:
-    n = t.nation.where(F.col("n_nationkey") % 6 == 0)
-    k = F.col("n_nationkey")
+    n, k = t.nation, F.col("n_nationkey")
     first = F.struct(lit_date("2024-01-05").alias("from_date"), lit_date("2024-01-20").alias("to_date"))
     second = F.struct(lit_date("2024-01-10").alias("from_date"), lit_date("2024-01-12").alias("to_date"))
     reqs = n.select(k.cast("bigint").alias("team_dim_id"),
@@ -466,11 +450,15 @@ def push_acknowledgements(payload: DataFrame) -> DataFrame:
 
 @view
 def dead_letter_seed(t: Tables) -> DataFrame:
-    """Dead letter left by an earlier run: one row for every seventh generator timesheet."""
-    h = generator_headers(t).where(F.col("timesheetId") % 7 == 0)
-    return h.select(
-        F.lit(0).alias("companyId"), F.lit(1).alias("entryTypeId"), "timesheetId", "userId",
-        (F.col("userId") % 200 + PROJECT_PPM_OFFSET).alias("level1Id"), F.lit(1).cast("bigint").alias("level2Id"),
-        F.col("startDate").alias("entryDate"), F.lit(0).cast("bigint").alias("entryId"),
+    """Dead letter left by an earlier run: one row per supplier, on a timesheet of the resource
+    of the same number."""
+    k = F.col("s_suppkey")
+    week = (k % 4).cast("int")
+    return t.supplier.select(
+        F.lit(0).alias("companyId"), F.lit(1).alias("entryTypeId"),
+        (k * 10 + week).alias("timesheetId"), (k + RESOURCE_PPM_OFFSET).alias("userId"),
+        ((k + RESOURCE_PPM_OFFSET) % 200 + PROJECT_PPM_OFFSET).alias("level1Id"),
+        F.lit(1).cast("bigint").alias("level2Id"),
+        F.date_add(lit_date("2024-01-01"), week * 7).alias("entryDate"), F.lit(0).cast("bigint").alias("entryId"),
         F.lit(1).cast("bigint").alias("level3Id"), F.lit(1.0).alias("entryHours"),
         lit_ts("2024-01-17 00:00:00").alias("created_date"))

@@ -131,17 +131,14 @@ SELECT timesheetid, companyid, entrydate, entryhours, entryid, entrytypeid, exte
        CASE WHEN l_linenumber = 2 THEN NULL ELSE o_custkey END AS resource_dim_id,
        CAST(NULL AS BIGINT) AS team_dim_id, CAST(NULL AS BIGINT) AS project_dim_id,
        CASE WHEN l_linenumber = 1 THEN CAST(0 AS BIGINT) END AS portfolio_dim_id,
-       CAST(NULL AS BIGINT) AS task_dim_id, CAST(NULL AS BIGINT) AS date_dim_id, l_shipdate
+       CAST(NULL AS BIGINT) AS task_dim_id, CAST(NULL AS BIGINT) AS date_dim_id
 FROM entry_cols""",
-    "stored_entries": """
-SELECT * EXCLUDE (l_shipdate) FROM timesheet_entries WHERE l_shipdate < TIMESTAMP '2000-01-01 00:00:00'""",
     "import_batch": """
-SELECT timesheetid, companyid, entrydate, entryhours,
-       CASE WHEN level3id = 7 THEN NULL ELSE entryid END AS entryid, entrytypeid, externalid,
+SELECT 2 * timesheetid AS timesheetid, companyid, entrydate, entryhours,
+       CASE WHEN level3id <> 7 THEN entryid END AS entryid, entrytypeid, externalid,
        internalrate, billablerate, isbillable, isproductive, level1id, level2id, level3id, locationid,
        notes, state, userid
-FROM entry_cols
-WHERE l_shipdate >= TIMESTAMP '1999-10-01 00:00:00' AND l_shipdate < TIMESTAMP '2000-03-01 00:00:00'""",
+FROM entry_cols""",
     "date_dimension": """
 SELECT CAST(strftime(dt, '%Y%m%d') AS BIGINT) AS sk_date, dt
 FROM (SELECT DISTINCT edate AS dt FROM li)""",
@@ -154,23 +151,23 @@ FROM (SELECT c_custkey, unnest(generate_series(0, 3)) AS w FROM customer)""",
 SELECT user_id + 100000 AS userId, CAST(ts AS DATE) AS entryDate,
        event_id % 5 + 7000 AS project_ppm_id, event_id % 3 + 1 AS task_ppm_id,
        min(event_id) AS entryId, CAST(count(*) AS DECIMAL(18,2)) AS entryHours
-FROM events WHERE event_type = 'purchase'
-GROUP BY 1, 2, 3, 4""",
+FROM events GROUP BY 1, 2, 3, 4""",
     "timesheet_data": """
 SELECT h.timesheetId, h.userId, h.startDate, h.endDate, e.entryId, e.entryDate, e.entryHours,
        e.project_ppm_id, e.task_ppm_id
 FROM generator_headers h LEFT JOIN generator_existing_entries e
   ON h.userId = e.userId AND e.entryDate BETWEEN h.startDate AND h.endDate""",
     "dead_letter_seed": """
-SELECT 0 AS companyId, 1 AS entryTypeId, timesheetId, userId, userId % 200 + 7000 AS level1Id,
-       CAST(1 AS BIGINT) AS level2Id, startDate AS entryDate, CAST(0 AS BIGINT) AS entryId,
+SELECT 0 AS companyId, 1 AS entryTypeId, 10 * s_suppkey + s_suppkey % 4 AS timesheetId, s_suppkey + 100000 AS userId,
+       (s_suppkey + 100000) % 200 + 7000 AS level1Id, CAST(1 AS BIGINT) AS level2Id,
+       DATE '2024-01-01' + CAST(7 * (s_suppkey % 4) AS INTEGER) AS entryDate, CAST(0 AS BIGINT) AS entryId,
        CAST(1 AS BIGINT) AS level3Id, CAST(1 AS DOUBLE) AS entryHours,
        TIMESTAMP '2024-01-17 00:00:00' AS created_date
-FROM generator_headers WHERE timesheetId % 7 = 0""",
+FROM supplier""",
     "refresh_log": """
 SELECT CAST(n_nationkey AS BIGINT) AS team_dim_id, DATE '2024-01-05' AS from_date, DATE '2024-01-20' AS to_date,
        n_nationkey = 12 AS is_timesheet_refreshed
-FROM nation WHERE n_nationkey % 6 = 0
+FROM nation
 UNION ALL
 SELECT CAST(n_nationkey AS BIGINT), DATE '2024-01-10', DATE '2024-01-12', n_nationkey = 12
 FROM nation WHERE n_nationkey = 0""",
@@ -180,11 +177,9 @@ FROM nation WHERE n_nationkey = 0""",
 DEPENDS = {
     "entry_cols": ["li"],
     "timesheet_entries": ["entry_cols"],
-    "stored_entries": ["timesheet_entries"],
     "import_batch": ["entry_cols"],
     "date_dimension": ["li"],
     "timesheet_data": ["generator_headers", "generator_existing_entries"],
-    "dead_letter_seed": ["generator_headers"],
 }
 
 

@@ -70,29 +70,32 @@ LEFT JOIN projects_dim p ON p.pv_project_dim_id = f.pv_project_dim_id"""),
 
 POP_CTES = (
     *PLAN_CTES,
-    ("a5u", f"""
-SELECT d.resource_ppm_id, min(a.sprint_start_date) AS sprint_start_date
-FROM closed a JOIN user_team_map c ON a.team_dim_id = c.team_dim_id
-JOIN resource_dim d ON c.user_dim_id = d.resource_dim_id AND c.team_entry_date <= a.sprint_start_date
- AND coalesce(c.team_exit_date, {AS_OF}) >= a.sprint_end_date
-WHERE {A6_WHERE}
-GROUP BY d.resource_ppm_id"""),
-    ("tsd", """
-SELECT * FROM timesheet_data WHERE userId IN (SELECT resource_ppm_id FROM a5u)
-  AND endDate >= (SELECT CAST(min(sprint_start_date) AS DATE) FROM a5u)"""),
-    ("dist_ts", "SELECT DISTINCT timesheetId, userId, startDate, endDate FROM tsd"),
+    # A5: the first qualifying sprint that one of a resource's memberships spans, ends included
+    ("due_user", f"""
+SELECT r.resource_ppm_id, min(c.sprint_start_date) AS first_start
+FROM resource_dim r, closed c
+WHERE {A6_WHERE.replace('a.', 'c.')}
+  AND EXISTS (SELECT 1 FROM user_team_map w WHERE w.user_dim_id = r.resource_dim_id AND w.team_dim_id = c.team_dim_id
+              AND w.team_entry_date <= c.sprint_start_date AND ifnull(w.team_exit_date, {AS_OF}) >= c.sprint_end_date)
+GROUP BY r.resource_ppm_id"""),
+    ("wanted", """
+SELECT t.* FROM timesheet_data t SEMI JOIN due_user u ON u.resource_ppm_id = t.userId
+WHERE t.endDate >= (SELECT min(first_start)::DATE FROM due_user)"""),
+    ("header", "SELECT timesheetId, userId, startDate, endDate FROM wanted GROUP BY ALL"),
+    ("due", """
+SELECT h.timesheetId, p.resource_ppm_id AS userId, p.project_ppm_id, p.task_ppm_id, p.date_of_sprint AS entryDate,
+       p.resource_role_id, p.per_day_time_spent
+FROM header h, plan p WHERE p.resource_ppm_id = h.userId AND p.date_of_sprint >= h.startDate AND p.date_of_sprint <= h.endDate"""),
+    ("booked", """
+SELECT timesheetId, userId, project_ppm_id, task_ppm_id, entryDate, entryId FROM wanted
+WHERE entryId IS NOT NULL AND entryDate >= startDate AND entryDate <= endDate"""),
+    # C4: what is booked already keeps its id, all else is new
     ("pop", """
-SELECT 0 AS companyId, 1 AS entryTypeId, dist_ts.timesheetId, dwts.resource_ppm_id AS userId,
-       dwts.project_ppm_id AS level1Id, dwts.task_ppm_id AS level2Id,
-       strftime(dwts.date_of_sprint, '%Y/%m/%d') AS entryDate, coalesce(pvts.entryId, 0) AS entryId,
-       dwts.resource_role_id AS level3Id, dwts.per_day_time_spent AS entryHours
-FROM plan dwts
-JOIN dist_ts ON dwts.resource_ppm_id = dist_ts.userId
- AND dwts.date_of_sprint BETWEEN dist_ts.startDate AND dist_ts.endDate
-LEFT JOIN tsd pvts ON dwts.resource_ppm_id = pvts.userId AND dwts.project_ppm_id = pvts.project_ppm_id
- AND dwts.task_ppm_id = pvts.task_ppm_id AND dwts.date_of_sprint = pvts.entryDate
- AND pvts.userId = dist_ts.userId AND pvts.timesheetId = dist_ts.timesheetId
- AND dwts.date_of_sprint BETWEEN pvts.startDate AND pvts.endDate"""),
+SELECT 0 AS companyId, 1 AS entryTypeId, timesheetId, userId, project_ppm_id AS level1Id, task_ppm_id AS level2Id,
+       strftime(entryDate, '%Y/%m/%d') AS entryDate, entryId, resource_role_id AS level3Id, per_day_time_spent AS entryHours
+FROM (SELECT d.*, b.entryId FROM due d JOIN booked b USING (timesheetId, userId, project_ppm_id, task_ppm_id, entryDate)
+      UNION ALL
+      SELECT d.*, 0 FROM due d ANTI JOIN booked b USING (timesheetId, userId, project_ppm_id, task_ppm_id, entryDate))"""),
 )
 
 
@@ -174,8 +177,8 @@ def team_hours_vs_capacity_check(spark, sf_dir):
 @query("timesheet_user_list", """
 SELECT CAST(floor(resource_ppm_id / 1000) AS BIGINT) AS user_batch,
        string_agg(CAST(resource_ppm_id AS VARCHAR), ', ' ORDER BY resource_ppm_id) AS user_list,
-       (SELECT strftime(min(sprint_start_date), '%Y/%m/%d') FROM a5u) AS min
-FROM a5u GROUP BY floor(resource_ppm_id / 1000)""", ctes=POP_CTES)
+       (SELECT strftime(min(first_start), '%Y/%m/%d') FROM due_user) AS min
+FROM due_user GROUP BY floor(resource_ppm_id / 1000)""", ctes=POP_CTES)
 def timesheet_user_list(spark, sf_dir):
     t, s1, fact, s2, numbers = _closed(spark, sf_dir)
     return ef.timesheet_user_list(s2, d.user_team_map(t), d.resource_dim(t), d.AS_OF)
@@ -194,17 +197,46 @@ def timesheet_population(spark, sf_dir):
     return _population(spark, sf_dir)[1]
 
 
-def payload_summary(payload):
-    hours = F.aggregate("entriesProject", F.lit(0.0), lambda acc, x: acc + x["entryHours"])
-    return payload.groupBy("timesheetId", "userId").agg(
-        F.sum(F.size("entriesProject")).alias("n_entries"), F.round(F.sum(hours), 6).alias("entry_hours"))
+def payload_records(payload):
+    """Every record of every payload list, with its place in the list."""
+    e = payload.select("userId", "chunk", F.posexplode("entriesProject").alias("place", "r"))
+    return e.select("userId", "chunk", "place", "r.*")
 
 
-@query("timesheet_payload", """
-SELECT timesheetId, userId, count(*) AS n_entries, round(sum(entryHours), 6) AS entry_hours
-FROM pop GROUP BY timesheetId, userId""", ctes=POP_CTES)
+# The list of a chunk is sorted by the records' fields, NULLs first.
+RECORDS_SQL = """
+SELECT userId, entryDate AS chunk,
+       CAST(row_number() OVER (PARTITION BY timesheetId, userId, entryDate ORDER BY level1Id NULLS FIRST, level2Id NULLS FIRST,
+            entryId NULLS FIRST, level3Id NULLS FIRST, entryHours NULLS FIRST) - 1 AS INTEGER) AS place,
+       companyId, entryTypeId, timesheetId, level1Id, level2Id, entryDate, entryId, level3Id, entryHours
+FROM pop"""
+
+
+@query("timesheet_payload", RECORDS_SQL, ctes=POP_CTES)
 def timesheet_payload(spark, sf_dir):
-    return payload_summary(ns.timesheet_payload(cut_lineage(_population(spark, sf_dir)[1])))
+    return payload_records(ns.timesheet_payload(_population(spark, sf_dir)[1]))
+
+
+@query("payload_json", """
+SELECT timesheetId, userId, entryDate AS chunk, count(*) AS n_entries, sum(level2Id)::BIGINT AS level2_sum, min(entryId) AS first_entry
+FROM pop GROUP BY timesheetId, userId, entryDate""", ctes=POP_CTES)
+def payload_json(spark, sf_dir):
+    """N5, read back from its JSON text."""
+    sent = ns.payload_json(ns.timesheet_payload(_population(spark, sf_dir)[1]))
+    back = F.from_json("payload", "timesheetId bigint, userId bigint, entriesProject array<struct<level2Id:bigint,entryId:bigint>>")
+    e = sent.select("chunk", back.alias("p"))
+    total = F.aggregate("p.entriesProject", F.lit(0).cast("bigint"), lambda x, y: x + F.coalesce(y["level2Id"], F.lit(0)))
+    return e.select("p.timesheetId", "p.userId", "chunk", F.size("p.entriesProject").cast("bigint").alias("n_entries"),
+                    total.alias("level2_sum"), F.array_min(F.transform("p.entriesProject", lambda x: x["entryId"])).alias("first_entry"))
+
+
+@query("payload_service_names", """
+SELECT companyId, entryTypeId, timesheetId, userId, level1Id, level2Id, entryDate, entryId, level3Id, entryHours FROM pop""",
+       ctes=POP_CTES)
+def payload_service_names(spark, sf_dir):
+    """Rows as a database returns them, names in lower case, renamed for the service."""
+    rows = _population(spark, sf_dir)[1]
+    return ns.to_service_names(rows.toDF(*[c.lower() for c in rows.columns]))
 
 
 @query("mark_populated", """
@@ -231,10 +263,10 @@ DL_COLS = ", ".join(ef.DEAD_LETTER_COLS)
 
 
 def _dead_letter_inputs(spark, sf_dir):
-    """The pushed rows are a materialised table (as in the generation chain C5): the
-    payload, the acknowledgements and the dead letter all read them."""
+    """The pushed rows are a written table (as in the generation chain C5): the payload,
+    the acknowledgements and the dead letter all read them."""
     t, rows = _population(spark, sf_dir)
-    return t, cut_lineage(rows), d.dead_letter_seed(t)
+    return t, cut_lineage(rows, "rows"), d.dead_letter_seed(t)
 
 
 @query("dead_letter_append", f"SELECT {DL_COLS} FROM dl1", ctes=DL_CTES)
@@ -250,34 +282,48 @@ def apply_push_result(spark, sf_dir):
     return ef.apply_push_result(seed, rows, d.push_acknowledgements, d.AS_OF)
 
 
-@query("generate_timesheets", """
-SELECT timesheetId, userId, count(*) AS n_entries, round(sum(entryHours), 6) AS entry_hours,
-       timesheetId % 11 <> 0 AS ok
-FROM pop GROUP BY timesheetId, userId""", ctes=POP_CTES)
-def generate_timesheets(spark, sf_dir):
+def _generated(spark, sf_dir):
     t = _t(spark, sf_dir)
-    out = ef.generate_timesheets(
+    return t, ef.generate_timesheets(
         d.sprint_summary(t), d.sprint_issues(t), d.user_team_map(t), d.resource_dim(t), d.team_dim(t),
-        d.projects_dim(t), d.generator_timesheet_rows(t), d.dead_letter_seed(t), holiday_array(d.holiday_dim(t)),
+        d.projects_dim(t), d.generator_timesheet_rows(t), holiday_array(d.holiday_dim(t)),
         d.push_acknowledgements, d.AS_OF)
-    ok = out["acks"].groupBy("timesheetId", "userId").agg(F.min(F.col("ok").cast("int")).alias("__ok"))
-    return payload_summary(out["payload"]).join(ok, ["timesheetId", "userId"]) \
-        .select("timesheetId", "userId", "n_entries", "entry_hours", (F.col("__ok") == 1).alias("ok"))
+
+
+@query("generate_timesheets", f"SELECT r.*, timesheetId % 11 <> 0 AS ok FROM ({RECORDS_SQL}) r", ctes=POP_CTES)
+def generate_timesheets(spark, sf_dir):
+    """The records sent, with the service's answer for their chunk."""
+    out = _generated(spark, sf_dir)[1]
+    return payload_records(out["payload"]).join(out["acks"].select("timesheetId", "userId", "chunk", "ok"),
+                                                ["timesheetId", "userId", "chunk"])
+
+
+@query("generate_timesheets_sprints", """
+SELECT sprint_number, team_dim_id, is_metrics_updated,
+       sprint_number IN (FROM alist) AND EXISTS (FROM due_user) OR is_timesheet_populated AS is_timesheet_populated
+FROM closed""", ctes=POP_CTES)
+def generate_timesheets_sprints(spark, sf_dir):
+    """C5's sprint table after U22."""
+    return _generated(spark, sf_dir)[1]["sprints"].select("sprint_number", "team_dim_id", "is_metrics_updated", "is_timesheet_populated")
+
+
+@query("generate_timesheets_dead_letter", f"SELECT {DL_COLS} FROM dl1 WHERE timesheetId % 11 = 0", ctes=DL_CTES)
+def generate_timesheets_dead_letter(spark, sf_dir):
+    """C5's dead letter after push and retry."""
+    t, out = _generated(spark, sf_dir)
+    return ef.apply_push_result(d.dead_letter_seed(t), out["rows"], d.push_acknowledgements, d.AS_OF, out["payload"])
 
 
 @query("draft_population", """
-WITH td AS (
-  SELECT x1.timesheetId, x1.userId, x1.startDate, x1.endDate, x2.entryId, x2.entryDate
-  FROM (SELECT DISTINCT timesheetId, userId, startDate, endDate FROM tsd) x1
-  LEFT JOIN (SELECT timesheetId, entryId, entryDate FROM tsd WHERE entryId IS NOT NULL) x2
-    ON x1.timesheetId = x2.timesheetId)
-SELECT strftime(pd.date_of_sprint, '%Y/%m/%d') AS date_of_sprint, pd.resource_ppm_id, pd.per_day_time_spent,
-       pd.project_ppm_id, pd.task_ppm_id, pd.resource_role_id, td.timesheetId, td.entryId AS entryid,
-       strftime(td.entryDate, '%Y/%m/%d') AS entrydate
-FROM plan pd JOIN td ON pd.resource_ppm_id = td.userId
- AND CASE WHEN td.entryDate IS NULL THEN pd.date_of_sprint BETWEEN td.startDate AND td.endDate
-          ELSE pd.date_of_sprint = td.entryDate END""", ctes=POP_CTES)
+SELECT strftime(p.date_of_sprint, '%Y/%m/%d') AS date_of_sprint, p.resource_ppm_id, p.per_day_time_spent, p.project_ppm_id,
+       p.task_ppm_id, p.resource_role_id, x.timesheetId, x.entryId AS entryid, strftime(x.entryDate, '%Y/%m/%d') AS entrydate
+FROM plan p JOIN (
+  SELECT timesheetId, userId, entryId, entryDate, entryDate AS from_day, entryDate AS to_day FROM wanted WHERE entryId IS NOT NULL
+  UNION ALL
+  SELECT timesheetId, userId, NULL, NULL, startDate, endDate FROM header
+  WHERE timesheetId NOT IN (SELECT timesheetId FROM wanted WHERE entryId IS NOT NULL)) x
+  ON x.userId = p.resource_ppm_id AND x.from_day <= p.date_of_sprint AND p.date_of_sprint <= x.to_day""", ctes=POP_CTES)
 def draft_population(spark, sf_dir):
     t, s1, fact, s2, numbers, plan = _frames(spark, sf_dir)
     users = ef.timesheet_users(s2, d.user_team_map(t), d.resource_dim(t), d.AS_OF)
-    return ef.draft_timesheet_population(plan, ef.requested_timesheets(d.generator_timesheets(t), users))
+    return ef.draft_timesheet_population(plan, ef.requested_timesheets(d.generator_timesheet_rows(t), users))

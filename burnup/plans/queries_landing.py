@@ -61,30 +61,28 @@ def land_entity(spark, sf_dir):
     return landed_projects(spark, sf_dir)
 
 
-DIM_COLS = ["pv_project_dim_id", "project_ppm_id", "pv_project_name", "pv_aha_id", "category", "portfolio_dim_id",
-            "is_maintenance_project"]
-
-
+# The dimension before the load: one project per supplier, of the same number as a part's.
 @query("dimension_upsert", f"""
 WITH landed AS ({LANDED_SQL}),
-tgt AS (SELECT {', '.join(DIM_COLS)} FROM projects_dim WHERE pv_project_dim_id % 2 = 0),
-stg AS (SELECT CAST(l.id AS VARCHAR) AS project_ppm_id, l.title AS pv_project_name, l.ahaid AS pv_aha_id,
-               l.category, pd.portfolio_dim_id
-        FROM landed l LEFT JOIN portfolio_dim pd ON TRY_CAST(pd.portfolio_ppm_id AS BIGINT) = l.associatedportfolio)
-SELECT t.pv_project_dim_id, t.project_ppm_id,
-       CASE WHEN s.project_ppm_id IS NOT NULL THEN s.pv_project_name ELSE t.pv_project_name END AS pv_project_name,
-       CASE WHEN s.project_ppm_id IS NOT NULL THEN coalesce(s.pv_aha_id, t.pv_aha_id) ELSE t.pv_aha_id END AS pv_aha_id,
-       CASE WHEN s.project_ppm_id IS NOT NULL THEN s.category ELSE t.category END AS category,
-       CASE WHEN s.project_ppm_id IS NOT NULL THEN s.portfolio_dim_id ELSE t.portfolio_dim_id END AS portfolio_dim_id,
-       t.is_maintenance_project
-FROM tgt t LEFT JOIN stg s ON t.project_ppm_id = s.project_ppm_id
-UNION ALL
-SELECT (SELECT coalesce(max(pv_project_dim_id), 0) FROM tgt) + row_number() OVER (ORDER BY s.project_ppm_id),
-       s.project_ppm_id, s.pv_project_name, s.pv_aha_id, s.category, s.portfolio_dim_id, CAST(NULL AS BOOLEAN)
-FROM stg s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.project_ppm_id = s.project_ppm_id)""")
+known AS (SELECT s_suppkey AS key, CAST(s_suppkey + 7000 AS VARCHAR) AS ppm, s_name AS name,
+                 if(s_suppkey % 4 = 0, concat('S', s_suppkey), NULL) AS aha, s_suppkey % 2 = 0 AS kept FROM supplier),
+staged AS (SELECT CAST(id AS VARCHAR) AS ppm, title, ahaid, category,
+                  (SELECT min(portfolio_dim_id) FROM portfolio_dim f WHERE f.portfolio_ppm_id = CAST(associatedportfolio AS VARCHAR)) AS pf
+           FROM landed),
+merged AS (SELECT k.key, coalesce(k.ppm, s.ppm) AS ppm, s.ppm IS NOT NULL AS hit, k.name, s.title, k.aha, s.ahaid, s.category, s.pf, k.kept
+         FROM known k FULL JOIN staged s ON k.ppm = s.ppm)
+SELECT coalesce(key, (SELECT max(key) FROM known) + count(*) FILTER (key IS NULL) OVER (ORDER BY ppm)) AS pv_project_dim_id,
+       ppm AS project_ppm_id, if(hit, title, name) AS pv_project_name, coalesce(if(hit, ahaid, aha), aha) AS pv_aha_id,
+       if(hit, category, 'none') AS category, if(hit, pf, NULL) AS portfolio_dim_id, kept AS is_maintenance_project
+FROM merged""")
 def dimension_upsert(spark, sf_dir):
     t = d.Tables(spark, sf_dir)
-    target = d.projects_dim(t).where(F.col("pv_project_dim_id") % 2 == 0).select(*DIM_COLS)
+    k = F.col("s_suppkey")
+    target = t.supplier.select(
+        k.alias("pv_project_dim_id"), (k + d.PROJECT_PPM_OFFSET).cast("string").alias("project_ppm_id"),
+        F.col("s_name").alias("pv_project_name"), F.when(k % 4 == 0, F.concat(F.lit("S"), k.cast("string"))).alias("pv_aha_id"),
+        F.lit("none").alias("category"), F.lit(None).cast("bigint").alias("portfolio_dim_id"),
+        (k % 2 == 0).alias("is_maintenance_project"))
     landed = landed_projects(spark, sf_dir)
     pd_ = d.portfolio_dim(t).select(F.col("portfolio_ppm_id").try_cast("bigint").alias("__ppm"),
                                     "portfolio_dim_id")

@@ -33,24 +33,24 @@ def time_reportable(spark, sf_dir):
         "task_dim_id", "is_time_reportable")
 
 
+def _laid_over(issues: str, found: str, key: str, maintenance: str) -> str:
+    """Issues without a portfolio take what was found for their key."""
+    hit = "i.is_active AND i.portfolio_dim_id IS NULL AND f.pv IS NOT NULL"
+    return f"""
+SELECT i.* REPLACE (if({hit}, f.pf, i.portfolio_dim_id) AS portfolio_dim_id, if({hit}, f.pv, i.pv_project_dim_id) AS pv_project_dim_id,
+                    if({hit}, {maintenance}, i.is_maintenance) AS is_maintenance)
+FROM {issues} i LEFT JOIN {found} f USING ({key})"""
+
+
 def _u16_ctes(projects: str):
-    cand = ("c16", f"""
-SELECT e.epic_dim_id, min(pp.pv_project_dim_id) AS pv
-FROM epic_dim e JOIN {projects} pp
-  ON trim(reverse(split_part(reverse(e.aha_reference), '/', 1))) = pp.pv_aha_id OR e.aha_reference = pp.pv_aha_id
-GROUP BY e.epic_dim_id""")
-    cand_pf = ("c16p", f"""
-SELECT c.epic_dim_id, c.pv, pd.portfolio_dim_id AS pf
-FROM c16 c JOIN {projects} pp ON pp.pv_project_dim_id = c.pv
-LEFT JOIN portfolio_dim pd ON pp.portfolio_dim_id = pd.portfolio_dim_id""")
-    u16 = ("u16", """
-SELECT i.* EXCLUDE (h, pf, pv) REPLACE (
-  CASE WHEN h THEN pf ELSE i.portfolio_dim_id END AS portfolio_dim_id,
-  CASE WHEN h THEN pv ELSE i.pv_project_dim_id END AS pv_project_dim_id,
-  CASE WHEN h THEN FALSE ELSE i.is_maintenance END AS is_maintenance)
-FROM (SELECT i.*, c.pf, c.pv, c.epic_dim_id IS NOT NULL AND i.is_active = TRUE AND i.portfolio_dim_id IS NULL AS h
-      FROM sprint_issues i LEFT JOIN c16p c ON i.epic_dim_id = c.epic_dim_id) i""")
-    return cand, cand_pf, u16
+    """An epic's references are its whole reference and the last part of that path."""
+    reference = ("epic_reference", """
+SELECT epic_dim_id, unnest([aha_reference, trim(string_split(aha_reference, '/')[-1])]) AS ref FROM epic_dim""")
+    found = ("epic_project", f"""
+SELECT DISTINCT ON (epic_dim_id) epic_dim_id, p.pv_project_dim_id AS pv, f.portfolio_dim_id AS pf
+FROM {projects} p JOIN epic_reference ON ref = pv_aha_id LEFT JOIN portfolio_dim f USING (portfolio_dim_id)
+ORDER BY epic_dim_id, p.pv_project_dim_id""")
+    return reference, found, ("u16", _laid_over("sprint_issues", "epic_project", "epic_dim_id", "FALSE"))
 
 
 ISSUE_COLS = "issue_id, portfolio_dim_id, pv_project_dim_id, is_maintenance"
@@ -66,24 +66,13 @@ def issue_portfolio_by_epic(spark, sf_dir):
 U17_CTES = (
     ("p8", U8_SQL),
     *_u16_ctes("p8"),
-    ("c17", """
-SELECT jp.project_dim_id, min(ppd.pv_project_dim_id) AS pv
-FROM jira_project_dim jp
-JOIN (p8 ppd LEFT JOIN portfolio_dim pp ON pp.portfolio_dim_id = ppd.portfolio_dim_id)
-  ON lower(replace(trim(jp.project_name), ' ', '')) LIKE '%' || lower(replace(trim(pp.portfolio_name), ' ', '%')) || '%'
-WHERE lower(ppd.category) <> 'services' AND ppd.is_maintenance_project = TRUE
-GROUP BY jp.project_dim_id"""),
-    ("c17p", """
-SELECT c.project_dim_id, c.pv, pd.portfolio_dim_id AS pf
-FROM c17 c JOIN p8 pp ON pp.pv_project_dim_id = c.pv
-LEFT JOIN portfolio_dim pd ON pp.portfolio_dim_id = pd.portfolio_dim_id"""),
-    ("u17", """
-SELECT i.* EXCLUDE (h, pf, pv) REPLACE (
-  CASE WHEN h THEN pf ELSE i.portfolio_dim_id END AS portfolio_dim_id,
-  CASE WHEN h THEN pv ELSE i.pv_project_dim_id END AS pv_project_dim_id,
-  CASE WHEN h THEN TRUE ELSE i.is_maintenance END AS is_maintenance)
-FROM (SELECT u.*, c.pf, c.pv, c.project_dim_id IS NOT NULL AND u.is_active = TRUE AND u.portfolio_dim_id IS NULL AS h
-      FROM u16 u LEFT JOIN c17p c ON u.project_dim_id = c.project_dim_id) i"""),
+    ("name_project", """
+SELECT DISTINCT ON (j.project_dim_id) j.project_dim_id, p.pv_project_dim_id AS pv, f.portfolio_dim_id AS pf
+FROM portfolio_dim f JOIN p8 p USING (portfolio_dim_id), jira_project_dim j
+WHERE p.is_maintenance_project AND lower(p.category) <> 'services'
+  AND replace(trim(j.project_name), ' ', '') ILIKE concat('%', replace(trim(f.portfolio_name), ' ', '%'), '%')
+ORDER BY j.project_dim_id, p.pv_project_dim_id"""),
+    ("u17", _laid_over("u16", "name_project", "project_dim_id", "TRUE")),
 )
 
 
@@ -106,9 +95,8 @@ def consultant_flag(spark, sf_dir):
 
 
 @query("remove_system_users", """
-SELECT * FROM user_team_map WHERE user_dim_id NOT IN
-  (SELECT u.user_dim_id FROM user_team_map u JOIN resource_dim r ON u.user_dim_id = r.resource_dim_id
-   WHERE type IS NULL)""")
+FROM user_team_map m ANTI JOIN (SELECT resource_dim_id FROM resource_dim WHERE type IS NULL) x ON x.resource_dim_id = m.user_dim_id
+SELECT m.*""")
 def remove_system_users(spark, sf_dir):
     t = _t(spark, sf_dir)
     return mp.remove_system_users(d.user_team_map(t), d.resource_dim(t))

@@ -39,5 +39,5 @@ def as_doubles(df: DataFrame) -> DataFrame:
 def load_all() -> tuple[dict, dict]:
     """Import every module that registers queries; returns (queries, oracle SQL)."""
     from burnup.plans import (queries_effort, queries_entries, queries_landing,  # noqa: F401
-                              queries_mapping, queries_quality, queries_sprints)
+                              queries_mapping, queries_more, queries_quality, queries_sprints)
     return QUERIES, ORACLE

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale; tests and the bench override the partition count.
 _DEFAULTS = {
@@ -16,6 +18,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A partition counts as skewed above 4x the median and 128 MB; AQE splits it.
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -50,25 +53,34 @@ def get_session(app: str = "burnup", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names shared storage and is used as is. Only when it
-    is unset (local tests) a fresh local folder is created and registered.
+    On a cluster that setting names shared storage and is used as is; without it this
+    raises, as a folder of the driver's machine is not seen by executors. Only a
+    ``local`` session (tests) gets a fresh local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="burnup-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back.
+
+    Later plans prune its columns and know its size, and neither a lost executor nor a
+    retry replays what is before it.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"burnup-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from burnup.functions.expr import null_token
+from burnup.operators.apply import one_row_per_key
+from burnup.session import cut_lineage
 
 FIELD_MAP_TYPE = "map<string,bigint>"
 STAGING_LENGTH = 100
@@ -102,26 +104,27 @@ def entity_extract(spark: SparkSession, path: str, fields: Sequence[tuple[str, T
     return spark.read.schema(schema).json(path)
 
 
-def assign_keys(rows: DataFrame, order_col: str, start: Column | int, key_col: str,
-                partitions: int = 64) -> DataFrame:
+def assign_keys(rows: DataFrame, order_col: str, start: Column | int, key_col: str) -> DataFrame:
     """Consecutive surrogate keys ``start + 1, start + 2, ...`` in ``order_col`` order,
     without a single-partition window.
 
-    Rows are range partitioned and sorted on the (unique) order column; each partition
-    counts its rows, a window over the per-partition counts (one row per partition)
-    gives each partition its offset, and a row's key is start + offset + its index
-    inside the partition.
+    The rows are range partitioned on the order column, sorted, and written once with
+    their partition and their index in it. Counts and offsets come from that written
+    table, so both sides see the same partitions whatever a recomputation would have
+    sampled. A window over one row per partition gives the offsets; a row's key is
+    start + offset + index + 1.
     """
     start = start if isinstance(start, Column) else F.lit(start)
-    ranged = rows.repartitionByRange(partitions, order_col).sortWithinPartitions(order_col) \
-        .withColumn("__pid", F.spark_partition_id()) \
-        .withColumn("__mono", F.monotonically_increasing_id())
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mono").alias("__base"))
+    mono = F.monotonically_increasing_id()  # partition in the upper bits, index in the lower 33
+    ranged = cut_lineage(rows.repartitionByRange(F.col(order_col)).sortWithinPartitions(order_col)
+                         .withColumn("__mono", mono), "keys")
+    ranged = ranged.select("*", F.shiftright("__mono", 33).alias("__pid"),
+                           F.col("__mono").bitwiseAND(F.lit((1 << 33) - 1)).alias("__index")).drop("__mono")
+    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", "__base", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
-    j = ranged.join(F.broadcast(offsets), "__pid")
-    key = start + F.col("__off") + (F.col("__mono") - F.col("__base")) + 1
-    return j.withColumn(key_col, key.cast("bigint")).drop("__pid", "__mono", "__n", "__base", "__off")
+    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    key = start + F.col("__off") + F.col("__index") + 1  # one offset row per partition: a small side
+    return ranged.join(offsets, "__pid").withColumn(key_col, key.cast("bigint")).drop("__pid", "__index", "__off")
 
 
 def dimension_upsert(target: DataFrame, staged: DataFrame, natural_key: str, surrogate_key: str,
@@ -131,12 +134,19 @@ def dimension_upsert(target: DataFrame, staged: DataFrame, natural_key: str, sur
     Matched rows take the staged values, except ``keep_always`` columns (maintained by
     hand) and ``keep_if_null`` columns where the staged value is NULL; the surrogate
     key is kept. Unmatched target rows stay. New staged rows get the next surrogate
-    keys in natural-key order. ``staged`` must hold one row per natural key.
+    keys in natural-key order. Of several staged rows of one key the smallest (by all
+    its columns) counts. A NULL key equals none, as in SQL: such target rows stay as
+    they are and such staged rows are new.
     """
     cols = target.columns
-    s = staged.select(*[F.col(c).alias(f"s__{c}") for c in staged.columns])
-    j = target.join(s, target[natural_key] == s[f"s__{natural_key}"], "full_outer")
-    matched = F.col(natural_key).isNotNull() & F.col(f"s__{natural_key}").isNotNull()
+    rest = [c for c in staged.columns if c != natural_key]
+    keyed = one_row_per_key(staged.where(F.col(natural_key).isNotNull()), natural_key, rest or [natural_key])
+    s = keyed.unionByName(staged.where(F.col(natural_key).isNull())) \
+        .select(*[F.col(c).alias(f"s__{c}") for c in staged.columns], F.lit(True).alias("__staged"))
+    t = target.withColumn("__target", F.lit(True))
+    # Joined once and written: old and new rows are both read from it.
+    j = cut_lineage(t.join(s, t[natural_key] == s[f"s__{natural_key}"], "full_outer"), "upsert")
+    matched = F.col("__target").isNotNull() & F.col("__staged").isNotNull()
 
     def merged(c):
         if c == surrogate_key or c not in staged.columns or c in keep_always:
@@ -145,8 +155,8 @@ def dimension_upsert(target: DataFrame, staged: DataFrame, natural_key: str, sur
             return F.when(matched, F.coalesce(F.col(f"s__{c}"), F.col(c))).otherwise(F.col(c))
         return F.when(matched, F.col(f"s__{c}")).otherwise(F.col(c))
 
-    old = j.where(F.col(natural_key).isNotNull()).select(*[merged(c).alias(c) for c in cols])
-    new = j.where(F.col(natural_key).isNull()).select(
+    old = j.where(F.col("__target").isNotNull()).select(*[merged(c).alias(c) for c in cols])
+    new = j.where(F.col("__target").isNull()).select(
         *[F.col(f"s__{c}").alias(c) if c in staged.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
           for c in cols])
     max_key = target.select(F.coalesce(F.max(surrogate_key), F.lit(0))).scalar()
@@ -158,14 +168,16 @@ def load_dimensions(registry: DataFrame, raw: dict[str, DataFrame],
                     upserts: dict[str, "callable"]) -> dict[str, DataFrame]:
     """Every registry entity in load order that has landed rows is unpacked with the
     registry's aliases (S3, S4, S6) and handed, as a text staging table (S5), to that
-    entity's upsert (S14). The loop runs over registry rows (a handful), never data."""
+    entity's upsert (S14). The registry (a handful of rows) is read once; the loop never
+    sees data. The result's order is the load order (O1)."""
     out: dict[str, DataFrame] = {}
-    entities = entity_registry(registry).select("entity_ppm_id", "entity_name").collect()
-    for e in entities:
-        name = e["entity_name"]
-        if name not in raw:
-            continue
-        aliases = [a for _, a, _ in entity_fields(registry, e["entity_ppm_id"])]
-        staged = null_tokens(land_entity(raw[name], aliases))
-        out[name] = upserts[name](staged) if name in upserts else staged
+    aliases: dict[str, list[str]] = {}
+    rows = field_map_unpack(registry).orderBy("load_sequence", "entity_ppm_id", "position") \
+        .select("entity_name", "alias").collect()
+    for r in rows:
+        aliases.setdefault(r["entity_name"], []).append(r["alias"])
+    for name, fields in aliases.items():
+        if name in raw:
+            staged = null_tokens(land_entity(raw[name], fields))
+            out[name] = upserts[name](staged) if name in upserts else staged
     return out

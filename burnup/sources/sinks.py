@@ -1,16 +1,26 @@
-"""Sinks: table versions and the partitioned entry store.
+"""Sinks: table versions and the entry store by month.
 
 Every operator returns a new version of its target table; these helpers write it.
-The entry store is partitioned by entry month, so date-range reads (refresh ranges,
-re-imports) prune whole partitions at the scan.
+The entry store keeps each month of entries in a directory of its own and a manifest
+that names the directories in force. A change writes the months it touches to new
+directories and then one new manifest version, which is the switch: readers see all
+of a change or nothing, and a change that breaks off leaves the store as it was.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ENTRY_MONTH = "entry_month"
+#: The month of entries without a date.
+NO_MONTH = "none"
+
+
+def entry_month(date_col: str = "entrydate") -> Column:
+    return F.coalesce(F.date_format(date_col, "yyyy-MM"), F.lit(NO_MONTH))
 
 
 def write_version(df: DataFrame, base: str, version: int, partition_by: list[str] | None = None) -> str:
@@ -23,19 +33,61 @@ def write_version(df: DataFrame, base: str, version: int, partition_by: list[str
     return path
 
 
-def write_entry_store(entries: DataFrame, path: str, date_col: str = "entrydate") -> None:
-    """The timesheet entry store, partitioned by month of the entry date."""
-    entries.withColumn(ENTRY_MONTH, F.date_format(date_col, "yyyy-MM")) \
-        .write.mode("overwrite").partitionBy(ENTRY_MONTH).parquet(path)
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names below ``path`` in whatever file system it is on."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def store_version(spark: SparkSession, path: str) -> int:
+    """The version in force: the highest whose manifest is complete; 0 when there is no store."""
+    done = [int(n[2:]) for n in _children(spark, f"{path}/manifest") if n.startswith("v=")
+            and "_SUCCESS" in _children(spark, f"{path}/manifest/{n}")]
+    return max(done, default=0)
+
+
+def month_dirs(spark: SparkSession, path: str) -> dict[str, str]:
+    """Month -> directory of the version in force (one manifest row per month)."""
+    v = store_version(spark, path)
+    if not v:
+        raise FileNotFoundError(f"no entry store at {path}")
+    return {r[ENTRY_MONTH]: r["dir"] for r in spark.read.parquet(f"{path}/manifest/v={v}").collect()}
+
+
+def replace_months(entries: DataFrame, path: str, months: list[str] | None = None) -> None:
+    """Make ``entries`` the content of ``months`` (None: of the whole store) and switch to it."""
+    spark = entries.sparkSession
+    v = store_version(spark, path)
+    keep = {} if months is None or not v else {m: x for m, x in month_dirs(spark, path).items() if m not in set(months)}
+    data = f"{path}/months/{uuid.uuid4().hex}"
+    dated = entries.withColumn(ENTRY_MONTH, entry_month())
+    dated.withColumn("__m", F.col(ENTRY_MONTH)).write.partitionBy("__m").parquet(data)
+    new = {n.partition("=")[2]: f"{data}/{n}" for n in _children(spark, data) if n.startswith("__m=")}
+    if not keep and not new:  # an empty store still has a schema
+        dated.write.parquet(f"{data}/__m={NO_MONTH}")
+        new = {NO_MONTH: f"{data}/__m={NO_MONTH}"}
+    spark.createDataFrame(sorted((keep | new).items()), f"{ENTRY_MONTH} string, dir string").coalesce(1) \
+        .write.parquet(f"{path}/manifest/v={v + 1}")
+
+
+def write_entry_store(entries: DataFrame, path: str) -> None:
+    """The timesheet entry store, a directory per month of the entry date."""
+    replace_months(entries, path)
 
 
-def read_entry_store(spark, path: str, date_from=None, date_to=None) -> DataFrame:
-    """Read the store; a date range also prunes the month partitions."""
-    df = spark.read.parquet(path)
+def read_entry_store(spark: SparkSession, path: str, date_from=None, date_to=None,
+                     months: list[str] | None = None) -> DataFrame:
+    """The version in force. A date range or a list of months reads only their directories."""
+    dirs = month_dirs(spark, path)
+    first, last = str(date_from or "")[:7], str(date_to or "~")[:7]
+    ranged = date_from is not None or date_to is not None
+    wanted = [x for m, x in dirs.items() if (months is None or m in months)
+              and (not ranged or (m != NO_MONTH and first <= m <= last))]
+    some = next(iter(dirs.values()))
+    df = spark.read.parquet(*wanted) if wanted else spark.read.parquet(some).limit(0)
     if date_from is not None:
-        df = df.where((F.col(ENTRY_MONTH) >= F.date_format(F.lit(date_from).cast("date"), "yyyy-MM"))
-                      & (F.col("entrydate") >= F.lit(date_from).cast("date")))
+        df = df.where(F.col("entrydate") >= F.lit(date_from).cast("date"))
     if date_to is not None:
-        df = df.where((F.col(ENTRY_MONTH) <= F.date_format(F.lit(date_to).cast("date"), "yyyy-MM"))
-                      & (F.col("entrydate") <= F.lit(date_to).cast("date")))
+        df = df.where(F.col("entrydate") <= F.lit(date_to).cast("date"))
     return df

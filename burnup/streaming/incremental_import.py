@@ -8,14 +8,16 @@ stream with ``trigger(availableNow=True)``, and ``foreachBatch`` applies:
 2. U21 versioned replace;
 3. U10-U15 key resolution.
 
-Cost per batch follows the batch, not the store. The store is partitioned by entry
-month; a batch reads only the months it touches (months of its own entries and of
-the stored rows of its timesheets; the month join enables dynamic partition
-pruning). It rewrites only those partitions (dynamic partition overwrite).
+Cost per batch follows the batch, not the store. The store keeps a directory per
+entry month; a batch rewrites only the months it touches (months of its own entries
+and of the stored rows of its timesheets; entries without a date have a month of their
+own) and switches to them in one step.
 
-Exactly once: appended rows carry ``import_epoch`` and rows the batch switched off
-carry ``deactivated_epoch``, so a retried epoch first undoes its earlier attempt.
-Stream progress lives in the shared folder named by ``spark.checkpoint.dir``.
+Exactly once: appended rows carry (``import_stream``, ``import_epoch``) and rows the
+batch switched off (``deactivated_stream``, ``deactivated_epoch``), so a retried epoch
+first undoes its earlier attempt. The stream's identity is the one Spark keeps with its
+progress; a stream with a new progress folder is another stream and undoes nothing.
+Progress lives in the shared folder named by ``spark.checkpoint.dir``.
 
 Key resolution runs on the touched months only. Keys missing in other months (for
 example a dimension row that arrived late) are filled by ``resolve_missing_keys``,
@@ -24,74 +26,80 @@ which rewrites only the months that still hold a row with a missing key.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from burnup.operators.entries import resolve_entry_dims, versioned_replace
 from burnup.operators.nesting import flatten_all_entries
-from burnup.session import cut_lineage, scratch_path
-from burnup.sources.sinks import ENTRY_MONTH, write_entry_store
+from burnup.session import scratch_path
+from burnup.sources.sinks import ENTRY_MONTH, entry_month, read_entry_store, replace_months, store_version, write_entry_store
 
-BOOKKEEPING = ("import_epoch", "deactivated_epoch")
+BOOKKEEPING = {"import_stream": "string", "import_epoch": "bigint", "deactivated_stream": "string",
+               "deactivated_epoch": "bigint"}
 
 
 def init_store(entries: DataFrame, path: str) -> None:
     """Write the first version of the store, with empty bookkeeping columns."""
     write_entry_store(entries.select(
-        "*", *[F.lit(None).cast("bigint").alias(c) for c in BOOKKEEPING]), path)
+        "*", *[F.lit(None).cast(t).alias(c) for c, t in BOOKKEEPING.items()]), path)
 
 
-def _month(col: str = "entrydate"):
-    return F.date_format(col, "yyyy-MM")
+def _months(df: DataFrame) -> list[str]:
+    return [r[0] for r in df.select(ENTRY_MONTH).distinct().collect()]
 
 
-def apply_batch(store_path: str, dims: dict[str, DataFrame], as_of):
-    """foreachBatch body for micro-batch ``epoch`` of landed timesheets."""
+def apply_batch(store_path: str, dims: dict[str, DataFrame], as_of, stream_id: Callable[[], str]):
+    """foreachBatch body for micro-batch ``epoch_id`` of landed timesheets of one stream."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        store = spark.read.parquet(store_path)
+        spark, stream = batch.sparkSession, stream_id()
+        store = read_entry_store(spark, store_path)
         flat = flatten_all_entries(batch)
         ts = flat.select("timesheetid").distinct()
-        retried = (F.col("import_epoch") == epoch_id) | (F.col("deactivated_epoch") == epoch_id)
-        months = (store.join(ts, "timesheetid", "left_semi").select(ENTRY_MONTH)
-                  .unionByName(store.where(retried).select(ENTRY_MONTH))
-                  .unionByName(flat.select(_month().alias(ENTRY_MONTH)))
-                  .distinct())
-        current = store.join(months, ENTRY_MONTH, "left_semi").drop(ENTRY_MONTH)
+
+        def here(what: str):
+            return F.coalesce((F.col(f"{what}_stream") == stream) & (F.col(f"{what}_epoch") == epoch_id), F.lit(False))
+
+        months = _months(store.join(ts, "timesheetid", "left_semi").select(ENTRY_MONTH)
+                         .unionByName(store.where(here("import") | here("deactivated")).select(ENTRY_MONTH))
+                         .unionByName(flat.select(entry_month().alias(ENTRY_MONTH))))
+        current = read_entry_store(spark, store_path, months=months).drop(ENTRY_MONTH)
         # Undo an earlier attempt of this epoch: drop its rows, re-activate what it switched off.
-        undo = F.coalesce(F.col("deactivated_epoch") == epoch_id, F.lit(False))
-        current = current.where(F.col("import_epoch").isNull() | (F.col("import_epoch") != epoch_id)) \
-            .withColumn("is_active", F.when(undo, F.lit(True)).otherwise(F.col("is_active"))) \
-            .withColumn("deactivated_epoch", F.when(undo, F.lit(None).cast("bigint"))
-                        .otherwise(F.col("deactivated_epoch")))
-        new = versioned_replace(current, flat, as_of, epoch=epoch_id)
+        undo = here("deactivated")
+        current = current.where(~here("import")).withColumns({
+            "is_active": F.when(undo, F.lit(True)).otherwise(F.col("is_active")),
+            "deactivated_stream": F.when(~undo, F.col("deactivated_stream")),
+            "deactivated_epoch": F.when(~undo, F.col("deactivated_epoch"))})
+        new = versioned_replace(current, flat, as_of, mark=(stream, epoch_id))
         new = resolve_entry_dims(new, dims["resources"], dims["members"], dims["projects"], dims["tasks"],
                                  dims["portfolios"], dims["dates"], as_of)
-        # Materialise before writing: the result replaces partitions it was read from.
-        new = cut_lineage(new.withColumn(ENTRY_MONTH, _month()))
-        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy(ENTRY_MONTH).parquet(store_path)
+        replace_months(new, store_path, months)
     return run
 
 
+def progress_id(spark: SparkSession, checkpoint: str) -> Callable[[], str]:
+    """The identity Spark wrote to a stream's progress folder when it first started."""
+    return lambda: json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def start_import_stream(spark: SparkSession, landed_dir: str, landed_schema: StructType, store_path: str,
                         dims: dict[str, DataFrame], as_of, initial_store: DataFrame | None = None,
                         checkpoint_location: str | None = None):
     """Start the incremental import; returns the StreamingQuery (call awaitTermination).
     ``initial_store`` seeds the store when ``store_path`` holds none yet."""
-    try:
-        spark.read.parquet(store_path)
-    except AnalysisException:
+    if not store_version(spark, store_path):
         if initial_store is None:
-            raise
+            raise FileNotFoundError(f"no entry store at {store_path}")
         init_store(initial_store, store_path)
+    checkpoint = checkpoint_location or scratch_path(spark, "import-stream")
     stream = spark.readStream.schema(landed_schema).parquet(landed_dir)
     return (stream.writeStream
             .trigger(availableNow=True)
-            .option("checkpointLocation", checkpoint_location or scratch_path(spark, "import-stream"))
-            .foreachBatch(apply_batch(store_path, dims, as_of))
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(apply_batch(store_path, dims, as_of, progress_id(spark, checkpoint)))
             .start())
 
 
@@ -108,11 +116,10 @@ def resolve_missing_keys(spark: SparkSession, store_path: str, dims: dict[str, D
     """U10-U15 over the whole store, rewriting only the months that still hold a row with
     a missing key. Resolution only ever fills NULL keys, so the other months cannot
     change: the result equals a full-table pass."""
-    store = spark.read.parquet(store_path)
-    months = store.where(missing_key()).select(ENTRY_MONTH).distinct()
-    current = store.join(months, ENTRY_MONTH, "left_semi").drop(ENTRY_MONTH)
+    months = _months(read_entry_store(spark, store_path).where(missing_key()))
+    if not months:
+        return
+    current = read_entry_store(spark, store_path, months=months).drop(ENTRY_MONTH)
     new = resolve_entry_dims(current, dims["resources"], dims["members"], dims["projects"], dims["tasks"],
                              dims["portfolios"], dims["dates"], as_of)
-    new = cut_lineage(new.withColumn(ENTRY_MONTH, _month()))
-    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(ENTRY_MONTH).parquet(store_path)
+    replace_months(new, store_path, months)

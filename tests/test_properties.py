@@ -74,13 +74,13 @@ def test_hot_groups_are_spread_by_chunk_and_batch(spark):
                                        (F.col("id") % 1 + 1).alias("userId"), F.col("id").alias("entryId"))
     rows = hot.select("timesheetId", "userId", F.lit(0).alias("companyId"), F.lit(1).alias("entryTypeId"),
                       F.lit(7001).cast("bigint").alias("level1Id"), F.lit(1).cast("bigint").alias("level2Id"),
-                      F.lit("2024/01/02").alias("entryDate"), "entryId", F.lit(1).cast("bigint").alias("level3Id"),
+                      F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("entryId") % 20).cast("int")), "yyyy/MM/dd").alias("entryDate"), "entryId", F.lit(1).cast("bigint").alias("level3Id"),
                       F.lit(1.0).alias("entryHours")).repartition("timesheetId", "userId")
-    p = ns.timesheet_payload(rows, max_entries=1000)
+    p = ns.timesheet_payload(rows)
     plan = p._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(timesheetId#\d+L, userId#\d+L, chunk#", plan), plan
     sizes = [r.n for r in p.select(F.size("entriesProject").alias("n")).collect()]
-    assert sum(sizes) == 20000 and len(sizes) >= 15 and max(sizes) < 2000
+    assert sizes == [1000] * 20
     ids = hot.repartition("timesheetId")
     lst = ns.bounded_listagg(ids, ["timesheetId"], "entryId", "ids", batch_size=1000)
     plan2 = lst._jdf.queryExecution().executedPlan().toString()
