@@ -8,9 +8,12 @@ hash of id and text. Rows that repeat both id and text are one document and get
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +41,20 @@ def table_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "llm", f"{name}-{uuid.uuid4().hex}")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers (what ``--py-files`` does), wherever the driver found it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_burnup_shipped", False):
+        return
+    root = Path(__file__).parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="burnup-py-")) / "burnup.zip"  # the driver serves it from here
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._burnup_shipped = True
+
+
 @contextmanager
 def shuffles_freed(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of the queries run inside go when each ends, not when the driver's garbage is collected."""

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from burnup.llm import bloom_lm, bpe, decontaminate, embedding_dedup, language_id, license_scan, quality_lm, simhash_dedup, suffix_dedup, url_filter
+from burnup.llm.base import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -17,10 +19,15 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(f):
-        QUERIES[name] = f
+        @wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLE[name] = sql
-        return f
+        return run
 
     return add
 
