@@ -20,6 +20,7 @@ import hashlib
 import heapq
 import json
 import mmap
+import re
 import tempfile
 import unicodedata
 from collections import Counter
@@ -38,6 +39,8 @@ from burnup.llm.columns import byte_lengths, slices
 LEXICON_WORDS = 1 << 17
 #: Distinct words a task keeps at hand, and a longest word worth it.
 MEMO_WORDS, MEMO_LENGTH = 1 << 18, 64
+#: Bytes of a word that is merged without a queue.
+SHORT_WORD = 64
 
 
 @lru_cache(maxsize=1)
@@ -60,7 +63,8 @@ class Rules:
         self.suffix: str = model["end_of_word_suffix"]
         vocab: dict[str, int] = model["vocab"]
         special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(model["merges"])}
+        self.rank = {vocab[a] << 32 | vocab[b]: rank for rank, (a, b) in enumerate(model["merges"])}
+        self.made = [vocab[a + b] for a, b in model["merges"]]
         shown = byte_alphabet()
         self.inner = [vocab[shown[b]] for b in range(256)]
         self.last = [vocab[shown[b] + self.suffix] for b in range(256)]
@@ -69,11 +73,15 @@ class Rules:
             self.tokens[i] = t
         self.special = {t: np.array([i], "<u4").tobytes() for t, i in special.items()}
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.pattern = regex.compile(parts[0]["pattern"]["Regex"])
+        pattern = parts[0]["pattern"]["Regex"]
+        self.pattern = regex.compile(pattern)
+        # the same over ASCII, where both classes are known, by the faster library
+        self.ascii_pattern = re.compile(pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9"), re.ASCII)
 
     def words(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case by single characters
+        if text.isascii():
+            return self.ascii_pattern.findall(text.lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case by single characters
         return self.pattern.findall(text.lower())
 
     def pieces(self, text: str) -> list[str]:
@@ -89,25 +97,40 @@ class Rules:
         """Exact ids of a word as little-endian 32-bit integers."""
         data = word.encode()
         ids = [self.inner[b] for b in data[:-1]] + [self.last[data[-1]]]
+        if len(ids) > SHORT_WORD:
+            return self._merge_long(ids)
+        get, none = self.rank.get, len(self.made)
+        ranks = [get(x << 32 | y, none) for x, y in zip(ids[:-1], ids[1:], strict=True)]
+        while ranks and (rank := min(ranks)) < none:
+            i = ranks.index(rank)
+            ids[i: i + 2] = [self.made[rank]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(ids[i] << 32 | ids[i + 1], none)
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << 32 | ids[i], none)
+        return np.array(ids, "<u4").tobytes()
+
+    def _merge_long(self, ids: list[int]) -> bytes:
+        """The same by a queue of pairs: time grows as n log n."""
         n = len(ids)
         left, right = [i - 1 for i in range(n)], [i + 1 for i in range(n)]
-        merges = self.merges
-        heap = [(*merges[p], i) for i, p in enumerate(zip(ids[:-1], ids[1:], strict=True)) if p in merges]
-        heap = [(rank, i, new) for rank, new, i in heap]
+        rank_of = self.rank.get
+        heap = [(r, i) for i in range(n - 1) if (r := rank_of(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            rank, i, new = heapq.heappop(heap)
+            rank, i = heapq.heappop(heap)
             j = right[i]
-            if ids[i] < 0 or j >= n or merges.get((ids[i], ids[j])) != (rank, new):
+            if ids[i] < 0 or j >= n or rank_of(ids[i] << 32 | ids[j]) != rank:
                 continue
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = self.made[rank], -1
             right[i] = right[j]
             if right[j] < n:
                 left[right[j]] = i
-                if (p := merges.get((new, ids[right[i]]))):
-                    heapq.heappush(heap, (p[0], i, p[1]))
-            if left[i] >= 0 and (p := merges.get((ids[left[i]], new))):
-                heapq.heappush(heap, (p[0], left[i], p[1]))
+                if (r := rank_of(ids[i] << 32 | ids[right[i]])) is not None:
+                    heapq.heappush(heap, (r, i))
+            if left[i] >= 0 and (r := rank_of(ids[left[i]] << 32 | ids[i])) is not None:
+                heapq.heappush(heap, (r, left[i]))
         return np.array([x for x in ids if x >= 0], "<u4").tobytes()
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -213,27 +236,25 @@ class Encoder:
         self.rules, self.lexicon = rules, lexicon
         self.memo: dict[str, bytes] = dict(rules.special)
 
-    def learn(self, words: Iterable[str]) -> dict[str, bytes]:
+    def learn(self, words: set[str]) -> list[str]:
+        """Put all ``words`` into the memo; the ones too long to stay there are returned."""
         missing = [w for w in words if w not in self.memo]
         if len(self.memo) + len(missing) > MEMO_WORDS:
             self.memo = dict(self.rules.special)
-        known = self.lexicon.lookup([w.encode() for w in missing])
-        rare: dict[str, bytes] = {}
-        for w, place in zip(missing, known.tolist(), strict=True):
-            ids = self.lexicon.sequence(place) if place >= 0 else self.rules.merge(w)
-            (self.memo if len(w) <= MEMO_LENGTH else rare)[w] = ids
-        return rare
+            missing = [w for w in words if w not in self.memo]
+        places = self.lexicon.lookup([w.encode() for w in missing]).tolist()
+        for w, place in zip(missing, places, strict=True):
+            self.memo[w] = self.lexicon.sequence(place) if place >= 0 else self.rules.merge(w)
+        return [w for w in missing if len(w) > MEMO_LENGTH]
 
     def encode(self, column: list[str]) -> list[bytes]:
         split = [self.rules.pieces(t) for t in column]
-        distinct: set[str] = set().union(*split) if split else set()
-        old = {w: self.memo[w] for w in distinct if w in self.memo}
-        rare = self.learn(distinct)
-        look = rare | old if rare or len(self.memo) < len(distinct) else {}
-        if look:
-            return [b"".join([look[w] if w in look else self.memo[w] for w in s]) for s in split]
+        rare = self.learn(set().union(*split))
         get = self.memo.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        out = [b"".join(map(get, s)) for s in split]
+        for w in rare:
+            del self.memo[w]
+        return out
 
 
 _RULES: dict[str, Rules] = {}
