@@ -33,10 +33,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnup.llm.base import texts
+from burnup.llm.base import discard, stored, texts
 from burnup.llm.columns import byte_lengths, slices
 
 LEXICON_WORDS = 1 << 17
+#: Frequency levels to a doubling.
+LEVELS = 16
 #: Distinct words a task keeps at hand, and a longest word worth it.
 MEMO_WORDS, MEMO_LENGTH = 1 << 18, 64
 #: Bytes of a word that is merged without a queue.
@@ -275,7 +277,10 @@ def read_rules(path: str) -> str:
 
 
 def frequent_words(docs: DataFrame, source: str, most: int = LEXICON_WORDS) -> list[str]:
-    """The ``most`` most frequent words of all texts (ties by word). The list is bounded by ``most``."""
+    """The most frequent words of all texts, as many whole frequency levels as ``most`` words hold.
+
+    Only the levels' sizes and then the chosen words come to the driver, ``most`` of them at most.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,8 +298,18 @@ def frequent_words(docs: DataFrame, source: str, most: int = LEXICON_WORDS) -> l
         yield out()
 
     words = texts(docs).select("text").mapInArrow(run, "word string, n long").where(F.length("word") <= MEMO_LENGTH)
-    top = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [x.word for x in top.select("word").collect()]
+    level = F.floor(F.log2("n") * LEVELS).cast("int").alias("level")
+    counted = stored(words.groupBy("word").agg(F.sum("n").alias("n")).select("word", level), "bpe_words")
+    sizes = counted.groupBy("level").count().collect()  # at most 64 * LEVELS
+    least, held = None, 0
+    for x in sorted(sizes, key=lambda x: -x.level):
+        held += x["count"]
+        if held > most:
+            break
+        least = x.level
+    out = [] if least is None else [x.word for x in counted.where(F.col("level") >= least).select("word").collect()]
+    discard(counted)
+    return out
 
 
 def encode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS, keep: tuple[str, ...] = ("doc_id",), digests: bool = False) -> DataFrame:

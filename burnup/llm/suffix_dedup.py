@@ -48,7 +48,7 @@ BLOCK_BYTES = 1 << 22
 #: Bytes of context texts of a group run (level two); a single larger group is handled as one.
 RUN_BYTES = 1 << 24
 #: Windows whose anchors are sought at once: places within share a word with 40 bits of hash.
-SEGMENT = 1 << 23
+SEGMENT = 1 << 20
 PAD = 255  # never part of UTF-8
 #: Bits of a packed place: of the text key (its low ones), position, and two window offsets.
 KEY_BITS, POS_BITS, OFFSET_BITS = 20, 29, 7
@@ -81,29 +81,29 @@ def _lowest(buf: np.ndarray, gram: int, wide: int) -> tuple[np.ndarray, np.ndarr
 def anchors(buf: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """Place and hash of each anchor, and the first and last window it stands for.
 
-    ``buf``: texts, each followed by PAD; windows never hold a PAD.
+    ``buf``: texts, each followed by PAD; windows never hold a PAD. Windows are looked at
+    ``SEGMENT`` at a time; only the anchors are kept, so memory is a few times ``SEGMENT``.
     """
-    none = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-    if len(buf) < length:
-        return none
-    at, h = np.empty(len(buf) - length + 1, np.int64), np.empty(len(buf) - gram + 1, np.uint64)
-    for a in range(0, len(at), SEGMENT):  # one for all but very long texts
-        b = min(a + SEGMENT, len(at))
-        some, some_at = _lowest(buf[a: b + length - 1], gram, length - gram + 1)
-        at[a:b], h[a: a + len(some)] = some_at + a, some
-    fits = np.zeros(len(at) + 1, np.int8)
-    for a, b in zip(bounds[:-1], bounds[1:] - 1 - length, strict=True):
-        if b >= a:
-            fits[a] += 1
-            fits[b + 1] -= 1
-    windows = np.flatnonzero(np.cumsum(fits[:-1]))
-    if not len(windows):
-        return none
-    place = at[windows]
-    new = np.concatenate([[True], (np.diff(place) != 0) | (np.diff(windows) != 1)])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(windows)) - 1
-    return place[first], h[place[first]], windows[first], windows[last]
+    fits = np.zeros(max(len(buf) - length + 1, 0) + 1, np.int8)
+    for x, y in zip(bounds[:-1], bounds[1:] - 1 - length, strict=True):
+        if y >= x:
+            fits[x] += 1
+            fits[y + 1] -= 1
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    inside = 0
+    for a in range(0, len(fits) - 1, SEGMENT):
+        b = min(a + SEGMENT, len(fits) - 1)
+        depth = inside + np.cumsum(fits[a:b], dtype=np.int64)
+        inside = int(depth[-1])
+        windows = np.flatnonzero(depth)
+        if not len(windows):
+            continue
+        h, at = _lowest(buf[a: b + length - 1], gram, length - gram + 1)
+        place = at[windows]
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(place) != 0) | (np.diff(windows) != 1)]))
+        last = np.append(first[1:], len(windows)) - 1
+        found.append((place[first] + a, h[place[first]], windows[first] + a, windows[last] + a))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def repeats(column: Callable[[int], np.ndarray], group: np.ndarray, width: int, length: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -165,11 +165,12 @@ def block_rows(d: np.ndarray, k: np.ndarray, column: pa.Array, length: int, gram
         for t, which in repeats(column_at, group, width, length):
             repeated[base[which] + t] = True
     # what is left of each anchor: from its first to its last window that is not a repeat
-    fresh = np.flatnonzero(~repeated)
+    fresh = np.flatnonzero(~repeated[:-1]).astype(np.int32)
     a = np.searchsorted(fresh, lo)
     b = np.searchsorted(fresh, hi, "right") - 1
     keep = a <= b
-    place, h, lo, hi = place[keep], h[keep], fresh[a[keep]], fresh[b[keep]]
+    place, h, lo, hi = place[keep], h[keep], fresh[a[keep]].astype(np.int64), fresh[b[keep]].astype(np.int64)
+    del fresh
     step = np.diff(np.concatenate([[0], repeated.astype(np.int8), [0]]))
     m_lo, m_hi = np.flatnonzero(step == 1), np.flatnonzero(step == -1) - 1
     # a run of window starts may go on in the next text: PAD and the windows before it never repeat
