@@ -17,6 +17,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from burnup.session import checkpoint_dir
 
@@ -41,9 +42,15 @@ def table_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "llm", f"{name}-{uuid.uuid4().hex}")
 
 
+#: Bytes of rows handed to a Python worker at once.
+ARROW_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers (what ``--py-files`` does), wherever the driver found it."""
+    """Send this package to the Python workers (what ``--py-files`` does), wherever the driver found it,
+    and bound the batches they get by bytes: rows may be whole long texts."""
     sc = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     if getattr(sc, "_burnup_shipped", False):
         return
     root = Path(__file__).parents[1]
@@ -83,6 +90,11 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def row_schema(rows: DataFrame, more: str) -> T.StructType:
+    """The struct column ``row`` as it is, whatever its fields' names, and further columns in DDL."""
+    return T.StructType([rows.schema["row"], *T.StructType.fromDDL(more).fields])
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable from every node of ``edges`` (u, v: long).
 

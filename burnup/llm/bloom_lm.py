@@ -38,7 +38,7 @@ from burnup.llm.base import discard, stored
 from burnup.llm.columns import GOLD, LOWER, MIX1, MIX2, chunks, groups, mix, per_row, span_hashes, token_bounds
 
 FOLDS, HELD_OUT = 5, 1
-BATCH_TOKENS = 1 << 20
+BATCH_TOKENS = 1 << 19
 #: Bytes of text for each bucket of n-grams.
 BUCKET_BYTES = 1 << 24
 ENTRY_BITS, HASHES, MAX_BITS = 10, 6, 1 << 31
@@ -118,9 +118,10 @@ def fill(keys: np.ndarray, counts: np.ndarray, most_bits: int, entry_bits: int =
 class Filter:
     """Parts by bucket, laid out after another."""
 
-    def __init__(self, parts: list[bytes]):
-        self.bits = np.frombuffer(b"".join(parts), np.uint8)
-        size = np.array([8 * len(p) for p in parts], np.uint64)
+    def __init__(self, parts: list[bytes] | tuple[bytes, list[int]]):
+        data, length = parts if isinstance(parts, tuple) else (b"".join(parts), [len(p) for p in parts])
+        self.bits = np.frombuffer(data, np.uint8)
+        size = 8 * np.array(length, np.uint64)
         self.size, self.first = np.maximum(size, 1), np.cumsum(size) - size
         self.empty = size == 0
 
@@ -209,12 +210,12 @@ def _counted(batched: DataFrame, buckets: int, order: int, give_back: bool, entr
     return stored(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sum(buckets, give_back, entry_bits), SUMS), f"lm_sums{order}")
 
 
-def _parts(sums: DataFrame, buckets: int) -> list[bytes]:
-    """The filter's parts; together at most MAX_BITS."""
+def _parts(sums: DataFrame, buckets: int) -> tuple[bytes, list[int]]:
+    """The filter's parts in one block of MAX_BITS at most, and their lengths."""
     parts = [b""] * buckets
     for x in sums.where("batch is null").select("bucket", "data").toLocalIterator():
         parts[x.bucket] = bytes(x.data)
-    return parts
+    return b"".join(parts), [len(p) for p in parts]
 
 
 def _score(model, prior: float):  # noqa: ANN001, ANN202

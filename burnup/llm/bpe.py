@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnup.llm.base import discard, stored, texts
+from burnup.llm.base import discard, row_schema, stored, texts
 from burnup.llm.columns import byte_lengths, slices
 
 LEXICON_WORDS = 1 << 17
@@ -338,7 +338,7 @@ def encode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS, keep:
 
     names = ["row", "n_tokens", *(["ids_sha256", "decoded_sha256"] if digests else ["ids"])]
     kinds = ["long", *(["string", "string"] if digests else ["array<int>"])]
-    out = rows.mapInArrow(run, ", ".join(f"{x} {y}" for x, y in zip(names, [rows.schema["row"].dataType.simpleString(), *kinds], strict=True)))
+    out = rows.mapInArrow(run, row_schema(rows, ", ".join(f"{x} {y}" for x, y in zip(names[1:], kinds, strict=True))))
     return out.select(*[F.col(f"row.`{c}`").alias(c) for c in keep], *names[1:])
 
 
@@ -354,5 +354,5 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     names = [c for c in encoded.columns if c != "decoded"]
     rows = encoded.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "ids")
-    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, decoded string")
+    out = rows.mapInArrow(run, row_schema(rows, "decoded string"))
     return out.select(*[F.col(f"row.`{c}`").alias(c) for c in names], "decoded")

@@ -32,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from burnup.llm.base import row_schema
 from burnup.llm.columns import MIX1, MIX2, chunks, mix, per_row, ragged, span_hashes
 
 SHINGLE, SIMILARITY, RADIUS, BITS, BLOCKS = 5, 0.8, 20, 64, 8
@@ -182,7 +183,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     blocks = max(1, -(-items.count() // BLOCK_ITEMS))
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", F.expr(f"cast(array() as {MATCHES})").alias("matches"))
-    kind = out.schema["row"].dataType.simpleString()
+    schema = row_schema(out, f"text string, matches {MATCHES}")
 
     def matcher(shared):  # noqa: ANN001, ANN202
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +207,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         if part:
             made = indexes([x.item_id for x in part], pa.array([x.text for x in part], pa.string()))
             plain = [(x.size, list(zip(x.ids, x.words, strict=True))) for x in made]
-            out = out.mapInArrow(matcher(spark.sparkContext.broadcast(plain)), f"row {kind}, text string, matches {MATCHES}")
+            out = out.mapInArrow(matcher(spark.sparkContext.broadcast(plain)), schema)
     return out.select("row", "matches")
 
 

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from burnup.llm.base import row_schema
 from burnup.llm.columns import BYTE_CODE, GOLD, LOWER, chunks, mix, per_row, ragged
 
 FEATURE_BITS = 16
@@ -156,7 +157,7 @@ def predict(docs: DataFrame, languages: list[str], table: np.ndarray) -> DataFra
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"),
                        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInArrow(run, row_schema(rows, "lang_pred string, score double"))
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -167,7 +168,12 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose text has a main language (a proportion of ``least`` or more); all columns."""
+    """The rows of ``docs`` whose text has a main language (a proportion of ``least`` or more); all columns.
+
+    Where no language could be learned, all rows with a letter stay.
+    """
     languages, table = train(docs.where(fold() != 1))
+    if not languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     out = predict(docs, languages, table).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     return out.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnup.llm.base import discard, doc_key, stored, text_key, texts
+from burnup.llm.base import discard, doc_key, row_schema, stored, text_key, texts
 from burnup.llm.columns import BYTE_CODE, GOLD, buffer, byte_lengths, mix, ragged, slices
 
 LENGTH = 100
@@ -406,6 +406,6 @@ def dedup_texts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block:
     """
     names = docs.columns
     rows = with_windows(docs, length, gram, block).select("row", F.col("row.text").alias("text"), "windows")
-    out = rows.mapInArrow(_cut(length, True), f"row {rows.schema['row'].dataType.simpleString()}, text string, _bytes long, _removed long, _spans array<array<bigint>>, _kept string")
+    out = rows.mapInArrow(_cut(length, True), row_schema(rows, "text string, _bytes long, _removed long, _spans array<array<bigint>>, _kept string"))
     text = F.coalesce("_kept", "text")
     return out.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in names])

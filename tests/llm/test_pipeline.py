@@ -71,3 +71,21 @@ def test_tokens(stages):
     ids = {x.doc_id: np.array(x.ids).tolist() for x in after}
     assert ids == {x.doc_id: lib.encode(x.text, add_special_tokens=False).ids for x in before}
     assert all(x.n_tokens == len(x.ids) for x in after)
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls in every column, repeated rows, extra columns with the operators' own names, and no rows at all."""
+    p = importlib.import_module("corpus_pipeline")
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, matches int, _d string, windows int, lang_pred double, `a.b` int"
+    odd = [(None, None, None, None, None, None, None, None, None, None, None), (1, "", "en", "s", 0, "r", 1, "d", 2, 0.5, 3), (2, "A plain text of words", "en", "s", 21, "r", 1, "d", 2, 0.5, 3),
+           (2, "A plain text of words", "en", "s", 21, "r", 1, "d", 2, 0.5, 3), (None, "Another text here", None, None, None, "r", None, None, None, None, None)]
+    df = spark.createDataFrame(odd, schema)
+    for name, f in p.STAGES[:-1]:
+        out = f(spark, df, SMALL)
+        assert out.columns == df.columns, name
+        texts = [x.text for x in out.collect()]
+        assert texts.count("A plain text of words") == (1 if name == "simhash_near_dedup" else 2), name
+        assert "Another text here" in texts
+        assert f(spark, df.limit(0), SMALL).count() == 0
+    last = p.STAGES[-1][1](spark, df, SMALL)
+    assert last.count() == len(odd) and p.STAGES[-1][1](spark, df.limit(0), SMALL).count() == 0
