@@ -155,6 +155,23 @@ def set_entry_portfolio(entries, portfolios):
                        source_keys=["__k"])
 
 
+def set_entry_level1(entries, projects, portfolios):
+    """U12 and U14 in one join: both look up ``level1id``, each for its own entry type."""
+    p = _lookup(projects, F.col("project_ppm_id").try_cast("bigint"), "__k",
+                ["pv_project_dim_id", "portfolio_dim_id"], "pv_project_dim_id")
+    f = _lookup(portfolios, F.col("portfolio_ppm_id").try_cast("bigint"), "__k", ["portfolio_dim_id"],
+                "portfolio_dim_id")
+    both = p.select(F.lit(1).cast("bigint").alias("__type"), "__k", F.col("pv_project_dim_id").alias("pv"),
+                    F.col("portfolio_dim_id").alias("pf")) \
+        .unionByName(f.select(F.lit(99).cast("bigint").alias("__type"), "__k", F.lit(None).cast("bigint").alias("pv"),
+                              F.col("portfolio_dim_id").alias("pf")))
+    kind, pf_missing = F.col("entrytypeid"), F.col("portfolio_dim_id").isNull()
+    guard = pf_missing | ((kind == 1) & F.col("project_dim_id").isNull())
+    project = F.when(kind == 1, F.col("src__pv")).otherwise(F.col("project_dim_id"))
+    return update_from(entries, both, ["entrytypeid", "level1id"], {"project_dim_id": project, "portfolio_dim_id": "pf"},
+                       guard=guard, source_keys=["__type", "__k"])
+
+
 def set_entry_date(entries, dates):
     """U15"""
     d = _lookup(dates, F.to_date("dt"), "__d", ["sk_date"], "sk_date")
@@ -163,12 +180,12 @@ def set_entry_date(entries, dates):
 
 
 def resolve_entry_dims(entries, resources, members, projects, tasks, portfolios, dates, as_of):
-    """U10..U15 in the warehouse's order (U11 needs U10's resource key)."""
+    """U10..U15 in the warehouse's order (U11 needs U10's resource key), U12 and U14 as one:
+    their entry types are disjoint and U13 touches neither of their columns."""
     e = set_entry_resource(entries, resources)
     e = set_entry_team(e, members, as_of)
-    e = set_entry_project(e, projects)
+    e = set_entry_level1(e, projects, portfolios)
     e = set_entry_task(e, tasks)
-    e = set_entry_portfolio(e, portfolios)
     return set_entry_date(e, dates)
 
 
