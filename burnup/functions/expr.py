@@ -159,13 +159,15 @@ def squeeze_lower(c, blank_as: str = "") -> Column:
 
 def register_sql_functions(spark: SparkSession, holidays_view: str | None = None) -> None:
     """V3: the two working-day functions as SQL functions for ``spark.sql`` users."""
+    n, first = "(datediff(b, a) + 1)", "weekday(a)"
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION weekdays_sql(a DATE, b DATE) RETURNS INT "
-        "RETURN CASE WHEN a > b THEN 0 ELSE "
-        "size(filter(sequence(a, b), d -> weekday(d) < 5)) END")
+        f"RETURN CASE WHEN {n} <= 0 THEN 0 ELSE CAST({n} DIV 7 * 5 "
+        f"+ greatest(0, least({first} + {n} % 7 - 1, 4) - {first} + 1) + greatest(0, {first} + {n} % 7 - 7) AS INT) END")
     if holidays_view:
+        # the calendar as one array (a row per day at most), so no join with it
         spark.sql(
             "CREATE OR REPLACE TEMPORARY FUNCTION weekdays_holiday_sql(a DATE, b DATE) RETURNS INT "
-            "RETURN weekdays_sql(a, b) - (SELECT count(DISTINCT to_date(holiday_date)) FROM "
-            f"{holidays_view} WHERE is_mandatory_holiday = true AND to_date(holiday_date) "
-            "BETWEEN a AND b AND weekday(to_date(holiday_date)) < 5)")
+            "RETURN CASE WHEN a > b THEN 0 ELSE weekdays_sql(a, b) - size(array_intersect(sequence(a, b), "
+            f"(SELECT collect_set(to_date(holiday_date)) FROM {holidays_view} WHERE is_mandatory_holiday = true "
+            "AND weekday(to_date(holiday_date)) < 5))) END")
