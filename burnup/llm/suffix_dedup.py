@@ -19,7 +19,10 @@ sequential run per column, read back from the last to the first, so memory does
 Documents whose whole text is a copy are found by a digest and need no rounds beyond the first.
 The rounds run twice. First within each block of rows, before any shuffle: of a passage that a
 third of all rows hold, each block keeps one occurrence. Then on what is left, with the anchors
-that more than one block holds. Both levels are exact, hence so is the result.
+that more than one block holds. Both levels are exact, hence so is the result. An anchor inside a
+common line that is shorter than a window can still be in very many texts that go on differently;
+beyond ``HOT_ANCHOR`` occurrences its windows are told apart by their own hashes first, so a group
+holds one text a block, as all its texts agree in the whole window.
 
 Defined cases: null text is empty; texts shorter than ``length`` lose nothing; rows with a null
 doc_id come after all others; rows that repeat a doc_id with another text are ordered by a hash of
@@ -39,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burnup.llm.base import discard, doc_key, row_schema, stored, text_key, texts
-from burnup.llm.columns import BYTE_CODE, GOLD, buffer, byte_lengths, mix, ragged, slices
+from burnup.llm.columns import BYTE_CODE, GOLD, buffer, byte_lengths, mix, ragged, slices, span_hashes
 
 LENGTH = 100
 GRAM = 24
@@ -47,6 +50,8 @@ GRAM = 24
 BLOCK_BYTES = 1 << 22
 #: Bytes of context texts of a group run (level two); a single larger group is handled as one.
 RUN_BYTES = 1 << 24
+#: Occurrences of an anchor (one for each block at most where texts go on alike) beyond which its windows part.
+HOT_ANCHOR = 2048
 #: Windows whose anchors are sought at once: places within share a word with 40 bits of hash.
 SEGMENT = 1 << 20
 PAD = 255  # never part of UTF-8
@@ -255,6 +260,30 @@ def _contexts(length: int, gram: int):
     return run
 
 
+def _window_hashes(length: int, gram: int):
+    """One row for each window of the given anchors: its hash, document and place (its own window only)."""
+    reach = length - gram
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in slices(byte_lengths(batch["text"]), 1 << 21):
+                part = batch.slice(a, b - a)
+                buf, bounds = buffer(part["text"], bytes([PAD]))
+                row = np.repeat(np.arange(len(part)), np.diff(np.asarray(part["found"].offsets)))
+                d = part["_d"].to_numpy()
+                for x in range(0, len(row), 1 << 14):
+                    some = row[x: x + (1 << 14)]
+                    pos, k, lo, hi = unpack(part["found"].flatten().field(1).to_numpy()[x: x + (1 << 14)])
+                    which, i = ragged(hi - lo + 1)
+                    offset = lo[which] + i
+                    start = bounds[some][which] + pos[which] - reach + offset
+                    h = span_hashes(buf, start, start + length)
+                    place = pack(pos[which], k[which], offset, offset)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d[some][which]), pa.array(place)], names=["h", "d", "place"])
+
+    return run
+
+
 def _group_repeats(h: np.ndarray, d: np.ndarray, place: np.ndarray, column: pa.Array, length: int, gram: int) -> pa.RecordBatch | None:
     """Level two over whole groups, sorted by (h, d, place)."""
     pos, k, lo, hi = unpack(place)
@@ -319,7 +348,7 @@ def _level_two(length: int, gram: int, most: int):
     return run
 
 
-def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK_BYTES) -> DataFrame:
+def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK_BYTES, hot: int = HOT_ANCHOR) -> DataFrame:
     """(d, k, lo, hi): runs of starts of windows that occur earlier, by document; k: low bits of the text key."""
     if not 0 < gram <= length <= gram + 127:
         raise ValueError("need gram <= length <= gram + 127")
@@ -328,20 +357,38 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bl
     found = stored(rows.mapInArrow(_level_one(length, gram, block), FOUND), "sa_found")
     own_key = F.shiftright("place", POS_BITS + 2 * OFFSET_BITS).alias("k")
     left = found.where("h is not null").select("h", "d", "place", own_key).join(copies.select("d", "k"), ["d", "k"], "left_anti")
-    # anchors that more than one block holds (or one block twice, at windows that differ), by document
-    shared = stored(left.withColumn("n", F.expr("count(1) over (partition by h)")).where("n > 1")
-                    .groupBy("d", "k").agg(F.collect_list(F.struct("h", "place")).alias("found")), "sa_shared")
-    low = F.col("_k").bitwiseAND(F.lit(LOW_KEY)).alias("_low")
-    ctx = rows.select("_d", low, "text").join(shared, (F.col("_d") == F.col("d")) & (F.col("_low") == F.col("k")))
-    ctx = (ctx.select("_d", "text", "found").mapInArrow(_contexts(length, gram), "h long, d long, place long, ctx binary")
-           .repartition("h").sortWithinPartitions("h", "d", "place"))
-    later = ctx.mapInArrow(_level_two(length, gram, RUN_BYTES), "d long, k long, lo int, hi int")
+    # anchors that more than one block holds (or one block twice, at windows that differ)
+    known = stored(_in_several(left), "sa_known")
+    # a common line shorter than a window is an anchor in very many texts, of which few go on alike:
+    # such an anchor is replaced by its windows, each a group of its own if several texts have it
+    windows = _with_texts(rows, known.where(F.col("n") > hot)).mapInArrow(_window_hashes(length, gram), "h long, d long, place long")
+    repeated = _in_several(windows.select("h", "d", "place", own_key))
+    shared = stored(known.where(F.col("n") <= hot).unionByName(repeated).groupBy("d", "k")
+                    .agg(F.collect_list(F.struct("h", "place")).alias("found")), "sa_shared")
+    ctx = _with_texts(rows, shared).mapInArrow(_contexts(length, gram), "h long, d long, place long, ctx binary")
+    later = (ctx.repartition("h").sortWithinPartitions("h", "d", "place")
+             .mapInArrow(_level_two(length, gram, RUN_BYTES), "d long, k long, lo int, hi int"))
     out = stored(later.unionByName(found.where("h is null").select("d", "k", "lo", "hi")).unionByName(copies), "sa_windows")
-    for df in (copies, found, shared):
+    for df in (copies, found, known, shared):
         discard(df)
     return out
 
 
+def _in_several(rows: DataFrame) -> DataFrame:
+    """The rows whose ``h`` occurs again, with its number of occurrences ``n``; counted before the join, which AQE may split."""
+    n = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return rows.join(n, "h").select("h", "d", "k", "place", "n")
+
+
+def _with_texts(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """(_d, text, found: array of (h, place)) of each document in ``found`` (rows, or lists by document)."""
+    if "found" not in found.columns:
+        found = found.groupBy("d", "k").agg(F.collect_list(F.struct("h", "place")).alias("found"))  # a document's own anchors
+    low = F.col("_k").bitwiseAND(F.lit(LOW_KEY)).alias("_low")
+    joined = rows.select("_d", low, "text").join(found, (F.col("_d") == F.col("d")) & (F.col("_low") == F.col("k")))
+    return joined.select("_d", "text", "found")
+
+
 def _copies(rows: DataFrame, length: int) -> DataFrame:
     """All windows of each document whose whole text an earlier document has. The first of a text is pre-aggregated."""
     text = rows.select(F.col("_d").alias("d"), F.col("_k").bitwiseAND(F.lit(LOW_KEY)).alias("k"), F.unhex(F.sha2("text", 256)).alias("sha"),
