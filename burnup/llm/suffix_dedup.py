@@ -375,8 +375,11 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bl
 
 
 def _in_several(rows: DataFrame) -> DataFrame:
-    """The rows whose ``h`` occurs again, with its number of occurrences ``n``; counted before the join, which AQE may split."""
-    n = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    """The rows whose ``h`` occurs again, with its number of occurrences ``n``.
+
+    The counts are stored: both sides of the join are then shuffled for it, and AQE can split a hot ``h``.
+    """
+    n = stored(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sa_counts")
     return rows.join(n, "h").select("h", "d", "k", "place", "n")
 
 
@@ -394,6 +397,7 @@ def _copies(rows: DataFrame, length: int) -> DataFrame:
     text = rows.select(F.col("_d").alias("d"), F.col("_k").bitwiseAND(F.lit(LOW_KEY)).alias("k"), F.unhex(F.sha2("text", 256)).alias("sha"),
                        (F.octet_length("text") - length).alias("hi"))
     first = text.groupBy("sha").agg(F.min(F.struct("d", "k")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", "first")
+    first = stored(first, "sa_firsts")  # as the counts above, so that a text with very many copies can be split
     return text.join(first, "sha").where("struct(d, k) != first").select("d", "k", F.lit(0).alias("lo"), "hi").distinct()
 
 
