@@ -5,15 +5,15 @@ and the tokens as places in that list. All counting goes by batch, so a token th
 million times is one entry in any shuffle.
 
 Counts. Each batch sends its distinct tokens, split into buckets by hash, with their number in
-training texts; a bucket sums them over all batches, returns every batch its counts (for the exact
-``base_score``) and makes its part of the unigram filter. Bigrams of training texts go the same way,
-without a return.
+training texts; a bucket sums them over all batches, makes its part of the unigram filter and returns every batch its
+counts (for the exact ``base_score``) and its levels in the filter. Distinct bigrams of all texts go
+the same way and get their levels back.
 
 Filter. An n-gram of count c is entered under 1 + floor(log2 c) levels, each by ``HASHES`` bits of its
-bucket's part, ``ENTRY_BITS`` bits to an entry. A lookup probes level after level until one is
-missing; the last one present gives the count's expectation (levels are never underestimated, and
-overestimated with the filter's small error). The parts are collected and broadcast; all parts
-together never exceed ``MAX_BITS``: beyond that only the error grows.
+bucket's part, ``ENTRY_BITS`` bits to an entry however many entries there are. A lookup probes level
+after level until one is missing; the last one present gives the count's expectation (levels are never
+underestimated, and overestimated with the filter's small error). A part is made and probed in its
+bucket's task and never leaves it, so nothing is gathered, and no bound is needed on all parts.
 
 Score. log10 of the product of p(w | h) = (c(h w) + PRIOR * p(w)) / (c(h) + PRIOR) over all tokens,
 with p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)) and all c from the filter, c(h w) at most c(h). The first
@@ -34,14 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnup.llm.base import discard, stored
+from burnup.llm.base import stored
 from burnup.llm.columns import GOLD, LOWER, MIX1, MIX2, chunks, groups, mix, per_row, span_hashes, token_bounds
 
 FOLDS, HELD_OUT = 5, 1
 BATCH_TOKENS = 1 << 19
 #: Bytes of text for each bucket of n-grams.
 BUCKET_BYTES = 1 << 24
-ENTRY_BITS, HASHES, MAX_BITS = 10, 6, 1 << 31
+ENTRY_BITS, HASHES = 10, 6
 #: Weight of the unigram in tokens of context; 20 to 2,000 were tried on held-out texts.
 PRIOR = 1000.0
 END, START = np.uint64(0x656E64), np.uint64(0x7374617274)
@@ -53,6 +53,15 @@ def _as(column: pa.ChunkedArray | pa.Array, kind: str) -> list[np.ndarray]:
     return [np.frombuffer(x.as_py(), kind) for x in column]
 
 
+def _by_bucket(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order of their bucket, and the place of each hash among them."""
+    distinct, places = np.unique(h, return_inverse=True)
+    order = np.argsort(distinct % np.uint64(buckets), kind="stable")
+    rank = np.empty(len(order), np.uint32)
+    rank[order] = np.arange(len(order), dtype=np.uint32)
+    return distinct[order], rank[places]
+
+
 def _batches(buckets: int, most: int):
     """Rows of texts to batches; distinct hashes are in order of their bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,13 +70,10 @@ def _batches(buckets: int, most: int):
 
         def out() -> pa.RecordBatch:
             ids, part, n, h = (np.concatenate(x) for x in zip(*held, strict=True))
-            distinct, places = np.unique(h, return_inverse=True)
-            order = np.argsort(distinct % np.uint64(buckets), kind="stable")
-            rank = np.empty(len(order), np.uint32)
-            rank[order] = np.arange(len(order), dtype=np.uint32)
+            distinct, places = _by_bucket(h, buckets)
             id_list = pa.array([ids.tolist()], pa.list_(pa.int64()))
             return pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() << 32 | number]), id_list, pa.array([part.tolist()], pa.list_(pa.int32())), pa.array([n.tolist()], pa.list_(pa.int32())),
-                                               pa.array([rank[places].tobytes()], pa.binary()), pa.array([distinct[order].tobytes()], pa.binary())], names=["batch", "doc_id", "part", "n_tokens", "tokens", "hashes"])
+                                               pa.array([places.tobytes()], pa.binary()), pa.array([distinct.tobytes()], pa.binary())], names=["batch", "doc_id", "part", "n_tokens", "tokens", "hashes"])
 
         for batch in batches:
             ids = np.array(batch["doc_id"].to_pylist(), object)
@@ -103,10 +109,11 @@ def _bits(keys: np.ndarray, level: np.ndarray | int, i: int, size: np.ndarray |
     return mix(keys ^ (seed * GOLD)) % size
 
 
-def fill(keys: np.ndarray, counts: np.ndarray, most_bits: int, entry_bits: int = ENTRY_BITS) -> np.ndarray:
-    """A filter's part (bytes) with the n-grams entered under all their levels."""
+def fill(keys: np.ndarray, counts: np.ndarray, most_bits: int | None = None, entry_bits: int = ENTRY_BITS) -> np.ndarray:
+    """A filter's part (bytes) with the n-grams entered under all their levels; as large as they need unless bounded."""
     q = levels(counts)
-    size = int(min(max(64, int(q.sum()) * entry_bits), max(64, most_bits)) + 63) // 64 * 64
+    size = max(64, int(q.sum()) * entry_bits)
+    size = (size if most_bits is None else min(size, max(64, most_bits))) + 63 & ~63
     bits = np.zeros(size, bool)
     for level in range(1, int(q.max(initial=0)) + 1):
         some = keys[q >= level]
@@ -168,13 +175,9 @@ def _send(buckets: int, order: int):
                 one = batch.slice(row, 1)
                 tokens, keys = _as(one["tokens"], "<u4")[0], _as(one["hashes"], "<u8")[0]
                 n, part = one["n_tokens"].flatten().to_numpy(), one["part"].flatten().to_numpy()
-                learned = np.repeat(part == 0, n)
-                if order == 1:
-                    counts = np.bincount(tokens[learned], minlength=len(keys))
-                else:
-                    keys, counts = np.unique(bigrams(keys[tokens], n)[learned], return_counts=True)
-                    by = np.argsort(keys % np.uint64(buckets), kind="stable")
-                    keys, counts = keys[by], counts[by]
+                if order == 2:
+                    keys, tokens = _by_bucket(bigrams(keys[tokens], n), buckets)
+                counts = np.bincount(tokens[np.repeat(part == 0, n)], minlength=len(keys))
                 rows = list(_split(keys, counts, buckets))
                 name = one["batch"][0].as_py()
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([name] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
@@ -183,55 +186,56 @@ def _send(buckets: int, order: int):
     return run
 
 
-def _sum(buckets: int, give_back: bool, entry_bits: int):
-    """Per bucket: sums over all batches; its part of the filter, and each batch's counts."""
+def _sum(give_counts: bool, entry_bits: int):
+    """Per bucket: sums over all batches, its part of the filter, and each batch's levels (and counts)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in groups(batches, "bucket"):
             each, number = _as(rows["keys"], "<u8"), _as(rows["counts"], "<u4")
             distinct, place = np.unique(np.concatenate(each), return_inverse=True)
             total = np.bincount(place, np.concatenate(number), len(distinct)).astype(np.int64)
             known = total > 0
-            part = fill(distinct[known], total[known], MAX_BITS // buckets, entry_bits).tobytes() if known.any() else b""
-            back, ends = [], np.cumsum([0, *map(len, each)])
-            if give_back:
-                back = [(b, total[place[x:y]].astype("<i8").tobytes()) for b, x, y in zip(rows["batch"].to_pylist(), ends[:-1], ends[1:], strict=True)]
-            n = 1 + len(back)
-            yield pa.RecordBatch.from_arrays([pa.array([bucket] * n, pa.int32()), pa.array([None, *(b for b, _ in back)], pa.int64()), pa.array([part, *(c for _, c in back)], pa.binary()),
-                                              pa.array([int(known.sum())] + [0] * len(back), pa.int64()), pa.array([int(total.sum())] + [0] * len(back), pa.int64())], names=["bucket", "batch", "data", "n_distinct", "n_total"])
+            level = Filter([fill(distinct[known], total[known], None, entry_bits).tobytes() if known.any() else b""]).level(distinct).astype(np.uint8)
+            ends = np.cumsum([0, *map(len, each)])
+            places = [place[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
+            counts = [total[x].astype("<i8").tobytes() if give_counts else None for x in places]
+            none = [0] * len(places)
+            yield pa.RecordBatch.from_arrays([pa.array([bucket] * (1 + len(places)), pa.int32()), pa.array([None, *rows["batch"].to_pylist()], pa.int64()), pa.array([None, *(level[x].tobytes() for x in places)], pa.binary()), pa.array([None, *counts], pa.binary()),
+                                              pa.array([int(known.sum()), *none], pa.int64()), pa.array([int(total.sum()), *none], pa.int64())], names=["bucket", "batch", "levels", "counts", "n_distinct", "n_total"])
 
     return run
 
 
-SUMS = "bucket int, batch long, data binary, n_distinct long, n_total long"
+SUMS = "bucket int, batch long, levels binary, counts binary, n_distinct long, n_total long"
 
 
-def _counted(batched: DataFrame, buckets: int, order: int, give_back: bool, entry_bits: int) -> DataFrame:
+def _counted(batched: DataFrame, buckets: int, order: int, entry_bits: int) -> DataFrame:
     sent = batched.mapInArrow(_send(buckets, order), "bucket int, batch long, keys binary, counts binary")
-    return stored(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sum(buckets, give_back, entry_bits), SUMS), f"lm_sums{order}")
+    return stored(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sum(order == 1, entry_bits), SUMS), f"lm_sums{order}")
+
+
+def _back(sums: DataFrame, name: str) -> DataFrame:
+    """What the buckets returned to each batch: of its own n-grams."""
+    return sums.where("batch is not null").groupBy("batch").agg(F.collect_list(F.struct("bucket", "levels", "counts")).alias(name))
 
 
-def _parts(sums: DataFrame, buckets: int) -> tuple[bytes, list[int]]:
-    """The filter's parts in one block of MAX_BITS at most, and their lengths."""
-    parts = [b""] * buckets
-    for x in sums.where("batch is null").select("bucket", "data").toLocalIterator():
-        parts[x.bucket] = bytes(x.data)
-    return b"".join(parts), [len(p) for p in parts]
+def _joined(back: pa.Array, field: str, kind: str) -> np.ndarray:
+    """A batch's values from its buckets, in their order."""
+    return np.concatenate([np.frombuffer(x[field], kind) for x in sorted(back[0].as_py(), key=lambda x: x["bucket"])])
 
 
-def _score(model, prior: float):  # noqa: ANN001, ANN202
+def _score(buckets: int, n_all: int, v_all: int, n_texts: int, prior: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uni, bi, n_all, v_all, n_texts = model.value
-        uni, bi = Filter(uni), Filter(bi)
         below = n_all + 0.5 * (v_all + 1)
         for batch in batches:
             for row in range(len(batch)):
                 one = batch.slice(row, 1)
                 tokens, keys = _as(one["tokens"], "<u4")[0], _as(one["hashes"], "<u8")[0]
                 n, part = one["n_tokens"].flatten().to_numpy(), one["part"].flatten().to_numpy()
-                c = np.concatenate([np.frombuffer(x["data"], "<i8") for x in sorted(one["back"][0].as_py(), key=lambda x: x["bucket"])])
+                c = _joined(one["uni"], "counts", "<i8")
                 first = np.cumsum(n) - n
-                q = expected(uni.level(keys))
-                pair = expected(bi.level(bigrams(keys[tokens], n)))
+                q = expected(_joined(one["uni"], "levels", np.uint8))
+                _, pairs = _by_bucket(bigrams(keys[tokens], n), buckets)
+                pair = expected(_joined(one["bi"], "levels", np.uint8))[pairs]
                 context = np.empty(len(tokens))
                 context[1:] = q[tokens[:-1]]
                 context[first] = n_texts
@@ -255,12 +259,9 @@ def score(docs: DataFrame, batch_tokens: int = BATCH_TOKENS, bucket_bytes: int =
     # part: 0 learned from, 1 held out, 2 neither
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(remainder.isNull(), 2).when(remainder == HELD_OUT, 1).otherwise(0).cast("int").alias("part"), text.alias("text"))
     batched = stored(rows.mapInArrow(_batches(buckets, batch_tokens), BATCH), "lm_batches")
-    uni = _counted(batched, buckets, 1, True, entry_bits)
-    bi = _counted(batched, buckets, 2, False, entry_bits)
+    uni = _counted(batched, buckets, 1, entry_bits)
+    bi = _counted(batched, buckets, 2, entry_bits)
     n_all, v_all = uni.agg(F.sum("n_total"), F.sum("n_distinct")).first()
     n_texts = batched.agg(F.sum(F.size(F.filter("part", lambda x: x == 0)))).first()[0] or 0
-    model = spark.sparkContext.broadcast((_parts(uni, buckets), _parts(bi, buckets), n_all or 0, v_all or 0, n_texts))
-    discard(bi)
-    back = uni.where("batch is not null").groupBy("batch").agg(F.collect_list(F.struct("bucket", "data")).alias("back"))  # a batch's own tokens
-    out = batched.join(back, "batch").select("doc_id", "part", "n_tokens", "tokens", "hashes", "back")
-    return out.mapInArrow(_score(model, prior), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = batched.join(_back(uni, "uni"), "batch").join(_back(bi, "bi"), "batch").select("doc_id", "part", "n_tokens", "tokens", "hashes", "uni", "bi")
+    return out.mapInArrow(_score(buckets, n_all or 0, v_all or 0, n_texts, prior), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

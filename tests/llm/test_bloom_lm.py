@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from burnup.llm import bloom_lm as B
@@ -66,6 +67,24 @@ def test_filter_never_underestimates():
     assert (f.level(r.integers(0, 1 << 63, 60_000).astype(np.uint64)) > 0).mean() < 0.02
 
 
+def test_filter_grows_with_its_entries(spark, monkeypatch):
+    """No bound on all parts together: many entries have as small an error as few."""
+    monkeypatch.setattr(B, "MAX_BITS", 1 << 10, raising=False)  # the bound there was, far below this input
+    rows = corpus()
+    got = sorted(B.score(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 1 << 20, 4000, 64).collect(), key=lambda x: x.doc_id)
+    for x, w in zip(got, brute(rows), strict=True):
+        assert abs(x.score - w[4]) < 1e-8 * max(1, abs(w[4]))
+    # one bucket of very many: absent bigrams do not pass
+    r = np.random.default_rng(2)
+    keys = r.integers(0, 1 << 63, 40_000).astype(np.uint64)
+    counts = (np.arange(len(keys)) % 2).astype("<u4")  # every second one is only looked up
+    sent = pa.RecordBatch.from_arrays([pa.array([5], pa.int32()), pa.array([0], pa.int64()), pa.array([keys.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=["bucket", "batch", "keys", "counts"])
+    out = next(B._sum(False, B.ENTRY_BITS)(iter([sent])))
+    level = np.frombuffer(out["levels"][1].as_py(), np.uint8)
+    assert (level[counts == 1] >= 1).all() and (level[counts == 0] > 0).mean() < 0.02
+    assert out["n_distinct"][0].as_py() == 20_000
+
+
 def test_nulls_and_empty(spark):
     df = spark.createDataFrame([(None, "a b"), (1, None)], "doc_id long, text string")
     got = {x.doc_id: x for x in B.score(df).collect()}
