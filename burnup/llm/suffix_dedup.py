@@ -55,9 +55,8 @@ HOT_ANCHOR = 2048
 #: Windows whose anchors are sought at once: places within share a word with 40 bits of hash.
 SEGMENT = 1 << 20
 PAD = 255  # never part of UTF-8
-#: Bits of a packed place: of the text key (its low ones), position, and two window offsets.
-KEY_BITS, POS_BITS, OFFSET_BITS = 20, 29, 7
-LOW_KEY = (1 << KEY_BITS) - 1
+#: Bits of each of the two window offsets of a packed place; the position is above them.
+OFFSET_BITS = 7
 
 
 def _lowest(buf: np.ndarray, gram: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
@@ -147,7 +146,7 @@ def repeats(column: Callable[[int], np.ndarray], group: np.ndarray, width: int,
 
 def block_rows(d: np.ndarray, k: np.ndarray, column: pa.Array, length: int, gram: int) -> dict[str, np.ndarray]:
     """Level one over one block: repeats found there, and the anchors that are left."""
-    order = np.lexsort((k, k & LOW_KEY, d))
+    order = np.lexsort((k, d))
     d, k = d[order], k[order]
     new = np.concatenate([[True], (np.diff(d) != 0) | (np.diff(k) != 0)]) if len(d) else np.zeros(0, bool)
     order, d, k = order[new], d[new], k[new]
@@ -180,18 +179,18 @@ def block_rows(d: np.ndarray, k: np.ndarray, column: pa.Array, length: int, gram
     m_lo, m_hi = np.flatnonzero(step == 1), np.flatnonzero(step == -1) - 1
     # a run of window starts may go on in the next text: PAD and the windows before it never repeat
     row, m_row = np.searchsorted(bounds, place, "right") - 1, np.searchsorted(bounds, m_lo, "right") - 1
-    return {"h": h.view(np.int64), "d": d[row], "place": pack(place - bounds[row], k[row], lo - place + reach, hi - place + reach),
-            "m_d": d[m_row], "m_k": k[m_row] & LOW_KEY, "m_lo": m_lo - bounds[m_row], "m_hi": m_hi - bounds[m_row]}
+    return {"h": h.view(np.int64), "d": d[row], "k": k[row], "place": pack(place - bounds[row], lo - place + reach, hi - place + reach),
+            "m_d": d[m_row], "m_k": k[m_row], "m_lo": m_lo - bounds[m_row], "m_hi": m_hi - bounds[m_row]}
 
 
-def pack(pos: np.ndarray, k: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """One long that sorts by text key and position; the offsets of the first and last window come last."""
-    return (k & LOW_KEY) << (POS_BITS + 2 * OFFSET_BITS) | pos << 2 * OFFSET_BITS | lo << OFFSET_BITS | hi
+def pack(pos: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """One long that sorts by position; the offsets of the first and last window come last."""
+    return pos << 2 * OFFSET_BITS | lo << OFFSET_BITS | hi
 
 
-def unpack(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def unpack(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     low = (1 << OFFSET_BITS) - 1
-    return (x >> 2 * OFFSET_BITS) & ((1 << POS_BITS) - 1), x >> (POS_BITS + 2 * OFFSET_BITS), (x >> OFFSET_BITS) & low, x & low
+    return x >> 2 * OFFSET_BITS, (x >> OFFSET_BITS) & low, x & low
 
 
 FOUND = "h long, d long, k long, place long, lo int, hi int"
@@ -204,7 +203,7 @@ def _found(batch: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([
         cat(pa.array(batch["h"]), null(m, pa.int64())),
         pa.array(np.concatenate([batch["d"], batch["m_d"]]).astype(np.int64)),
-        cat(null(n, pa.int64()), pa.array(batch["m_k"].astype(np.int64))),
+        pa.array(np.concatenate([batch["k"], batch["m_k"]]).astype(np.int64)),
         cat(pa.array(batch["place"].astype(np.int64)), null(m, pa.int64())),
         cat(null(n, pa.int32()), pa.array(batch["m_lo"].astype(np.int32))),
         cat(null(n, pa.int32()), pa.array(batch["m_hi"].astype(np.int32)))], names=["h", "d", "k", "place", "lo", "hi"])
@@ -246,7 +245,7 @@ def _contexts(length: int, gram: int):
                 row = np.repeat(np.arange(len(part)), np.diff(np.asarray(found.offsets)))
                 flat = found.flatten()
                 h, place = flat.field(0), flat.field(1).to_numpy()
-                pos, _, lo, hi = unpack(place)
+                pos, lo, hi = unpack(place)
                 start = bounds[row] + pos - reach + lo
                 size = hi - lo + length
                 for x, y in slices(size, 1 << 22):
@@ -254,8 +253,8 @@ def _contexts(length: int, gram: int):
                     data = buf[start[x:y][which] + i]
                     ends = np.concatenate([[0], np.cumsum(size[x:y])]).astype(np.int32)
                     ctx = pa.BinaryArray.from_buffers(pa.binary(), y - x, [None, pa.py_buffer(ends), pa.py_buffer(data)])
-                    yield pa.RecordBatch.from_arrays([h.slice(x, y - x), part["_d"].take(pa.array(row[x:y])),
-                                                      pa.array(place[x:y]), ctx], names=["h", "d", "place", "ctx"])
+                    yield pa.RecordBatch.from_arrays([h.slice(x, y - x), part["_d"].take(pa.array(row[x:y])), part["_k"].take(pa.array(row[x:y])),
+                                                      pa.array(place[x:y]), ctx], names=["h", "d", "k", "place", "ctx"])
 
     return run
 
@@ -270,24 +269,24 @@ def _window_hashes(length: int, gram: int):
                 part = batch.slice(a, b - a)
                 buf, bounds = buffer(part["text"], bytes([PAD]))
                 row = np.repeat(np.arange(len(part)), np.diff(np.asarray(part["found"].offsets)))
-                d = part["_d"].to_numpy()
+                d, k = part["_d"].to_numpy(), part["_k"].to_numpy()
                 for x in range(0, len(row), 1 << 14):
                     some = row[x: x + (1 << 14)]
-                    pos, k, lo, hi = unpack(part["found"].flatten().field(1).to_numpy()[x: x + (1 << 14)])
+                    pos, lo, hi = unpack(part["found"].flatten().field(1).to_numpy()[x: x + (1 << 14)])
                     which, i = ragged(hi - lo + 1)
                     offset = lo[which] + i
                     start = bounds[some][which] + pos[which] - reach + offset
                     h = span_hashes(buf, start, start + length)
-                    place = pack(pos[which], k[which], offset, offset)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d[some][which]), pa.array(place)], names=["h", "d", "place"])
+                    place = pack(pos[which], offset, offset)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d[some][which]), pa.array(k[some][which]), pa.array(place)], names=["h", "d", "k", "place"])
 
     return run
 
 
-def _group_repeats(h: np.ndarray, d: np.ndarray, place: np.ndarray, column: pa.Array, length: int, gram: int) -> pa.RecordBatch | None:
-    """Level two over whole groups, sorted by (h, d, place)."""
-    pos, k, lo, hi = unpack(place)
-    occurrence = np.concatenate([[True], (np.diff(h) != 0) | (np.diff(d) != 0) | (np.diff(place) != 0)])
+def _group_repeats(h: np.ndarray, d: np.ndarray, k: np.ndarray, place: np.ndarray, column: pa.Array, length: int, gram: int) -> pa.RecordBatch | None:
+    """Level two over whole groups, sorted by (h, d, k, place)."""
+    pos, lo, hi = unpack(place)
+    occurrence = np.concatenate([[True], (np.diff(h) != 0) | (np.diff(d) != 0) | (np.diff(k) != 0) | (np.diff(place) != 0)])
     h, d, pos, k, lo, hi = (x[occurrence] for x in (h, d, pos, k, lo, hi))
     column = column.filter(pa.array(occurrence)) if not occurrence.all() else column
     buf, bounds = buffer(column, bytes([PAD]))
@@ -326,7 +325,7 @@ def _level_two(length: int, gram: int, most: int):
         held, size = [], 0
 
         def flush(rows: pa.Table) -> pa.RecordBatch | None:
-            return _group_repeats(*(rows[c].to_numpy() for c in ("h", "d", "place")), pa.concat_arrays(rows["ctx"].chunks), length, gram)
+            return _group_repeats(*(rows[c].to_numpy() for c in ("h", "d", "k", "place")), pa.concat_arrays(rows["ctx"].chunks), length, gram)
 
         for batch in batches:
             if not len(batch):
@@ -349,24 +348,23 @@ def _level_two(length: int, gram: int, most: int):
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK_BYTES, hot: int = HOT_ANCHOR) -> DataFrame:
-    """(d, k, lo, hi): runs of starts of windows that occur earlier, by document; k: low bits of the text key."""
+    """(d, k, lo, hi): runs of starts of windows that occur earlier, by document; k: the text key."""
     if not 0 < gram <= length <= gram + 127:
         raise ValueError("need gram <= length <= gram + 127")
     rows = texts(docs).select("_d", "_k", "text").where(F.octet_length("text") >= length)
     copies = stored(_copies(rows, length), "sa_copies")
     found = stored(rows.mapInArrow(_level_one(length, gram, block), FOUND), "sa_found")
-    own_key = F.shiftright("place", POS_BITS + 2 * OFFSET_BITS).alias("k")
-    left = found.where("h is not null").select("h", "d", "place", own_key).join(copies.select("d", "k"), ["d", "k"], "left_anti")
+    left = found.where("h is not null").select("h", "d", "k", "place").join(copies.select("d", "k"), ["d", "k"], "left_anti")
     # anchors that more than one block holds (or one block twice, at windows that differ)
     known = stored(_in_several(left), "sa_known")
     # a common line shorter than a window is an anchor in very many texts, of which few go on alike:
     # such an anchor is replaced by its windows, each a group of its own if several texts have it
-    windows = _with_texts(rows, known.where(F.col("n") > hot)).mapInArrow(_window_hashes(length, gram), "h long, d long, place long")
-    repeated = _in_several(windows.select("h", "d", "place", own_key))
+    windows = _with_texts(rows, known.where(F.col("n") > hot)).mapInArrow(_window_hashes(length, gram), "h long, d long, k long, place long")
+    repeated = _in_several(windows)
     shared = stored(known.where(F.col("n") <= hot).unionByName(repeated).groupBy("d", "k")
                     .agg(F.collect_list(F.struct("h", "place")).alias("found")), "sa_shared")
-    ctx = _with_texts(rows, shared).mapInArrow(_contexts(length, gram), "h long, d long, place long, ctx binary")
-    later = (ctx.repartition("h").sortWithinPartitions("h", "d", "place")
+    ctx = _with_texts(rows, shared).mapInArrow(_contexts(length, gram), "h long, d long, k long, place long, ctx binary")
+    later = (ctx.repartition("h").sortWithinPartitions("h", "d", "k", "place")
              .mapInArrow(_level_two(length, gram, RUN_BYTES), "d long, k long, lo int, hi int"))
     out = stored(later.unionByName(found.where("h is null").select("d", "k", "lo", "hi")).unionByName(copies), "sa_windows")
     for df in (copies, found, known, shared):
@@ -384,17 +382,16 @@ def _in_several(rows: DataFrame) -> DataFrame:
 
 
 def _with_texts(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(_d, text, found: array of (h, place)) of each document in ``found`` (rows, or lists by document)."""
+    """(_d, _k, text, found: array of (h, place)) of each document in ``found`` (rows, or lists by document)."""
     if "found" not in found.columns:
         found = found.groupBy("d", "k").agg(F.collect_list(F.struct("h", "place")).alias("found"))  # a document's own anchors
-    low = F.col("_k").bitwiseAND(F.lit(LOW_KEY)).alias("_low")
-    joined = rows.select("_d", low, "text").join(found, (F.col("_d") == F.col("d")) & (F.col("_low") == F.col("k")))
-    return joined.select("_d", "text", "found")
+    joined = rows.select("_d", "_k", "text").join(found, (F.col("_d") == F.col("d")) & (F.col("_k") == F.col("k")))
+    return joined.select("_d", "_k", "text", "found")
 
 
 def _copies(rows: DataFrame, length: int) -> DataFrame:
     """All windows of each document whose whole text an earlier document has. The first of a text is pre-aggregated."""
-    text = rows.select(F.col("_d").alias("d"), F.col("_k").bitwiseAND(F.lit(LOW_KEY)).alias("k"), F.unhex(F.sha2("text", 256)).alias("sha"),
+    text = rows.select(F.col("_d").alias("d"), F.col("_k").alias("k"), F.unhex(F.sha2("text", 256)).alias("sha"),
                        (F.octet_length("text") - length).alias("hi"))
     first = text.groupBy("sha").agg(F.min(F.struct("d", "k")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("sha", "first")
     first = stored(first, "sa_firsts")  # as the counts above, so that a text with very many copies can be split
@@ -435,10 +432,9 @@ def with_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block:
     """The rows of ``docs`` with a last column ``windows``: the runs of repeated window starts."""
     found = repeated_windows(docs, length, gram, block).groupBy("d", "k").agg(F.collect_list(F.struct("lo", "hi")).alias("windows"))
     names = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), doc_key().alias("_d"),
-                       text_key().bitwiseAND(F.lit(LOW_KEY)).alias("_low"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), doc_key().alias("_d"), text_key().alias("_k"))
     # text_key hashes a null text otherwise than an empty one; neither has windows
-    return rows.join(found, (F.col("_d") == F.col("d")) & (F.col("_low") == F.col("k")), "left").select("row", "windows")
+    return rows.join(found, (F.col("_d") == F.col("d")) & (F.col("_k") == F.col("k")), "left").select("row", "windows")
 
 
 def dedup_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK_BYTES) -> DataFrame:

@@ -109,6 +109,18 @@ def test_nulls_ties_repeats_and_empty(spark):
     assert sorted(x.n_removed >= n - 1 for x in S.dedup_spans(two).collect()) == [False, True]
 
 
+def test_thousands_of_rows_without_id(spark):
+    """They share one place in the order; each text is still a document of its own."""
+    r = random.Random(9)
+    text = lambda n: "".join(r.choice("abcdefghijklmnop ") for _ in range(n))
+    first = [(i, text(110)) for i in range(3000)]
+    rows = first + [(None, t) for _, t in first] + [(None, text(110)) for _ in range(3000)] + [(None, text(20) + t[5:107] + text(8)) for _, t in first[:1000]]
+    got = S.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), block=1 << 16).collect()
+    want = brute(rows, 100)
+    key = lambda x: (x[0] is None, x[0] or 0, *x[1:])
+    assert sorted(((x.doc_id, x.n_bytes, x.n_removed, x.spans, x.kept_sha256) for x in got), key=key) == sorted(((i, *want[i, t]) for i, t in rows), key=key)
+
+
 def test_texts_keep_columns(spark):
     r = random.Random(1)
     a = "".join(r.choice("abcdefgh") for _ in range(300))
