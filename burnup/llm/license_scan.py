@@ -9,6 +9,11 @@ pass. A paragraph that passes is held against the templates of its predicted fam
 has at least ``SIMILARITY`` of its shingles (five words, or all of a shorter one) in the paragraph,
 the family is confirmed; else the licence is ``unknown``.
 
+Notices wrapped over lines. Within a block (lines up to one without words) the shingles of all
+templates are sought over the joined lines. A run of lines that has ``SIMILARITY`` of a template's
+shingles only together is scored as one paragraph; its family is the one it resembles most. It takes
+the place of its lines' own ``unknown`` ones and of those of its family.
+
 The model is a table of fixed size (``FEATURES`` by families), trained on the driver from the bounded
 sample; every paragraph of every text is scored, in one pass without a shuffle.
 
@@ -23,6 +28,7 @@ import random
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burnup.llm.columns import GOLD, MIX1, chunks, mix, per_row, span_hashes
-from burnup.llm.decontaminate import WORD
+from burnup.llm.decontaminate import WORD, shingles
 
 FEATURES = 1 << 15
 NEGATIVES, VARIANTS, FALSE_RATE = 4000, 60, 0.001
@@ -84,8 +90,26 @@ def resemblance(words: list[str], family: str) -> float:
     return best
 
 
-def paragraphs(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per chunk: features, first feature of each paragraph, its row, and first and last byte in the row."""
+class Lines(NamedTuple):
+    """A chunk's lines with words: hashes of all words, and of each line its words, row, bytes in the chunk and block."""
+
+    a: int
+    b: int
+    buf: np.ndarray
+    bounds: np.ndarray
+    h: np.ndarray
+    n: np.ndarray
+    row: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    block: np.ndarray
+
+    def text(self, i: int, j: int) -> str:
+        """Lines i to j."""
+        return self.buf[self.begin[i]: self.end[j]].tobytes().decode("utf-8", "replace")
+
+
+def lines_of(column: pa.Array) -> Iterator[Lines]:
     for a, b, buf, bounds in chunks(pc.utf8_lower(column.cast(pa.large_string())), b"\n"):
         inside = np.zeros(len(buf) + 1, np.int8)
         inside[1:] = WORD[buf]
@@ -94,14 +118,99 @@ def paragraphs(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
         lines = np.append(0, np.flatnonzero(buf == 10) + 1)
         n = per_row(starts, lines)
         some = np.flatnonzero(n)
-        n = n[some]
-        h = span_hashes(buf, starts, ends)
-        first = np.cumsum(n) - n
-        pair = mix(h * MIX1 + np.concatenate([h[1:], h[:1]]) + GOLD)
-        pair[first + n - 1] = mix(h[first + n - 1] ^ GOLD)  # the last word with the end
-        f = np.stack([h, pair], axis=1).ravel() & np.uint64(FEATURES - 1)
         row = np.searchsorted(bounds, lines[some], "right") - 1
-        yield a, b, f.astype(np.int32), 2 * first, row, np.stack([lines[some], lines[some + 1] - 1], axis=1) - bounds[row][:, None]
+        new = (np.diff(some, prepend=-2) != 1) | (np.diff(row, prepend=-1) != 0)
+        yield Lines(a, b, buf, bounds, span_hashes(buf, starts, ends), n[some], row, lines[some], lines[some + 1] - 1, np.cumsum(new))
+
+
+def features(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of paragraphs of ``n`` words each, and the first one of each paragraph."""
+    first = np.cumsum(n) - n
+    pair = mix(h * MIX1 + np.concatenate([h[1:], h[:1]]) + GOLD)
+    pair[first + n - 1] = mix(h[first + n - 1] ^ GOLD)  # the last word with the end
+    f = np.stack([h, pair], axis=1).ravel() & np.uint64(FEATURES - 1)
+    return f.astype(np.int32), 2 * first
+
+
+def paragraphs(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per chunk: features, first feature of each paragraph, its row, and first and last byte in the row."""
+    for x in lines_of(column):
+        yield x.a, x.b, *features(x.h, x.n), x.row, np.stack([x.begin, x.end], axis=1) - x.bounds[x.row][:, None]
+
+
+@lru_cache(maxsize=1)
+def _sought() -> tuple[list[int], list[tuple[int, np.ndarray, list[list[tuple[int, int]]]]]]:
+    """Number of shingles of each template; by shingle size the hashes, and of each its (template, shingle)."""
+    sizes, by_size = [], {}
+    for family in FAMILIES:
+        for text in NOTICES[family]:
+            h = next(lines_of(pa.array([text]))).h
+            k = min(SHINGLE, len(h))
+            distinct = np.unique(shingles(h, k)).tolist()
+            for i, x in enumerate(distinct):
+                by_size.setdefault(k, {}).setdefault(x, []).append((len(sizes), i))
+            sizes.append(len(distinct))
+    return sizes, [(k, np.array(sorted(known), np.uint64), [known[x] for x in sorted(known)]) for k, known in sorted(by_size.items())]
+
+
+def hits(h: np.ndarray, unit: np.ndarray) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """(first word, size, its (template, shingle)s) of each shingle of a template within one unit."""
+    for k, known, owners in _sought()[1]:
+        if len(h) < k:
+            continue
+        sh = shingles(h, k)
+        maybe = np.zeros(1 << 16, bool)
+        maybe[(known & np.uint64(0xFFFF)).astype(np.int64)] = True
+        place = np.flatnonzero(maybe[(sh & np.uint64(0xFFFF)).astype(np.int64)])
+        place = place[unit[place] == unit[place + k - 1]]
+        at = np.minimum(np.searchsorted(known, sh[place]), len(known) - 1)
+        for w, i in zip(place[known[at] == sh[place]].tolist(), at[known[at] == sh[place]].tolist(), strict=True):
+            yield w, k, owners[i]
+
+
+def wrapped(x: Lines) -> list[tuple[int, int]]:
+    """Runs of lines (first, last) that only together have a template's shingles; each word is in one run's notice."""
+    line = np.repeat(np.arange(len(x.n)), x.n)
+    sizes, _ = _sought()
+    groups: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+    for w, k, owners in hits(x.h, x.block[line]):
+        for template, shingle in owners:
+            groups.setdefault((int(x.block[line[w]]), template), []).append((w, w + k - 1, shingle))
+    found = []
+    for (_, template), some in groups.items():
+        some.sort()
+        if line[some[0][0]] == line[some[-1][1]]:
+            continue
+        lo, have = 0, {}
+        for hi, (_, last, shingle) in enumerate(some):
+            if hi < lo:  # of the notice before
+                continue
+            have[shingle] = have.get(shingle, 0) + 1
+            if len(have) < SIMILARITY * sizes[template]:
+                continue
+            while have[some[lo][2]] > 1 or len(have) - 1 >= SIMILARITY * sizes[template]:
+                have[some[lo][2]] -= 1
+                if not have[some[lo][2]]:
+                    del have[some[lo][2]]
+                lo += 1
+            # the rest of the notice, as far as it goes on
+            end = hi
+            while end + 1 < len(some) and some[end + 1][0] <= some[end][1] and some[end + 1][2] not in have:
+                end += 1
+                have[some[end][2]] = 1
+            start = some[lo][0]
+            while lo and some[lo - 1][1] >= start and some[lo - 1][2] not in have:
+                lo -= 1
+                start = some[lo][0]
+                have[some[lo][2]] = 1
+            if line[start] != line[last := some[end][1]]:
+                found.append((len(have) / sizes[template], last - start, start, last))
+            lo, have = end + 1, {}
+    out: list[tuple[int, int, int, int]] = []
+    for _, _, start, last in sorted(found, reverse=True):
+        if all(last < y[0] or start > y[1] for y in out):
+            out.append((start, last, int(line[start]), int(line[last])))
+    return sorted({y[2:] for y in out})
 
 
 def probabilities(weights: np.ndarray, f: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -188,17 +297,30 @@ def scan(docs: DataFrame) -> DataFrame:
         weights, least = model.value
         for batch in batches:
             n, found = np.zeros(len(batch), np.int64), [[] for _ in range(len(batch))]
-            for a, b, f, first, row, place in paragraphs(batch["text"]):
-                n[a:b] = np.bincount(row, minlength=b - a)
-                if not len(first):
+            for x in lines_of(batch["text"]):
+                n[x.a: x.b] = np.bincount(x.row, minlength=x.b - x.a)
+                if not len(x.n):
                     continue
-                p = probabilities(weights, f, first)
+                ends = np.cumsum(x.n)
+                p = probabilities(weights, *features(x.h, x.n))
+                runs = []
+                for i, j in wrapped(x):
+                    h = x.h[ends[i] - x.n[i]: ends[j]]
+                    q = probabilities(weights, *features(h, np.array([len(h)])))[0]
+                    if 1 - q[-1] > least:
+                        words = words_of(x.text(i, j))
+                        near, _, family = max((resemblance(words, f), q[k], f) for k, f in enumerate(FAMILIES))
+                        runs.append((i, j, family, float(1 - q[-1]), near))
+                single = []
                 for i in np.flatnonzero(1 - p[:, -1] > least).tolist():
-                    lower = pc.utf8_lower(batch["text"].slice(a + int(row[i]), 1))[0].as_py().encode()
-                    text = lower[place[i, 0]: place[i, 1]].decode("utf-8", "replace")
                     family = FAMILIES[int(p[i, :-1].argmax())]
-                    near = resemblance(words_of(text), family)
-                    found[a + int(row[i])].append({"family": family if near >= SIMILARITY else UNKNOWN, "first_byte": int(place[i, 0]), "end_byte": int(place[i, 1]), "score": float(1 - p[i, -1]), "resemblance": near})
+                    near = resemblance(words_of(x.text(i, i)), family)
+                    family = family if near >= SIMILARITY else UNKNOWN
+                    if not any(r[0] <= i <= r[1] and family in (UNKNOWN, r[2]) for r in runs):
+                        single.append((i, i, family, float(1 - p[i, -1]), near))
+                for i, j, family, score, near in sorted(single + runs):
+                    at = x.bounds[x.row[i]]
+                    found[x.a + int(x.row[i])].append({"family": family, "first_byte": int(x.begin[i] - at), "end_byte": int(x.end[j] - at), "score": score, "resemblance": near})
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n), pa.array(found, kind)], names=["doc_id", "n_paragraphs", "licences"])
 
     kind = pa.list_(pa.struct([("family", pa.string()), ("first_byte", pa.int64()), ("end_byte", pa.int64()), ("score", pa.float64()), ("resemblance", pa.float64())]))

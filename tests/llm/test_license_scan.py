@@ -1,6 +1,8 @@
 import random
+import textwrap
 
 import numpy as np
+import pytest
 
 from burnup.llm import license_scan as L
 
@@ -57,6 +59,25 @@ def test_chunks_do_not_matter():
     assert [texts[r][a:b] for r, (a, b) in zip(row, place)] == ["one two", "three", "four", "five six seven", "eight"]
 
 
+@pytest.mark.parametrize("prefix", ["", " * "])
+def test_wrapped_notices(spark, prefix):
+    """Notices over several lines are one licence, confirmed over the joined lines."""
+    r = random.Random(8)
+    rows, truth = [], {}
+    long = [(f, t) for f in L.FAMILIES for t in L.NOTICES[f] if len(t) > 80]
+    for i in range(300):
+        lines = [filler(r, r.randint(3, 30)) for _ in range(r.randint(1, 4))]
+        if i % 4 == 0:
+            family, t = long[i // 4 % len(long)]
+            lines[1:1] = ["", *(prefix + x for x in textwrap.wrap(t + ", " + filler(r, 3), 45)), prefix if i % 8 else ""]
+            truth[i] = family
+        rows.append((i, "\n".join(lines)))
+    got = {x.doc_id: [y.family for y in x.licences] for x in L.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert {f for f in truth.values()} >= {"MIT", "BSD", "ISC", "CC0", "GPL"}
+    assert np.mean([got[i] == [f] for i, f in truth.items()]) > 0.9
+    assert np.mean([not got[i] for i in got if i not in truth]) > 0.95
+
+
 def test_empty(spark):
     df, _, _ = frame(spark)
     assert L.scan(df.limit(0)).count() == 0
