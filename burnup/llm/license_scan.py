@@ -2,10 +2,10 @@
 
 A text's paragraphs are its lines. A logistic regression over hashed word uni- and bigrams tells the
 licence families and ``none`` apart. It learns from variations of the families' notices (below) and
-from a bounded sample of ordinary paragraphs of the corpus itself: the ``NEGATIVES`` paragraphs of
-smallest hash that resemble no notice. Half of the sample is not learned from; on it the score beyond
-which a paragraph is a licence at all is set so that at most ``FALSE_RATE`` of ordinary paragraphs
-pass. A paragraph that passes is held against the templates of its predicted family: if one of them
+from a bounded sample of ordinary paragraphs of the corpus itself: half of the ``NEGATIVES``
+distinct paragraphs of smallest hash that resemble no notice. Then all other paragraphs of the corpus
+that resemble none are scored, and the score beyond which a paragraph is a licence at all is set so
+that at most ``FALSE_RATE`` of them pass. A paragraph that passes is held against the templates of its predicted family: if one of them
 has at least ``SIMILARITY`` of its shingles (five words, or all of a shorter one) in the paragraph,
 the family is confirmed; else the licence is ``unknown``.
 
@@ -15,7 +15,7 @@ shingles only together is scored as one paragraph; its family is the one it rese
 the place of its lines' own ``unknown`` ones and of those of its family.
 
 The model is a table of fixed size (``FEATURES`` by families), trained on the driver from the bounded
-sample; every paragraph of every text is scored, in one pass without a shuffle.
+sample; every paragraph of every text is scored. Nothing is shuffled but the sample and counts of scores.
 
 Words are runs of letters and digits in lower case. Defined cases: null and empty texts have no
 paragraphs and no licence; lines without words are no paragraphs; repeated rows are scanned each; an
@@ -42,6 +42,10 @@ from burnup.llm.decontaminate import WORD, shingles
 FEATURES = 1 << 15
 NEGATIVES, VARIANTS, FALSE_RATE = 4000, 60, 0.001
 SHINGLE, SIMILARITY = 5, 0.8
+#: A paragraph that has this part of a template's shingles is no ordinary one.
+RESEMBLES = 0.5
+#: Scores beyond one half are counted by the log of their odds, in so many steps to 1 and up to so many.
+STEPS, MOST_STEPS = 2048, 1 << 16
 UNKNOWN = "unknown"
 
 #: Notices by licence family, as their publishers word them.
@@ -213,6 +217,22 @@ def wrapped(x: Lines) -> list[tuple[int, int]]:
     return sorted({y[2:] for y in out})
 
 
+def ordinary(x: Lines) -> np.ndarray:
+    """Which lines resemble no notice, alone or with the lines around them."""
+    line = np.repeat(np.arange(len(x.n)), x.n)
+    out = np.ones(len(x.n), bool)
+    for i in {int(line[w]) for w, _, _ in hits(x.h, line)}:  # the others have no shingle of a notice
+        words = words_of(x.text(i, i))
+        out[i] = max(resemblance(words, f) for f in FAMILIES) < RESEMBLES
+    for i, j in wrapped(x):
+        out[i: j + 1] = False
+    return out
+
+
+def line_keys(x: Lines) -> np.ndarray:
+    return span_hashes(x.buf, x.begin, x.end)
+
+
 def probabilities(weights: np.ndarray, f: np.ndarray, first: np.ndarray) -> np.ndarray:
     """P(class | paragraph); the last class is ``none``, the last row of weights the bias."""
     n = np.diff(np.append(first, len(f)))
@@ -263,23 +283,60 @@ def variants(seed: int = 7) -> tuple[list[str], list[int]]:
     return texts, labels
 
 
-def train(docs: DataFrame) -> tuple[np.ndarray, float]:
-    """Weights, and the score beyond which a paragraph is a licence; bounded by NEGATIVES and VARIANTS."""
+def _sample(docs: DataFrame) -> list[str]:
+    """The NEGATIVES distinct ordinary lines of smallest hash, or all there are."""
     line = F.explode(F.split("text", "\n")).alias("line")
-    lines = docs.select(line).where(r"line rlike '\\p{L}' and length(line) <= 2000")
-    # distinct lines below a bound of their hash that lets about 3 * NEGATIVES of them pass
-    share = min(1.0, 3 * NEGATIVES / max(1, lines.count()))
-    low = F.xxhash64("line").bitwiseAND(F.lit((1 << 40) - 1)) < int(share * (1 << 40))
-    sample = sorted((x.h, x.line) for x in lines.where(low).distinct().select("line", F.xxhash64("line").alias("h")).collect())
-    sample = [line for _, line in sample]
-    sample = list(dict.fromkeys(x for x in sample if max(resemblance(words_of(x), f) for f in FAMILIES) < 0.5 and words_of(x)))[:NEGATIVES]
-    learned, held = sample[::2], sample[1::2]
+    # a bound of the hash that lets somewhat more than NEGATIVES distinct lines pass
+    share = min(1.0, 1.5 * NEGATIVES / max(1, docs.select(line).agg(F.approx_count_distinct("line", 0.02)).first()[0]))
+    while True:
+        bound = min(int(share * (1 << 64)), (1 << 64) - 1)
+
+        def run(batches: Iterator[pa.RecordBatch], bound: int = bound) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for x in lines_of(batch["text"]):
+                    key = line_keys(x)
+                    some = np.flatnonzero((key <= np.uint64(bound)) & ordinary(x))
+                    yield pa.RecordBatch.from_arrays([pa.array(key[some].view(np.int64)), pa.array([x.text(i, i) for i in some.tolist()], pa.string())], names=["key", "line"])
+
+        got = docs.select("text").mapInArrow(run, "key long, line string").distinct().collect()
+        if len(got) >= NEGATIVES or share == 1.0:
+            return [x.line for x in sorted(got, key=lambda x: (x.key % (1 << 64), x.line))[:NEGATIVES]]
+        share = min(1.0, 4 * share)
+
+
+def _least(docs: DataFrame, weights: np.ndarray, learned: list[str]) -> float:
+    """The score (one half or more) that at most FALSE_RATE of all ordinary lines not learned from exceed."""
+    known = np.unique(np.concatenate([line_keys(x) for x in lines_of(pa.array(learned, pa.string()))] or [np.zeros(0, np.uint64)]))
+    model = docs.sparkSession.sparkContext.broadcast((weights, known))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, known = model.value
+        for batch in batches:
+            for x in lines_of(batch["text"]):
+                use = ordinary(x) & ~np.isin(line_keys(x), known)
+                if not use.any():
+                    continue
+                none = probabilities(weights, *features(x.h, x.n))[use, -1]
+                odds = np.log(np.maximum(1 - none, 1e-300)) - np.log(np.maximum(none, 1e-300))
+                step, n = np.unique(np.clip(np.ceil(odds * STEPS), 0, MOST_STEPS).astype(np.int32), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(step), pa.array(n.astype(np.int64))], names=["step", "n"])
+
+    counts = sorted((x.step, x.n) for x in docs.select("text").mapInArrow(run, "step int, n long").groupBy("step").agg(F.sum("n").alias("n")).collect())
+    may, least = FALSE_RATE * sum(n for _, n in counts), 0
+    for step, n in reversed(counts):
+        may -= n
+        if may < 0:
+            least = step
+            break
+    return float(1 / (1 + np.exp(-least / STEPS)))
+
+
+def train(docs: DataFrame) -> tuple[np.ndarray, float]:
+    """Weights, and the score beyond which a paragraph is a licence."""
+    learned = _sample(docs)[::2]
     texts, labels = variants()
     weights = fit(texts + learned, np.array(labels + [len(FAMILIES)] * len(learned)))
-    if not held:
-        return weights, 0.5
-    scores = np.concatenate([1 - probabilities(weights, f, first)[:, -1] for f, first in [next(_features(held[i: i + 500])) for i in range(0, len(held), 500)]])
-    return weights, max(0.5, float(np.quantile(scores, 1 - FALSE_RATE)))
+    return weights, _least(docs, weights, learned)
 
 
 FOUND = "array<struct<family:string,first_byte:bigint,end_byte:bigint,score:double,resemblance:double>>"

@@ -78,6 +78,18 @@ def test_wrapped_notices(spark, prefix):
     assert np.mean([not got[i] for i in got if i not in truth]) > 0.95
 
 
+def test_few_distinct_lines_still_train(spark, monkeypatch):
+    """The sample is of distinct lines, so lines that repeat very often do not shrink it."""
+    monkeypatch.setattr(L, "NEGATIVES", 40)
+    r = random.Random(3)
+    distinct = [filler(r, r.randint(3, 30)) for _ in range(60)] + [filler(r, 900)]
+    rows = [(i, "\n".join(r.choice(distinct) for _ in range(20))) for i in range(400)] + [(999, "\n".join(distinct))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert len(L._sample(df)) == 40
+    got = {x.doc_id: x for x in L.scan(df).collect()}
+    assert sum(len(x.licences) for x in got.values()) <= L.FALSE_RATE * sum(x.n_paragraphs for x in got.values())
+
+
 def test_empty(spark):
     df, _, _ = frame(spark)
     assert L.scan(df.limit(0)).count() == 0
