@@ -11,6 +11,9 @@ For each benchmark item every window of as many words in every text is compared,
 3. The weighted similarity of their shingles (each weighted by its number of occurrences: sum of
    the minima over the sum of the maxima) decides: ``SIMILARITY`` or more is a match.
 
+A text with fewer words than the item is one window, its whole; if it has enough shingles of the item
+it goes to step 3 at once.
+
 Words are runs of letters and digits (any byte of a non-ASCII character counts as a letter) in lower
 case. An item of fewer than five words is one shingle, its whole sequence. The benchmark is the
 stated query set: it is indexed in blocks of ``BLOCK_ITEMS`` items, each of a bounded size on every
@@ -143,6 +146,7 @@ class Index:
         item = self.owners[self.first[at][run] + i]
         place, row = place[run], row[run]
         size = self.length[item]
+        yield from self.short_matches(sh, n_words, row, item)
         lo = np.maximum(place + self.size - size, (end - n_words)[row])
         hi = np.minimum(place, end[row] - size)
         fits = lo <= hi
@@ -164,6 +168,18 @@ class Index:
                         r = int(np.searchsorted(end, start[w], "right"))
                         yield r, x, int(start[w] - (end[r] - n_words[r])), int(np.bitwise_count(prints[w] ^ self.prints[x])), s
 
+    def short_matches(self, sh: np.ndarray, n_words: np.ndarray, row: np.ndarray, item: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+        """As ``matches``, of texts with fewer words than the item; ``row`` and ``item``: of each shingle they share."""
+        short = n_words[row] < self.length[item]
+        pair, shared = np.unique(row[short] * len(self.ids) + item[short], return_counts=True)
+        pair = pair[shared / (self.length[pair % len(self.ids)] - self.size + 1) >= SIMILARITY]
+        first = np.cumsum(n_words) - n_words
+        for r, x in zip((pair // len(self.ids)).tolist(), (pair % len(self.ids)).tolist(), strict=True):
+            window = sh[first[r]: first[r] + n_words[r] - self.size + 1]
+            s = similarity(window, self.shingles[x])
+            if s >= SIMILARITY:
+                yield r, x, 0, int(np.bitwise_count(simhash(window, np.array([len(window)]))[0] ^ self.prints[x])), s
+
 
 def indexes(ids: list[int | None], column: pa.Array) -> list[Index]:
     by_size: dict[int, list] = {}

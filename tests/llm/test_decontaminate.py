@@ -68,6 +68,25 @@ def test_against_brute_force(spark):
     assert kept.columns == df.columns and {x.doc_id for x in kept.collect()} == {d for d in want if not want[d]}
 
 
+def test_texts_shorter_than_the_item(spark):
+    """A text with fewer words than an item is compared as a whole."""
+    r = random.Random(12)
+    items = [(i, " ".join("".join(r.choice("aeinorst") for _ in range(5)) for _ in range(r.randint(18, 50)))) for i in range(20)]
+    items += [(50, "so so so so so so so so so so so so")]
+    docs = [(100 * i + k, " ".join(t.split()[k // 2: len(t.split()) - (k + 1) // 2])) for i, t in items for k in range(9)]
+    docs += [(9000 + i, t.replace(t.split()[3], "", 1)) for i, t in items[:20]]
+    want = {}
+    for d, t in docs:
+        w = toks(t)
+        sh = lambda z: [tuple(z[j: j + 5]) for j in range(len(z) - 4)]
+        want[d] = [i for i, x in items if max((jac(sh(w[a: a + len(toks(x))]), sh(toks(x))) for a in range(max(1, len(w) - len(toks(x)) + 1))), default=0) >= 0.8]
+    short = {i: len(t.split()) for i, t in items}
+    assert sum(len(t.split()) < short[i] for d, t in docs for i in want[d]) > 20
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {x.doc_id: x.item_ids for x in D.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want
+
+
 def test_blocks_of_items_and_empty(spark, monkeypatch):
     docs, items = data()
     df = spark.createDataFrame(docs, "doc_id long, text string")
