@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_benchmark_decontamination": ("documents", {"doc_id": "bigint", "contaminated": "boolean", "n_items": "bigint", "item_ids": "array<bigint>", "similarity": "double"}),
     "op9_url_filter": ("pages", {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"}),
     "op10_suffix_array_dedup": ("documents", {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"}),
+    "op11_line_dedup": ("documents", {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"}),
+    "op12_importance_resampling": ("documents", {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"}),
+    "op13_fill_in_middle": ("documents", {"doc_id": "bigint", "n": "bigint", "form": "string", "prefix_chars": "bigint", "middle_chars": "bigint", "output_sha256": "string", "restored_sha256": "string"}),
 }
 
 
