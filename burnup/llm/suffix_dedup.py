@@ -20,9 +20,13 @@ Documents whose whole text is a copy are found by a digest and need no rounds be
 The rounds run twice. First within each block of rows, before any shuffle: of a passage that a
 third of all rows hold, each block keeps one occurrence. Then on what is left, with the anchors
 that more than one block holds. Both levels are exact, hence so is the result. An anchor inside a
-common line that is shorter than a window can still be in very many texts that go on differently;
-beyond ``HOT_ANCHOR`` occurrences its windows are told apart by their own hashes first, so a group
-holds one text a block, as all its texts agree in the whole window.
+common line that is shorter than a window can still be in very many texts that go on differently.
+Level one leaves one occurrence of a passage in a block, so an anchor with over twice as many occurrences
+as there are blocks isn't one passage: its windows are told apart by their own hashes first, and a group's
+texts then agree in a whole window. This bound moves with the input, so the share of such anchors
+is the same at every size. A passage that every block holds is compared in rounds of ``GROUP_ROWS``: each
+group is dealt over shards, a shard hands on the first of its equal windows, and the next round has as many
+rows a passage as the one before had shards.
 
 Defined cases: null text is empty; texts shorter than ``length`` lose nothing; rows with a null
 doc_id come after all others; rows that repeat a doc_id with another text are ordered by a hash of
@@ -35,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +55,10 @@ GRAM = 24
 BLOCK_BYTES = 1 << 22
 #: Bytes of context texts of a group run (level two); a single larger group is handled as one.
 RUN_BYTES = 1 << 24
-#: Occurrences of an anchor (one for each block at most where texts go on alike) beyond which its windows part.
-HOT_ANCHOR = 2048
+#: Occurrences of an anchor, for each block, beyond which its windows part.
+HOT_IN_BLOCK = 2
+#: Occurrences of a passage that are compared in one group.
+GROUP_ROWS = 4096
 #: Windows whose anchors are sought at once: places within share a word with 40 bits of hash.
 SEGMENT = 1 << 20
 PAD = 255  # never part of UTF-8
@@ -197,16 +204,17 @@ FOUND = "h long, d long, k long, place long, lo int, hi int"
 
 
 def _found(batch: dict) -> pa.RecordBatch:
-    n, m = len(batch["h"]), len(batch["m_d"])
+    """Rows of FOUND: anchors that are left, repeats, and a row of nulls that counts the block."""
+    n, m = len(batch["h"]), len(batch["m_d"]) + 1
     null = lambda c, t: pa.nulls(c, t)
     cat = lambda x, y: pa.concat_arrays([x, y])
     return pa.RecordBatch.from_arrays([
         cat(pa.array(batch["h"]), null(m, pa.int64())),
-        pa.array(np.concatenate([batch["d"], batch["m_d"]]).astype(np.int64)),
-        pa.array(np.concatenate([batch["k"], batch["m_k"]]).astype(np.int64)),
+        cat(pa.array(np.concatenate([batch["d"], batch["m_d"]]).astype(np.int64)), null(1, pa.int64())),
+        cat(pa.array(np.concatenate([batch["k"], batch["m_k"]]).astype(np.int64)), null(1, pa.int64())),
         cat(pa.array(batch["place"].astype(np.int64)), null(m, pa.int64())),
-        cat(null(n, pa.int32()), pa.array(batch["m_lo"].astype(np.int32))),
-        cat(null(n, pa.int32()), pa.array(batch["m_hi"].astype(np.int32)))], names=["h", "d", "k", "place", "lo", "hi"])
+        pa.concat_arrays([null(n, pa.int32()), pa.array(batch["m_lo"].astype(np.int32)), null(1, pa.int32())]),
+        pa.concat_arrays([null(n, pa.int32()), pa.array(batch["m_hi"].astype(np.int32)), null(1, pa.int32())])], names=["h", "d", "k", "place", "lo", "hi"])
 
 
 def _level_one(length: int, gram: int, block: int):
@@ -283,14 +291,16 @@ def _window_hashes(length: int, gram: int):
     return run
 
 
-def _group_repeats(h: np.ndarray, d: np.ndarray, k: np.ndarray, place: np.ndarray, column: pa.Array, length: int, gram: int) -> pa.RecordBatch | None:
-    """Level two over whole groups, sorted by (h, d, k, place)."""
+def _group_repeats(rows: pa.Table, length: int, gram: int, hand_on: bool) -> Iterator[pa.RecordBatch]:
+    """Level two over whole groups, sorted by (g, d, k, place): repeats (g is null), and if asked the rows with windows that aren't."""
+    g, h, d, k, place = (rows[c].to_numpy() for c in ("g", "h", "d", "k", "place"))
+    column = pa.concat_arrays(rows["ctx"].chunks)
     pos, lo, hi = unpack(place)
-    occurrence = np.concatenate([[True], (np.diff(h) != 0) | (np.diff(d) != 0) | (np.diff(k) != 0) | (np.diff(place) != 0)])
-    h, d, pos, k, lo, hi = (x[occurrence] for x in (h, d, pos, k, lo, hi))
+    occurrence = np.concatenate([[True], (np.diff(g) != 0) | (np.diff(d) != 0) | (np.diff(k) != 0) | (np.diff(place) != 0)])
+    g, h, d, pos, k, lo, hi = (x[occurrence] for x in (g, h, d, pos, k, lo, hi))
     column = column.filter(pa.array(occurrence)) if not occurrence.all() else column
     buf, bounds = buffer(column, bytes([PAD]))
-    group = np.cumsum(np.concatenate([[True], np.diff(h) != 0])) - 1
+    group = np.cumsum(np.concatenate([[True], np.diff(g) != 0])) - 1
     width, reach = 2 * length - gram, length - gram
     first, size = bounds[:-1], np.diff(bounds) - 1
     hits: list[tuple[np.ndarray, np.ndarray]] = []
@@ -302,52 +312,77 @@ def _group_repeats(h: np.ndarray, d: np.ndarray, k: np.ndarray, place: np.ndarra
         del buf
 
         def column_at(t: int) -> np.ndarray:
-            file.seek(t * len(h))
-            return np.frombuffer(file.read(len(h)), np.uint8)
+            file.seek(t * len(g))
+            return np.frombuffer(file.read(len(g)), np.uint8)
 
         for t, which in repeats(column_at, group, width, length):
             hits.append((which, np.full(len(which), t, np.int16)))
-    if not hits:
-        return None
-    which, t = (np.concatenate(x) for x in zip(*hits, strict=True))
-    by = np.lexsort((t, which))
-    which, t = which[by], t[by].astype(np.int64)
-    new = np.concatenate([[True], (np.diff(which) != 0) | (np.diff(t) != 1)])
-    a = np.flatnonzero(new)
-    b = np.append(a[1:], len(t)) - 1
-    w = which[a]
-    return pa.RecordBatch.from_arrays([pa.array(d[w]), pa.array(k[w]), pa.array((pos[w] - reach + t[a]).astype(np.int32)),
-                                       pa.array((pos[w] - reach + t[b]).astype(np.int32))], names=["d", "k", "lo", "hi"])
-
-
-def _level_two(length: int, gram: int, most: int):
+    if hits:
+        which, t = (np.concatenate(x) for x in zip(*hits, strict=True))
+        by = np.lexsort((t, which))
+        which, t = which[by], t[by].astype(np.int64)
+        new = np.concatenate([[True], (np.diff(which) != 0) | (np.diff(t) != 1)])
+        a = np.flatnonzero(new)
+        b = np.append(a[1:], len(t)) - 1
+        w = which[a]
+        none = pa.nulls(len(w), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, pa.array(d[w]), pa.array(k[w]), none, pa.nulls(len(w), pa.binary()), pa.array((pos[w] - reach + t[a]).astype(np.int32)),
+                                          pa.array((pos[w] - reach + t[b]).astype(np.int32))], names=LEFT_NAMES)
+    if hand_on:
+        # each row from its first to its last window that is no repeat; rows without one are done
+        left = np.ones((len(g), width - length + 1), bool)
+        for which, t in hits:
+            left[which, t] = False
+        places = np.arange(left.shape[1])
+        left &= (places >= lo[:, None]) & (places <= hi[:, None])
+        keep = np.flatnonzero(left.any(axis=1))
+        a, b = left[keep].argmax(axis=1), left.shape[1] - 1 - left[keep, ::-1].argmax(axis=1)
+        ctx = [x.as_py()[y: y + z] for x, y, z in zip(column.take(pa.array(keep)), (a - lo[keep]).tolist(), (b - a + length).tolist(), strict=True)]
+        none = pa.nulls(len(keep), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(d[keep]), pa.array(k[keep]), pa.array(pack(pos[keep], a, b)), pa.array(ctx, pa.binary()), none, none], names=LEFT_NAMES)
+
+
+LEFT = "h long, d long, k long, place long, ctx binary, lo int, hi int"
+LEFT_NAMES = ["h", "d", "k", "place", "ctx", "lo", "hi"]
+
+
+def _level_two(length: int, gram: int, most: int, hand_on: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-
-        def flush(rows: pa.Table) -> pa.RecordBatch | None:
-            return _group_repeats(*(rows[c].to_numpy() for c in ("h", "d", "k", "place")), pa.concat_arrays(rows["ctx"].chunks), length, gram)
-
         for batch in batches:
             if not len(batch):
                 continue
-            h = batch["h"].to_numpy()
-            cut = int(np.searchsorted(h, h[-1]))  # the last group may go on
-            if size > most and (cut or h[0] != last):
-                done = pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks()
-                if (out := flush(done)) is not None:
-                    yield out
+            g = batch["g"].to_numpy()
+            cut = int(np.searchsorted(g, g[-1]))  # the last group may go on
+            if size > most and (cut or g[0] != last):
+                yield from _group_repeats(pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks(), length, gram, hand_on)
                 held, size = [], 0
                 batch = batch.slice(cut)
             held.append(batch)
             size += batch.nbytes
-            last = h[-1]
-        if held and (out := flush(pa.Table.from_batches(held).combine_chunks())) is not None:
-            yield out
+            last = g[-1]
+        if held:
+            yield from _group_repeats(pa.Table.from_batches(held).combine_chunks(), length, gram, hand_on)
 
     return run
 
 
-def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK_BYTES, hot: int = HOT_ANCHOR) -> DataFrame:
+def _rounds(ctx: DataFrame, most: int, group_rows: int, length: int, gram: int) -> DataFrame:
+    """(d, k, lo, hi): repeats within the groups ``h``; ``most``: how many rows of one passage there may be."""
+    hits, shards = [], max(1, -(-most // group_rows))
+    while True:
+        # texts of different groups that meet by a collision of g are compared and found different
+        dealt = ctx.withColumn("g", F.xxhash64("h", F.pmod("k", F.lit(shards))) if shards > 1 else F.col("h"))
+        out = (dealt.repartition("g").sortWithinPartitions("g", "d", "k", "place").mapInArrow(_level_two(length, gram, RUN_BYTES, shards > 1), LEFT))
+        out = stored(out, "sa_round") if shards > 1 else out
+        hits.append(out.where("h is null").select("d", "k", "lo", "hi") if shards > 1 else out.select("d", "k", "lo", "hi"))
+        if shards == 1:
+            return reduce(DataFrame.unionByName, hits)
+        ctx = out.where("h is not null").select("h", "d", "k", "place", "ctx")
+        shards = -(-shards // group_rows)
+
+
+def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK_BYTES, hot: float = HOT_IN_BLOCK, group_rows: int = GROUP_ROWS) -> DataFrame:
     """(d, k, lo, hi): runs of starts of windows that occur earlier, by document; k: the text key."""
     if not 0 < gram <= length <= gram + 127:
         raise ValueError("need gram <= length <= gram + 127")
@@ -355,18 +390,18 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bl
     copies = stored(_copies(rows, length), "sa_copies")
     found = stored(rows.mapInArrow(_level_one(length, gram, block), FOUND), "sa_found")
     left = found.where("h is not null").select("h", "d", "k", "place").join(copies.select("d", "k"), ["d", "k"], "left_anti")
+    blocks = found.where("d is null").count()
     # anchors that more than one block holds (or one block twice, at windows that differ)
     known = stored(_in_several(left), "sa_known")
     # a common line shorter than a window is an anchor in very many texts, of which few go on alike:
     # such an anchor is replaced by its windows, each a group of its own if several texts have it
-    windows = _with_texts(rows, known.where(F.col("n") > hot)).mapInArrow(_window_hashes(length, gram), "h long, d long, k long, place long")
+    windows = _with_texts(rows, known.where(F.col("n") > hot * blocks)).mapInArrow(_window_hashes(length, gram), "h long, d long, k long, place long")
     repeated = _in_several(windows)
-    shared = stored(known.where(F.col("n") <= hot).unionByName(repeated).groupBy("d", "k")
+    shared = stored(known.where(F.col("n") <= hot * blocks).unionByName(repeated).groupBy("d", "k")
                     .agg(F.collect_list(F.struct("h", "place")).alias("found")), "sa_shared")
     ctx = _with_texts(rows, shared).mapInArrow(_contexts(length, gram), "h long, d long, k long, place long, ctx binary")
-    later = (ctx.repartition("h").sortWithinPartitions("h", "d", "k", "place")
-             .mapInArrow(_level_two(length, gram, RUN_BYTES), "d long, k long, lo int, hi int"))
-    out = stored(later.unionByName(found.where("h is null").select("d", "k", "lo", "hi")).unionByName(copies), "sa_windows")
+    later = _rounds(ctx, blocks, group_rows, length, gram)
+    out = stored(later.unionByName(found.where("h is null and d is not null").select("d", "k", "lo", "hi")).unionByName(copies), "sa_windows")
     for df in (copies, found, known, shared):
         discard(df)
     return out

@@ -76,15 +76,15 @@ def test_small_blocks_and_short_strings(spark):
     check(spark, corpus(8), 30, 1 << 10, 7)
 
 
-@pytest.mark.parametrize("hot", [1, 5])
-def test_hot_anchors_part_by_window(spark, hot):
+@pytest.mark.parametrize("hot, group_rows", [(0, 4096), (0.2, 4), (9, 4096)])
+def test_hot_anchors_part_by_window(spark, hot, group_rows):
     """A short line in most texts, in some of them within the same longer passage."""
     r = random.Random(11)
     text = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
     line, passages = text(60), [text(70) for _ in range(4)]
     rows = [(i, text(r.randint(0, 150)) + (r.choice(passages) if i % 3 else "") + line + (r.choice(passages) if i % 2 else text(30))) for i in range(120)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
-    found = S.repeated_windows(df, 100, 24, 1 << 11, hot).collect()
+    found = S.repeated_windows(df, 100, 24, 1 << 11, hot, group_rows).collect()
     gone = {i: set() for i, _ in rows}
     for x in found:
         for w in range(x.lo, x.hi + 1):
@@ -93,6 +93,21 @@ def test_hot_anchors_part_by_window(spark, hot):
     assert {i: len(v) for i, v in gone.items()} == {i: want[i, t][1] for i, t in rows}
 
 
+def test_passage_in_every_block_in_rounds(spark):
+    """Shards of a group hand on one occurrence each; the rest of a text stays."""
+    r = random.Random(12)
+    text = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    passage = text(260)
+    rows = [(i, text(r.randint(50, 300)) + passage[r.randint(0, 90): r.randint(170, 260)] + text(200)) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(11)
+    gone = {i: set() for i, _ in rows}
+    for x in S.repeated_windows(df, 100, 24, 1 << 9, 2, 3).collect():
+        for w in range(x.lo, x.hi + 1):
+            gone[x.d] |= set(range(w, w + 100))
+    want = brute(rows, 100)
+    assert {i: len(v) for i, v in gone.items()} == {i: want[i, t][1] for i, t in rows}
+
+
 def test_nulls_ties_repeats_and_empty(spark):
     a = "the quick brown fox jumps over the lazy dog and then goes on for quite a while, " * 2
     rows = [(1, None), (2, ""), (3, a), (3, a), (None, a), (4, a + "é"), (5, "short")]
