@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from burnup.functions.expr import lit_date
 from burnup.plans import domain as d
 from burnup.plans.registry import query
+from burnup.session import scratch_path
 from burnup.sources import landing as ld
+from burnup.sources.landed import read_landed
 from burnup.sources.seeds import ENTITY_SCHEMA, ENTITY_SEED
 
 PROJECT_ENTITY = 4
@@ -61,6 +65,19 @@ def land_entity(spark, sf_dir):
     return landed_projects(spark, sf_dir)
 
 
+@query("landed_extract", """
+SELECT CAST(p_partkey + 7000 AS VARCHAR) AS id, p_name AS title, CAST(p_partkey % 5 + 500 AS VARCHAR) AS associatedportfolio
+FROM part WHERE p_size % 2 = 0""")
+def landed_extract(spark, sf_dir):
+    """Three fields of the active projects from the files the service's answers landed in."""
+    registry = spark.createDataFrame(ENTITY_SEED, ENTITY_SCHEMA)
+    aliases = [a for _, a, _ in ld.entity_fields(registry, PROJECT_ENTITY)]
+    path = scratch_path(spark, f"landed-{uuid.uuid4().hex}")
+    raw_project_responses(d.Tables(spark, sf_dir), aliases).write.json(path)
+    active = read_landed(spark, path, aliases, ["id", "title", "status", "associatedportfolio"]).where("status = 'Active'")
+    return active.select("id", "title", "associatedportfolio")
+
+
 # The dimension before the load: one project per supplier, of the same number as a part's.
 @query("dimension_upsert", f"""
 WITH landed AS ({LANDED_SQL}),
