@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from burnup.functions.expr import flag_set, flag_unset, json_decimal, lit_date, lit_ts, pg_to_char
 from burnup.operators.apply import flag_matching, one_row_per_key
+from burnup.operators.intervals import days_in_ranges
 from burnup.operators.nesting import CHUNK_FIELD, bounded_listagg, explode_project_entries, timesheet_payload
 from burnup.operators.sprints import members_covering
 from burnup.session import cut_lineage
@@ -90,7 +91,7 @@ def working_days(start: Column, end: Column, holidays: Column) -> Column:
     return F.filter(day_range(F.to_date(start), F.to_date(end)), lambda x: (F.weekday(x) < 5) & ~F.array_contains(holidays, x))
 
 
-def timesheet_plan(sprints: DataFrame, sprint_numbers: DataFrame, fact: DataFrame, members: DataFrame,
+def timesheet_plan(sprints: DataFrame, sprint_numbers: DataFrame | None, fact: DataFrame, members: DataFrame,
                    resources: DataFrame, teams: DataFrame, projects: DataFrame, holidays: Column,
                    as_of) -> DataFrame:
     """C3 [INFERRED contract]: planned hours per member x working day x feature.
@@ -100,7 +101,9 @@ def timesheet_plan(sprints: DataFrame, sprint_numbers: DataFrame, fact: DataFram
     without holidays times the sprint's features, ``per_day_time_spent = time_spent /
     actual_sprint_days``. The output size is inherent: members x days x features.
     """
-    s = sprints.join(sprint_numbers, "sprint_number", "left_semi").select(
+    if sprint_numbers is not None:  # None: the sprints of every number
+        sprints = sprints.join(sprint_numbers, "sprint_number", "left_semi")
+    s = sprints.select(
         "team_dim_id", "sprint_number", "sprint_name", "sprint_start_date", "sprint_complete_date",
         "actual_sprint_start_date", "actual_sprint_days")
     m = members_covering(s, members, as_of, strict=True)
@@ -124,6 +127,29 @@ def timesheet_plan(sprints: DataFrame, sprint_numbers: DataFrame, fact: DataFram
                     "team_dim_id", "sprint_number", "portfolio_dim_id")
 
 
+PLAN_COLUMNS = ("resource_ppm_id BIGINT, date_of_sprint DATE, per_day_time_spent DOUBLE, project_ppm_id BIGINT, task_ppm_id BIGINT, "
+                "resource_role_id BIGINT, team_name STRING, sprint_name STRING, team_dim_id BIGINT, sprint_number BIGINT, portfolio_dim_id BIGINT")
+
+
+def register_timesheet_functions(plan: DataFrame, list_function: str = "timesheet_entries", sprint_function: str = "sprint_entries") -> None:
+    """V4: C3 as SQL table functions of the session.
+
+    ``timesheet_entries('14, 15')`` takes the text list of sprint numbers that A6 makes, as the
+    warehouse's routine does; ``sprint_entries(14)`` one number, and can be called for each row of
+    another table (``JOIN LATERAL``). ``plan`` is C3 over all sprints, a plan that hasn't run: a call's argument becomes
+    a filter or a join key in it, so only the sprints asked for are planned, and calls per row
+    are one equi join.
+    """
+    spark = plan.sparkSession
+    view = f"{list_function}_plan"
+    plan.createOrReplaceTempView(view)
+    names = ", ".join(f"p.{c.split()[0]}" for c in PLAN_COLUMNS.split(", "))
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {list_function}(numbers STRING) RETURNS TABLE ({PLAN_COLUMNS})
+        RETURN SELECT {names} FROM {view} p WHERE array_contains(transform(split(numbers, ','), x -> try_cast(trim(x) AS BIGINT)), p.sprint_number)""")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {sprint_function}(number BIGINT) RETURNS TABLE ({PLAN_COLUMNS})
+        RETURN SELECT {names} FROM {view} p WHERE p.sprint_number = number""")
+
+
 def team_daily_hours_check(fact: DataFrame, sprints: DataFrame) -> DataFrame:
     """Per (team, sprint) ``sum(time_spent) / actual_sprint_days`` as whole hours
     (features with a portfolio only); the warehouse test expects 8 everywhere."""
@@ -161,22 +187,14 @@ def requested_timesheets(timesheets: DataFrame, users: DataFrame) -> DataFrame:
     return timesheets.join(u, "userId", "left_semi").where(F.col("endDate") >= first)
 
 
-#: A longer header or sprint is an input error; it would become a row for each of its days.
-MAX_DAYS = 400
-
-
 def day_range(start: Column, end: Column) -> Column:
-    """The days from start to end; a range beyond ``MAX_DAYS`` raises, it is not cut."""
-    span = F.datediff(end, start)
-    return F.when(span < MAX_DAYS, F.sequence(start, end)).when(
-        span.isNotNull(), F.raise_error(F.concat(F.lit("range of too many days: "), start.cast("string"), F.lit(" to "),
-                                                 end.cast("string"))).cast("array<date>"))
+    """The days from start to end as an array; none when start is after end."""
+    return F.when(start <= end, F.sequence(start, end))
 
 
 def header_days(headers: DataFrame, start: str = "startDate", end: str = "endDate",
                 day: str = "__day") -> DataFrame:
-    """One row per header and day of its [start, end] range. A timesheet header spans a
-    bounded period (a week), so this turns a range join into an equi join on the day."""
+    """One row per header and day of its [start, end] range."""
     return headers.where(F.col(start) <= F.col(end)) \
         .withColumn(day, F.explode(day_range(F.col(start), F.col(end))))
 
@@ -185,11 +203,11 @@ def timesheet_population(plan: DataFrame, timesheet_data: DataFrame) -> DataFram
     """C4: planned rows inside an existing header (J10), with the id of an entry already
     booked for the same user, project, task, date and timesheet (J11), else 0.
 
-    The header range becomes day rows, so the first join is on (user, day). The second is
-    on all five columns: one user's day may hold any number of rows on either side."""
+    The header range becomes pieces of a range cover, whatever its length, so the first join is
+    an equi join on the user and a piece. The second is on all five columns: one user's day may
+    hold any number of rows on either side."""
     dist_ts = timesheet_data.select("timesheetId", "userId", "startDate", "endDate").distinct()
-    slots = header_days(dist_ts)
-    j = plan.join(slots, (plan["resource_ppm_id"] == slots["userId"]) & (plan["date_of_sprint"] == slots["__day"]))
+    j = days_in_ranges(plan, dist_ts, [("resource_ppm_id", "userId")], "date_of_sprint", "startDate", "endDate")
     pv = timesheet_data.where(F.col("entryId").isNotNull()).select(
         F.col("timesheetId").alias("__ts"), F.col("userId").alias("__u"), F.col("startDate").alias("__s"),
         F.col("endDate").alias("__e"), F.col("entryId").alias("__entry"), F.col("entryDate").alias("__d"),
@@ -304,8 +322,8 @@ def generate_timesheets(sprints, issues, members, resources, teams, projects, ge
 def draft_timesheet_population(plan: DataFrame, timesheets: DataFrame) -> DataFrame:
     """J12 (draft variant of C4): plan rows joined to headers LEFT JOIN their entries with a
     conditional condition: a header row without entry matches on the header's date range,
-    an entry row only on its own date. Both cases become (user, day) rows - the range
-    as day rows, the entry on its date - so it is one equi join on (user, day)."""
+    an entry row only on its own date. An entry's date is a range of one day, so both cases
+    are one equi join on the user and a piece of the range cover."""
     if "entriesProject" in timesheets.columns:
         from burnup.operators.nesting import draft_entry_rows
         hdr = timesheets.select("timesheetId", "userId", "startDate", "endDate")
@@ -313,12 +331,10 @@ def draft_timesheet_population(plan: DataFrame, timesheets: DataFrame) -> DataFr
         td = hdr.join(ent, "timesheetId", "left")
     else:  # flat already: a header without entries has one row with none
         td = timesheets.select("timesheetId", "userId", "startDate", "endDate", "entryId", "entryDate")
-    by_range = header_days(td.where(F.col("entryDate").isNull()))
-    by_entry = td.where(F.col("entryDate").isNotNull()).withColumn("__day", F.col("entryDate"))
-    days = by_range.unionByName(by_entry)
+    ranges = td.withColumns({"__from": F.coalesce("entryDate", "startDate"), "__to": F.coalesce("entryDate", "endDate")})
     p = plan.select("resource_ppm_id", "date_of_sprint", "per_day_time_spent", "project_ppm_id", "task_ppm_id",
                     "resource_role_id")
-    j = p.join(days, (p["resource_ppm_id"] == days["userId"]) & (p["date_of_sprint"] == days["__day"]))
+    j = days_in_ranges(p, ranges, [("resource_ppm_id", "userId")], "date_of_sprint", "__from", "__to")
     return j.select(pg_to_char("date_of_sprint", "YYYY/MM/DD").alias("date_of_sprint"), "resource_ppm_id",
                     "per_day_time_spent", "project_ppm_id", "task_ppm_id", "resource_role_id", "timesheetId",
                     F.col("entryId").alias("entryid"), pg_to_char("entryDate", "YYYY/MM/DD").alias("entrydate"))

@@ -327,3 +327,43 @@ def draft_population(spark, sf_dir):
     t, s1, fact, s2, numbers, plan = _frames(spark, sf_dir)
     users = ef.timesheet_users(s2, d.user_team_map(t), d.resource_dim(t), d.AS_OF)
     return ef.draft_timesheet_population(plan, ef.requested_timesheets(d.generator_timesheet_rows(t), users))
+
+
+def _all_sprints_plan(spark, sf_dir):
+    t, s1, fact, s2, numbers = _closed(spark, sf_dir)
+    return s2, ef.timesheet_plan(s2, None, fact, d.user_team_map(t), d.resource_dim(t), d.team_dim(t), d.projects_dim(t),
+                                 holiday_array(d.holiday_dim(t)), d.AS_OF)
+
+
+@query("sprint_entries_lateral", "SELECT sprint_number AS due_sprint, plan.* FROM plan", ctes=PLAN_CTES)
+def sprint_entries_lateral(spark, sf_dir):
+    """V4 in SQL, called for each sprint number that is due."""
+    s2, plan = _all_sprints_plan(spark, sf_dir)
+    ef.register_timesheet_functions(plan)
+    ef.timesheet_sprint_numbers(s2, d.AS_OF).createOrReplaceTempView("due_sprints")
+    return spark.sql("SELECT s.sprint_number AS due_sprint, e.* FROM due_sprints s JOIN LATERAL sprint_entries(s.sprint_number) e")
+
+
+@query("timesheet_entries_listed", "SELECT * FROM plan", ctes=PLAN_CTES)
+def timesheet_entries_listed(spark, sf_dir):
+    """V4 in SQL, called with the text list of all numbers that are due."""
+    s2, plan = _all_sprints_plan(spark, sf_dir)
+    ef.register_timesheet_functions(plan)
+    ef.timesheet_sprint_list(s2, d.AS_OF).createOrReplaceTempView("due_sprint_lists")
+    return spark.sql("SELECT * FROM timesheet_entries((SELECT listagg(sprint_number, ', ') FROM due_sprint_lists))")
+
+
+# A header of over a hundred years for each user that has one, over all planned days.
+@query("long_header_population", """
+SELECT p.resource_ppm_id, p.date_of_sprint, p.task_ppm_id, p.project_ppm_id, p.team_dim_id, p.sprint_number, p.portfolio_dim_id, h.timesheetId
+FROM plan p JOIN (SELECT userId, min(timesheetId) AS timesheetId, min(startDate) - INTERVAL 50 YEAR AS a, max(endDate) + INTERVAL 50 YEAR AS b
+                  FROM timesheet_data GROUP BY userId) h ON h.userId = p.resource_ppm_id AND p.date_of_sprint BETWEEN h.a AND h.b""", ctes=POP_CTES)
+def long_header_population(spark, sf_dir):
+    """J10 over ranges of any length."""
+    from burnup.operators.intervals import days_in_ranges
+    t, s1, fact, s2, numbers, plan = _frames(spark, sf_dir)
+    years = F.make_ym_interval(F.lit(50))
+    h = d.generator_timesheet_rows(t).groupBy("userId").agg(F.min("timesheetId").alias("timesheetId"), (F.min("startDate") - years).alias("a"),
+                                                            (F.max("endDate") + years).alias("b"))
+    out = days_in_ranges(plan, h, [("resource_ppm_id", "userId")], "date_of_sprint", "a", "b")
+    return out.select("resource_ppm_id", "date_of_sprint", "task_ppm_id", "project_ppm_id", "team_dim_id", "sprint_number", "portfolio_dim_id", "timesheetId")

@@ -288,11 +288,52 @@ def test_hot_user_day_uses_all_keys(spark):
     assert out.count() == n and out.where("entryId > 0").count() == n // 2
 
 
-def test_too_long_header_raises(spark):
-    h = spark.createDataFrame([(1, 1, D(2024, 1, 1), D(9999, 1, 1))], "timesheetId bigint, userId bigint, startDate date, endDate date")
-    with pytest.raises(Exception, match="too many days"):
-        ef.header_days(h).count()
-    assert ef.header_days(h.withColumn("endDate", F.lit(D(2024, 1, 7)))).count() == 7
+def test_header_of_any_length(spark):
+    h = spark.createDataFrame([(1, 1, D(1950, 1, 1), D(2049, 12, 31)), (2, 1, D(2024, 1, 1), D(2024, 1, 7)), (3, 1, D(2024, 1, 7), D(2024, 1, 1))],
+                              "timesheetId bigint, userId bigint, startDate date, endDate date")
+    assert [r[1] for r in ef.header_days(h).groupBy("timesheetId").count().orderBy("timesheetId").collect()] == [36525, 7]
+    plan = spark.createDataFrame([(1, D(1949, 12, 31)), (1, D(1950, 1, 1)), (1, D(2024, 1, 7)), (1, D(2050, 1, 1)), (2, D(2024, 1, 1)), (1, None)],
+                                 "resource_ppm_id bigint, date_of_sprint date").selectExpr(
+        "*", "2L AS project_ppm_id", "3L AS task_ppm_id", "1L AS resource_role_id", "8D AS per_day_time_spent")
+    data = h.selectExpr("*", "CAST(NULL AS BIGINT) AS entryId", "CAST(NULL AS DATE) AS entryDate", "2L AS project_ppm_id", "3L AS task_ppm_id")
+    got = sorted((r.timesheetId, r.userId, r.entryDate) for r in ef.timesheet_population(plan, data).collect())
+    assert got == [(1, 1, "1950/01/01"), (1, 1, "2024/01/07"), (2, 1, "2024/01/07")]
+    draft = sorted((r.timesheetId, r.date_of_sprint) for r in ef.draft_timesheet_population(plan, data).collect())
+    assert draft == [(1, "1950/01/01"), (1, "2024/01/07"), (2, "2024/01/07")]
+
+
+def test_range_cover_against_brute_force(spark):
+    from burnup.operators.intervals import range_pieces
+    r = random.Random(4)
+    first, last = D(1, 1, 1).toordinal(), D(9999, 12, 31).toordinal()
+    days = [r.randint(first, last) for _ in range(60)] + [D(1970, 1, 1).toordinal() + i for i in (-33, -32, -1, 0, 1, 31, 32, 1024)]
+    spans = [(a, a + r.choice([0, 1, 6, 30, 31, 32, 63, 64, 400, 36525, -1])) for a in days] + [(first, last)]
+    df = spark.createDataFrame([(i, D.fromordinal(a), D.fromordinal(min(b, last))) for i, (a, b) in enumerate(spans)], "i int, a date, b date")
+    epoch = D(1970, 1, 1).toordinal()
+    for x in df.select("i", range_pieces(F.col("a"), F.col("b")).alias("p")).collect():
+        lo, hi = spans[x.i][0] - epoch, min(spans[x.i][1], last) - epoch
+        covered = sorted((p.block << 5 * p.level, (p.block + 1 << 5 * p.level) - 1) for p in x.p)
+        assert len(x.p) <= 62 * 5
+        assert all(q[0] == p[1] + 1 for p, q in zip(covered, covered[1:]))
+        assert (covered[0][0], covered[-1][1]) == (lo, hi) if lo <= hi else not covered
+
+
+def test_timesheet_table_functions(spark, tables):
+    """Called in SQL for a list and for each row; calls per row are an equi join, not a loop over rows."""
+    from burnup.plans import queries_effort as q
+    s2, plan = q._all_sprints_plan(spark, tables.sf_dir)
+    ef.register_timesheet_functions(plan, "entries_of_list", "entries_of_sprint")
+    numbers = [r[0] for r in plan.select("sprint_number").distinct().orderBy("sprint_number").collect()][:2]
+    want = plan.where(F.col("sprint_number").isin(numbers))
+    listed = spark.sql(f"SELECT * FROM entries_of_list(' {numbers[0]},{numbers[1]} ')")
+    assert listed.columns == plan.columns and listed.exceptAll(want).count() == 0 == want.exceptAll(listed).count()
+    spark.createDataFrame([(n,) for n in [*numbers, numbers[0], None, -5]], "n bigint").createOrReplaceTempView("some_numbers")
+    each = spark.sql("SELECT s.n, e.* FROM some_numbers s, LATERAL entries_of_sprint(s.n) e")
+    assert each.where(F.col("n") != F.col("sprint_number")).count() == 0
+    assert each.count() == want.count() + plan.where(F.col("sprint_number") == numbers[0]).count()
+    shown = each._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in shown and "Cartesian" not in shown
+    assert spark.sql("SELECT * FROM entries_of_list('')").count() == 0 == spark.sql("SELECT * FROM entries_of_list(NULL)").count()
 
 
 def test_sanity_suite_statuses(spark):
