@@ -5,6 +5,11 @@ The entry store keeps each month of entries in a directory of its own and a mani
 that names the directories in force. A change writes the months it touches to new
 directories and then one new manifest version, which is the switch: readers see all
 of a change or nothing, and a change that breaks off leaves the store as it was.
+
+Beside the months the manifest names the locator: which months hold a timesheet, a
+directory per range of timesheet ids. A change that names its timesheets looks up and rewrites
+only their ranges, so finding a batch's months doesn't read the entries. It also keeps
+the months that each writer's last change touched, for a writer that has to undo it.
 """
 
 from __future__ import annotations
@@ -17,6 +22,8 @@ from pyspark.sql import functions as F
 ENTRY_MONTH = "entry_month"
 #: The month of entries without a date.
 NO_MONTH = "none"
+#: Timesheet ids to a directory of the locator. Ids are given in order of time, so a batch has few ranges.
+LOCATOR_IDS = 1 << 16
 
 
 def entry_month(date_col: str = "entrydate") -> Column:
@@ -47,28 +54,84 @@ def store_version(spark: SparkSession, path: str) -> int:
     return max(done, default=0)
 
 
-def month_dirs(spark: SparkSession, path: str) -> dict[str, str]:
-    """Month -> directory of the version in force (one manifest row per month)."""
+def _manifest(spark: SparkSession, path: str) -> dict[str, dict[str, str]]:
+    """Kind (month, locator, mark) -> key -> value of the version in force (one row per month, range and marked month)."""
     v = store_version(spark, path)
-    if not v:
+    out: dict[str, dict[str, str]] = {"month": {}, "locator": {}, "mark": {}}
+    if v:
+        for r in spark.read.parquet(f"{path}/manifest/v={v}").collect():
+            out[r["kind"]][r["key"]] = r["value"]
+    return out
+
+
+def month_dirs(spark: SparkSession, path: str) -> dict[str, str]:
+    """Month -> directory of the version in force."""
+    if not store_version(spark, path):
         raise FileNotFoundError(f"no entry store at {path}")
-    return {r[ENTRY_MONTH]: r["dir"] for r in spark.read.parquet(f"{path}/manifest/v={v}").collect()}
+    return _manifest(spark, path)["month"]
+
+
+def _id_range() -> Column:
+    return F.expr(f"timesheetid div {LOCATOR_IDS}").cast("string")
+
+
+def _written(spark: SparkSession, data: str, column: str) -> dict[str, str]:
+    return {n.partition("=")[2]: f"{data}/{n}" for n in _children(spark, data) if n.startswith(f"{column}=")}
 
 
-def replace_months(entries: DataFrame, path: str, months: list[str] | None = None) -> None:
-    """Make ``entries`` the content of ``months`` (None: of the whole store) and switch to it."""
+def _locate(spark: SparkSession, path: str, old: dict[str, str], rows: DataFrame, timesheets: DataFrame | None) -> dict[str, str]:
+    """The locator with the (timesheetid, month) pairs of ``rows``; of the given timesheets, or made anew from all rows."""
+    pairs = rows.where("timesheetid IS NOT NULL").select("timesheetid", ENTRY_MONTH)
+    if timesheets is not None:
+        pairs = pairs.join(timesheets.select("timesheetid").distinct(), "timesheetid", "left_semi")
+        touched = [r[0] for r in pairs.select(_id_range()).distinct().collect()]
+        if held := [old[x] for x in touched if x in old]:
+            pairs = pairs.unionByName(spark.read.parquet(*held).select("timesheetid", ENTRY_MONTH))
+    data = f"{path}/locator/{uuid.uuid4().hex}"
+    pairs.distinct().withColumn("__r", _id_range()).repartition("__r").write.partitionBy("__r").parquet(data)
+    new = _written(spark, data, "__r")
+    return new if timesheets is None else old | new
+
+
+def located_months(spark: SparkSession, path: str, timesheets: DataFrame) -> list[str]:
+    """The months that may hold entries of the given timesheets. Only their ranges of the locator are read."""
+    locator = _manifest(spark, path)["locator"]
+    ids = timesheets.select("timesheetid").where("timesheetid IS NOT NULL").distinct()
+    dirs = [locator[r[0]] for r in ids.select(_id_range()).distinct().collect() if r[0] in locator]
+    return [r[0] for r in spark.read.parquet(*dirs).join(ids, "timesheetid", "left_semi").select(ENTRY_MONTH).distinct().collect()] if dirs else []
+
+
+def marked_months(spark: SparkSession, path: str, writer: str, epoch: int) -> list[str]:
+    """The months that this change of this writer touched, if it is the writer's last one."""
+    head = f"{writer}/{epoch}/"
+    return [m for k, m in _manifest(spark, path)["mark"].items() if k.startswith(head)]
+
+
+def replace_months(entries: DataFrame, path: str, months: list[str] | None = None, timesheets: DataFrame | None = None,
+                   mark: tuple[str, int] | None = None) -> None:
+    """Make ``entries`` the content of ``months`` (None: of the whole store) and switch to it.
+
+    ``timesheets``: those whose entries may have come to a month; None where no timesheet's
+    months change. ``mark``: the writer and its number of this change.
+    """
     spark = entries.sparkSession
-    v = store_version(spark, path)
-    keep = {} if months is None or not v else {m: x for m, x in month_dirs(spark, path).items() if m not in set(months)}
+    v, old = store_version(spark, path), _manifest(spark, path)
+    keep = {} if months is None else {m: x for m, x in old["month"].items() if m not in set(months)}
     data = f"{path}/months/{uuid.uuid4().hex}"
     dated = entries.withColumn(ENTRY_MONTH, entry_month())
     dated.withColumn("__m", F.col(ENTRY_MONTH)).write.partitionBy("__m").parquet(data)
-    new = {n.partition("=")[2]: f"{data}/{n}" for n in _children(spark, data) if n.startswith("__m=")}
+    new = _written(spark, data, "__m")
     if not keep and not new:  # an empty store still has a schema
         dated.write.parquet(f"{data}/__m={NO_MONTH}")
         new = {NO_MONTH: f"{data}/__m={NO_MONTH}"}
-    spark.createDataFrame(sorted((keep | new).items()), f"{ENTRY_MONTH} string, dir string").coalesce(1) \
-        .write.parquet(f"{path}/manifest/v={v + 1}")
+    locator = old["locator"]
+    if months is None or timesheets is not None:
+        locator = _locate(spark, path, locator, spark.read.schema(dated.schema).parquet(*new.values()) if new else dated.limit(0), None if months is None else timesheets)
+    marks = old["mark"]
+    if mark is not None:
+        marks = {k: m for k, m in marks.items() if not k.startswith(f"{mark[0]}/")} | {f"{mark[0]}/{mark[1]}/{m}": m for m in months or new}
+    rows = [(kind, k, x) for kind, part in (("month", keep | new), ("locator", locator), ("mark", marks)) for k, x in sorted(part.items())]
+    spark.createDataFrame(rows, "kind string, key string, value string").coalesce(1).write.parquet(f"{path}/manifest/v={v + 1}")
 
 
 def write_entry_store(entries: DataFrame, path: str) -> None:

@@ -9,9 +9,11 @@ stream with ``trigger(availableNow=True)``, and ``foreachBatch`` applies:
 3. U10-U15 key resolution.
 
 Cost per batch follows the batch, not the store. The store keeps a directory per
-entry month; a batch rewrites only the months it touches (months of its own entries
+entry month; a batch reads and rewrites only the months it touches (months of its own entries
 and of the stored rows of its timesheets; entries without a date have a month of their
-own) and switches to them in one step.
+own) and switches to them in one step. The store's locator, a lookup by timesheet, names
+those months; no other month's entries are opened. A retried epoch finds the months of its first
+attempt in the manifest.
 
 Exactly once: appended rows carry (``import_stream``, ``import_epoch``) and rows the
 batch switched off (``deactivated_stream``, ``deactivated_epoch``), so a retried epoch
@@ -36,7 +38,8 @@ from pyspark.sql.types import StructType
 from burnup.operators.entries import resolve_entry_dims, versioned_replace
 from burnup.operators.nesting import flatten_all_entries
 from burnup.session import scratch_path
-from burnup.sources.sinks import ENTRY_MONTH, entry_month, read_entry_store, replace_months, store_version, write_entry_store
+from burnup.sources.sinks import (ENTRY_MONTH, entry_month, located_months, marked_months, read_entry_store, replace_months, store_version,
+                                  write_entry_store)
 
 BOOKKEEPING = {"import_stream": "string", "import_epoch": "bigint", "deactivated_stream": "string",
                "deactivated_epoch": "bigint"}
@@ -56,16 +59,14 @@ def apply_batch(store_path: str, dims: dict[str, DataFrame], as_of, stream_id: C
     """foreachBatch body for micro-batch ``epoch_id`` of landed timesheets of one stream."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark, stream = batch.sparkSession, stream_id()
-        store = read_entry_store(spark, store_path)
         flat = flatten_all_entries(batch)
         ts = flat.select("timesheetid").distinct()
 
         def here(what: str):
             return F.coalesce((F.col(f"{what}_stream") == stream) & (F.col(f"{what}_epoch") == epoch_id), F.lit(False))
 
-        months = _months(store.join(ts, "timesheetid", "left_semi").select(ENTRY_MONTH)
-                         .unionByName(store.where(here("import") | here("deactivated")).select(ENTRY_MONTH))
-                         .unionByName(flat.select(entry_month().alias(ENTRY_MONTH))))
+        months = sorted({*located_months(spark, store_path, ts), *marked_months(spark, store_path, stream, epoch_id),
+                         *_months(flat.select(entry_month().alias(ENTRY_MONTH)))})
         current = read_entry_store(spark, store_path, months=months).drop(ENTRY_MONTH)
         # Undo an earlier attempt of this epoch: drop its rows, re-activate what it switched off.
         undo = here("deactivated")
@@ -76,7 +77,7 @@ def apply_batch(store_path: str, dims: dict[str, DataFrame], as_of, stream_id: C
         new = versioned_replace(current, flat, as_of, mark=(stream, epoch_id))
         new = resolve_entry_dims(new, dims["resources"], dims["members"], dims["projects"], dims["tasks"],
                                  dims["portfolios"], dims["dates"], as_of)
-        replace_months(new, store_path, months)
+        replace_months(new, store_path, months, ts, (stream, epoch_id))
     return run
 
 

@@ -626,6 +626,46 @@ def test_parse_ticket_matches_path_extraction(spark):
     assert parsed == by_path
 
 
+def test_batch_reads_only_its_months(spark, tables, tmp_path):
+    """A batch names its months by the locator: it works on while other months can't be read at all."""
+    import pathlib
+
+    from burnup.plans import domain as d
+    from burnup.sources import sinks
+    from burnup.streaming.incremental_import import apply_batch, init_store
+    dims, path = _dims(tables), str(tmp_path / "store")
+    store = d.timesheet_entries(tables).withColumn("timesheetid", F.col("timesheetid") * 40_000)
+    store = en.resolve_entry_dims(store, *dims.values(), d.AS_OF)
+    init_store(store, path)
+    months = store.select("timesheetid", sinks.entry_month().alias("m")).distinct().collect()
+    by_sheet = {}
+    for r in months:
+        by_sheet.setdefault(r.timesheetid, set()).add(r.m)
+    ids = spark.createDataFrame([(i,) for i in [*sorted(by_sheet)[:3], None, 7]], "timesheetid bigint")
+    assert set(sinks.located_months(spark, path, ids)) == set.union(*(by_sheet[i] for i in sorted(by_sheet)[:3]))
+    assert sinks.located_months(spark, path, ids.where("timesheetid = 7")) == []
+    # a batch for one timesheet, with an entry in a month that the store doesn't have yet
+    one = next(i for i in sorted(by_sheet) if len(by_sheet[i]) < len({r.m for r in months}))
+    landed = d.landed_timesheets(tables).withColumn("timesheetId", F.lit(one)).limit(1)
+    landed = landed.withColumn("entriesProject", F.transform("entriesProject", lambda x: x.withField("entryDate", F.lit(D(2031, 5, 6)))))
+    landed.write.parquet(str(tmp_path / "one"))
+    landed = spark.read.parquet(str(tmp_path / "one"))
+    expected = en.resolve_entry_dims(en.versioned_replace(store, ns.flatten_all_entries(landed), d.AS_OF), *dims.values(), d.AS_OF)
+    left = rows(expected.where(F.col("timesheetid") == one))
+    touched = by_sheet[one] | {r[0] for r in ns.flatten_all_entries(landed).select(sinks.entry_month()).distinct().collect()}
+    spoiled = [m for m in sinks.month_dirs(spark, path) if m not in touched]
+    assert spoiled
+    for m in spoiled:
+        for f in pathlib.Path(sinks.month_dirs(spark, path)[m]).glob("*.parquet"):
+            f.write_bytes(b"not parquet")
+    for _ in range(2):  # the second run is a retry of the same epoch
+        apply_batch(path, dims, d.AS_OF, lambda: "a-stream")(landed, 0)
+        now = sinks.read_entry_store(spark, path, months=sorted(touched)).select(*expected.columns).where(F.col("timesheetid") == one)
+        assert rows(now) == left
+    assert set(sinks.marked_months(spark, path, "a-stream", 0)) == touched and sinks.marked_months(spark, path, "a-stream", 1) == []
+    assert "2031-05" in sinks.located_months(spark, path, spark.createDataFrame([(one,)], "timesheetid bigint"))
+
+
 def test_resolve_missing_keys_equals_full_pass(spark, tables, tmp_path):
     from burnup.plans import domain as d
     from burnup.streaming.incremental_import import init_store, resolve_missing_keys
