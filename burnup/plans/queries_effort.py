@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
-from burnup.functions.expr import holiday_array
+from burnup.functions.expr import holiday_array, lit_ts
 from burnup.operators import effort as ef
 from burnup.operators import nesting as ns
 from burnup.operators import sprints as sp
 from burnup.plans import domain as d
 from burnup.plans.queries_sprints import POINTS, _metrics_ctes, metrics_frame, session_memo
 from burnup.plans.registry import query
-from burnup.session import cut_lineage
+from burnup.session import cut_lineage, scratch_path
+from burnup.streaming import push_retry as pr
 
 AS_OF = "TIMESTAMP '2024-01-24 12:00:00'"
 PENDING_M = "(m.is_metrics_updated IS NULL OR m.is_metrics_updated = FALSE)"
@@ -282,6 +286,21 @@ def apply_push_result(spark, sf_dir):
     return ef.apply_push_result(seed, rows, d.push_acknowledgements, d.AS_OF)
 
 
+@query("push_retry_stream", f"SELECT {DL_COLS} FROM dl1 WHERE timesheetId % 11 = 0", ctes=DL_CTES)
+def push_retry_stream(spark, sf_dir):
+    """C6/U24 as a stream: the answers to the push and to the retry of the dead letter, folded by chunk."""
+    t, rows, seed = _dead_letter_inputs(spark, sf_dir)
+    first = d.push_acknowledgements(ns.timesheet_payload(rows))
+    dl = cut_lineage(ef.dead_letter_append(seed, rows, first, d.AS_OF), "dead_letter")
+    second = d.push_acknowledgements(ns.timesheet_payload(ef.dead_letter_rows(dl)))
+    base = scratch_path(spark, f"push-{uuid.uuid4().hex}")
+    for attempt, acks in enumerate((first, second)):
+        at = lit_ts(d.AS_OF + dt.timedelta(minutes=10 * attempt)).cast("timestamp")
+        acks.select(*ef.CHUNK_KEYS, F.lit(attempt).alias("attempt"), "ok", at.alias("answered_at")).write.mode("append").parquet(f"{base}/answers")
+    pr.start_retry_stream(spark, f"{base}/answers", f"{base}/events", f"{base}/progress").awaitTermination()
+    return pr.clear_accepted(dl, spark.read.schema(pr.EVENTS).parquet(f"{base}/events"))
+
+
 def _generated(spark, sf_dir):
     t = _t(spark, sf_dir)
     return t, ef.generate_timesheets(
