@@ -135,6 +135,11 @@ def null_token(c) -> Column:
     return F.when(c.isin("None", ""), F.lit(None).cast("string")).otherwise(c)
 
 
+# Text that is safe inside quoted literals: no quotes of either kind, backslashes doubled.
+def without_quotes(c) -> Column:
+    return F.replace(F.translate(_c(c), "'\"", ""), F.lit("\\"), F.lit("\\\\"))
+
+
 # Numeric -> bigint rounds in the warehouse; Spark's cast would truncate.
 def round_to_bigint(c) -> Column:
     return F.round(_c(c)).cast("bigint")

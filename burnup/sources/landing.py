@@ -86,6 +86,50 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, s
         .option("escape", "\\").option("mode", "FAILFAST").csv(path)
 
 
+REJECTED = "_rejected"
+
+
+def _escaped(c: str) -> Column:
+    """Text on one line: backslashes doubled, line breaks as ``\\n`` and ``\\r``."""
+    text = F.replace(F.col(c), F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(text, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def _unescaped(c: str) -> Column:
+    between = F.split(F.col(c), r"\\\\")  # at doubled backslashes; single ones are part of an escape
+    plain = F.transform(between, lambda x: F.replace(F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(plain, "\\")
+
+
+_STAGING = {"header": True, "nullValue": "", "escape": '"', "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+            "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def stage_delimited(df: DataFrame, path: str, sep: str = "|") -> None:
+    """S7 as a sink whose files can be split at any line: a record is a line, whatever its texts hold.
+
+    Fields with the delimiter or a quote are quoted, quotes inside are doubled, backslashes and line breaks
+    are escaped; empty text and NULL are both written as nothing.
+    """
+    out = df.select(*[_escaped(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema.fields])
+    out.write.mode("append").options(**_STAGING).option("sep", sep).option("emptyValue", "").csv(path)
+
+
+def read_staged(spark: SparkSession, path: str | list[str], schema: T.StructType | str, sep: str = "|") -> tuple[DataFrame, DataFrame]:
+    """S7 as a source for files that may be wrong: (typed rows, rejected lines as one text column).
+
+    A line with too few or too many fields, or with a field that isn't of its type, is rejected whole. The files
+    are parsed once, to the shared folder when this is called; no line is in both results, and none is in neither.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    lines = spark.read.schema(T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])).options(**_STAGING).option("sep", sep) \
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECTED).csv(path)
+    lines = cut_lineage(lines, "staged")
+    rows = lines.where(F.col(REJECTED).isNull()).select(
+        *[_unescaped(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in schema.fields])
+    return rows, lines.where(F.col(REJECTED).isNotNull()).select(REJECTED)
+
+
 def schema_backfill(registry: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Registry rows without ``entity_schema`` get their field catalogue as JSON text
     (single quotes removed); other rows keep theirs."""

@@ -446,6 +446,33 @@ def test_delimited_round_trip(spark, tmp_path):
     assert rows(back) == rows(df)
 
 
+def test_staged_files_round_trip_and_rejects(spark, tmp_path):
+    r = random.Random(6)
+    text = lambda: "".join(r.choice(['|', '"', "\\", "\n", "\r", "n", "r", "~", " ", "a", "é", ",", "'"]) for _ in range(r.randint(1, 9)))
+    some = [(i, text(), r.choice([None, 1.5, -2.0]), r.choice([None, D(2024, 1, 2)]), text()) for i in range(400)]
+    schema = "id bigint, a string, x double, d date, b string"
+    for sep in "|~":
+        path = str(tmp_path / f"ok{ord(sep)}")
+        ld.stage_delimited(spark.createDataFrame(some, schema).repartition(3), path, sep)
+        good, bad = ld.read_staged(spark, path, schema, sep)
+        assert rows(good) == sorted(map(tuple, some), key=repr) and bad.count() == 0
+    wrong = tmp_path / "wrong"
+    wrong.mkdir()
+    lines = ["1|a|1.5|2024-01-02|b", "x|a|1.5|2024-01-02|b", "2|a|1.5|2024-13-02|b", "3|a|1.5", "4|a|1.5|2024-01-02|b|c", "5||||"]
+    (wrong / "f.csv").write_text("id|a|x|d|b\n" + "\n".join(lines) + "\n")
+    good, bad = ld.read_staged(spark, str(wrong), schema)
+    assert rows(good) == [(1, "a", 1.5, D(2024, 1, 2), "b"), (5, None, None, None, None)]
+    assert sorted(x[0] for x in bad.collect()) == sorted(lines[1:5])
+    ld.stage_delimited(spark.createDataFrame([], schema), str(tmp_path / "none"))
+    assert [x.count() for x in ld.read_staged(spark, str(tmp_path / "none"), schema)] == [0, 0]
+
+
+def test_without_quotes(spark):
+    some = ["it's", 'a "b" c', "back\\slash", "\\\\'\"", "", None]
+    got = [r[0] for r in spark.createDataFrame([(i, s) for i, s in enumerate(some)], "i int, s string").orderBy("i").select(E.without_quotes("s")).collect()]
+    assert got == [None if s is None else s.replace("'", "").replace('"', "").replace("\\", "\\\\") for s in some]
+
+
 def test_schema_backfill(spark):
     reg = spark.createDataFrame([(4, "Project", None), (5, "Task", "kept")],
                                 "entity_ppm_id int, entity_name string, entity_schema string")
