@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,26 +27,67 @@ def rule_result(spark: SparkSession, name: str, sql: str, expected: int) -> tupl
         row = df.toDF(*[f"c{i}" for i in range(len(df.columns))]).select("c0").limit(1).first()
     except PySparkException as e:
         return None, False, f"check '{name}' could not run: {str(e).splitlines()[0]}"
-    cell = 0 if row is None else row["c0"]
+    return judged(name, 0 if row is None else row["c0"], expected)
+
+
+def judged(name: str, cell, expected: int) -> tuple[str | None, bool, str | None]:
+    """(found text, passed, failure) of a rule's cell."""
     passed = not isinstance(cell, str) and cell == expected
     found = None if cell is None else str(cell)
     return found, passed, None if passed else f"check '{name}' failed: expected {expected}, found {found}"
 
 
+#: A rule that counts the rows of one table, with or without a condition on them.
+ONE_TABLE = re.compile(r"\s*SELECT\s+count\(\*\)\s+FROM\s+([\w.]+)(?:\s+(?:AS\s+)?(?!WHERE\b)(\w+))?(?:\s+WHERE\s+(.+?))?\s*;?\s*", re.I | re.S)
+#: What a condition may not hold to be counted beside others: it would ask another table or change the rows.
+NOT_SHARED = re.compile(r"\b(select|group|having|order|limit|union|except|intersect|join|over)\b|;|--|/\*", re.I)
+
+
+def shared_rules(rules: list[tuple[str, str]]) -> dict[str, list[tuple[str, str, str]]]:
+    """Table -> (name, alias, condition) of the (name, sql) rules that can be counted in one pass over it."""
+    out: dict[str, list[tuple[str, str, str]]] = {}
+    for name, sql in rules:
+        m = ONE_TABLE.fullmatch(sql)
+        if m and not NOT_SHARED.search(m[3] or ""):
+            out.setdefault(m[1].lower(), []).append((name, m[2] or m[1].split(".")[-1], m[3] or "TRUE"))
+    return out
+
+
+def shared_counts(spark: SparkSession, rules: list[tuple[str, str]]) -> dict[str, int]:
+    """Rule -> count, a job for each table: all its rules are sums of one aggregation. Rules
+    that can't run together with the others are left out, to be run alone."""
+    found: dict[str, int] = {}
+    for table, own in shared_rules(rules).items():
+        for alias in sorted({a for _, a, _ in own}):
+            some = [(n, c) for n, a, c in own if a == alias]
+            try:
+                cells = spark.table(table).alias(alias).agg(*[F.count_if(F.expr(f"({c})")).alias(f"c{i}") for i, (_, c) in enumerate(some)]).first()
+            except PySparkException:
+                continue
+            found.update({n: cells[i] for i, (n, _) in enumerate(some)})
+    return found
+
+
 def sanity_suite(spark: SparkSession, rules: DataFrame, as_of, task_id: int,
                  project: str = DEFAULT_PROJECT) -> DataFrame:
     """Q1 + Q2: run every rule of ``project`` and report Success / Fail with a message.
 
     ``rules`` has columns (query, name, expected_value, project_name). The rule table
-    is small by nature (one row per hand-written check); each rule is one Spark job,
-    run when this is called, so one rule's failure doesn't end the others.
+    is small by nature (one row per hand-written check). Rules that count rows of one table
+    share a pass over it, so they are a job a table; every other rule, and all rules of a table where one of them
+    can't run, are a job each, so one rule's failure doesn't end the others. Jobs run when this is called.
     """
     todo = rules.where(F.col("project_name") == F.lit(project)) \
         .select("query", "name", "expected_value").orderBy("name").collect()
+    # keyed by place: two rules may have one name
+    counted = shared_counts(spark, [(str(i), r["query"]) for i, r in enumerate(todo)])
     out = []
-    for r in todo:
+    for i, r in enumerate(todo):
         expected = int(r["expected_value"])
-        found, passed, message = rule_result(spark, r["name"], r["query"], expected)
+        if (n := counted.get(str(i))) is not None:
+            found, passed, message = judged(r["name"], n, expected)
+        else:
+            found, passed, message = rule_result(spark, r["name"], r["query"], expected)
         out.append((r["name"], expected, found, STATUS_OK if passed else STATUS_FAIL, message, task_id, project))
     cols = "condition string, expected_value bigint, actual_value string, status string, message string, " \
            "task_id bigint, project_name string"
@@ -63,18 +106,31 @@ def run_ledger_fold(events: DataFrame) -> DataFrame:
     error of any of its sub tasks, or its own end - decides, and later ones change
     nothing, so a run that failed stays failed. Both are in progress until then.
     """
+    return join_ledger(sub_task_fold(events), main_task_fold(events))
+
+
+def sub_task_fold(events: DataFrame) -> DataFrame:
+    """A row per sub task; no aggregate depends on the order of its events."""
     kind, ts = F.col("kind"), F.col("ts")
     term = kind.isin("end", "error")
     failed = F.when(kind == "error", F.lit("FAILED")).otherwise(F.lit("SUCCESS"))
-    sub = events.where(kind.isin("start", "end", "error")).groupBy("task_id", "main_task_id").agg(
+    return events.where(kind.isin("start", "end", "error")).groupBy("task_id", "main_task_id").agg(
         F.min(F.when(kind == "start", ts)).alias("start_date"),
         F.max(F.when(term, ts)).alias("end_date"),
         F.coalesce(F.max_by(failed, F.when(term, F.struct(ts, (kind == "error").alias("e")))),
                    F.lit("IN-PROGRESS")).alias("status"),
         F.count(F.when(kind == "error", F.lit(1))).alias("error_count"))
+
+
+def main_task_fold(events: DataFrame) -> DataFrame:
+    """A row per main task: its start, and its first terminal event."""
+    kind, ts = F.col("kind"), F.col("ts")
     first_end = F.min(F.when(kind.isin("error", "main_end"), F.struct(ts.alias("ts"), (kind == "main_end").alias("ok"))))
-    main = events.groupBy("main_task_id").agg(
+    return events.groupBy("main_task_id").agg(
         F.min(F.when(kind == "main_start", ts)).alias("main_start_date"), first_end.alias("__end"))
+
+
+def join_ledger(sub: DataFrame, main: DataFrame) -> DataFrame:
     main = main.select("main_task_id", "main_start_date", F.col("__end.ts").alias("main_end_date"),
                        F.when(F.col("__end").isNull(), F.lit("IN-PROGRESS")).when(F.col("__end.ok"), F.lit("SUCCESS"))
                        .otherwise(F.lit("FAILED")).alias("main_status"))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from burnup.operators import quality as qa
 from burnup.plans import domain as d
-from burnup.plans.registry import query
+from burnup.plans.registry import ORACLE, query
+from burnup.session import scratch_path
+from burnup.streaming.ledger import read_ledger, start_ledger_stream
 
 # The rule table of the scenario (fixed values): name, query, expected first cell.
 RULES = [
@@ -89,3 +93,14 @@ WHERE e.what IN ('view', 'click', 'error')
 GROUP BY e.user_id, e.run""")
 def run_ledger_fold(spark, sf_dir):
     return qa.run_ledger_fold(run_events(d.Tables(spark, sf_dir)))
+
+
+@query("run_ledger_stream", ORACLE["run_ledger_fold"])
+def run_ledger_stream(spark, sf_dir):
+    """L1 as a running fold over files in which the events lie in no order of time."""
+    base = scratch_path(spark, f"ledger-{uuid.uuid4().hex}")
+    events = run_events(d.Tables(spark, sf_dir)).select("task_id", "main_task_id", "kind", "ts", "message")
+    events.repartition(3, F.xxhash64("ts")).write.parquet(f"{base}/events")
+    for q in start_ledger_stream(spark, f"{base}/events", events.schema, f"{base}/ledger", files_per_batch=1):
+        q.awaitTermination()
+    return read_ledger(spark, f"{base}/ledger")

@@ -351,6 +351,41 @@ def test_sanity_suite_statuses(spark):
     assert "other project" not in out and qa.sanity_suite(spark, rules.limit(0), T(2024, 1, 24), 7).count() == 0
 
 
+def test_rules_of_one_table_share_a_pass(spark):
+    spark.createDataFrame([(1, "a", None), (2, "b", 3.0), (None, None, -1.0)], "k int, s string, x double").createOrReplaceTempView("checked")
+    spark.createDataFrame([(1,), (9,)], "k int").createOrReplaceTempView("other_checked")
+    rules = [("all", "SELECT count(*) FROM checked"), ("null", "select COUNT(*) from checked where x > 0"), ("alias", "SELECT count(*) FROM checked c WHERE c.k IS NULL OR c.x < 0;"),
+             ("text", "SELECT count(*)\nFROM checked\nWHERE s = 'it is where'"), ("as", "SELECT count(*) FROM checked AS d WHERE d.s LIKE 'a%'"),
+             ("other", "SELECT count(*) FROM checked c WHERE EXISTS (SELECT 1 FROM other_checked o WHERE o.k = c.k)"), ("join", "SELECT count(*) FROM checked, other_checked"),
+             ("group", "SELECT count(*) FROM checked GROUP BY k"), ("distinct", "SELECT count(DISTINCT k) FROM checked"), ("two", "SELECT count(*), 1 FROM checked")]
+    shared = qa.shared_rules(rules)
+    assert {t: [n for n, _, _ in x] for t, x in shared.items()} == {"checked": ["all", "null", "alias", "text", "as"]}
+    counted = qa.shared_counts(spark, rules)
+    assert set(counted) == {"all", "null", "alias", "text", "as"}
+    assert all(spark.sql(sql).first()[0] == counted[n] for n, sql in rules if n in counted)
+    # one rule that can't run: it fails alone, the others of its table have their counts
+    some = rules[:2] + [("broken", "SELECT count(*) FROM checked WHERE no_such_column = 1"), ("missing", "SELECT count(*) FROM no_such_table"), ("raises", "SELECT count(*) FROM checked WHERE 1 / (k - 1) > 0")]
+    table = spark.createDataFrame([(sql, n, 3, "effort") for n, sql in some], "query string, name string, expected_value bigint, project_name string")
+    got = {r.condition: (r.actual_value, r.status) for r in qa.sanity_suite(spark, table, T(2024, 1, 24), 1).collect()}
+    assert got == {"all": ("3", "Success"), "null": ("1", "Fail"), "broken": (None, "Fail"), "missing": (None, "Fail"), "raises": (None, "Fail")}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ledger_stream_equals_batch_in_any_order(spark, tmp_path, seed):
+    from burnup.streaming.ledger import read_ledger, start_ledger_stream
+    r = random.Random(seed)
+    t0 = T(2024, 1, 1)
+    events = [(i % 12, i % 12 % 4, r.choice(["start", "end", "error", "main_start", "main_end", "end"]), t0 + dt.timedelta(minutes=r.randint(0, 40)), "m") for i in range(60)]
+    schema = "task_id bigint, main_task_id bigint, kind string, ts timestamp_ntz, message string"
+    df = spark.createDataFrame(events, schema)
+    for start in (0, 25):  # the second run goes on from the first one's progress
+        part = spark.createDataFrame(events[start: 25 if not start else 60], schema)
+        part.repartition(2).write.mode("append").parquet(str(tmp_path / "events"))
+        for q in start_ledger_stream(spark, str(tmp_path / "events"), df.schema, str(tmp_path / "ledger"), files_per_batch=1):
+            q.awaitTermination()
+    assert rows(read_ledger(spark, str(tmp_path / "ledger"))) == rows(qa.run_ledger_fold(df))
+
+
 def test_null_tokens_and_length_check(spark):
     raw = spark.createDataFrame([([("1",), ("None",), ("",)],), ([("2",), ("x" * 101,), ("ok",)],)],
                                 "methodValues array<struct<elementValue:string>>")
