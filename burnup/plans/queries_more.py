@@ -11,6 +11,7 @@ from burnup.operators import effort as ef
 from burnup.operators import entries as en
 from burnup.operators import mapping as mp
 from burnup.operators import nesting as ns
+from burnup.operators.lists import listagg_pieces
 from burnup.plans import domain as d
 from burnup.plans.queries_entries import REQ_CTE
 from burnup.plans.queries_mapping import ISSUE_COLS, U17_CTES
@@ -215,3 +216,12 @@ FROM generator_headers, range(0, 7) g(i) WHERE startDate + i::INTEGER <= endDate
 def header_days(spark, sf_dir):
     """J10's expansion: a row for each day of each header."""
     return ef.header_days(d.generator_headers(d.Tables(spark, sf_dir)), day="day")
+
+
+@query("user_list_pieces", """
+WITH placed AS (SELECT c_nationkey::BIGINT AS team, c_custkey AS id, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 1000 AS piece FROM customer)
+SELECT team, piece, string_agg(id::VARCHAR, ', ' ORDER BY id) AS ids FROM placed GROUP BY team, piece""")
+def user_list_pieces(spark, sf_dir):
+    """The same lists in pieces of a thousand ids by their place in the team, however many a team has."""
+    c = d.Tables(spark, sf_dir).customer.select(F.col("c_nationkey").cast("bigint").alias("team"), F.col("c_custkey").alias("id"))
+    return listagg_pieces(c, ["team"], "id", "ids")

@@ -86,3 +86,23 @@ def test_hot_groups_are_spread_by_chunk_and_batch(spark):
     plan2 = lst._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"hashpartitioning\(timesheetId#\d+L, batch#", plan2), plan2
     assert lst.count() == 20
+
+
+def test_list_pieces_join_to_whole_lists(spark):
+    """Also for one id repeated very often, NULL groups and NULL ids; no piece holds more than its size."""
+    from burnup.operators.lists import listagg_pieces
+    r = random.Random(8)
+    some = [(r.choice([1, 2, None]), r.choice([None, 7, r.randint(1, 50)])) for _ in range(400)] + [(3, 7)] * 1500 + [(4, 1)]
+    df = spark.createDataFrame(some, "g int, id bigint").repartition(5)
+    got = {}
+    for x in sorted(listagg_pieces(df, ["g"], "id", "ids", 64).collect(), key=lambda x: (str(x.g), x.piece)):
+        got.setdefault(x.g, []).append((x.piece, x.ids.split(", ")))
+    want = {}
+    for g, i in some:
+        if i is not None:
+            want.setdefault(g, []).append(i)
+    assert {g: [int(i) for _, ids in p for i in ids] for g, p in got.items()} == {g: sorted(v) for g, v in want.items()}
+    assert all([n for n, _ in p] == list(range(len(p))) and all(len(ids) == 64 for _, ids in p[:-1]) for p in got.values())
+    whole = listagg_pieces(df, [], "id", "ids", 10_000).collect()
+    assert len(whole) == 1 and len(whole[0].ids.split(", ")) == sum(map(len, want.values()))
+    assert listagg_pieces(df.limit(0), ["g"], "id", "ids").count() == 0
