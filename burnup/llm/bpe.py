@@ -10,8 +10,10 @@ the lexicon decides the time only, never the ids.
 Which words are compiled follows from counts over all texts, summed per task before the shuffle.
 
 Text rules are those of the tokenizer file (word BPE: NFC, white space, lower case, split pattern,
-byte alphabet, end-of-word suffix); files with other rules are refused. Defined cases: null text is
-empty; special tokens' strings in a text become their ids; an empty table gives an empty result.
+byte alphabet, end-of-word suffix); files with other rules are refused. Where the library's Unicode
+tables differ from Python's (letters of other versions), the driver takes the difference from the
+library itself (``differences``) and ships it with the rules. Defined cases: null text is empty;
+special tokens' strings in a text become their ids; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers
 
 from burnup.llm.base import discard, row_schema, stored, texts
 from burnup.llm.columns import byte_lengths, slices
@@ -43,6 +46,8 @@ LEVELS = 16
 MEMO_WORDS, MEMO_LENGTH = 1 << 18, 64
 #: Bytes of a word that is merged without a queue.
 SHORT_WORD = 64
+#: A character of each class that both tables know.
+STAND_IN = {"letter": "ä", "number": "5", "space": " ", "other": "§"}
 
 
 @lru_cache(maxsize=1)
@@ -53,11 +58,44 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+@lru_cache(maxsize=1)
+def differences() -> dict:
+    """Where the library's Unicode tables aren't Python's.
+
+    ``lower``: its lower case; ``kind``: the class it puts a character in; ``order``: characters that
+    take part in NFC in one of the two only (by combining class, or as the second of a pair).
+    """
+    lower, kind, order = {}, {}, set()
+    nfc, small = normalizers.NFC().normalize_str, normalizers.Lowercase().normalize_str
+    classes = {"letter": r"\p{L}", "number": r"\p{N}", "space": r"\s"}
+    for block in range(0, 0x110000, 1 << 12):
+        chars = [chr(c) for c in range(block, block + (1 << 12)) if not 0xD800 <= c < 0xE000 and c != 10]
+        lines, text = "\n".join(chars), "".join(chars)
+        if (theirs := small(lines)) != lines.lower():
+            lower |= {c: x for c, x in zip(chars, theirs.split("\n"), strict=True) if c.lower() != x}
+        of = [(name, set(regex.findall(p, text)), set(text).difference(normalizers.Replace(Regex(p), "").normalize_str(text))) for name, p in classes.items()]
+        kind |= {c: "other" for _, ours, theirs in of for c in ours - theirs}
+        kind |= {c: name for name, ours, theirs in of for c in theirs - ours}
+        # beside a mark of class 240 and one of class 1, any character that reorders in one of the two shows
+        for before, after in (("", ""), ("a\u0345", ""), ("a", "\u0334")):
+            probes = before + f"{after}\n{before}".join(chars) + after
+            if (theirs := nfc(probes)) != (ours := unicodedata.normalize("NFC", probes)):
+                order |= {c for c, x, y in zip(chars, ours.split("\n"), theirs.split("\n"), strict=True) if x != y}
+        for c in filter(unicodedata.decomposition, chars):
+            parts = unicodedata.decomposition(c).split()
+            if len(parts) == 2 and parts[0][0] != "<":
+                pair = "".join(chr(int(x, 16)) for x in parts)
+                if nfc(pair) != unicodedata.normalize("NFC", pair):
+                    order.add(pair[1])
+    return {"lower": lower, "kind": kind, "order": "".join(sorted(order))}
+
+
 class Rules:
     """Vocabulary, merges and text rules of one tokenizer file."""
 
     def __init__(self, source: str):
-        spec = json.loads(source)
+        source = json.loads(source)
+        spec, apart = source["file"], source["unicode"]
         model, parts = spec["model"], spec["pre_tokenizer"]["pretokenizers"]
         kinds = [x["type"] for x in spec["normalizer"]["normalizers"]], [x["type"] for x in parts]
         if model["type"] != "BPE" or spec["decoder"] or spec["post_processor"] or kinds != (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]):
@@ -80,12 +118,28 @@ class Rules:
         # the same over ASCII, where both classes are known, by the faster library
         self.ascii_pattern = re.compile(pattern.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9"), re.ASCII)
 
+        self.lower = str.maketrans(apart["lower"])
+        self.kind = str.maketrans({c: STAND_IN[x] for c, x in apart["kind"].items()})
+        self.reordered = frozenset(apart["order"])
+        self.odd = frozenset([*apart["lower"], *apart["kind"], *apart["order"]])
+        # a table for the first plane and one range beyond it: a quick look before the set
+        self.maybe_odd = re.compile("[" + "".join(re.escape(c) for c in sorted(self.odd) if c <= "\uffff") + "\U00010000-\U0010ffff]")
+        self.nfc = normalizers.NFC()
+
     def words(self, text: str) -> list[str]:
         if text.isascii():
             return self.ascii_pattern.findall(text.lower())
+        if self.maybe_odd.search(text) and not self.odd.isdisjoint(text):
+            return self._words_apart(text)
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower case by single characters
         return self.pattern.findall(text.lower())
 
+    def _words_apart(self, text: str) -> list[str]:
+        """The same for a text with characters that the library's tables hold otherwise."""
+        text = unicodedata.normalize("NFC", text) if self.reordered.isdisjoint(text) else self.nfc.normalize_str(text)
+        text = text.translate(self.lower).replace("Σ", "σ").lower()
+        return [text[m.start(): m.end()] for m in self.pattern.finditer(text.translate(self.kind))]
+
     def pieces(self, text: str) -> list[str]:
         """Words and special tokens in order."""
         if self.special_pattern is None or not self.special_pattern.search(text):
@@ -272,8 +326,9 @@ def rules_of(source: str) -> Rules:
 
 
 def read_rules(path: str) -> str:
+    """The tokenizer file and ``differences``, as one text for the workers."""
     with open(path, encoding="utf-8") as f:
-        return f.read()
+        return json.dumps({"file": json.load(f), "unicode": differences()})
 
 
 def frequent_words(docs: DataFrame, source: str, most: int = LEXICON_WORDS) -> list[str]:

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import unicodedata
 
 import numpy as np
 import public_tokenizers
@@ -33,6 +34,28 @@ def test_as_the_library(spark, words):
         assert got[i].decoded_sha256 == hashlib.sha256(lib.decode(want, skip_special_tokens=False).encode()).hexdigest(), t
 
 
+def test_every_code_point_as_the_library():
+    """Each within a word and before a number; marks also between others, which NFC puts in order."""
+    lib, rules = Tokenizer.from_file(PATH), bpe.rules_of(bpe.read_rules(PATH))
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    marks = [c for c in chars if unicodedata.category(c)[0] == "M"]
+    parts = [f"x{c}1" for c in chars] + [f"a\u0345{c}\u0334 e{c}\u0301" for c in marks]
+    rows = [" ".join(parts[i: i + 256]) for i in range(0, len(parts), 256)]
+    for i in range(0, len(rows), 64):
+        for row, x in zip(rows[i: i + 64], lib.encode_batch(rows[i: i + 64], add_special_tokens=False), strict=True):
+            assert b"".join(map(rules.merge, rules.words(row))) == np.array(x.ids, "<u4").tobytes(), ascii(row[:20])
+
+
+def test_letters_of_other_versions_between_texts():
+    """Random texts of the characters on which the two tables differ, with plain ones between."""
+    lib, rules, r = Tokenizer.from_file(PATH), bpe.rules_of(bpe.read_rules(PATH)), random.Random(3)
+    apart = bpe.differences()
+    pool = [*apart["lower"], *r.sample(sorted(apart["kind"]), 300), *apart["order"], "\U00011935", "\U00011930", *"aÉ1 ' s\u0301\u0316\u0334Σ"]
+    rows = ["".join(r.choices(pool, k=30)) for _ in range(3000)]
+    for row, x in zip(rows, lib.encode_batch(rows, add_special_tokens=False), strict=True):
+        assert b"".join(map(rules.merge, rules.words(row))) == np.array(x.ids, "<u4").tobytes(), ascii(row)
+
+
 def test_ids_and_decode(spark):
     lib = Tokenizer.from_file(PATH)
     df = spark.createDataFrame([(1, "A cat sat"), (1, "A cat sat"), (None, None)], "doc_id long, text string")
