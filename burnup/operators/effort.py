@@ -289,12 +289,22 @@ def apply_push_result(dead_letter: DataFrame, rows: DataFrame, acks_for, as_of,
     return dead_letter_clear(dl, second)
 
 
+class Results(dict):
+    """Results by name; one given as a function is made when it is first read, and kept."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        value = super().__getitem__(name)
+        if callable(value):
+            value = self[name] = value()
+        return value
+
+
 def generate_timesheets(sprints, issues, members, resources, teams, projects, generator_timesheets,
-                        holidays: Column, acks_for, as_of, populate: bool = True) -> dict[str, DataFrame]:
+                        holidays: Column, acks_for, as_of, populate: bool = True) -> Results:
     """C1 -> C2 -> U7 -> A5 -> S13 -> N1 -> A6 -> C3 -> C4 -> N4 -> push -> U22.
 
-    The generated rows and their payload are written to the shared folder when this is
-    called; the other results are plans. For the dead letter and the retries call
+    The generated rows and their payload are written to the shared folder when they are
+    first read, once; the other results are plans, and the sprint table needs neither. For the dead letter and the retries call
     ``apply_push_result`` with ``rows`` and ``payload``. Without users nothing is sent, and
     no sprint is marked populated (U22).
 
@@ -307,16 +317,17 @@ def generate_timesheets(sprints, issues, members, resources, teams, projects, ge
     fact = feature_time_spent(s1, issues)
     s2 = close_sprints(s1)
     if not populate:
-        return {"sprints": s2, "fact": fact}
+        return Results(sprints=s2, fact=fact)
     users = timesheet_users(s2, members, resources, as_of)
     data = requested_timesheets(as_timesheet_rows(generator_timesheets), users)
     numbers = timesheet_sprint_numbers(s2, as_of)
     plan = timesheet_plan(s2, numbers, fact, members, resources, teams, projects, holidays, as_of)
-    rows = cut_lineage(timesheet_population(plan, data), "rows")
-    payload = cut_lineage(timesheet_payload(rows), "payload")
     sent = numbers.where(users.select(F.count(F.lit(1))).scalar() > 0)
-    return {"sprints": mark_populated(s2, sent), "fact": fact, "plan": plan, "rows": rows, "payload": payload,
-            "acks": acks_for(payload)}
+    out = Results(sprints=mark_populated(s2, sent), fact=fact, plan=plan)
+    out["rows"] = lambda: cut_lineage(timesheet_population(plan, data), "rows")
+    out["payload"] = lambda: cut_lineage(timesheet_payload(out["rows"]), "payload")
+    out["acks"] = lambda: acks_for(out["payload"])
+    return out
 
 
 def draft_timesheet_population(plan: DataFrame, timesheets: DataFrame) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burnup.functions.expr import (POINTS_TYPE, flag_unset, json_decimal, json_text, json_timestamp, lit_ts,
                                    weekdays_between, working_days_between)
 from burnup.operators.apply import set_where, update_from
+from burnup.operators.carry import row_before
 
 KEY = ["sprint_number", "team_dim_id"]
 POINTS_FIELD = ("fields", "customfield_10411")
@@ -107,28 +108,21 @@ def actual_sprint_start(sprints: DataFrame, scope: str = "global") -> DataFrame:
     """Start + 1 day when the previous sprint completed on the start's calendar day.
 
     ``scope='global'`` reproduces a lag over *all* sprints ordered by (team, number,
-    start): a team's first sprint looks at the previous team's last sprint. It is
-    computed without a single-partition window over the sprints: a per-team lag plus,
-    for the first row of each team, the previous team's last completion taken from a
-    one-row-per-team aggregate (bounded by the team dimension).
-    ``scope='team'`` restarts at every team.
+    start): a team's first sprint looks at the previous team's last sprint.
+    ``scope='team'`` restarts at every team. Both are a carry over range partitions, so
+    neither all sprints nor one team's need fit one task; the ordered rows are written to
+    the shared folder when this is called.
     Order columns must be non-null and (team, number, start) unique.
     """
-    w = Window.partitionBy("team_dim_id").orderBy("sprint_number", "sprint_start_date")
-    s = sprints.select(*KEY, "sprint_start_date", "sprint_complete_date",
-                       F.lag("sprint_complete_date").over(w).alias("__prev"),
-                       F.lag(F.lit(1)).over(w).isNull().alias("__first"))
-    if scope == "global":
-        last = sprints.groupBy("team_dim_id").agg(
-            F.max_by("sprint_complete_date", F.struct("sprint_number", "sprint_start_date"))
-            .alias("__last"))
-        prev_team = last.select(
-            "team_dim_id",
-            F.lag("__last").over(Window.orderBy("team_dim_id")).alias("__prev_team"))
-        s = s.join(prev_team, "team_dim_id", "left").withColumn(
-            "__prev", F.when(F.col("__first"), F.col("__prev_team")).otherwise(F.col("__prev")))
-    elif scope != "team":
+    if scope not in ("global", "team"):
         raise ValueError(f"scope must be 'global' or 'team', not {scope!r}")
+    s = row_before(sprints.select(*KEY, "sprint_start_date", "sprint_complete_date"),
+                   ["team_dim_id", "sprint_number", "sprint_start_date"],
+                   F.struct("team_dim_id", "sprint_complete_date"), "__before")
+    prev = F.col("__before.sprint_complete_date")
+    if scope == "team":
+        prev = F.when(F.col("__before.team_dim_id") == F.col("team_dim_id"), prev)
+    s = s.withColumn("__prev", prev)
     same_day = F.coalesce(F.to_date("__prev") == F.to_date("sprint_start_date"), F.lit(False))
     actual = F.date_add(F.to_date("sprint_start_date"), F.when(same_day, 1).otherwise(0))
     return s.select(*KEY, actual.alias("actual_start_date"))

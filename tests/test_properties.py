@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from burnup.operators import mapping as mp
 from burnup.operators import nesting as ns
 from burnup.operators import sprints as sp
+from burnup.operators.carry import row_before
 
 
 def test_global_lag_decomposition_equals_single_window(spark):
@@ -37,6 +38,21 @@ def test_global_lag_decomposition_equals_single_window(spark):
     assert shifted, "the data must exercise the one-day shift"
 
 
+def test_row_before_over_ranges(spark):
+    """A group with a third of all rows, NULL values and groups, more ranges than rows, no rows."""
+    rnd = random.Random(4)
+    rows = [(None if i % 17 == 0 else 5 if i % 3 else rnd.randint(0, 9), i, None if i % 7 == 0 else rnd.randint(0, 99)) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, n int, v int").repartition(3)
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    for some in (rows, rows[:3]):
+        part = df.where(F.col("n") <= max(r[1] for r in some))
+        line = sorted(some, key=key)
+        want = dict(zip(line, [None, *(b[2] for b in line[:-1])], strict=True))
+        got = row_before(part, ["g", "n"], F.col("v"), "before").collect()
+        assert {(r.g, r.n, r.v): r.before for r in got} == want and len(got) == len(some)
+    assert row_before(df.limit(0), ["g", "n"], F.col("v"), "before").collect() == []
+
+
 def test_like_blocking_on_random_patterns(spark):
     rnd = random.Random(5)
     alphabet = "ab_c "
