@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burnup.llm.base import stored
-from burnup.llm.columns import GOLD, LOWER, MIX1, MIX2, chunks, groups, mix, per_row, span_hashes, token_bounds
+from burnup.llm.columns import GOLD, LOWER, MIX1, MIX2, chunks, groups, mix, per_row, word_hashes, token_bounds
 
 FOLDS, HELD_OUT = 5, 1
 BATCH_TOKENS = 1 << 19
@@ -82,7 +82,7 @@ def _batches(buckets: int, most: int):
                 low = LOWER[buf]
                 starts, ends = token_bounds(low)
                 n = per_row(starts, bounds)
-                h = np.insert(span_hashes(low, starts, ends), np.cumsum(n), END)
+                h = np.insert(word_hashes(low, starts, ends), np.cumsum(n), END)
                 held.append((ids[a:b], part[a:b], n + 1, h))
                 size += len(h)
                 if size >= most:

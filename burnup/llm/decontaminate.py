@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from burnup.llm.base import row_schema
-from burnup.llm.columns import MIX1, MIX2, chunks, mix, per_row, ragged, span_hashes
+from burnup.llm.columns import MIX1, MIX2, chunks, mix, per_row, ragged, word_hashes
 
 SHINGLE, SIMILARITY, RADIUS, BITS, BLOCKS = 5, 0.8, 20, 64, 8
 #: Items of one index, on average.
@@ -56,7 +56,7 @@ def words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         inside[1:] = WORD[buf]
         step = np.diff(inside)
         starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-        yield a, b, span_hashes(buf, starts, ends), per_row(starts, bounds)
+        yield a, b, word_hashes(buf, starts, ends), per_row(starts, bounds)
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:

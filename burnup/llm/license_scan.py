@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from burnup.llm.columns import GOLD, MIX1, chunks, mix, per_row, span_hashes
+from burnup.llm.columns import GOLD, MIX1, chunks, mix, per_row, word_hashes
 from burnup.llm.decontaminate import WORD, shingles
 
 FEATURES = 1 << 15
@@ -124,7 +124,7 @@ def lines_of(column: pa.Array) -> Iterator[Lines]:
         some = np.flatnonzero(n)
         row = np.searchsorted(bounds, lines[some], "right") - 1
         new = (np.diff(some, prepend=-2) != 1) | (np.diff(row, prepend=-1) != 0)
-        yield Lines(a, b, buf, bounds, span_hashes(buf, starts, ends), n[some], row, lines[some], lines[some + 1] - 1, np.cumsum(new))
+        yield Lines(a, b, buf, bounds, word_hashes(buf, starts, ends), n[some], row, lines[some], lines[some + 1] - 1, np.cumsum(new))
 
 
 def features(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +230,7 @@ def ordinary(x: Lines) -> np.ndarray:
 
 
 def line_keys(x: Lines) -> np.ndarray:
-    return span_hashes(x.buf, x.begin, x.end)
+    return word_hashes(x.buf, x.begin, x.end)
 
 
 def probabilities(weights: np.ndarray, f: np.ndarray, first: np.ndarray) -> np.ndarray:
