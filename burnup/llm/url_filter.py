@@ -8,10 +8,14 @@ the words of all page texts.
 
 At scale: a name is split once however many pages it has. Which of its substrings are words, and how
 frequent, follows from a join of the substrings of distinct names with the word counts, so neither
-table is broadcast or gathered. The model's tokens are hashed to ``BUCKETS`` counts, so what is
-collected and broadcast has a fixed bound. A hot host is one row until its split name is joined back.
-
-Defined cases: a null url, or one without ``://``, has an empty host and path, no rule and no tokens
+table is broadcast or gathered. A substring row carries the name's number, not the name, so rows and
+bytes follow a name's length. Words over ``WORD_LETTERS`` letters are candidates where their first
+``WORD_LETTERS`` letters are in the name; the search itself finds the places where they are whole. The
+model's tokens are hashed to ``BUCKETS`` counts, so what is collected and broadcast has a fixed bound. A
+hot host is one row until its split name is joined back. Words and buckets are SQL expressions for
+learning and judging alike.
+
+Defined cases: of rules of equal length that fit, the later counts; a url, host or text may have any length; a null url, or one without ``://``, has an empty host and path, no rule and no tokens
 (its verdict is the prior's); odds of zero allow; pages that repeat an id are judged each; null html
 has no words; an empty table gives an empty result; other columns are not read.
 """
@@ -23,10 +27,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from burnup.llm.base import stored
 
@@ -34,7 +36,7 @@ from burnup.llm.base import stored
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 MAX_RULES = 1000
 BUCKETS = 1 << 18
-#: Letters of the longest word a name is split into (a longer stretch is several unknown words).
+#: Letters of the longest unknown word in a name (a longer stretch is several), and of a longer word's key.
 WORD_LETTERS = 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -61,7 +63,7 @@ def word_counts(pages: DataFrame) -> DataFrame:
     """(word, n): words of all page texts, in lower case."""
     text = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ")
     words = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
-    return pages.select(F.explode(words).alias("word")).where(F.length("word") <= WORD_LETTERS).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return pages.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def viterbi(name: str, known: dict[str, float], total: float) -> list[str]:
@@ -70,8 +72,13 @@ def viterbi(name: str, known: dict[str, float], total: float) -> list[str]:
     An unknown word of n letters has probability 1 / (total * 10^(n - 1)).
     """
     best, back = [0.0], [0]
+    longer = sorted({len(w) for w in known if len(w) > WORD_LETTERS}, reverse=True)
     for end in range(1, len(name) + 1):
         found, at = -math.inf, end - 1
+        for start in (end - n for n in longer if n <= end):
+            p = known.get(name[start:end])
+            if p and (score := best[start] + math.log(p / total)) > found:
+                found, at = score, start
         for start in range(max(0, end - WORD_LETTERS), end):
             p = known.get(name[start:end])
             score = best[start] + (math.log(p / total) if p else -math.log(total) - (end - start - 1) * math.log(10))
@@ -88,11 +95,13 @@ def viterbi(name: str, known: dict[str, float], total: float) -> list[str]:
 
 def segmented(names: DataFrame, counts: DataFrame, total: float) -> DataFrame:
     """(name, words): distinct names (column ``name``) split into words."""
-    starts = F.sequence(F.lit(1), F.length("name"))
-    sub = names.where("length(name) > 0").select("name", F.explode(starts).alias("s")).select("name", "s", F.explode(F.sequence(F.lit(1), F.least(F.lit(WORD_LETTERS), F.length("name") - F.col("s") + 1))).alias("l"))
-    sub = sub.select("name", F.expr("substring(name, s, l)").alias("word")).distinct()
-    known = (sub.join(counts, "word", "left").groupBy("name")
-             .agg(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("word", "n"))).alias("known")))  # at most WORD_LETTERS a letter
+    names = stored(names.where("length(name) > 0").withColumn("id", F.monotonically_increasing_id()), "url_names")
+    at = names.select("id", "name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("s")) \
+        .select("id", F.expr(f"substring(name, s, {WORD_LETTERS})").alias("piece"))
+    sub = at.select("id", F.explode(F.sequence(F.lit(1), F.length("piece"))).alias("l"), "piece").select("id", F.expr("substring(piece, 1, l)").alias("key")).distinct()
+    counts = counts.withColumn("key", F.expr(f"substring(word, 1, {WORD_LETTERS})"))
+    found = sub.join(counts, "key").groupBy("id").agg(F.collect_list(F.struct("word", "n")).alias("known"))  # a name's own words
+    known = names.join(found, "id", "left").select("name", "known")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,17 +148,14 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> Da
             .unionByName(ruled.select(F.explode(_buckets(_path_tokens(F.col("path")))).alias("bucket"), "verdict", F.lit(1).cast("long").alias("n"))))
     prior, table = odds(seen, {x.verdict: x["sum(n)"] for x in by_host.groupBy("verdict").agg(F.sum("n")).collect()})
     model = pages.sparkSession.sparkContext.broadcast(table)
-    letters = regex.compile(r"\p{L}+")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket = lambda t: xxh64_intdigest(t.encode(), 42) & (BUCKETS - 1)  # noqa: E731  xxhash64 of SQL
         for batch in batches:
-            value = []
-            for path, tokens, fit in zip(batch["path"].to_pylist(), batch["tokens"].to_pylist(), batch["rule"].to_pylist(), strict=True):
-                at = [bucket(t) for t in tokens or ()] + [bucket("p:" + t) for t in letters.findall(path.lower())]
-                value.append(None if fit is not None else prior + float(model.value[at].sum()))
+            value = [None if fit is not None else prior + float(model.value[np.array(at, np.int64)].sum())
+                     for at, fit in zip(batch["at"].to_pylist(), batch["rule"].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("page_id", "host", "path", "rule", "verdict")), pa.array(value, pa.float64())], names=["page_id", "host", "path", "rule", "verdict", "odds"])
 
-    out = rows.join(hosts, "host", "left").select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("verdict"), "tokens")
+    out = rows.join(hosts, "host", "left").select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("verdict"),
+                                                 _buckets(F.concat(F.coalesce("tokens", F.array().cast("array<string>")), _path_tokens(F.col("path")))).alias("at"))
     out = out.mapInArrow(run, "page_id long, host string, path string, rule string, verdict string, odds double")
     return out.withColumn("verdict", F.coalesce("verdict", F.when(F.col("odds") > 0, "block").otherwise("allow")))

@@ -68,6 +68,33 @@ def test_segmentation():
     assert U.viterbi("", known, 1.0) == []
 
 
+def test_words_of_any_length(spark):
+    """A page word of 26 letters is found in a host; one that only begins like it is not."""
+    long = "abcdefghijklmnopqrstuvwxyz"
+    names = spark.createDataFrame([(f"the{long}ring",), (f"the{long[:24]}ring",), ("the",), (long * 2,)], "name string")
+    counts = spark.createDataFrame([(long, 40), ("the", 50), ("ring", 20)], "word string, n long")
+    got = {x.name: x.words for x in U.segmented(names, counts, 110.0).collect()}
+    assert got[f"the{long}ring"] == ["the", long, "ring"] and got[long * 2] == [long, long] and got["the"] == ["the"]
+    assert "".join(got[f"the{long[:24]}ring"]) == f"the{long[:24]}ring" and long not in got[f"the{long[:24]}ring"]
+    known = {long: 40, "the": 50, "ring": 20}
+    assert all(got[n] == U.viterbi(n, known, 110.0) for n in got)
+
+
+def test_very_long_host_path_and_html(spark):
+    """A host of 100,000 letters is a task of seconds, not one of quadratic rows."""
+    host, path = "thering" * 14_286, "/de/ring" * 20_000
+    df = spark.createDataFrame([(1, f"http://{host}.net{path}", f"<p>{'the ring ' * 50_000}</p>"), (2, "http://com/de/ring", TEXT), (3, "http://com/fr/x", "y" * 300_000)], "page_id long, url string, html string")
+    got = {x.page_id: (x.host, x.path, x.verdict) for x in U.judge(df).collect()}
+    assert got[1] == (host + ".net", path, "block") and got[2][2] == "block" and got[3][2] == "allow"
+
+
+def test_rules_of_equal_length(spark):
+    df = spark.createDataFrame([(1, "http://a.b/cd", None), (2, "http://x.a.b/cd", None)], "page_id long, url string, html string")
+    one, two = ("allow", "a.b", "/c"), ("block", "a.b", "/c")
+    assert {x.verdict for x in U.judge(df, (one, two)).collect()} == {"block"}
+    assert {x.verdict for x in U.judge(df, (two, one)).collect()} == {"allow"}
+
+
 def test_nulls_and_empty(spark):
     schema = "page_id long, url string, html string"
     df = spark.createDataFrame([(None, None, None), (1, "http://a.net/x", None), (1, "http://a.net/x", None)], schema)
