@@ -15,9 +15,11 @@ after level until one is missing; the last one present gives the count's expecta
 underestimated, and overestimated with the filter's small error). A part is made and probed in its
 bucket's task and never leaves it, so nothing is gathered, and no bound is needed on all parts.
 
-Score. log10 of the product of p(w | h) = (c(h w) + PRIOR * p(w)) / (c(h) + PRIOR) over all tokens,
-with p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)) and all c from the filter, c(h w) at most c(h). The first
-token's h is the start of the text, whose count is the number of training texts.
+Score. log10 of the product of p(w | h) = (c(h w) + PRIOR * p(w)) / (C(h) + PRIOR) over all tokens,
+with p(w) = (c(w) + 0.5) / (C + 0.5 (V + 1)) and all c from the filter. C is the sum of c(w) over all
+words and C(h) that of c(h w) over all followers of h, so that the probabilities after any h sum to one (but
+for the filter's error). The first token's h is the start of the text. For C(h), the buckets make one
+batch the owner of each bigram; batches sum what they own by context, and the sums go by the context's bucket.
 
 Defined cases: null text is empty (one token, its end); a row without doc_id is in neither fold
 (held_out false, not learned from); rows that repeat an id are texts of their own; an empty training
@@ -42,6 +44,8 @@ BATCH_TOKENS = 1 << 19
 #: Bytes of text for each bucket of n-grams.
 BUCKET_BYTES = 1 << 24
 ENTRY_BITS, HASHES = 10, 6
+#: Beside a level: the batch owns the n-gram.
+OWNER = np.uint8(0x80)
 #: Weight of the unigram in tokens of context; 20 to 2,000 were tried on held-out texts.
 PRIOR = 1000.0
 END, START = np.uint64(0x656E64), np.uint64(0x7374617274)
@@ -195,17 +199,23 @@ def _sum(give_counts: bool, entry_bits: int):
             total = np.bincount(place, np.concatenate(number), len(distinct)).astype(np.int64)
             known = total > 0
             level = Filter([fill(distinct[known], total[known], None, entry_bits).tobytes() if known.any() else b""]).level(distinct).astype(np.uint8)
+            mass = int((2 * expected(level[known])).sum())
             ends = np.cumsum([0, *map(len, each)])
+            owner = np.zeros(len(place), np.uint8)
+            owner[np.unique(place, return_index=True)[1]] = OWNER
+            owner[~known[place]] = 0
             places = [place[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
             counts = [total[x].astype("<i8").tobytes() if give_counts else None for x in places]
             none = [0] * len(places)
-            yield pa.RecordBatch.from_arrays([pa.array([bucket] * (1 + len(places)), pa.int32()), pa.array([None, *rows["batch"].to_pylist()], pa.int64()), pa.array([None, *(level[x].tobytes() for x in places)], pa.binary()), pa.array([None, *counts], pa.binary()),
-                                              pa.array([int(known.sum()), *none], pa.int64()), pa.array([int(total.sum()), *none], pa.int64())], names=["bucket", "batch", "levels", "counts", "n_distinct", "n_total"])
+            yield pa.RecordBatch.from_arrays([pa.array([bucket] * (1 + len(places)), pa.int32()), pa.array([None, *rows["batch"].to_pylist()], pa.int64()), pa.array([None, *((level[x] | owner[i: j]).tobytes() for x, i, j in zip(places, ends[:-1], ends[1:], strict=True))], pa.binary()), pa.array([None, *counts], pa.binary()),
+                                              pa.array([int(known.sum()), *none], pa.int64()), pa.array([int(total.sum()), *none], pa.int64()), pa.array([mass, *none], pa.int64())],
+                                             names=["bucket", "batch", "levels", "counts", "n_distinct", "n_total", "mass"])
 
     return run
 
 
-SUMS = "bucket int, batch long, levels binary, counts binary, n_distinct long, n_total long"
+#: ``mass`` is twice the sum of the expected counts, a whole number.
+SUMS = "bucket int, batch long, levels binary, counts binary, n_distinct long, n_total long, mass long"
 
 
 def _counted(batched: DataFrame, buckets: int, order: int, entry_bits: int) -> DataFrame:
@@ -213,9 +223,53 @@ def _counted(batched: DataFrame, buckets: int, order: int, entry_bits: int) -> D
     return stored(sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sum(order == 1, entry_bits), SUMS), f"lm_sums{order}")
 
 
-def _back(sums: DataFrame, name: str) -> DataFrame:
+def _contexts(tokens: np.ndarray, n: np.ndarray, unigrams: int) -> np.ndarray:
+    """Place of the token before each one; the start of a text is the place after all tokens'."""
+    before = np.empty(len(tokens), np.int64)
+    before[1:] = tokens[:-1]
+    before[np.cumsum(n) - n] = unigrams
+    return before
+
+
+def _send_contexts(buckets: int):
+    """Batches with their bigrams' levels to twice the counts they own, by context; the start of a text has a bucket of its own."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                one = batch.slice(row, 1)
+                tokens, keys = _as(one["tokens"], "<u4")[0], _as(one["hashes"], "<u8")[0]
+                n = one["n_tokens"].flatten().to_numpy()
+                _, pairs = _by_bucket(bigrams(keys[tokens], n), buckets)
+                level = _joined(one["bi"], "levels", np.uint8)
+                context = np.empty(len(level), np.int64)
+                context[pairs] = _contexts(tokens, n, len(keys))
+                own = (level & OWNER) > 0
+                twice = np.bincount(context[own], 2 * expected(level[own] & ~OWNER), len(keys) + 1).astype("<i8")
+                bucket = (keys % np.uint64(buckets)).astype(np.int64)
+                cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+                rows = [(b, keys[cuts[b]: cuts[b + 1]].tobytes(), twice[cuts[b]: cuts[b + 1]].tobytes()) for b in np.unique(bucket).tolist()]
+                rows.append((buckets, START.tobytes(), twice[-1:].tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([one["batch"][0].as_py()] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
+                                                 names=["bucket", "batch", "keys", "counts"])
+
+    return run
+
+
+def _sum_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per bucket: the sums of all batches, for each batch's own contexts."""
+    for bucket, rows in groups(batches, "bucket"):
+        each, number = _as(rows["keys"], "<u8"), _as(rows["counts"], "<i8")
+        distinct, place = np.unique(np.concatenate(each), return_inverse=True)
+        total = np.zeros(len(distinct), "<i8")
+        np.add.at(total, place, np.concatenate(number))
+        ends = np.cumsum([0, *map(len, each)])
+        yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(each), pa.int32()), rows["batch"].combine_chunks() if isinstance(rows["batch"], pa.ChunkedArray) else rows["batch"],
+                                          pa.array([total[place[i: j]].tobytes() for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["bucket", "batch", "counts"])
+
+
+def _back(sums: DataFrame, name: str, *fields: str) -> DataFrame:
     """What the buckets returned to each batch: of its own n-grams."""
-    return sums.where("batch is not null").groupBy("batch").agg(F.collect_list(F.struct("bucket", "levels", "counts")).alias(name))
+    return sums.where("batch is not null").groupBy("batch").agg(F.collect_list(F.struct("bucket", *fields)).alias(name))
 
 
 def _joined(back: pa.Array, field: str, kind: str) -> np.ndarray:
@@ -223,9 +277,9 @@ def _joined(back: pa.Array, field: str, kind: str) -> np.ndarray:
     return np.concatenate([np.frombuffer(x[field], kind) for x in sorted(back[0].as_py(), key=lambda x: x["bucket"])])
 
 
-def _score(buckets: int, n_all: int, v_all: int, n_texts: int, prior: float):
+def _score(buckets: int, n_all: int, v_all: int, mass: float, prior: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        below = n_all + 0.5 * (v_all + 1)
+        below, quantised = n_all + 0.5 * (v_all + 1), mass + 0.5 * (v_all + 1)
         for batch in batches:
             for row in range(len(batch)):
                 one = batch.slice(row, 1)
@@ -233,13 +287,11 @@ def _score(buckets: int, n_all: int, v_all: int, n_texts: int, prior: float):
                 n, part = one["n_tokens"].flatten().to_numpy(), one["part"].flatten().to_numpy()
                 c = _joined(one["uni"], "counts", "<i8")
                 first = np.cumsum(n) - n
-                q = expected(_joined(one["uni"], "levels", np.uint8))
+                q = expected(_joined(one["uni"], "levels", np.uint8) & ~OWNER)
                 _, pairs = _by_bucket(bigrams(keys[tokens], n), buckets)
-                pair = expected(_joined(one["bi"], "levels", np.uint8))[pairs]
-                context = np.empty(len(tokens))
-                context[1:] = q[tokens[:-1]]
-                context[first] = n_texts
-                p = (np.minimum(pair, context) + prior * ((q + 0.5) / below)[tokens]) / (context + prior)
+                pair = expected(_joined(one["bi"], "levels", np.uint8) & ~OWNER)[pairs]
+                context = (_joined(one["after"], "counts", "<i8") / 2.0)[_contexts(tokens, n, len(keys))]
+                p = (np.minimum(pair, context) + prior * ((q + 0.5) / quantised)[tokens]) / (context + prior)
                 base, known = np.log10((c + 0.5) / below)[tokens], (c > 0).astype(np.int64)[tokens]
                 yield pa.RecordBatch.from_arrays([one["doc_id"].flatten(), pa.array(part == 1), pa.array(n.astype(np.int64)), pa.array(np.add.reduceat(known, first)), pa.array(np.full(len(n), n_all)),
                                                   pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(np.log10(p), first))],
@@ -261,7 +313,10 @@ def score(docs: DataFrame, batch_tokens: int = BATCH_TOKENS, bucket_bytes: int =
     batched = stored(rows.mapInArrow(_batches(buckets, batch_tokens), BATCH), "lm_batches")
     uni = _counted(batched, buckets, 1, entry_bits)
     bi = _counted(batched, buckets, 2, entry_bits)
-    n_all, v_all = uni.agg(F.sum("n_total"), F.sum("n_distinct")).first()
-    n_texts = batched.agg(F.sum(F.size(F.filter("part", lambda x: x == 0)))).first()[0] or 0
-    out = batched.join(_back(uni, "uni"), "batch").join(_back(bi, "bi"), "batch").select("doc_id", "part", "n_tokens", "tokens", "hashes", "uni", "bi")
-    return out.mapInArrow(_score(buckets, n_all or 0, v_all or 0, n_texts, prior), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    n_all, v_all, mass = uni.agg(F.sum("n_total"), F.sum("n_distinct"), F.sum("mass")).first()
+    pairs = _back(bi, "bi", "levels")
+    owned = batched.select("batch", "n_tokens", "tokens", "hashes").join(pairs, "batch").mapInArrow(_send_contexts(buckets), "bucket int, batch long, keys binary, counts binary")
+    after = stored(owned.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sum_contexts, "bucket int, batch long, counts binary"), "lm_contexts")
+    out = batched.join(_back(uni, "uni", "levels", "counts"), "batch").join(pairs, "batch").join(_back(after, "after", "counts"), "batch")
+    out = out.select("doc_id", "part", "n_tokens", "tokens", "hashes", "uni", "bi", "after")
+    return out.mapInArrow(_score(buckets, n_all or 0, v_all or 0, (mass or 0) / 2.0, prior), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

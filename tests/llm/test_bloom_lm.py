@@ -23,14 +23,17 @@ def brute(rows):
     q = lambda n: (3 * 2 ** (int(math.log2(n))) - 1) / 2 if n else 0
     n, v = sum(c.values()), len(c)
     below = n + 0.5 * (v + 1)
+    quantised = sum(map(q, c.values())) + 0.5 * (v + 1)
+    after = Counter()
+    for (h, _), k in pairs.items():
+        after[h] += q(k)
     out = []
     for i, t in rows:
         x = toks(t)
         base = sum(math.log10((c[w] + 0.5) / below) for w in x)
         s = 0
         for h, w in zip([0, *x[:-1]], x):
-            ch = len(train) if h == 0 else q(c[h])
-            s += math.log10((min(q(pairs[h, w]), ch) + B.PRIOR * (q(c[w]) + 0.5) / below) / (ch + B.PRIOR))
+            s += math.log10((q(pairs[h, w]) + B.PRIOR * (q(c[w]) + 0.5) / quantised) / (after[h] + B.PRIOR))
         out.append((len(x), sum(c[w] > 0 for w in x), n, base, s))
     return out
 
@@ -85,6 +88,38 @@ def test_filter_grows_with_its_entries(spark, monkeypatch):
     assert out["n_distinct"][0].as_py() == 20_000
 
 
+@pytest.mark.parametrize("size", [1 << 20, 300])
+def test_probabilities_of_a_context_sum_to_one(spark, size):
+    """After each word, and at the start, over all learned words, the text's end and one word never seen."""
+    vocab = ["aa", "bb", "cc", "dd", "ee"]
+    r = random.Random(5)
+    learned = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1][:120]
+    rows = [(i, " ".join(r.choice(vocab[: r.randint(1, 5)]) for _ in range(r.randint(0, 30)))) for i in learned]
+    held = [i for i in range(400, 4000) if zlib.crc32(str(i).encode()) % 5 == 1]
+    probes = [(h, w) for h in [None, *vocab] for w in [*vocab, "unseen"]]
+    texts = {}
+    for h, w in probes:  # two texts that differ by one token and one context
+        for t in ([h] if h else [], [h, w] if h else [w]):
+            texts.setdefault(" ".join(t), held[len(texts)])
+    got = {x.doc_id: x.score for x in B.score(spark.createDataFrame(rows + [(i, t) for t, i in texts.items()], "doc_id long, text string").coalesce(1), size, 4000, 64).collect()}
+    # p(end | w) from the text of w alone and p(w | start): both follow from texts of no, one and two words
+    p = {t: 10 ** got[i] for t, i in texts.items()}
+    train = [toks(t) for _, t in rows]
+    c, pairs = Counter(w for x in train for w in x), Counter(x for y in train for x in zip([0, *y[:-1]], y))
+    q = lambda n: (3 * 2 ** (int(math.log2(n))) - 1) / 2 if n else 0
+    low = sum(map(q, c.values())) + 0.5 * (len(c) + 1)
+    words = [*vocab, None, "unseen"]
+    after = {h: sum(q(pairs[h, w]) for w in words) for h in [0, *vocab, "unseen"]}
+    one = lambda h, w: (q(pairs[h, w]) + B.PRIOR * (q(c[w]) + 0.5) / low) / (after[h] + B.PRIOR)
+    for h in [0, *vocab, "unseen"]:
+        assert abs(sum(one(h, w) for w in words) - 1) < 1e-9
+    for h, w in probes:  # the operator's own figures are those probabilities
+        t = f"{h} {w}" if h else w
+        want = (one(0, h) * one(h, w) if h else one(0, w)) * one(w, None)
+        assert abs(p[t] - want) < 1e-9 * want
+    assert abs(p[""] + sum(p[w] / one(w, None) for w in [*vocab, "unseen"]) - 1) < 1e-9
+
+
 def test_nulls_and_empty(spark):
     df = spark.createDataFrame([(None, "a b"), (1, None)], "doc_id long, text string")
     got = {x.doc_id: x for x in B.score(df).collect()}
