@@ -1,13 +1,21 @@
 """Licence scan by a trained paragraph classifier, confirmed by templates (operator 6).
 
 A text's paragraphs are its lines. A logistic regression over hashed word uni- and bigrams tells the
-licence families and ``none`` apart. It learns from variations of the families' notices (below) and
+licence families, ``unknown`` (licences of no family) and ``none`` apart. It learns from variations of the
+families' and of other licences' notices (below) and
 from a bounded sample of ordinary paragraphs of the corpus itself: half of the ``NEGATIVES``
-distinct paragraphs of smallest hash that resemble no notice. Then all other paragraphs of the corpus
-that resemble none are scored, and the score beyond which a paragraph is a licence at all is set so
-that at most ``FALSE_RATE`` of them pass. A paragraph that passes is held against the templates of its predicted family: if one of them
+distinct paragraphs of smallest hash that resemble no notice. A corpus may hold licences of its own among them:
+each half of the sample is scored by a model that learned from the other half, and what looks like a licence is not taught as ordinary.
+
+What is a licence at all is calibrated on licences the model has not seen: the families are dealt to ``FOLDS`` folds,
+each fold's notices are scored by a model that learned without them, and the threshold is the score that
+``UNSEEN_RECALL`` of them reach. Then all paragraphs of the corpus that resemble no notice and were not learned from
+are scored, and the threshold rises to where ``FALSE_RATE`` of the ordinary ones would pass. That place is found from the median and the
+``BODY`` quantile of their log odds as a normal distribution's, as the top of the scores may be licences no notice names. A paragraph that passes
+is held against the templates of its predicted family: if one of them
 has at least ``SIMILARITY`` of its shingles (five words, or all of a shorter one) in the paragraph,
-the family is confirmed; else the licence is ``unknown``.
+the family is confirmed; else the licence is ``unknown``. Families that resemble a wrapped notice
+equally go by the model's score, then by name.
 
 Notices wrapped over lines. Within a block (lines up to one without words) the shingles of all
 templates are sought over the joined lines. A run of lines that has ``SIMILARITY`` of a template's
@@ -24,10 +32,12 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from statistics import NormalDist
 from typing import NamedTuple
 
 import numpy as np
@@ -40,35 +50,59 @@ from burnup.llm.columns import GOLD, MIX1, chunks, mix, per_row, word_hashes
 from burnup.llm.decontaminate import WORD, shingles
 
 FEATURES = 1 << 15
-NEGATIVES, VARIANTS, FALSE_RATE = 4000, 60, 0.001
+NEGATIVES, VARIANTS, FALSE_RATE = 4000, 120, 0.001
+FOLDS, UNSEEN_RECALL, BODY = 4, 0.9, 0.9
 SHINGLE, SIMILARITY = 5, 0.8
 #: A paragraph that has this part of a template's shingles is no ordinary one.
 RESEMBLES = 0.5
-#: Scores beyond one half are counted by the log of their odds, in so many steps to 1 and up to so many.
-STEPS, MOST_STEPS = 2048, 1 << 16
+#: Scores are counted by the log of their odds, in so many steps to 1 and up to so many.
+STEPS, MOST_STEPS = 256, 1 << 13
 UNKNOWN = "unknown"
 
 #: Notices by licence family, as their publishers word them.
 NOTICES: dict[str, tuple[str, ...]] = {
     "AGPL": ("GNU Affero General Public License", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
              "Licensed under the AGPL"),
-    "Apache-2.0": ("Apache License, Version 2.0", "Licensed under the Apache License, Version 2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
-    "BSD": ("BSD 3-Clause License", "BSD 2-Clause License", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "Released under the BSD License"),
+    "Apache-2.0": ("Apache License, Version 2.0", "Licensed under the Apache License, Version 2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
+                   "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+                   "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    "BSD": ("BSD 3-Clause License", "BSD 2-Clause License", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "Released under the BSD License",
+            "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+            "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+            "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+            "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
     "CC-BY": ("CC BY 4.0", "Creative Commons Attribution 4.0 International", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     "CC-BY-NC": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     "CC-BY-SA": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     "CC0": ("CC0 1.0 Universal", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work", "Dedicated to the public domain under CC0"),
     "GPL": ("GNU General Public License", "This work is licensed under the GNU General Public License, version 3", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-            "Licensed under the GPL"),
-    "ISC": ("ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "Released under the ISC License"),
+            "Licensed under the GPL",
+            "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    "ISC": ("ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "Released under the ISC License",
+            "provided that the above copyright notice and this permission notice appear in all copies.",
+            "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."),
     "LGPL": ("GNU Lesser General Public License", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
-    "MIT": ("MIT License", "Released under the MIT License", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+    "MIT": ("MIT License", "Released under the MIT License", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
+            "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+            "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
     "MPL-2.0": ("Mozilla Public License, version 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     "Proprietary": ("All rights reserved", "Copyright All rights reserved. No part of this work may be reproduced without permission"),
 }
-#: Words around a notice's core in training, and notices of no family here.
+#: Notices of licences that are no family here; they teach the class ``unknown``.
+OTHERS = (
+    "Eclipse Public License, Version 2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License",
+    "Boost Software License, Version 1.0", "Distributed under the Boost Software License, Version 1.0.",
+    "This is free and unencumbered software released into the public domain.", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "European Union Public Licence v. 1.2", "Licensed under the EUPL, Version 1.2", "SIL Open Font License, Version 1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "zlib License", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    "Artistic License 2.0", "Common Development and Distribution License", "Microsoft Public License", "Do What The Fuck You Want To Public License", "Open Database License",
+)
+#: Words around a notice's core in training.
 FRAMES = ("{}", "{}.", "Licensed under {}.", "Licensed under the {}.", "Released under the {}.", "This work is licensed under the {}.", "Distributed under {}", "Copyright 2020 Some Author. {}", "{} See the LICENSE file for details.")
 FAMILIES = sorted(NOTICES)
+#: The model's classes but ``none``, which is the last one.
+KINDS = [*FAMILIES, UNKNOWN]
+WORDING = {**NOTICES, UNKNOWN: OTHERS}
 
 
 def words_of(text: str) -> list[str]:
@@ -82,7 +116,7 @@ def shingles_of(words: list[str]) -> set[tuple[str, ...]]:
 
 @lru_cache(maxsize=1)
 def templates() -> dict[str, list[tuple[int, set[tuple[str, ...]]]]]:
-    return {f: [(min(SHINGLE, len(words_of(t))), shingles_of(words_of(t))) for t in NOTICES[f]] for f in FAMILIES}
+    return {f: [(min(SHINGLE, len(words_of(t))), shingles_of(words_of(t))) for t in WORDING[f]] for f in KINDS}
 
 
 def resemblance(words: list[str], family: str) -> float:
@@ -146,8 +180,8 @@ def paragraphs(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
 def _sought() -> tuple[list[int], list[tuple[int, np.ndarray, list[list[tuple[int, int]]]]]]:
     """Number of shingles of each template; by shingle size the hashes, and of each its (template, shingle)."""
     sizes, by_size = [], {}
-    for family in FAMILIES:
-        for text in NOTICES[family]:
+    for family in KINDS:
+        for text in WORDING[family]:
             h = next(lines_of(pa.array([text]))).h
             k = min(SHINGLE, len(h))
             distinct = np.unique(shingles(h, k)).tolist()
@@ -210,11 +244,12 @@ def wrapped(x: Lines) -> list[tuple[int, int]]:
             if line[start] != line[last := some[end][1]]:
                 found.append((len(have) / sizes[template], last - start, start, last))
             lo, have = end + 1, {}
-    out: list[tuple[int, int, int, int]] = []
+    taken: list[tuple[int, int]] = []  # in order and apart, so only the neighbours can overlap
     for _, _, start, last in sorted(found, reverse=True):
-        if all(last < y[0] or start > y[1] for y in out):
-            out.append((start, last, int(line[start]), int(line[last])))
-    return sorted({y[2:] for y in out})
+        at = bisect.bisect(taken, (start, last))
+        if (not at or taken[at - 1][1] < start) and (at == len(taken) or last < taken[at][0]):
+            taken.insert(at, (start, last))
+    return sorted({(int(line[start]), int(line[last])) for start, last in taken})
 
 
 def ordinary(x: Lines) -> np.ndarray:
@@ -223,7 +258,7 @@ def ordinary(x: Lines) -> np.ndarray:
     out = np.ones(len(x.n), bool)
     for i in {int(line[w]) for w, _, _ in hits(x.h, line)}:  # the others have no shingle of a notice
         words = words_of(x.text(i, i))
-        out[i] = max(resemblance(words, f) for f in FAMILIES) < RESEMBLES
+        out[i] = max(resemblance(words, f) for f in KINDS) < RESEMBLES
     for i, j in wrapped(x):
         out[i: j + 1] = False
     return out
@@ -244,22 +279,25 @@ def probabilities(weights: np.ndarray, f: np.ndarray, first: np.ndarray) -> np.n
 def fit(texts: list[str], labels: np.ndarray, rounds: int = 250, rate: float = 0.5, decay: float = 1e-4) -> np.ndarray:
     """Multinomial logistic regression by gradient descent with per-weight steps (Adagrad)."""
     f, first = (np.concatenate(x) for x in zip(*_features(texts), strict=True))
-    classes = len(FAMILIES) + 1
+    classes = len(KINDS) + 1
     n = np.diff(np.append(first, len(f)))
-    w, seen = np.zeros((FEATURES + 1, classes), np.float32), np.full((FEATURES + 1, classes), 1e-6, np.float32)
+    used, f = np.unique(f, return_inverse=True)  # the weights of the others stay zero
+    w, seen = np.zeros((len(used) + 1, classes), np.float32), np.full((len(used) + 1, classes), 1e-6, np.float32)
     truth = np.eye(classes, dtype=np.float32)[labels]
     order = np.argsort(f, kind="stable")
     owner = np.repeat(np.arange(len(n)), n)[order]
-    used, at = np.unique(f[order], return_index=True)
+    at = np.searchsorted(f[order], np.arange(len(used)))
     for _ in range(rounds):
         error = (probabilities(w, f, first) - truth).astype(np.float32) / len(n)
-        g = np.zeros_like(w)
-        g[used] = np.add.reduceat((error / np.sqrt(n)[:, None].astype(np.float32))[owner], at, axis=0)
+        g = np.empty_like(w)
+        g[:-1] = np.add.reduceat((error / np.sqrt(n)[:, None].astype(np.float32))[owner], at, axis=0)
         g[-1] = error.sum(axis=0)
         g += decay / len(n) * w
         seen += g * g
         w -= rate * g / np.sqrt(seen)
-    return w
+    out = np.zeros((FEATURES + 1, classes), np.float32)
+    out[used], out[-1] = w[:-1], w[-1]
+    return out
 
 
 def _features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -270,12 +308,12 @@ def _features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def variants(seed: int = 7) -> tuple[list[str], list[int]]:
-    """Training paragraphs of each family: framed notices, some without a word, some among other words."""
+    """Training paragraphs of each kind: framed notices, some without a word, some among other words."""
     r = random.Random(seed)
     texts, labels = [], []
-    for i, family in enumerate(FAMILIES):
+    for i, family in enumerate(KINDS):
         for _ in range(VARIANTS):
-            words = r.choice(FRAMES).format(r.choice(NOTICES[family])).split()
+            words = r.choice(FRAMES).format(r.choice(WORDING[family])).split()
             if len(words) > 8 and r.random() < 0.4:
                 words.pop(r.randrange(len(words)))
             texts.append(" ".join(words))
@@ -304,8 +342,49 @@ def _sample(docs: DataFrame) -> list[str]:
         share = min(1.0, 4 * share)
 
 
-def _least(docs: DataFrame, weights: np.ndarray, learned: list[str]) -> float:
-    """The score (one half or more) that at most FALSE_RATE of all ordinary lines not learned from exceed."""
+def log_odds(p: np.ndarray) -> np.ndarray:
+    """Of being a licence at all, from the probabilities of the classes."""
+    return np.log(np.maximum(1 - p[:, -1], 1e-300)) - np.log(np.maximum(p[:, -1], 1e-300))
+
+
+def unseen_odds(texts: list[str], labels: np.ndarray, learned: list[str]) -> np.ndarray:
+    """Log odds of each fold's notices under a model that learned without the fold's families."""
+    out = []
+    for fold in range(FOLDS):
+        mine = labels % FOLDS == fold
+        some = [t for t, m in zip(texts, mine, strict=True) if not m]
+        weights = fit(some + learned, np.concatenate([labels[~mine], np.full(len(learned), len(KINDS))]))
+        f, first = (np.concatenate(x) for x in zip(*_features([t for t, m in zip(texts, mine, strict=True) if m]), strict=True))
+        out.append(log_odds(probabilities(weights, f, first)))
+    return np.concatenate(out)
+
+
+def ordinary_sample(texts: list[str], labels: np.ndarray, learned: list[str]) -> list[str]:
+    """The sample without what a model that learned from the other half of it takes for a licence."""
+    out = []
+    for half in (0, 1):
+        mine, others = learned[half::2], learned[1 - half:: 2]
+        if not mine:
+            continue
+        weights = fit(texts + others, np.concatenate([labels, np.full(len(others), len(KINDS))]))
+        f, first = (np.concatenate(x) for x in zip(*_features(mine), strict=True))
+        out += [t for t, odds in zip(mine, log_odds(probabilities(weights, f, first)), strict=True) if odds <= 0] if others else mine
+    return out
+
+
+def tail(counts: list[tuple[int, int]]) -> float:
+    """Log odds that FALSE_RATE of the ordinary lines exceed, from the body of the (step, number)s in order."""
+    if not counts:
+        return 0.0
+    step, n = (np.array(x) for x in zip(*counts, strict=True))
+    share = np.cumsum(n) / n.sum()
+    middle, body = (int(step[min(np.searchsorted(share, q), len(step) - 1)]) / STEPS for q in (0.5, BODY))
+    z = NormalDist().inv_cdf
+    return middle + (body - middle) * z(1 - FALSE_RATE) / z(BODY)
+
+
+def _least(docs: DataFrame, weights: np.ndarray, learned: list[str], floor: float) -> float:
+    """The score of ``floor`` log odds, or more if FALSE_RATE of all ordinary lines not learned from would exceed it."""
     known = np.unique(np.concatenate([line_keys(x) for x in lines_of(pa.array(learned, pa.string()))] or [np.zeros(0, np.uint64)]))
     model = docs.sparkSession.sparkContext.broadcast((weights, known))
 
@@ -316,27 +395,23 @@ def _least(docs: DataFrame, weights: np.ndarray, learned: list[str]) -> float:
                 use = ordinary(x) & ~np.isin(line_keys(x), known)
                 if not use.any():
                     continue
-                none = probabilities(weights, *features(x.h, x.n))[use, -1]
-                odds = np.log(np.maximum(1 - none, 1e-300)) - np.log(np.maximum(none, 1e-300))
-                step, n = np.unique(np.clip(np.ceil(odds * STEPS), 0, MOST_STEPS).astype(np.int32), return_counts=True)
+                odds = log_odds(probabilities(weights, *features(x.h, x.n))[use])
+                step, n = np.unique(np.clip(np.ceil(odds * STEPS), -MOST_STEPS, MOST_STEPS).astype(np.int32), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(step), pa.array(n.astype(np.int64))], names=["step", "n"])
 
     counts = sorted((x.step, x.n) for x in docs.select("text").mapInArrow(run, "step int, n long").groupBy("step").agg(F.sum("n").alias("n")).collect())
-    may, least = FALSE_RATE * sum(n for _, n in counts), 0
-    for step, n in reversed(counts):
-        may -= n
-        if may < 0:
-            least = step
-            break
-    return float(1 / (1 + np.exp(-least / STEPS)))
+    return float(1 / (1 + np.exp(-max(floor, tail(counts)))))
 
 
 def train(docs: DataFrame) -> tuple[np.ndarray, float]:
     """Weights, and the score beyond which a paragraph is a licence."""
-    learned = _sample(docs)[::2]
+    sampled = _sample(docs)[::2]
     texts, labels = variants()
-    weights = fit(texts + learned, np.array(labels + [len(FAMILIES)] * len(learned)))
-    return weights, _least(docs, weights, learned)
+    labels = np.array(labels)
+    learned = ordinary_sample(texts, labels, sampled)
+    weights = fit(texts + learned, np.concatenate([labels, np.full(len(learned), len(KINDS))]))
+    floor = float(np.quantile(unseen_odds(texts, labels, learned), 1 - UNSEEN_RECALL))
+    return weights, _least(docs, weights, sampled, floor)
 
 
 FOUND = "array<struct<family:string,first_byte:bigint,end_byte:bigint,score:double,resemblance:double>>"
@@ -360,20 +435,22 @@ def scan(docs: DataFrame) -> DataFrame:
                     continue
                 ends = np.cumsum(x.n)
                 p = probabilities(weights, *features(x.h, x.n))
-                runs = []
+                runs, covered = [], {}
                 for i, j in wrapped(x):
                     h = x.h[ends[i] - x.n[i]: ends[j]]
                     q = probabilities(weights, *features(h, np.array([len(h)])))[0]
                     if 1 - q[-1] > least:
                         words = words_of(x.text(i, j))
-                        near, _, family = max((resemblance(words, f), q[k], f) for k, f in enumerate(FAMILIES))
+                        near, _, family = max((resemblance(words, f), q[k], f) for k, f in enumerate(KINDS))
                         runs.append((i, j, family, float(1 - q[-1]), near))
+                        for line in range(i, j + 1):
+                            covered.setdefault(line, {UNKNOWN}).add(family)
                 single = []
                 for i in np.flatnonzero(1 - p[:, -1] > least).tolist():
-                    family = FAMILIES[int(p[i, :-1].argmax())]
+                    family = KINDS[int(p[i, :-1].argmax())]
                     near = resemblance(words_of(x.text(i, i)), family)
                     family = family if near >= SIMILARITY else UNKNOWN
-                    if not any(r[0] <= i <= r[1] and family in (UNKNOWN, r[2]) for r in runs):
+                    if family not in covered.get(i, ()):
                         single.append((i, i, family, float(1 - p[i, -1]), near))
                 for i, j, family, score, near in sorted(single + runs):
                     at = x.bounds[x.row[i]]

@@ -90,6 +90,69 @@ def test_few_distinct_lines_still_train(spark, monkeypatch):
     assert sum(len(x.licences) for x in got.values()) <= L.FALSE_RATE * sum(x.n_paragraphs for x in got.values())
 
 
+#: Notices of licences that the module knows nothing of.
+UNSEEN = ["Licensed under the Academic Free License version 3.0", "This software is released under the PostgreSQL License", "Licensed under the Open Software License version 3.0",
+          "You may redistribute and modify this source under the terms of the CERN Open Hardware Licence", "Distributed under the Python Software Foundation License Version 2",
+          "This work is licensed under the Educational Community License, Version 2.0"]
+
+
+def test_unknown_licences(spark):
+    """Licences that no training notice or template names, and those that only teach the class, are ``unknown``; clean lines are none."""
+    r = random.Random(12)
+    rows, truth = [], set()
+    for i in range(600):
+        lines = [filler(r, r.randint(3, 30)) for _ in range(r.randint(1, 6))]
+        if i % 10 == 0:
+            lines.insert(r.randint(0, len(lines)), [*UNSEEN, *L.OTHERS][i // 10 % (len(UNSEEN) + len(L.OTHERS))])
+            truth.add(i)
+        rows.append((i, "\n".join(lines)))
+    got = {x.doc_id: [y.family for y in x.licences] for x in L.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    unseen = [got[i] == [L.UNKNOWN] for i in truth if any(u in rows[i][1] for u in UNSEEN)]
+    others = [got[i] == [L.UNKNOWN] for i in truth if not any(u in rows[i][1] for u in UNSEEN)]
+    assert np.mean(unseen) >= 0.8 and np.mean(others) > 0.95
+    assert np.mean([not got[i] for i in got if i not in truth]) > 0.99
+
+
+def test_against_single_paragraphs(spark):
+    """Lines apart from each other: every decision from one line, its softmax written out, and its templates."""
+    df, _, _ = frame(spark)
+    df = df.selectExpr("doc_id", "replace(text, '\n', '\n\n') AS text")
+    weights, least = L.train(df.where("text is not null"))
+    want = []
+    for x in df.collect():
+        found = []
+        for line in (x.text or "").split("\n"):
+            if not L.words_of(line):
+                continue
+            f = next(L._features([line]))[0]
+            z = np.sum([weights[i] for i in f], axis=0) / np.sqrt(len(f)) + weights[-1]
+            p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+            if 1 - p[-1] > least:
+                words, family = L.words_of(line), L.KINDS[int(np.argmax(p[:-1]))]
+                part = max(len(t & {tuple(words[i: i + k]) for i in range(len(words) - k + 1)}) / len(t) for k, t in L.templates()[family])
+                found.append((family if part >= L.SIMILARITY else L.UNKNOWN, round(float(1 - p[-1]), 4)))
+        want.append((x.doc_id if x.doc_id is not None else -1, found))
+    got = [(x.doc_id if x.doc_id is not None else -1, [(y.family, round(y.score, 4)) for y in x.licences]) for x in L.scan(df).collect()]
+    same = [a[0] == b[0] and [y[0] for y in a[1]] == [y[0] for y in b[1]] and np.allclose([y[1] for y in a[1]], [y[1] for y in b[1]], atol=2e-3) for a, b in zip(sorted(got), sorted(want), strict=True)]
+    assert all(same) and sum(len(x[1]) for x in got) > 90
+
+
+def test_very_many_wrapped_notices():
+    """The time for a text's wrapped notices grows with their number."""
+    import time
+
+    import pyarrow as pa
+
+    notice = "\n".join(textwrap.wrap(L.NOTICES["MIT"][2], 45))
+    took = {}
+    for n in (500, 4000):
+        x = next(L.lines_of(pa.array(["\n\n".join([notice + "\nand more of it"] * n)])))
+        t = time.perf_counter()
+        assert len(L.wrapped(x)) == n
+        took[n] = time.perf_counter() - t
+    assert took[4000] < 24 * took[500]
+
+
 def test_empty(spark):
     df, _, _ = frame(spark)
     assert L.scan(df.limit(0)).count() == 0
