@@ -50,7 +50,7 @@ from burnup.llm.columns import GOLD, MIX1, chunks, mix, per_row, word_hashes
 from burnup.llm.decontaminate import WORD, shingles
 
 FEATURES = 1 << 15
-NEGATIVES, VARIANTS, FALSE_RATE = 4000, 120, 0.001
+NEGATIVES, VARIANTS, FALSE_RATE = 4000, 80, 0.001
 FOLDS, UNSEEN_RECALL, BODY = 4, 0.9, 0.9
 SHINGLE, SIMILARITY = 5, 0.8
 #: A paragraph that has this part of a template's shingles is no ordinary one.
@@ -276,7 +276,7 @@ def probabilities(weights: np.ndarray, f: np.ndarray, first: np.ndarray) -> np.n
     return z / z.sum(axis=1, keepdims=True)
 
 
-def fit(texts: list[str], labels: np.ndarray, rounds: int = 250, rate: float = 0.5, decay: float = 1e-4) -> np.ndarray:
+def fit(texts: list[str], labels: np.ndarray, rounds: int = 100, rate: float = 0.5, decay: float = 1e-4) -> np.ndarray:
     """Multinomial logistic regression by gradient descent with per-weight steps (Adagrad)."""
     f, first = (np.concatenate(x) for x in zip(*_features(texts), strict=True))
     classes = len(KINDS) + 1
