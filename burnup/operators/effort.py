@@ -15,6 +15,9 @@ from burnup.operators.nesting import CHUNK_FIELD, bounded_listagg, explode_proje
 from burnup.operators.sprints import members_covering
 from burnup.session import cut_lineage
 
+# Joins of two tables that both grow are hinted as sort-merge joins: by the size of a compressed file Spark takes
+# a million resources for small enough to broadcast, and a broadcast passes through the driver.
+
 # The hours of a developer day the warehouse tests assert, and the
 # earliest sprint end the generator looks at.
 HOURS_PER_DAY = 8
@@ -74,7 +77,7 @@ def timesheet_users(sprints: DataFrame, members: DataFrame, resources: DataFrame
     a = timesheet_sprint_rows(sprints, as_of)
     j = members_covering(a, members, as_of, strict=False, end_col="sprint_end_date")
     r = resources.select("resource_dim_id", "resource_ppm_id")
-    j = j.join(r, F.col("user_dim_id") == F.col("resource_dim_id"))
+    j = j.join(r.hint("merge"), F.col("user_dim_id") == F.col("resource_dim_id"))
     return j.groupBy("resource_ppm_id").agg(F.min("sprint_start_date").alias("sprint_start_date"))
 
 
@@ -111,7 +114,7 @@ def timesheet_plan(sprints: DataFrame, sprint_numbers: DataFrame | None, fact: D
     t = teams.select("team_dim_id", "team_name")
     # Lookups go on the narrow sides before the one join that multiplies rows
     # (member-days x features), so the wide result is produced once and not reshuffled.
-    m = m.join(r, F.col("user_dim_id") == F.col("resource_dim_id")).join(t, "team_dim_id")
+    m = m.join(r.hint("merge"), F.col("user_dim_id") == F.col("resource_dim_id")).join(t, "team_dim_id")
     s_days = m.withColumn("__hol", holidays).select(
         "team_dim_id", "sprint_number", "sprint_name", "team_name", "actual_sprint_days", "resource_ppm_id",
         "resource_role_id", F.explode(working_days(F.col("actual_sprint_start_date"), F.col("sprint_complete_date"),
@@ -119,7 +122,7 @@ def timesheet_plan(sprints: DataFrame, sprint_numbers: DataFrame | None, fact: D
     p = projects.select(F.col("pv_project_dim_id").alias("__pv"),
                         F.col("project_ppm_id").try_cast("bigint").alias("project_ppm_id"))
     p = one_row_per_key(p, "__pv", ["project_ppm_id"])
-    f = fact.join(p, F.col("pv_project_dim_id") == F.col("__pv"), "left")
+    f = fact.join(p.hint("merge"), F.col("pv_project_dim_id") == F.col("__pv"), "left")
     j = s_days.join(f, ["team_dim_id", "sprint_number"])
     per_day = F.try_divide(F.col("time_spent"), F.col("actual_sprint_days").cast("double"))
     return j.select("resource_ppm_id", "date_of_sprint", per_day.alias("per_day_time_spent"),
@@ -184,7 +187,7 @@ def requested_timesheets(timesheets: DataFrame, users: DataFrame) -> DataFrame:
     overall earliest sprint start (the single start date of the service call)."""
     first = users.select(F.to_date(F.min("sprint_start_date"))).scalar()
     u = users.select(F.col("resource_ppm_id").alias("userId"))
-    return timesheets.join(u, "userId", "left_semi").where(F.col("endDate") >= first)
+    return timesheets.join(u.hint("merge"), "userId", "left_semi").where(F.col("endDate") >= first)
 
 
 def day_range(start: Column, end: Column) -> Column:
@@ -215,7 +218,7 @@ def timesheet_population(plan: DataFrame, timesheet_data: DataFrame) -> DataFram
     cond = ((j["resource_ppm_id"] == pv["__u"]) & (j["date_of_sprint"] == pv["__d"])
             & (j["project_ppm_id"] == pv["__p"]) & (j["task_ppm_id"] == pv["__t"])
             & (j["timesheetId"] == pv["__ts"]) & j["date_of_sprint"].between(pv["__s"], pv["__e"]))
-    k = j.join(pv, cond, "left")
+    k = j.join(pv.hint("merge"), cond, "left")
     return k.select(
         F.lit(0).alias("companyId"), F.lit(1).alias("entryTypeId"), "timesheetId",
         F.col("resource_ppm_id").alias("userId"), F.col("project_ppm_id").alias("level1Id"),
@@ -247,8 +250,8 @@ def dead_letter_append(dead_letter: DataFrame, rows: DataFrame, acks: DataFrame,
     user) is already there (anti join on both columns, not on a concatenated text); missing
     hours become 0 and ``created_date`` is ``as_of``. Rows of accepted chunks never go there,
     so they are not sent again."""
-    bad = rows.withColumn("chunk", F.col(CHUNK_FIELD)).join(chunk_answers(acks, False), CHUNK_KEYS, "left_semi") \
-        .join(dead_letter.select("timesheetId", "userId"), ["timesheetId", "userId"], "left_anti")
+    bad = rows.withColumn("chunk", F.col(CHUNK_FIELD)).join(chunk_answers(acks, False).hint("merge"), CHUNK_KEYS, "left_semi") \
+        .join(dead_letter.select("timesheetId", "userId").hint("merge"), ["timesheetId", "userId"], "left_anti")
     new = bad.select(
         "companyId", "entryTypeId", "timesheetId", "userId", "level1Id", "level2Id",
         F.to_date("entryDate", "yyyy/MM/dd").alias("entryDate"), "entryId", "level3Id",
@@ -260,7 +263,7 @@ def dead_letter_append(dead_letter: DataFrame, rows: DataFrame, acks: DataFrame,
 def dead_letter_clear(dead_letter: DataFrame, acks: DataFrame) -> DataFrame:
     """The rows of a retried chunk that was accepted leave the dead letter."""
     keyed = dead_letter.withColumn("chunk", pg_to_char("entryDate", "YYYY/MM/DD"))
-    return keyed.join(chunk_answers(acks, True), CHUNK_KEYS, "left_anti").select(*dead_letter.columns)
+    return keyed.join(chunk_answers(acks, True).hint("merge"), CHUNK_KEYS, "left_anti").select(*dead_letter.columns)
 
 
 def dead_letter_rows(dead_letter: DataFrame) -> DataFrame:

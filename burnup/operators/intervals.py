@@ -46,6 +46,8 @@ def days_in_ranges(days: DataFrame, ranges: DataFrame, keys: Sequence[tuple[str,
     """Rows of ``days`` and ``ranges`` (distinct column names) whose keys are equal and whose ``day`` is in [start, end].
 
     The levels that occur (five at most) are read once; ranges of up to a month have one, so ``days`` isn't multiplied.
+    Spark takes the pieces for as small as the ranges they come from, so the join is asked for as a sort-merge
+    join: a broadcast would bring every piece to the driver.
     """
     pieces = ranges.withColumn("__piece", F.explode(range_pieces(F.to_date(start), F.to_date(end))))
     levels = pieces.select(F.array_sort(F.collect_set("__piece.level"))).scalar()
@@ -55,4 +57,4 @@ def days_in_ranges(days: DataFrame, ranges: DataFrame, keys: Sequence[tuple[str,
     on = F.col("__key") == F.col("__piece")
     for a, b in keys:
         on = on & (keyed[a] == pieces[b])
-    return keyed.join(pieces, on).drop("__levels", "__key", "__piece")
+    return keyed.join(pieces.hint("merge"), on).drop("__levels", "__key", "__piece")

@@ -82,11 +82,12 @@ def members_covering(sprints: DataFrame, members: DataFrame, as_of, strict: bool
     """Memberships that span a sprint; an open exit counts as ``as_of``.
 
     strict (J4): entry < start and exit > end; non-strict (J5): entry <= start and
-    exit >= end. Equi key is the team, the interval test stays a residual filter.
+    exit >= end. Equi key is the team, the interval test stays a residual filter. The
+    sprints, a few rows a team, are sent to the members, never the other way round.
     """
     m = members.select("user_dim_id", F.col("team_dim_id").alias("__team"),
                        "team_entry_date", "team_exit_date")
-    j = sprints.join(m, sprints["team_dim_id"] == m["__team"])
+    j = F.broadcast(sprints).join(m, sprints["team_dim_id"] == m["__team"])
     exit_ = F.coalesce(F.col("team_exit_date"), lit_ts(as_of))
     if strict:
         cond = (F.col("team_entry_date") < F.col("sprint_start_date")) & (exit_ > F.col(end_col))

@@ -168,7 +168,7 @@ def sprint_summary(t: Tables) -> DataFrame:
 
 @view
 def sprint_issues(t: Tables) -> DataFrame:
-    e = t.events.join(t.customer.select("c_custkey", "c_nationkey"),
+    e = t.events.join(t.customer.select("c_custkey", "c_nationkey").hint("merge"),
                       F.col("user_id") == F.col("c_custkey"))
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k")
@@ -318,7 +318,7 @@ def _entry_columns() -> list[Column]:
 
 
 def _lineitem_orders(t: Tables) -> DataFrame:
-    return t.lineitem.join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"),
+    return t.lineitem.join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate").hint("merge"),
                            F.col("l_orderkey") == F.col("o_orderkey"))
 
 
@@ -410,7 +410,7 @@ def generator_timesheet_rows(t: Tables) -> DataFrame:
     gathered into one array just to be exploded again."""
     h = generator_headers(t)
     e = generator_existing_entries(t)
-    j = h.join(e, (h["userId"] == e["userId"]) & e["entryDate"].between(h["startDate"], h["endDate"]), "left")
+    j = h.join(e.hint("merge"), (h["userId"] == e["userId"]) & e["entryDate"].between(h["startDate"], h["endDate"]), "left")
     return j.select(h["timesheetId"], h["userId"], h["startDate"], h["endDate"], e["entryId"], e["entryDate"],
                     e["entryHours"], e["project_ppm_id"], e["task_ppm_id"])
 
@@ -420,7 +420,7 @@ def generator_timesheets(t: Tables) -> DataFrame:
     """Nested generator-side timesheets: header + entriesProject inside the header range."""
     h = generator_headers(t)
     e = generator_existing_entries(t)
-    j = h.join(e, (h["userId"] == e["userId"]) & e["entryDate"].between(h["startDate"], h["endDate"]), "left")
+    j = h.join(e.hint("merge"), (h["userId"] == e["userId"]) & e["entryDate"].between(h["startDate"], h["endDate"]), "left")
     entry = F.struct(e["entryId"].alias("entryId"), e["entryDate"].alias("entryDate"),
                      e["entryHours"].alias("entryHours"), e["project_ppm_id"].alias("level1Id"),
                      e["task_ppm_id"].alias("level2Id"))

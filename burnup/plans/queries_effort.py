@@ -313,7 +313,7 @@ def _generated(spark, sf_dir):
 def generate_timesheets(spark, sf_dir):
     """The records sent, with the service's answer for their chunk."""
     out = _generated(spark, sf_dir)[1]
-    return payload_records(out["payload"]).join(out["acks"].select("timesheetId", "userId", "chunk", "ok"),
+    return payload_records(out["payload"]).join(out["acks"].select("timesheetId", "userId", "chunk", "ok").hint("merge"),
                                                 ["timesheetId", "userId", "chunk"])
 
 

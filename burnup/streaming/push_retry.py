@@ -113,4 +113,4 @@ def clear_accepted(dead_letter: DataFrame, events: DataFrame) -> DataFrame:
     """U24 from the events: rows of chunks whose retry was accepted leave the dead letter."""
     done = events.where("kind = 'accepted' AND attempt > 0").select(*KEYS).distinct()
     keyed = dead_letter.withColumn("chunk", F.date_format("entryDate", "yyyy/MM/dd"))
-    return keyed.join(done, KEYS, "left_anti").select(*dead_letter.columns)
+    return keyed.join(done.hint("merge"), KEYS, "left_anti").select(*dead_letter.columns)
