@@ -40,7 +40,8 @@ def epic_project_candidates(epics: DataFrame, projects: DataFrame, portfolios: D
     keys = epics.select("epic_dim_id", F.explode(F.array_distinct(F.array(
         last_path_segment("aha_reference"), F.col("aha_reference")))).alias("__aha"))
     pp = _projects_with_portfolio(projects, portfolios).where(F.col("pv_aha_id").isNotNull())
-    j = keys.join(pp, keys["__aha"] == pp["pv_aha_id"])
+    # Both sides grow; by their files' sizes Spark would broadcast one through the driver.
+    j = keys.join(pp.hint("merge"), keys["__aha"] == pp["pv_aha_id"])
     return j.groupBy("epic_dim_id").agg(F.min_by(
         F.struct("pv_project_dim_id", "pf_portfolio_dim_id"), "pv_project_dim_id").alias("__p")) \
         .select("epic_dim_id", F.col("__p.pv_project_dim_id").alias("pv_project_dim_id"),
@@ -100,17 +101,17 @@ def like_pattern_matches(names: DataFrame, name_col: str, patterns: DataFrame,
 def name_project_candidates(jira_projects: DataFrame, projects: DataFrame, portfolios: DataFrame) -> DataFrame:
     """Jira project -> maintenance project (non-services) whose *portfolio name*, blanks
     as '%', occurs in the squeezed Jira project name. One row per Jira project; the
-    smallest project id wins."""
+    smallest project id wins: first of each pattern, then of each name, so no name meets
+    all projects of a portfolio."""
     pp = _projects_with_portfolio(projects, portfolios) \
         .where((F.lower("category") != F.lit("services")) & (F.col("is_maintenance_project") == F.lit(True)))
     pp = pp.withColumn("__pattern", F.concat(F.lit("%"), squeeze_lower("portfolio_name", "%"), F.lit("%")))
-    patterns = pp.select("__pattern").distinct()
+    first = F.min_by(F.struct("pv_project_dim_id", "pf_portfolio_dim_id"), "pv_project_dim_id").alias("__p")
+    patterns = pp.groupBy("__pattern").agg(first).select("__pattern", "__p.*")
     names = jira_projects.select(squeeze_lower("project_name").alias("__name")).distinct()
-    matched = like_pattern_matches(names, "__name", patterns, "__pattern")
+    matched = like_pattern_matches(names, "__name", patterns, "__pattern").groupBy("__name").agg(first)
     jp = jira_projects.select("project_dim_id", squeeze_lower("project_name").alias("__name"))
-    j = jp.join(matched, "__name").join(pp, "__pattern")
-    return j.groupBy("project_dim_id").agg(F.min_by(
-        F.struct("pv_project_dim_id", "pf_portfolio_dim_id"), "pv_project_dim_id").alias("__p")) \
+    return jp.join(matched.hint("merge"), "__name").groupBy("project_dim_id").agg(F.min_by("__p", "__p.pv_project_dim_id").alias("__p")) \
         .select("project_dim_id", F.col("__p.pv_project_dim_id").alias("pv_project_dim_id"),
                 F.col("__p.pf_portfolio_dim_id").alias("portfolio_dim_id"))
 

@@ -33,7 +33,7 @@ def named_projects(t: d.Tables):
     for i, n in enumerate(PATCH_NAMES):
         name = F.when(F.col("p_size") % 5 == i, F.lit(n)).otherwise(name)
     p = d.projects_dim(t)
-    return p.join(size, "pv_project_dim_id").withColumn("pv_project_name", name).select(*p.columns)
+    return p.join(size.hint("merge"), "pv_project_dim_id").withColumn("pv_project_name", name).select(*p.columns)
 
 
 def _cleaned(spark, sf_dir):

@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from burnup.operators import mapping as mp
 from burnup.operators.intervals import days_in_ranges
 from burnup.plans.registry import load_all
 from conftest import SMALL
@@ -34,3 +35,22 @@ def test_pieces_of_ranges_are_not_broadcast(spark):
     out = days_in_ranges(days, ranges, [("u", "v")], "day", "a", "b")
     assert "BroadcastHashJoin" not in plan_text(out)
     assert sorted(r.u for r in out.collect()) == [0, 1]
+
+
+def test_names_meet_one_project_a_pattern(spark):
+    """Jira projects x maintenance projects of a portfolio never become pairs; the smallest project id wins over all patterns."""
+    jira = spark.range(40).select(F.col("id").alias("project_dim_id"), F.expr("if(id % 2 = 0, 'Team ASIA Care', 'Asia and Middle East')").alias("project_name"))
+    projects = spark.range(1, 91).select(F.col("id").alias("pv_project_dim_id"), F.lit("x").alias("pv_aha_id"), F.lit("p").alias("pv_project_name"),
+                                         F.lit("c").alias("category"), (F.col("id") > 3).alias("is_maintenance_project"),
+                                         F.expr("cast(1 + id % 3 as bigint)").alias("portfolio_dim_id"))
+    portfolios = spark.createDataFrame([(1, "Middle East"), (2, "Asia"), (3, "Europe")], "portfolio_dim_id bigint, portfolio_name string")
+    out = mp.name_project_candidates(jira, projects, portfolios)
+    got = {r.project_dim_id: (r.pv_project_dim_id, r.portfolio_dim_id) for r in out.collect()}
+    assert got == {i: (4, 2) for i in range(40)}
+    assert not re.search(r"Join \[__pattern#", plan_text(out))
+
+
+@pytest.mark.parametrize("name", ["issue_portfolio_by_name", "dim_cleanup_issues", "issue_portfolio_by_epic"])
+def test_epics_are_not_broadcast(spark, name):
+    joins = [x for x in plan_text(load_all()[0][name](spark, SMALL)).splitlines() if "BroadcastHashJoin" in x]
+    assert [x for x in joins if re.search(r"\b(__aha|pv_aha_id)#", x)] == []
