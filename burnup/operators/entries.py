@@ -5,12 +5,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from burnup.functions.expr import lit_date, lit_ts, pg_to_char, round_to_bigint
 from burnup.operators.apply import flag_matching, one_row_per_key, update_from
 from burnup.operators.nesting import bounded_listagg, explode_project_entries, flatten_all_entries
+from burnup.session import cut_lineage
 
 # Fixed value: the pull start for users that never booked.
 DEFAULT_PULL_START = dt.date(2020, 1, 1)
@@ -22,7 +23,7 @@ def reportable_resources(members: DataFrame, teams: DataFrame, resources: DataFr
     t = teams.where(F.col("is_reportable") == F.lit(True)).select("team_dim_id")
     r = resources.select("resource_dim_id", "resource_ppm_id")
     return members.select("user_dim_id", "team_dim_id").join(t, "team_dim_id") \
-        .join(r, F.col("user_dim_id") == F.col("resource_dim_id")) \
+        .join(r.hint("merge"), F.col("user_dim_id") == F.col("resource_dim_id")) \
         .select("resource_ppm_id", "resource_dim_id", "team_dim_id")
 
 
@@ -108,23 +109,43 @@ def set_entry_resource(entries, resources):
 
 
 def set_entry_team(entries, members, as_of):
-    """U11 (after U10): team of the membership whose dates contain the entry date.
+    """U11 (after U10): team of the membership whose dates contain the entry date."""
+    return update_from(entries, memberships(members, as_of).hint("merge"), "resource_dim_id", {"team_dim_id": team_on("entrydate")},
+                       guard=F.col("team_dim_id").isNull(), source_keys="user_dim_id")
+
+
+def memberships(members: DataFrame, as_of) -> DataFrame:
+    """(user_dim_id, spans): a user's memberships, those that started last first.
+
+    A user has few of them, so entries are joined by user once and look into the list; the
+    entries aren't read a second time to find the dates to look up."""
+    span = F.struct("team_entry_date", F.col("team_dim_id").alias("team"), F.to_date("team_entry_date").alias("first"),
+                    F.to_date(F.coalesce(F.col("team_exit_date"), lit_ts(as_of))).alias("last"))
+    return members.where(F.col("user_dim_id").isNotNull()).groupBy("user_dim_id").agg(
+        F.sort_array(F.collect_list(span), asc=False).alias("spans"))
 
-    Resolved per distinct (resource, date) pair - far fewer than entries - and the
-    membership that started last wins when several contain the date.
-    """
-    need = entries.where(F.col("team_dim_id").isNull() & F.col("resource_dim_id").isNotNull()) \
-        .select("resource_dim_id", "entrydate").distinct()
-    m = members.select(F.col("user_dim_id"), F.col("team_dim_id").alias("__team"),
-                       F.to_date("team_entry_date").alias("__from"),
-                       F.to_date(F.coalesce(F.col("team_exit_date"), lit_ts(as_of))).alias("__to"),
-                       "team_entry_date")
-    j = need.join(m, (need["resource_dim_id"] == m["user_dim_id"])
-                  & need["entrydate"].between(m["__from"], m["__to"]))
-    pick = j.groupBy("resource_dim_id", "entrydate").agg(
-        F.max_by("__team", F.struct("team_entry_date", "__team")).alias("team"))
-    return update_from(entries, pick, ["resource_dim_id", "entrydate"], {"team_dim_id": "team"},
-                       guard=F.col("team_dim_id").isNull())
+
+def team_on(day: str, spans: str = "src__spans") -> Column:
+    """Team of the first span that contains the day; NULL when none does."""
+    return F.get(F.filter(spans, lambda x: F.col(day).between(x["first"], x["last"])), F.lit(0))["team"]
+
+
+def set_entry_resource_team(entries, resources, members, as_of):
+    """U10 and U11 in one join: an entry without resource looks up its user's resource and that
+    one's memberships, any other entry the memberships of its resource."""
+    r = _lookup(resources, F.col("resource_ppm_id"), "__key", ["resource_dim_id"], "resource_dim_id")
+    m = memberships(members, as_of)
+    by_user = r.join(m.hint("merge"), F.col("resource_dim_id") == F.col("user_dim_id"), "left") \
+        .select(F.lit(True).alias("__open"), "__key", "resource_dim_id", "spans")
+    by_resource = m.select(F.lit(False).alias("__open"), F.col("user_dim_id").alias("__key"),
+                           F.col("user_dim_id").alias("resource_dim_id"), "spans")
+    has = F.col("resource_dim_id").isNotNull()
+    keyed = entries.withColumns({"__open": ~has, "__user": F.when(has, F.col("resource_dim_id")).otherwise(F.col("userid"))})
+    # a known resource stays as it is, and so does a known team
+    return update_from(keyed, by_user.unionByName(by_resource).hint("merge"), ["__open", "__user"],
+                       {"resource_dim_id": F.coalesce("resource_dim_id", "src__resource_dim_id"),
+                        "team_dim_id": F.coalesce("team_dim_id", team_on("entrydate"))},
+                       source_keys=["__open", "__key"]).drop("__open", "__user")
 
 
 def set_entry_project(entries, projects):
@@ -168,22 +189,21 @@ def set_entry_level1(entries, projects, portfolios):
     kind, pf_missing = F.col("entrytypeid"), F.col("portfolio_dim_id").isNull()
     guard = pf_missing | ((kind == 1) & F.col("project_dim_id").isNull())
     project = F.when(kind == 1, F.col("src__pv")).otherwise(F.col("project_dim_id"))
-    return update_from(entries, both, ["entrytypeid", "level1id"], {"project_dim_id": project, "portfolio_dim_id": "pf"},
+    return update_from(entries, both.hint("merge"), ["entrytypeid", "level1id"], {"project_dim_id": project, "portfolio_dim_id": "pf"},
                        guard=guard, source_keys=["__type", "__k"])
 
 
 def set_entry_date(entries, dates):
-    """U15"""
-    d = _lookup(dates, F.to_date("dt"), "__d", ["sk_date"], "sk_date")
+    """U15. A calendar has a row a day: it goes to the entries, which would else be shuffled by a few dates."""
+    d = F.broadcast(_lookup(dates, F.to_date("dt"), "__d", ["sk_date"], "sk_date"))
     return update_from(entries, d, ["entrydate"], {"date_dim_id": "sk_date"},
                        guard=F.col("date_dim_id").isNull(), source_keys=["__d"])
 
 
 def resolve_entry_dims(entries, resources, members, projects, tasks, portfolios, dates, as_of):
-    """U10..U15 in the warehouse's order (U11 needs U10's resource key), U12 and U14 as one:
-    their entry types are disjoint and U13 touches neither of their columns."""
-    e = set_entry_resource(entries, resources)
-    e = set_entry_team(e, members, as_of)
+    """U10..U15 in the warehouse's order, with one join for U10 and U11 (which needs U10's resource
+    key) and one for U12 and U14: their entry types are disjoint and U13 touches neither of their columns."""
+    e = set_entry_resource_team(entries, resources, members, as_of)
     e = set_entry_level1(e, projects, portfolios)
     e = set_entry_task(e, tasks)
     return set_entry_date(e, dates)
@@ -192,11 +212,14 @@ def resolve_entry_dims(entries, resources, members, projects, tasks, portfolios,
 def import_timesheets(stored, landed, members, teams, resources, projects, tasks, portfolios, dates,
                       as_of) -> DataFrame:
     """Watermarks -> pull -> flatten -> versioned replace -> resolve keys, in one pass
-    for all users (the per-watermark loop becomes a join with the per-user watermark)."""
+    for all users (the per-watermark loop becomes a join with the per-user watermark).
+
+    The flat batch is staged, written to the shared folder when this is called, as in the warehouse: it gives both
+    the timesheets to replace and the new rows, and the pull behind it would else run for each."""
     wm = pull_watermark_rows(members, teams, resources, stored).select(
         "resource_ppm_id", F.coalesce(F.col("max_entrydate"), lit_date(DEFAULT_PULL_START)).alias("start_date"))
     pulled = timesheet_extract(landed, wm)
-    batch = flatten_all_entries(pulled)
+    batch = cut_lineage(flatten_all_entries(pulled), "import_batch")
     out = versioned_replace(stored, batch, as_of)
     return resolve_entry_dims(out, resources, members, projects, tasks, portfolios, dates, as_of)
 

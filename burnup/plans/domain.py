@@ -344,8 +344,12 @@ def import_batch(t: Tables) -> DataFrame:
     """The staged pull (import staging, 18 columns): every entry booked anew on a timesheet of
     twice the number, so a part of the pulled timesheets is stored already. Lines numbered 7
     carry no entry id."""
-    out = _lineitem_orders(t).select(*_entry_columns())
-    return out.withColumn("timesheetid", F.col("timesheetid") * 2) \
+    return _booked_anew(t).withColumn("timesheetid", F.col("timesheetid") * 2)
+
+
+def _booked_anew(t: Tables) -> DataFrame:
+    """The staged entries before their timesheets' number is doubled: still partitioned by it after the join."""
+    return _lineitem_orders(t).select(*_entry_columns()) \
         .withColumn("entryid", F.when(F.col("level3id") == 7, F.lit(None).cast("bigint")).otherwise(F.col("entryid")))
 
 
@@ -362,7 +366,7 @@ def landed_timesheets(t: Tables) -> DataFrame:
     Built from the import batch: type 1 -> entriesProject, 2 -> entriesOther,
     99 -> entriesPortfolio; entriesAccount is empty, or NULL for even ids.
     """
-    b = import_batch(t)
+    b = _booked_anew(t)  # grouped where the join put the rows, without another shuffle
     names = ["companyId", "entryDate", "entryHours", "entryId", "entryTypeId", "externalId",
              "internalRate", "billableRate", "isBillable", "isProductive", "level1Id", "level2Id",
              "level3Id", "locationId", "notes", "state"]
@@ -373,6 +377,7 @@ def landed_timesheets(t: Tables) -> DataFrame:
         F.collect_list(F.when(F.col("entrytypeid") == 2, entry)).alias("entriesOther"),
         F.collect_list(F.when(F.col("entrytypeid") == 99, entry)).alias("entriesPortfolio"))
     empty = F.filter(F.col("entriesOther"), lambda x: F.lit(False))
+    g = g.withColumn("timesheetId", F.col("timesheetId") * 2)
     return g.select(
         "timesheetId", "userId", "startDate", "endDate", "entriesProject", "entriesOther",
         F.when(F.col("timesheetId") % 2 == 0, F.lit(None)).otherwise(empty).alias("entriesAccount"),

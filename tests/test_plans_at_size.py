@@ -1,12 +1,15 @@
 """Tables that grow with the input aren't sent through the driver, and joins don't multiply them."""
 
 import contextlib
+import datetime as dt
 import io
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from burnup.operators import entries as en
 from burnup.operators import mapping as mp
 from burnup.operators.intervals import days_in_ranges
 from burnup.plans.registry import load_all
@@ -54,3 +57,37 @@ def test_names_meet_one_project_a_pattern(spark):
 def test_epics_are_not_broadcast(spark, name):
     joins = [x for x in plan_text(load_all()[0][name](spark, SMALL)).splitlines() if "BroadcastHashJoin" in x]
     assert [x for x in joins if re.search(r"\b(__aha|pv_aha_id)#", x)] == []
+
+
+def test_entries_are_read_once_and_not_dealt_by_date(spark):
+    shown = plan_text(load_all()[0]["resolve_entry_dims"](spark, SMALL))
+    assert len(re.findall(r"FileScan parquet \[l_orderkey", shown)) == 1  # the calendar reads dates alone
+    assert not re.search(r"hashpartitioning\((resource_dim_id#\w+, )?entrydate#", shown)
+
+
+def test_resource_and_team_in_one_join(spark):
+    """Against brute force: overlapping, open and empty memberships, equal starts, known and unknown resources and teams."""
+    r = random.Random(7)
+    day = lambda: dt.date(2024, 1, r.randint(1, 28))
+    as_of = dt.datetime(2024, 1, 24, 12)
+    resources = [(i, 100 + i % 9) for i in range(12)]
+    members = [(r.choice([*range(14), None]), r.choice([1, 2, 3, None]), dt.datetime.combine(day(), dt.time(9)) if r.random() < .95 else None,
+                dt.datetime.combine(day(), dt.time(9)) if r.random() < .6 else None) for _ in range(60)]
+    entries = [(i, r.choice([*range(98, 112), None]), r.choice([None, None, *range(14)]), r.choice([None, None, 77]), day() if r.random() < .95 else None) for i in range(300)]
+    want = {}
+    for i, user, res, team, d in entries:
+        if res is None:
+            res = min((x for x, ppm in resources if ppm == user), default=None)
+        if team is None and res is not None and d is not None:
+            spans = [(a, t or 0) for u, t, a, b in members if u == res and a and a.date() <= d <= (b or as_of).date()]
+            team = (max(spans)[1] or None) if spans else None
+        want[i] = (res, team)
+    e = spark.createDataFrame(entries, "n bigint, userid bigint, resource_dim_id bigint, team_dim_id bigint, entrydate date")
+    res = spark.createDataFrame(resources, "resource_dim_id bigint, resource_ppm_id bigint")
+    m = spark.createDataFrame(members, "user_dim_id bigint, team_dim_id bigint, team_entry_date timestamp_ntz, team_exit_date timestamp_ntz")
+    one = en.set_entry_resource_team(e, res, m, as_of)
+    two = en.set_entry_team(en.set_entry_resource(e, res), m, as_of)
+    assert one.columns == e.columns == two.columns
+    for out in (one, two):
+        got = out.collect()
+        assert len(got) == len(entries) and {x.n: (x.resource_dim_id, x.team_dim_id) for x in got} == want

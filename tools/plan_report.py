@@ -15,7 +15,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 # Steps inside are written when the query is built; the plan shown reads them.
-EAGER = {"apply_push_result", "dead_letter_append", "dimension_upsert", "generate_timesheets", "generate_timesheets_dead_letter"}
+EAGER = {"apply_push_result", "dead_letter_append", "dimension_upsert", "generate_timesheets", "generate_timesheets_dead_letter", "import_timesheets"}
 
 
 def main() -> None:
