@@ -32,6 +32,13 @@ def test_growing_tables_are_not_broadcast(spark, name):
     assert [x for x in joins if "__team#" in x and "BuildRight" in x] == []  # members are the large side
 
 
+@pytest.mark.parametrize("name", ["payload_json", "payload_service_names"])
+def test_payloads_of_growing_tables_are_not_broadcast(spark, name):
+    joins = [x for x in plan_text(load_all()[0][name](spark, SMALL)).splitlines() if "BroadcastHashJoin" in x]
+    keys = r"\b(user_dim_id|resource_dim_id|userId|resource_ppm_id|pv_project_dim_id|user_id|timesheetId)#"
+    assert [x for x in joins if re.search(keys, x)] == []
+
+
 def test_pieces_of_ranges_are_not_broadcast(spark):
     days = spark.range(4).select(F.col("id").alias("u"), F.expr("date_add(DATE'2024-01-01', cast(id as int))").alias("day"))
     ranges = spark.range(4).select(F.col("id").alias("v"), F.expr("DATE'1970-01-05'").alias("a"), F.expr("DATE'2024-01-02'").alias("b"))
