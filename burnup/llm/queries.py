@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from burnup.llm import (bloom_lm, bpe, decontaminate, embedding_dedup, fill_in_middle, importance_sample, language_id, license_scan, line_dedup, quality_lm,
-                        simhash_dedup, suffix_dedup, url_filter)
+from burnup.llm import (bloom_lm, bpe, decontaminate, embedding_dedup, fill_in_middle, importance_sample, language_id, license_scan, line_dedup, simhash_dedup, suffix_dedup,
+                        url_filter, word_lm)
 from burnup.llm.base import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,7 +108,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_quality_classifier")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_lm.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return word_lm.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @query("op11_line_dedup", """
