@@ -3,8 +3,8 @@
 The model is one of bigrams over all words of any script: A-Z are lower-cased, a word is a run without white
 space, a text ends with an end token and starts with a start token that is only a context. No vocabulary is cut.
 
-Texts are turned once into stored batches (distinct word hashes, words as places among them). Each batch sends its
-distinct bigrams, in ``PASSES`` parts, to the bucket of their hash with their numbers in the texts learned from. A bucket
+Texts are turned once into stored batches (distinct word hashes, words as ranks by their number in the batch), a part of the
+documents at a time: only a part's texts are in the shuffle that tells which are trusted. Each batch sends its distinct bigrams, in ``PASSES`` parts, to the bucket of their hash with their numbers in the texts learned from. A bucket
 sums them and returns to each batch the counts of its own bigrams; one of the batches that hold a bigram owns it. Batches sum
 what they own by word: a context's tokens and followers seen once, twice and more often, and the words a word
 follows (its continuation count). These sums go to the words' buckets and back to the batches in the same way. So the counts
@@ -42,11 +42,13 @@ from burnup.llm.quality_lm import LEAST_DISCOUNT, QUANTILE
 BATCH_TOKENS = 1 << 20
 #: Parts in which the bigrams are sent, one after another, and in which batches meet their answers; they bound the disk taken at once.
 PASSES, SLICES = 4, 4
+#: Parts in which the documents are joined with the labels and made into batches; each reads all documents and sends its own.
+TEXT_PARTS = 2
 LEARNED, CALIBRATES, OTHER = 0, 1, 2
 #: Sums of a word: tokens after it, followers seen once, twice, more often, words that it follows.
 SUMS = 5
 
-BATCH = "batch long, doc_id array<bigint>, lang array<string>, part array<int>, n_tokens array<int>, tokens binary, hashes binary"
+BATCH = "batch long, doc_id array<bigint>, lang array<string>, part array<int>, n_tokens array<int>, tokens binary, hashes binary, often binary"
 ANSWERS = "bucket int, batch long, values binary, c array<bigint>"
 RESULT = "doc_id long, lang string, part int, n_symbols long, perplexity double"
 
@@ -62,20 +64,44 @@ def unpack(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).ravel().view(kind)
 
 
+def pack_ascending(x: np.ndarray) -> bytes:
+    """Ascending numbers by their steps: hashes themselves can't be compressed, their order can."""
+    return pack(np.diff(x, prepend=np.uint64(0)))
+
+
+def unpack_ascending(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data, "<u8"), dtype=np.uint64)
+
+
 def _as(column: pa.ChunkedArray | pa.Array, kind: str) -> list[np.ndarray]:
     return [unpack(x.as_py(), kind) for x in column]
 
 
-def _joined(back: pa.Array, kind: str) -> np.ndarray:
+def _ascending(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
+    return [unpack_ascending(x.as_py()) for x in column]
+
+
+def _joined(back: pa.Array) -> np.ndarray:
     """A batch's values from its buckets, in their order."""
-    return np.concatenate([unpack(x["values"], kind) for x in sorted(back[0].as_py(), key=lambda x: x["bucket"])])
+    return np.concatenate([unpack(x["values"], "<i8") for x in sorted(back[0].as_py(), key=lambda x: x["bucket"])])
+
+
+def _joined_sums(back: pa.Array) -> np.ndarray:
+    return np.concatenate([_by_row(unpack(x["values"], "<i8")) for x in sorted(back[0].as_py(), key=lambda x: x["bucket"])])
+
+
+def _by_row(sums: np.ndarray) -> np.ndarray:
+    """Words' sums, sent column by column."""
+    return sums.reshape(SUMS, -1).T
 
 
 def _cut(keys: np.ndarray, values: np.ndarray, buckets: int, passes: int = 1, at: int = 0) -> list[tuple[int, bytes, bytes]]:
-    """Entries in order of their bucket, cut into the buckets of one pass."""
-    bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    """Entries in order of their bucket and key, cut into the buckets of one pass. A key is sent as its quotient by
+    the number of buckets, which tells it from the others of its bucket."""
+    quotient, bucket = np.divmod(keys, np.uint64(buckets))
+    bucket = bucket.astype(np.int64)
     cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-    return [(b, pack(keys[cuts[b]: cuts[b + 1]]), pack(values[cuts[b]: cuts[b + 1]])) for b in np.unique(bucket).tolist() if b % passes == at]
+    return [(b, pack_ascending(quotient[cuts[b]: cuts[b + 1]]), pack(values[cuts[b]: cuts[b + 1]].T)) for b in np.unique(bucket).tolist() if b % passes == at]
 
 
 SENT = "bucket int, batch long, keys binary, counts binary"
@@ -107,8 +133,8 @@ def _texts(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
             held, size, first = [], 0, i + 1
 
 
-def _batches(buckets: int, most: int):
-    """Rows of texts to batches; distinct hashes are in order of their bucket."""
+def _batches(most: int, parts: int = 1, at: int = 0):
+    """Rows of texts to batches: the distinct hashes in ascending order, how often each occurs, and the texts' words as ranks by that number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size, number = 0, 0
@@ -116,10 +142,12 @@ def _batches(buckets: int, most: int):
         def out() -> pa.RecordBatch:
             ids, langs = (pa.concat_arrays([x[i] for x in held]) for i in (0, 1))
             part, n, h = (np.concatenate([x[i] for x in held]) for i in (2, 3, 4))
-            distinct, places = _by_bucket(h, buckets)
+            distinct, places, often = np.unique(h, return_inverse=True, return_counts=True)
+            rank = np.empty(len(distinct), "<u4")
+            rank[_by_number(often)] = np.arange(len(distinct))
             one = [pa.ListArray.from_arrays([0, len(ids)], pa.array(x)) for x in (ids, langs, part.astype(np.int32), n.astype(np.int32))]
-            return pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() << 32 | number]), *one, pa.array([pack(places)], pa.binary()), pa.array([pack(distinct)], pa.binary())],
-                                              names=["batch", "doc_id", "lang", "part", "n_tokens", "tokens", "hashes"])
+            return pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() * parts + at << 32 | number]), *one, *(pa.array([x], pa.binary()) for x in (pack(rank[places]), pack_ascending(distinct), pack(often.astype("<u4"))))],
+                                              names=["batch", "doc_id", "lang", "part", "n_tokens", "tokens", "hashes", "often"])
 
         for batch in batches:
             part = batch["part"].to_numpy()
@@ -140,6 +168,21 @@ def _batches(buckets: int, most: int):
     return run
 
 
+def _by_number(often: np.ndarray) -> np.ndarray:
+    """Places in order of falling numbers."""
+    return np.argsort(-often.astype(np.int64), kind="stable")
+
+
+def _coded(one: pa.RecordBatch, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A batch's words as places among its distinct hashes, these in order of their bucket, and the texts' numbers of words."""
+    keys = unpack_ascending(one["hashes"][0].as_py())
+    order = np.argsort(keys % np.uint64(buckets), kind="stable")
+    place = np.empty(len(keys), "<u4")
+    place[order] = np.arange(len(keys))
+    tokens = place[_by_number(unpack(one["often"][0].as_py(), "<u4"))][unpack(one["tokens"][0].as_py(), "<u4")]
+    return tokens, keys[order], one["n_tokens"].flatten().to_numpy()
+
+
 def _learned(one: pa.RecordBatch, n: np.ndarray) -> np.ndarray:
     """The batch's tokens that are learned from; a text without words isn't."""
     return np.repeat((one["part"].flatten().to_numpy() == LEARNED) & (n > 1), n)
@@ -150,8 +193,7 @@ def _send_pairs(buckets: int, passes: int, at: int):
         for batch in batches:
             for row in range(len(batch)):
                 one = batch.slice(row, 1)
-                tokens, keys = _as(one["tokens"], "<u4")[0], _as(one["hashes"], "<u8")[0]
-                n = one["n_tokens"].flatten().to_numpy()
+                tokens, keys, n = _coded(one, buckets)
                 pairs, places = _by_bucket(bigrams(keys[tokens], n), buckets)
                 counts = np.bincount(places[_learned(one, n)], minlength=len(pairs))
                 yield _sent(one["batch"][0].as_py(), _cut(pairs, counts.astype("<u4"), buckets, passes, at))
@@ -172,7 +214,7 @@ def _answers(bucket: int, names: list[int], values: list[bytes], c: list[int]) -
 def _sum_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per bucket: its counts of counts, and for each batch's own bigrams twice the sum over all batches, and one if the batch owns it."""
     for bucket, rows in groups(batches, "bucket"):
-        each, number = _as(rows["keys"], "<u8"), _as(rows["counts"], "<u4")
+        each, number = _ascending(rows["keys"]), _as(rows["counts"], "<u4")
         distinct, first, place = np.unique(np.concatenate(each), return_index=True, return_inverse=True)
         total = np.bincount(place, np.concatenate(number), len(distinct)).astype("<i8")
         value = 2 * total[place]
@@ -187,10 +229,9 @@ def _send_words(buckets: int):
         for batch in batches:
             for row in range(len(batch)):
                 one = batch.slice(row, 1)
-                tokens, keys = _as(one["tokens"], "<u4")[0], _as(one["hashes"], "<u8")[0]
-                n = one["n_tokens"].flatten().to_numpy()
+                tokens, keys, n = _coded(one, buckets)
                 pairs, places = _by_bucket(bigrams(keys[tokens], n), buckets)
-                value = _joined(one["bi"], "<i8")
+                value = _joined(one["bi"])
                 context, word = np.empty(len(pairs), np.int64), np.empty(len(pairs), np.int64)
                 context[places], word[places] = _contexts(tokens, n, len(keys)), tokens
                 own = (value & 1) > 0
@@ -198,7 +239,7 @@ def _send_words(buckets: int):
                 size = len(keys) + 1
                 sums = np.stack([np.bincount(context, count, size), *(np.bincount(context[c], minlength=size) for c in (count == 1, count == 2, count > 2)),
                                  np.bincount(word, minlength=size)], axis=1).astype("<i8")
-                yield _sent(one["batch"][0].as_py(), [*_cut(keys, sums[:-1], buckets), (buckets, pack(np.array([START])), pack(sums[-1:]))])
+                yield _sent(one["batch"][0].as_py(), [*_cut(keys, sums[:-1], buckets), (buckets, pack_ascending(np.array([START], np.uint64)), pack(sums[-1:].T))])
 
     return run
 
@@ -206,11 +247,11 @@ def _send_words(buckets: int):
 def _sum_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per bucket: the counts of continuation counts, and for each batch's own words the sums over all batches."""
     for bucket, rows in groups(batches, "bucket"):
-        each, number = _as(rows["keys"], "<u8"), np.concatenate(_as(rows["counts"], "<i8")).reshape(-1, SUMS)
+        each, number = _ascending(rows["keys"]), np.concatenate([_by_row(x) for x in _as(rows["counts"], "<i8")])
         distinct, place = np.unique(np.concatenate(each), return_inverse=True)
         total = np.stack([np.bincount(place, x, len(distinct)) for x in number.T], axis=1).astype("<i8")
         ends = np.cumsum([0, *map(len, each)])
-        yield _answers(bucket, rows["batch"].to_pylist(), [pack(total[place[i:j]]) for i, j in zip(ends[:-1], ends[1:], strict=True)], _counts_of_counts(total[:, -1]))
+        yield _answers(bucket, rows["batch"].to_pylist(), [pack(total[place[i:j]].T) for i, j in zip(ends[:-1], ends[1:], strict=True)], _counts_of_counts(total[:, -1]))
 
 
 def _totals(answers: DataFrame) -> list[int]:
@@ -240,11 +281,10 @@ def _score(buckets: int, two: list[int], words: list[int]):
         for batch in batches:
             for row in range(len(batch)):
                 one = batch.slice(row, 1)
-                tokens, keys = _as(one["tokens"], "<u4")[0], _as(one["hashes"], "<u8")[0]
-                n = one["n_tokens"].flatten().to_numpy()
+                tokens, keys, n = _coded(one, buckets)
                 _, places = _by_bucket(bigrams(keys[tokens], n), buckets)
-                pair = (_joined(one["bi"], "<i8") >> 1)[places]
-                sums = _joined(one["words"], "<i8").reshape(-1, SUMS)
+                pair = (_joined(one["bi"]) >> 1)[places]
+                sums = _joined_sums(one["words"])
                 p = probabilities(pair, sums[_contexts(tokens, n, len(keys))], sums[tokens, -1], two, words)
                 bits = np.add.reduceat(np.log2(p), np.cumsum(n) - n)
                 none = n == 1
@@ -265,11 +305,12 @@ def _by_bucket_sums(sent: DataFrame, run) -> DataFrame:
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, ANSWERS)
 
 
-def scores(rows: DataFrame, size: int, batch_tokens: int = BATCH_TOKENS, bucket_bytes: int = BUCKET_BYTES, passes: int = PASSES, slices: int = SLICES) -> DataFrame:
-    """doc_id, lang, part, n_symbols, perplexity of each row (doc_id, lang, part, packed); ``size``: bytes of all texts."""
+def scores(rows: list[DataFrame], size: int, batch_tokens: int = BATCH_TOKENS, bucket_bytes: int = BUCKET_BYTES, passes: int = PASSES, slices: int = SLICES) -> DataFrame:
+    """doc_id, lang, part, n_symbols, perplexity of each row (doc_id, lang, part, packed) of the tables; ``size``: bytes of all texts."""
     buckets = max(1, -(-size // bucket_bytes))
-    batched = stored(rows.select("doc_id", "lang", "part", "packed").mapInArrow(_batches(buckets, batch_tokens), BATCH), "kn_batches")
-    coded = batched.select("batch", "part", "n_tokens", "tokens", "hashes")
+    batch_parts = [stored(x.select("doc_id", "lang", "part", "packed").mapInArrow(_batches(batch_tokens, len(rows), at), BATCH), "kn_batches") for at, x in enumerate(rows)]
+    batched = _union(batch_parts)
+    coded = batched.select("batch", "part", "n_tokens", "tokens", "hashes", "often")
     pair_parts = [stored(_by_bucket_sums(coded.mapInArrow(_send_pairs(buckets, passes, at), SENT), _sum_pairs), "kn_pairs") for at in range(passes)]
     pairs = _union(pair_parts)
     own = lambda df, at: df.where(F.pmod(F.xxhash64("batch"), F.lit(slices)) == at)
@@ -282,7 +323,7 @@ def scores(rows: DataFrame, size: int, batch_tokens: int = BATCH_TOKENS, bucket_
     two, one = _totals(pairs), _totals(words)
     each = lambda at: own(batched, at).join(bi(at), "batch").join(_back(own(words, at), "words", "values").hint("merge"), "batch")
     scored = _union([stored(each(at).mapInArrow(_score(buckets, two, one), RESULT), "kn_scores") for at in range(slices)])
-    for x in (batched, *pair_parts, *word_parts):
+    for x in (*batch_parts, *pair_parts, *word_parts):
         discard(x)
     return scored
 
@@ -295,8 +336,8 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, **size
     part = F.when(F.col("id").isNull(), OTHER).when(fold == HELD_OUT, CALIBRATES).otherwise(LEARNED)
     # a sort-merge join at every size: labels grow with the documents, and the plan should not turn over with them
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    packed = docs.mapInArrow(_packed_texts, "doc_id long, lang string, packed binary")
-    scored = scores(packed.join(trusted.hint("merge"), F.col("doc_id") == F.col("id"), "left").withColumn("part", part.cast("int")), size, **sizes)
+    packed = [docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(TEXT_PARTS)) == at).mapInArrow(_packed_texts, "doc_id long, lang string, packed binary") for at in range(TEXT_PARTS)]
+    scored = scores([x.join(trusted.hint("merge"), F.col("doc_id") == F.col("id"), "left").withColumn("part", part.cast("int")) for x in packed], size, **sizes)
     at = F.percentile_approx("perplexity", quantile, 10_000)
     marks = scored.where((F.col("part") != OTHER) & F.col("perplexity").isNotNull())
     own = marks.where(F.col("part") == CALIBRATES).groupBy(F.col("lang").alias("own_lang")).agg(at.alias("own"))

@@ -2,8 +2,10 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from burnup.llm import word_lm as W
@@ -134,3 +136,32 @@ def test_query_scores_words(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert {x.doc_id: x.n_symbols for x in QUERIES["op7_quality_classifier"](spark, str(tmp_path)).collect()} == {1: 4, 2: 2, 3: 0}
+
+
+def test_a_batch_keeps_its_words_and_their_places(monkeypatch):
+    """Repeated, rare and long words, many texts and buckets: the packed form gives back each word's hash; hashes are in order of their bucket."""
+    r = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in r.zipf(1.3, 400) % 5000) for _ in range(120)] + ["", "w" * 100]
+    rows = pa.RecordBatch.from_pydict({"doc_id": range(122), "lang": ["en"] * 122, "part": pa.array([0] * 122, pa.int32()), "text": texts})
+    packed = [x.set_column(2, "packed", x["packed"]).append_column("part", rows["part"]) for x in W._packed_texts([rows])]
+    monkeypatch.setattr(W.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    one, = W._batches(1 << 20)(packed)
+    for buckets in (1, 7, 1000):
+        tokens, keys, n = W._coded(one, buckets)
+        assert n.tolist() == [len(words(t)) + 1 for t in texts]
+        low = np.frombuffer(" ".join([*texts, ""]).encode(), np.uint8)
+        want = W.word_hashes(low, *W.token_bounds(low))
+        ends = np.cumsum(n) - 1
+        assert (np.delete(keys[tokens], ends) == want).all() and (keys[tokens][ends] == W.END).all()
+        assert (np.diff((keys % np.uint64(buckets)).astype(int)) >= 0).all() and len(set(keys.tolist())) == len(keys)
+    # less than whole hashes and places in their order
+    distinct, places = np.unique(keys[tokens], return_inverse=True)
+    assert sum(len(one[x][0].as_py()) for x in ("tokens", "hashes", "often")) < 0.9 * (len(W.pack(places.astype("<u4"))) + len(W.pack(distinct)))
+
+
+def test_texts_are_not_shuffled_all_at_once(spark, monkeypatch):
+    docs, labels = data()
+    parts = []
+    monkeypatch.setattr(W, "scores", lambda rows, size, scores=W.scores, **sizes: (parts.extend(x.count() for x in rows), scores(rows, size, **sizes))[1])
+    got = W.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert sum(parts) == len(docs) == got.count() and max(parts) < 0.7 * len(docs)
