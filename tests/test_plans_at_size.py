@@ -39,6 +39,12 @@ def test_payloads_of_growing_tables_are_not_broadcast(spark, name):
     assert [x for x in joins if re.search(keys, x)] == []
 
 
+def test_dead_letter_after_the_retry_is_not_broadcast(spark):
+    """The steps before are written tables, so this plan is the last one: accepted chunks leave the dead letter."""
+    shown = plan_text(load_all()[0]["generate_timesheets_dead_letter"](spark, SMALL))
+    assert "SortMergeJoin" in shown and "BroadcastExchange" not in shown
+
+
 def test_pieces_of_ranges_are_not_broadcast(spark):
     days = spark.range(4).select(F.col("id").alias("u"), F.expr("date_add(DATE'2024-01-01', cast(id as int))").alias("day"))
     ranges = spark.range(4).select(F.col("id").alias("v"), F.expr("DATE'1970-01-05'").alias("a"), F.expr("DATE'2024-01-02'").alias("b"))
